@@ -1,0 +1,207 @@
+"""Adapters: the driver's TPC-H-style tables -> the five business sources.
+
+Each adapter returns the *source* form of one business table: every column a
+string, as a CSV reader would hand it over (money as ``123.45``, dates as ISO
+text), with a deterministic sprinkle of null tokens and junk so the cleaning
+operators have real work. Every row of the output derives from a row of a
+driver table, so the work grows with the tables.
+
+The identical recipes are written in SQL in ``tidewater.plans.oracle``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.functions import lexicon as lx
+from tidewater.sources.tables import read_table
+
+
+def pick(values: list[str], index: Column) -> Column:
+    """``values[index]`` for a 0-based integer column (literal array lookup)."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+
+
+def idiv(c: Column | str, k: int) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c / F.lit(k)).cast("long")
+
+
+def fill(template: Column, values: dict[str, Column]) -> Column:
+    out = template
+    for key, val in values.items():
+        out = F.replace(out, F.lit("{" + key + "}"), val.cast("string"))
+    return out
+
+
+def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """custkey -> region name. nation (25 rows) and region (5 rows) are fixed
+    size by the TPC-H spec; the customer join itself is left to the planner
+    (AQE broadcasts it only when its measured size is below the threshold)."""
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    nr = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return (cust.join(F.broadcast(nr), cust.c_nationkey == nr.n_nationkey)
+            .select(F.col("c_custkey"), F.col("r_name")))
+
+
+def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders (+ lineitem sums, + customer region) as the ``orders`` source."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        F.col("l_discount").cast("decimal(4,2)").alias("disc"),
+        F.col("l_quantity").cast("int").alias("qty"))
+    # Pre-aggregate the largest table on its key before any join.
+    per_order = li.groupBy("l_orderkey").agg(
+        F.sum("price").cast("decimal(18,2)").alias("gross"),
+        F.sum(F.round(F.col("price") * F.col("disc"), 2)).cast("decimal(18,2)").alias("discount"),
+        F.sum("qty").cast("long").alias("units"))
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    j = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
+         .join(_geo(spark, sf_dir), o.o_custkey == F.col("c_custkey"), "left"))
+    key = F.col("o_orderkey")
+    return j.select(
+        F.concat(F.lit("ORD-"), key.cast("string")).alias("order_id"),
+        F.concat(F.lit("C-"), F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
+        F.when(F.col("o_orderstatus") == "F", "web").when(F.col("o_orderstatus") == "O", "mobile")
+         .otherwise("marketplace").alias("channel"),
+        F.col("r_name").alias("region"),
+        F.when(key % 10 == 7, "USD").when(key % 10 == 8, "GBP").otherwise("EUR").alias("currency"),
+        F.col("gross").cast("string").alias("gross_revenue_eur"),
+        F.when(key % 499 == 17, F.lit("abc")).otherwise(F.col("discount").cast("string"))
+         .alias("discount_eur"),
+        (F.col("gross") - F.col("discount")).cast("string").alias("net_revenue_eur"),
+        F.when(key % 97 == 3, F.lit("NA")).otherwise(F.col("units").cast("string")).alias("units"),
+    )
+
+
+def _ticket_arrays() -> tuple[list[str], list[str]]:
+    cats = list(lx.TICKET_SUBJECTS)
+    subjects = [s for c in cats for lang in lx.TICKET_LANGS for s in lx.TICKET_SUBJECTS[c][lang]]
+    descs = [lx.TICKET_DESCRIPTIONS[c][lang] for c in cats for lang in lx.TICKET_LANGS]
+    return subjects, descs
+
+
+def tickets_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events -> ``support_tickets`` source (text from the ticket templates)."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    eid, uid = F.col("event_id"), F.col("user_id")
+    cat = eid % 6
+    lang_i = F.when(eid % 20 < 11, F.lit(0)).otherwise(F.lit(1))
+    subjects, descs = _ticket_arrays()
+    subject = pick(subjects, cat * 8 + lang_i * 4 + idiv(eid, 6) % 4)
+    desc = fill(pick(descs, cat * 2 + lang_i), {
+        "amt": 20 + uid % 381, "exp": 10 + eid % 291, "oid": 50000 + eid % 50000,
+        "dt": F.date_format("ts", "yyyy-MM-dd"), "delay": 2 + eid % 8})
+    sla_tokens = ["true", "false", "True", "1", "YES", "no", "NA", "false", "false"]
+    return ev.select(
+        F.concat(F.lit("TKT-"), eid.cast("string")).alias("ticket_id"),
+        F.concat(F.lit("C-"), uid.cast("string")).alias("customer_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
+        pick(lx.TICKET_CHANNELS, uid % 4).alias("channel"),
+        pick(lx.TICKET_LANGS, lang_i).alias("language"),
+        F.when(eid % 13 == 5, F.concat(F.lit("  \t"), subject, F.lit("\n "))).otherwise(subject)
+         .alias("subject"),
+        F.when(eid % 41 == 7, F.lit("N/A")).otherwise(desc).alias("description"),
+        pick(["open", "pending", "solved"], eid % 3).alias("status"),
+        pick(sla_tokens, eid % 9).alias("sla_breached"),
+    )
+
+
+def reviews_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents (+ labels) -> ``product_reviews`` source; body = the whole text."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    labels = read_table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("l_doc_id"), "quality", "toxic")
+    j = docs.join(labels, docs.doc_id == labels.l_doc_id, "left")
+    did = F.col("doc_id")
+    rating = (F.when(F.col("toxic") == 1, F.lit(1))
+              .when(F.col("quality") == 1, 4 + did % 2)
+              .when(F.col("quality") == 0, 1 + did % 2)
+              .otherwise(F.lit(3)))
+    tl = F.when(F.col("lang") == "fr", F.lit("fr")).otherwise(F.lit("en"))
+    t = lx.REVIEW_TITLES
+    title = (F.when((rating >= 4) & (tl == "en"), pick(t["positive"]["en"], did % 4))
+             .when(rating >= 4, pick(t["positive"]["fr"], did % 4))
+             .when((rating == 3) & (tl == "en"), pick(t["neutral"]["en"], did % 2))
+             .when(rating == 3, pick(t["neutral"]["fr"], did % 2))
+             .when(tl == "en", pick(t["negative"]["en"], did % 2))
+             .otherwise(pick(t["negative"]["fr"], did % 2)))
+    created = F.date_add(F.lit("2024-01-01").cast("date"), (did % 90).cast("int"))
+    return j.select(
+        F.concat(F.lit("REV-"), did.cast("string")).alias("review_id"),
+        F.col("source").alias("product_id"),
+        F.concat(F.lit("Product "), F.col("source")).alias("product_name"),
+        F.date_format(created, "yyyy-MM-dd'T'HH").alias("created_at"),
+        F.when(F.col("quality").isNull() & (did % 23 == 4), F.lit("N/A"))
+         .otherwise(rating.cast("string")).alias("rating"),
+        F.col("lang").alias("language"),
+        title.alias("title"),
+        F.col("text").alias("body"),
+        F.when(did % 5 < 3, F.lit("true")).otherwise(F.lit("false")).alias("verified"),
+    )
+
+
+def web_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events aggregated per (day, page, country, device) -> ``web_analytics``."""
+    ev = read_table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
+    keyed = ev.select(
+        F.col("ts").cast("date").alias("d"),
+        F.concat(F.lit("/"), F.col("event_type")).alias("page_path"),
+        pick(lx.REGIONS, F.col("user_id") % 4).alias("country"),
+        pick(lx.WEB_DEVICES, F.col("user_id") % 3).alias("device"),
+        F.col("value"))
+    agg = keyed.groupBy("d", "page_path", "country", "device").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.floor("value")).cast("long").alias("pv"),
+        F.min("value").alias("vmin"),
+        F.max("value").alias("vmax"))
+    return agg.select(
+        F.col("d").cast("string").alias("event_date"), "page_path", "country", "device",
+        F.col("n").cast("string").alias("sessions"),
+        F.when(F.col("n") % 11 == 4, F.lit("NA")).otherwise(F.col("pv").cast("string"))
+         .alias("pageviews"),
+        F.col("vmin").cast("decimal(10,2)").cast("string").alias("bounce_rate"),
+        F.col("vmax").cast("decimal(10,2)").cast("string").alias("avg_session_sec"),
+    )
+
+
+def leads_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer -> ``crm_leads`` source (notes from the lead-note templates)."""
+    cust = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    k = F.col("c_custkey")
+    lang_i = k % 2
+    templates = lx.LEAD_NOTES["en"] + lx.LEAD_NOTES["fr"]
+    notes = fill(pick(templates, lang_i * 5 + idiv(k, 2) % 5), {
+        "role": pick(lx.LEAD_ROLES, idiv(k, 3) % 5),
+        "src": pick(lx.LEAD_SOURCES, idiv(k, 5) % 4),
+        "comp": pick(lx.LEAD_COMPETITORS, idiv(k, 7) % 6),
+        "sz": pick(lx.LEAD_SIZES, idiv(k, 11) % 8)})
+    value = (F.col("c_acctbal").cast("decimal(12,2)") * 7).cast("decimal(12,2)")
+    created = F.date_add(F.lit("2024-01-01").cast("date"), (k % 60).cast("int"))
+    return cust.select(
+        F.concat(F.lit("LD-"), k.cast("string")).alias("lead_id"),
+        F.col("c_name").alias("company_name"),
+        F.col("c_mktsegment").alias("industry"),
+        pick(lx.REGIONS, F.col("c_nationkey") % 4).alias("region"),
+        F.date_format(created, "yyyy-MM-dd'T'HH").alias("created_at"),
+        pick(lx.LEAD_SOURCES, k % 4).alias("source"),
+        pick(lx.LEAD_STATUSES, idiv(k, 4) % 5).alias("status"),
+        F.when(k % 31 == 9, F.lit("NA")).otherwise(value.cast("string")).alias("est_value_eur"),
+        F.when(k % 37 == 11, F.lit("")).otherwise(notes).alias("notes"),
+    )
+
+
+SOURCE_ADAPTERS = {
+    "orders": orders_source,
+    "support_tickets": tickets_source,
+    "product_reviews": reviews_source,
+    "web_analytics": web_source,
+    "crm_leads": leads_source,
+}
