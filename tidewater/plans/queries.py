@@ -1,4 +1,127 @@
-"""Registers the text, enrichment, sink-check and delivery queries.
+"""Registers the text-enrichment, response, quality and delivery queries.
 
 Importing this module fills ``tidewater.plans.registry.QUERIES``/``ORACLE``.
 """
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.functions import lexicon as lx
+from tidewater.operators import delivery as D
+from tidewater.operators import tickets as T
+from tidewater.plans import oracle as O
+from tidewater.plans.registry import cleaned, register
+from tidewater.sources.tables import read_table
+
+q = O.q
+
+
+# ── oracle fragments for tickets / language ─────────────────────────────────
+def lang_sql(text: str) -> str:
+    t = f"lower(COALESCE({text}, ''))"
+    markers = ", ".join(q(m) for m in lx.FR_MARKERS)
+    return (f"(CASE WHEN NOT regexp_matches({t}, '[{lx.TOKEN_LETTERS}]') THEN 'en' "
+            f"WHEN regexp_matches({t}, '[{lx.ACCENT_LETTERS}]') THEN 'fr' "
+            f"WHEN len(list_filter(regexp_extract_all({t}, '[{lx.TOKEN_LETTERS}]+'), "
+            f"lambda x: x IN ({markers}))) >= {lx.FR_MARKER_MIN_HITS} THEN 'fr' "
+            f"ELSE 'en' END)")
+
+
+def _ticket_sig_sql() -> str:
+    hits = [f"{O.weighted_hits_sql('t', kws)} AS h_{cat}"
+            for cat, kws in lx.CATEGORY_KEYWORDS.items()]
+    hits += [f"{O.weighted_hits_sql('t', lx.NEGATIVE_WORDS)} AS neg_hits",
+             f"{O.weighted_hits_sql('t', lx.POSITIVE_WORDS)} AS pos_hits",
+             f"{O.any_contains_sql('t', lx.URGENCY_CRITICAL)} AS is_critical",
+             f"{O.any_contains_sql('t', lx.URGENCY_HIGH)} AS is_high"]
+    cats = list(lx.CATEGORY_KEYWORDS)
+    best = "GREATEST(" + ", ".join(f"h_{c}" for c in cats) + ")"
+    cat_case = ("CASE WHEN best <= 0 THEN 'other' "
+                + " ".join(f"WHEN h_{c} = best THEN {q(c)}" for c in cats) + " ELSE 'other' END")
+    return f"""SELECT *, {cat_case} AS category,
+  CASE WHEN is_critical THEN 'critical' WHEN is_high THEN 'high'
+       WHEN sentiment = 'negative' THEN 'medium' ELSE 'low' END AS urgency,
+  CAST(ROUND(LEAST(CAST(0.95 AS DECIMAL(4,2)), CAST(0.45 AS DECIMAL(4,2))
+       + CAST(0.12 AS DECIMAL(4,2)) * best
+       + CASE WHEN sentiment <> 'neutral' THEN CAST(0.05 AS DECIMAL(4,2))
+              ELSE CAST(0 AS DECIMAL(4,2)) END), 3) AS DECIMAL(4,3)) AS confidence
+FROM (
+  SELECT *, {best} AS best,
+    CASE WHEN neg_hits > pos_hits THEN 'negative' WHEN pos_hits > neg_hits THEN 'positive'
+         ELSE 'neutral' END AS sentiment
+  FROM (SELECT ticket_id, text, {', '.join(hits)}
+        FROM (SELECT ticket_id, COALESCE(text, '') AS text, lower(COALESCE(text, '')) AS t
+              FROM tickets_clean)))"""
+
+
+O.cte("ticket_sig", _ticket_sig_sql(), ["tickets_clean"])
+O.cte("ticket_cls", f"""SELECT ticket_id, category, sentiment, urgency, confidence,
+  {lang_sql('text')} AS detected_language FROM ticket_sig""", ["ticket_sig"])
+
+
+def _tickets(spark, sf_dir):
+    return cleaned(spark, sf_dir, "support_tickets")
+
+
+@register("ticket_category", O.build(
+    "SELECT ticket_id, category, CAST(best AS INTEGER) AS best_hits FROM ticket_sig",
+    ["ticket_sig"]))
+def q_ticket_category(spark, sf_dir):
+    return T.ticket_category(_tickets(spark, sf_dir))
+
+
+@register("ticket_sentiment", O.build(
+    "SELECT ticket_id, sentiment, CAST(neg_hits AS INTEGER) AS neg_hits, "
+    "CAST(pos_hits AS INTEGER) AS pos_hits FROM ticket_sig", ["ticket_sig"]))
+def q_ticket_sentiment(spark, sf_dir):
+    return T.ticket_sentiment(_tickets(spark, sf_dir))
+
+
+@register("ticket_urgency", O.build("SELECT ticket_id, urgency FROM ticket_sig", ["ticket_sig"]))
+def q_ticket_urgency(spark, sf_dir):
+    return T.ticket_urgency(_tickets(spark, sf_dir))
+
+
+@register("classify_tickets", O.build("SELECT * FROM ticket_cls", ["ticket_cls"]))
+def q_classify_tickets(spark, sf_dir):
+    return T.classify_tickets(_tickets(spark, sf_dir))
+
+
+@register("detect_language", f"""SELECT doc_id, lang,
+  {lang_sql('text')} AS detected_language FROM documents""")
+def q_detect_language(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return T.with_language(docs).select("doc_id", "lang", "detected_language")
+
+
+@register("detect_language_conversations", f"""SELECT conv_id, turn, role,
+  {lang_sql('text')} AS detected_language FROM conversations""")
+def q_detect_language_conv(spark, sf_dir):
+    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return T.with_language(conv).select("conv_id", "turn", "role", "detected_language")
+
+
+@register("tickets_by_category", O.build(
+    "SELECT category, COUNT(*) AS n_tickets, "
+    "CAST(COUNT(*) AS DOUBLE) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE) AS share "
+    "FROM ticket_cls GROUP BY category", ["ticket_cls"]))
+def q_tickets_by_category(spark, sf_dir):
+    return D.tickets_by_category(T.classify_tickets(_tickets(spark, sf_dir)))
+
+
+@register("sentiment_by_urgency", O.build(
+    "SELECT sentiment, urgency, COUNT(*) AS n_tickets FROM ticket_cls GROUP BY ALL",
+    ["ticket_cls"]))
+def q_sentiment_by_urgency(spark, sf_dir):
+    return D.sentiment_by_urgency(T.classify_tickets(_tickets(spark, sf_dir)))
+
+
+@register("report_top_categories", O.build(
+    "SELECT category, COUNT(*) AS count FROM ticket_cls GROUP BY category "
+    "ORDER BY count DESC, category LIMIT 3", ["ticket_cls"]))
+def q_report_top_categories(spark, sf_dir):
+    return D.report_top_categories(T.classify_tickets(_tickets(spark, sf_dir)))
+
+
+_ = F  # keep the functions import for the sections below
