@@ -125,3 +125,102 @@ def q_report_top_categories(spark, sf_dir):
 
 
 _ = F  # keep the functions import for the sections below
+
+
+# ── leads ───────────────────────────────────────────────────────────────────
+from tidewater.operators import clean as C  # noqa: E402
+from tidewater.operators import leads as L  # noqa: E402
+
+
+def _points_sql(col: str, table: dict[str, int]) -> str:
+    return "(CASE " + " ".join(f"WHEN {col} = {q(k)} THEN {v}" for k, v in table.items()) \
+        + " ELSE 0 END)"
+
+
+def _leads_enriched_sql() -> str:
+    t = "lower(COALESCE(notes, ''))"
+    band = "CASE " + " ".join(
+        f"WHEN n BETWEEN {lo} AND {hi} THEN {q(label)}" for lo, hi, label in L.size_band_labels()
+    ) + f" ELSE {q(lx.SIZE_BAND_DEFAULT)} END"
+    flags = []
+    for label, words in lx.INTENT_SIGNALS:
+        cond = (f"regexp_matches({t}, {q(lx.TIMELINE_PATTERN)})" if words is None
+                else O.any_contains_sql(t, words))
+        flags.append(f"CASE WHEN {cond} THEN {q(label)} END")
+    signals = f"list_filter([{', '.join(flags)}], lambda x: x IS NOT NULL)"
+    en, fr = "COALESCE(notes, '')", "COALESCE(notes, '')"
+    for src, dst in L.glossary("en"):
+        en = f"replace({en}, {q(src)}, {q(dst)})"
+    for src, dst in L.glossary("fr"):
+        fr = f"replace({fr}, {q(src)}, {q(dst)})"
+    score = (f"{lx.LEAD_SCORE_BASE} + {_points_sql('status', lx.STATUS_POINTS)} "
+             f"+ {_points_sql('source', lx.SOURCE_POINTS)} "
+             f"+ CASE WHEN est_value_eur IS NULL THEN 0 ELSE LEAST({lx.VALUE_POINTS_CAP}, "
+             f"CAST(trunc(est_value_eur / {lx.VALUE_POINTS_DIVISOR}) AS INTEGER)) END "
+             f"+ CASE WHEN {O.any_contains_sql(t, lx.POSITIVE_SIGNAL_WORDS)} "
+             f"THEN {lx.POSITIVE_SIGNAL_POINTS} ELSE 0 END "
+             f"+ CASE WHEN {O.any_contains_sql(t, lx.OBJECTION_WORDS)} "
+             f"THEN {lx.OBJECTION_POINTS} ELSE 0 END")
+    return f"""SELECT lead_id, {band} AS company_size_band,
+  CAST(GREATEST(0, LEAST(100, {score})) AS SMALLINT) AS lead_score,
+  CASE WHEN len(sig) = 0 THEN ['{lx.NO_SIGNAL_LABEL}'] ELSE sig END AS intent_signals,
+  notes_en, notes_fr
+FROM (SELECT *, {signals} AS sig, {en} AS notes_en, {fr} AS notes_fr,
+        CASE WHEN regexp_extract({t}, '(\\d{{1,4}})', 1) = '' THEN NULL
+             ELSE TRY_CAST(regexp_extract({t}, '(\\d{{1,4}})', 1) AS INTEGER) END AS n
+      FROM leads_clean)"""
+
+
+O.cte("leads_enriched", _leads_enriched_sql(), ["leads_clean"])
+
+
+def _leads(spark, sf_dir):
+    return cleaned(spark, sf_dir, "crm_leads")
+
+
+@register("company_size_band", O.build(
+    "SELECT lead_id, company_size_band FROM leads_enriched", ["leads_enriched"]))
+def q_company_size_band(spark, sf_dir):
+    return _leads(spark, sf_dir).select(
+        "lead_id", L.company_size_band(F.col("notes")).alias("company_size_band"))
+
+
+@register("lead_score", O.build("SELECT lead_id, lead_score FROM leads_enriched",
+                                ["leads_enriched"]))
+def q_lead_score(spark, sf_dir):
+    df = _leads(spark, sf_dir)
+    return df.select("lead_id", L.lead_score(F.col("status"), F.col("source"),
+                                             F.col("est_value_eur"), F.col("notes"))
+                     .alias("lead_score"))
+
+
+@register("intent_signals", O.build(
+    "SELECT lead_id, array_to_string(intent_signals, '|') AS intent_signals FROM leads_enriched",
+    ["leads_enriched"]))
+def q_intent_signals(spark, sf_dir):
+    return _leads(spark, sf_dir).select(
+        "lead_id", F.array_join(L.intent_signals(F.col("notes")), "|").alias("intent_signals"))
+
+
+@register("translate_note", O.build("SELECT lead_id, notes_en, notes_fr FROM leads_enriched",
+                                    ["leads_enriched"]))
+def q_translate_note(spark, sf_dir):
+    df = _leads(spark, sf_dir)
+    return df.select("lead_id", L.translate_note(F.col("notes"), "en").alias("notes_en"),
+                     L.translate_note(F.col("notes"), "fr").alias("notes_fr"))
+
+
+@register("enrich_leads", O.build(
+    "SELECT lead_id, company_size_band, lead_score, "
+    "array_to_string(intent_signals, '|') AS intent_signals, notes_en, notes_fr "
+    "FROM leads_enriched", ["leads_enriched"]))
+def q_enrich_leads(spark, sf_dir):
+    out = L.enrich_leads(_leads(spark, sf_dir))
+    return out.withColumn("intent_signals", F.array_join("intent_signals", "|"))
+
+
+@register("leads_view", O.build(
+    "SELECT lead_id, company_size_band, lead_score, notes_fr AS notes FROM leads_enriched",
+    ["leads_enriched"]))
+def q_leads_view(spark, sf_dir):
+    return C.leads_view(L.enrich_leads(_leads(spark, sf_dir)), "fr")
