@@ -55,7 +55,7 @@ def clean_tickets(df: DataFrame) -> DataFrame:
     sla = F.lower(F.col("sla_breached").cast("string")).isin(lx.TRUE_TOKENS)
     return df.select(
         "ticket_id", "customer_id",
-        F.col("created_at").cast("string").try_cast("timestamp").alias("created_at"),
+        F.col("created_at").cast("string").try_cast("timestamp_ntz").alias("created_at"),
         "channel", "language",
         subject.alias("subject"), desc.alias("description"), "status",
         F.coalesce(sla, F.lit(False)).alias("sla_breached"),
@@ -75,7 +75,7 @@ def clean_reviews(df: DataFrame) -> DataFrame:
     verified = F.lower(F.col("verified").cast("string")).isin(lx.TRUE_TOKENS)
     out = df.select(
         "review_id", "product_id", "product_name",
-        F.col("created_at").cast("string").try_cast("timestamp").alias("created_at"),
+        F.col("created_at").cast("string").try_cast("timestamp_ntz").alias("created_at"),
         rating.alias("rating"), "language",
         title.alias("title"), body.alias("body"),
         F.coalesce(verified, F.lit(False)).alias("verified"),
@@ -98,7 +98,7 @@ def clean_leads(df: DataFrame) -> DataFrame:
     """Notes null -> '' stripped; est_value_eur numeric."""
     return df.select(
         "lead_id", "company_name", "industry", "region",
-        F.col("created_at").cast("string").try_cast("timestamp").alias("created_at"),
+        F.col("created_at").cast("string").try_cast("timestamp_ntz").alias("created_at"),
         "source", "status",
         F.col("est_value_eur").cast("string").try_cast(MONEY).alias("est_value_eur"),
         strip_all(empty_if_null("notes")).alias("notes"))

@@ -224,3 +224,90 @@ def q_enrich_leads(spark, sf_dir):
     ["leads_enriched"]))
 def q_leads_view(spark, sf_dir):
     return C.leads_view(L.enrich_leads(_leads(spark, sf_dir)), "fr")
+
+
+# ── reviews ─────────────────────────────────────────────────────────────────
+from tidewater.operators import reviews as RV  # noqa: E402
+
+_FKEY = "strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') || '|' || review_id"
+O.cte("rv", f"""SELECT product_id, strftime(created_at, '%Y-%m') AS review_window,
+  CAST(rating AS DOUBLE) AS rating, language, COALESCE(body, '') AS body,
+  lower(COALESCE(text, '')) AS t, {_FKEY} AS fkey
+FROM reviews_clean WHERE created_at IS NOT NULL""", ["reviews_clean"])
+O.cte("rv_stats", "SELECT product_id, review_window, CAST(COUNT(*) AS INTEGER) AS n_reviews, "
+      "CAST(ROUND(AVG(rating), 2) AS DECIMAL(3,2)) AS avg_rating, "
+      + ", ".join(f"SUM(CASE WHEN {O.any_contains_sql('t', kws)} THEN 1 ELSE 0 END) AS th_{i}"
+                  for i, kws in enumerate(lx.THEME_KEYWORDS.values()))
+      + " FROM rv GROUP BY product_id, review_window", ["rv"])
+O.cte("rv_themes", "SELECT product_id, review_window, string_agg(theme || ':' || "
+      "CAST(weight AS VARCHAR), '|' ORDER BY rn) AS top_themes FROM ("
+      " SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, review_window "
+      "ORDER BY weight DESC, ord) AS rn FROM ("
+      + " UNION ALL ".join(f"SELECT product_id, review_window, {q(th)} AS theme, {i} AS ord, "
+                           f"CAST(th_{i} AS INTEGER) AS weight FROM rv_stats"
+                           for i, th in enumerate(lx.THEME_KEYWORDS))
+      + ") WHERE weight > 0) WHERE rn <= 5 GROUP BY product_id, review_window", ["rv_stats"])
+O.cte("rv_ranked", """SELECT * FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, review_window, scope
+                               ORDER BY cnt DESC, fkey) AS rank
+  FROM (
+    SELECT product_id, review_window, language AS scope, body, COUNT(*) AS cnt, MIN(fkey) AS fkey
+    FROM rv WHERE language IN ('en', 'fr') GROUP BY ALL
+    UNION ALL
+    SELECT product_id, review_window, 'all', body, COUNT(*), MIN(fkey) FROM rv GROUP BY ALL))
+WHERE rank <= 2""", ["rv"])
+O.cte("rv_summary", """SELECT product_id, review_window,
+  COALESCE(NULLIF(COALESCE(string_agg(body, ' ' ORDER BY rank) FILTER (WHERE scope = 'en'), ''), ''),
+           string_agg(body, ' ' ORDER BY rank) FILTER (WHERE scope = 'all')) AS summary_en,
+  COALESCE(NULLIF(COALESCE(string_agg(body, ' ' ORDER BY rank) FILTER (WHERE scope = 'fr'), ''), ''),
+           string_agg(body, ' ' ORDER BY rank) FILTER (WHERE scope = 'all')) AS summary_fr
+FROM rv_ranked GROUP BY product_id, review_window""", ["rv_ranked"])
+O.cte("rv_out", """SELECT s.product_id, s.review_window, s.n_reviews, s.avg_rating,
+  COALESCE(m.summary_en, '') AS summary_en, COALESCE(m.summary_fr, '') AS summary_fr,
+  COALESCE(t.top_themes, '') AS top_themes
+FROM rv_stats s
+LEFT JOIN rv_summary m USING (product_id, review_window)
+LEFT JOIN rv_themes t USING (product_id, review_window)""", ["rv_stats", "rv_summary", "rv_themes"])
+
+
+def _review_rows(spark, sf_dir):
+    return RV._review_rows(cleaned(spark, sf_dir, "product_reviews"))  # noqa: SLF001
+
+
+@register("review_group_stats", O.build(
+    "SELECT product_id, review_window, n_reviews, avg_rating FROM rv_stats", ["rv_stats"]))
+def q_review_group_stats(spark, sf_dir):
+    return RV.review_group_stats(_review_rows(spark, sf_dir)).select(
+        "product_id", "review_window", "n_reviews", "avg_rating")
+
+
+@register("top_themes", O.build(
+    "SELECT product_id, review_window, COALESCE(top_themes, '') AS top_themes "
+    "FROM rv_stats LEFT JOIN rv_themes USING (product_id, review_window)",
+    ["rv_stats", "rv_themes"]))
+def q_top_themes(spark, sf_dir):
+    stats = RV.review_group_stats(_review_rows(spark, sf_dir))
+    themes = RV.top_themes_from_counts([F.col(f"th_{i}") for i in range(len(RV.THEMES))])
+    return stats.select("product_id", "review_window", RV.themes_flat(themes).alias("top_themes"))
+
+
+@register("extractive_summary", O.build(
+    "SELECT product_id, review_window, scope, CAST(rank AS INTEGER) AS rank, md5(body) AS body_md5, "
+    "CAST(cnt AS BIGINT) AS cnt FROM rv_ranked", ["rv_ranked"]))
+def q_extractive_summary(spark, sf_dir):
+    ranked = RV.ranked_bodies(_review_rows(spark, sf_dir))
+    return ranked.select("product_id", "review_window", "scope", "rank",
+                         F.md5("body").alias("body_md5"), "cnt")
+
+
+@register("summarize_reviews", O.build(
+    "SELECT product_id, review_window, n_reviews, avg_rating, md5(summary_en) AS summary_en_md5, "
+    "md5(summary_fr) AS summary_fr_md5, length(summary_en) AS summary_en_chars, top_themes "
+    "FROM rv_out", ["rv_out"]))
+def q_summarize_reviews(spark, sf_dir):
+    out = RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews"))
+    return out.select("product_id", "review_window", "n_reviews", "avg_rating",
+                      F.md5("summary_en").alias("summary_en_md5"),
+                      F.md5("summary_fr").alias("summary_fr_md5"),
+                      F.length("summary_en").cast("long").alias("summary_en_chars"),
+                      RV.themes_flat("top_themes").alias("top_themes"))

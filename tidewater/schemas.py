@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -35,6 +36,7 @@ def _s(name: str, dtype, nullable: bool = True) -> StructField:
 
 
 S, TS, D = StringType(), TimestampType(), DateType()
+TSN = TimestampNTZType()
 MONEY = DecimalType(12, 2)
 
 # raw.* tables (clean form without the helper ``text`` column, plus loaded_at)
@@ -46,13 +48,13 @@ RAW_SCHEMAS: dict[str, StructType] = {
         _s("net_revenue_eur", MONEY, False), _s("units", IntegerType(), False),
         _s("loaded_at", TS)]),
     "support_tickets": StructType([
-        _s("ticket_id", S, False), _s("customer_id", S), _s("created_at", TS),
+        _s("ticket_id", S, False), _s("customer_id", S), _s("created_at", TSN),
         _s("channel", S), _s("language", S), _s("subject", S, False),
         _s("description", S, False), _s("status", S), _s("sla_breached", BooleanType(), False),
         _s("loaded_at", TS)]),
     "product_reviews": StructType([
         _s("review_id", S, False), _s("product_id", S, False), _s("product_name", S),
-        _s("created_at", TS), _s("rating", IntegerType(), False), _s("language", S),
+        _s("created_at", TSN), _s("rating", IntegerType(), False), _s("language", S),
         _s("title", S, False), _s("body", S, False), _s("verified", BooleanType()),
         _s("loaded_at", TS)]),
     "web_analytics": StructType([
@@ -62,7 +64,7 @@ RAW_SCHEMAS: dict[str, StructType] = {
         _s("loaded_at", TS)]),
     "crm_leads": StructType([
         _s("lead_id", S, False), _s("company_name", S), _s("industry", S), _s("region", S),
-        _s("created_at", TS), _s("source", S), _s("status", S),
+        _s("created_at", TSN), _s("source", S), _s("status", S),
         _s("est_value_eur", MONEY), _s("notes", S, False), _s("loaded_at", TS)]),
 }
 
