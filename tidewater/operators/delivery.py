@@ -105,9 +105,7 @@ def run_report(run: DataFrame, classified: DataFrame, anomalies: DataFrame,
     wa = Window.partitionBy("run_id").orderBy(F.desc("deviation"), F.asc("anomaly_id"))
     an = (anomalies.withColumn("rank", F.row_number().over(wa)).filter(F.col("rank") <= k)
           .select("run_id", F.lit("anomalies").alias("section"), "rank",
-                  F.format_string("%s anomaly in %s (%s): %.1f std dev", F.upper("severity"),
-                                  F.col("dimension"), F.col("dimension_value"),
-                                  F.col("deviation").cast("double")).alias("line")))
+                  anomaly_line().alias("line")))
     lines = cat.unionByName(an)
     placeholders = F.array(
         F.struct(F.lit("categories").alias("section"), F.lit(NO_CATEGORY_LINE).alias("empty_line")),
@@ -120,6 +118,15 @@ def run_report(run: DataFrame, classified: DataFrame, anomalies: DataFrame,
     return lines.unionByName(empty)
 
 
+def anomaly_line():
+    """``SEVERITY anomaly in dim (value): x.x std dev``; the deviation is
+    rounded half-to-even on its decimal value, as decimal text formatting does."""
+    return F.concat(F.upper("severity"), F.lit(" anomaly in "), F.col("dimension"), F.lit(" ("),
+                    F.col("dimension_value"), F.lit("): "),
+                    F.bround(F.col("deviation").cast("decimal(10,3)"), 1).cast("string"),
+                    F.lit(" std dev"))
+
+
 def run_message(ledger_view: DataFrame) -> DataFrame:
     """Notification text per run from the ledger view."""
     ok = F.format_string("Pipeline run %s completed successfully. Enriched %s rows.",

@@ -56,20 +56,24 @@ def _confidence(best: Column, sentiment: Column) -> Column:
     return F.round(F.least(F.lit(Decimal(lx.CONFIDENCE_CAP)), raw), 3).cast("decimal(4,3)")
 
 
-def ticket_signals(tickets: DataFrame, key: str = "ticket_id") -> DataFrame:
+def ticket_signals(tickets: DataFrame, key: str = "ticket_id",
+                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Per ticket: category hit counts, sentiment hits, urgency flags, text."""
     df = with_text(tickets)
-    lowered = df.select(F.col(key), F.col("text"), F.lower(F.col("text")).alias("t"))
-    return lowered.select(F.col(key), F.col("text"), *_hit_columns(F.col("t")))
+    lowered = df.select(F.col(key), *keep, F.col("text"), F.lower(F.col("text")).alias("t"))
+    return lowered.select(F.col(key), *keep, F.col("text"), *_hit_columns(F.col("t")))
 
 
-def classify_tickets(tickets: DataFrame, key: str = "ticket_id") -> DataFrame:
-    """ticket_id, category, sentiment, urgency, confidence, detected_language."""
-    sig = ticket_signals(tickets, key)
+def classify_tickets(tickets: DataFrame, key: str = "ticket_id",
+                     keep: tuple[str, ...] = ()) -> DataFrame:
+    """ticket_id, category, sentiment, urgency, confidence, detected_language
+    (plus any ``keep`` pass-through columns, e.g. ``run_id``)."""
+    sig = ticket_signals(tickets, key, keep)
     best = F.greatest(*[F.col(f"h_{c}") for c in CATEGORIES])
     sig = sig.withColumn("best_hits", best).withColumn("sentiment", _sentiment())
     return sig.select(
         F.col(key),
+        *keep,
         _category(F.col("best_hits")).alias("category"),
         F.col("sentiment"),
         _urgency(F.col("sentiment")).alias("urgency"),

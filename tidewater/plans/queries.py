@@ -311,3 +311,273 @@ def q_summarize_reviews(spark, sf_dir):
                       F.md5("summary_fr").alias("summary_fr_md5"),
                       F.length("summary_en").cast("long").alias("summary_en_chars"),
                       RV.themes_flat("top_themes").alias("top_themes"))
+
+
+# ── data quality ────────────────────────────────────────────────────────────
+from tidewater.operators import quality as QC  # noqa: E402
+from tidewater.operators import revenue as R  # noqa: E402
+from tidewater.plans.registry import source  # noqa: E402
+from tidewater.sinks import warehouse as W  # noqa: E402
+from tidewater.sources import adapters as AD  # noqa: E402
+from tidewater.sources.files import source_row_counts  # noqa: E402
+
+NN_ORDERS = ["order_id", "customer_id", "order_date", "channel", "region", "currency",
+             "gross_revenue_eur", "discount_eur", "net_revenue_eur", "units"]
+
+
+def _qc_sql() -> str:
+    def pk(tbl, keys):
+        k = ", ".join(keys)
+        return (f"SELECT '{tbl}' AS \"table\", 'primary_key' AS \"constraint\", '{','.join(keys)}' "
+                f"AS columns, CAST(COUNT_IF(n > 1) AS BIGINT) AS violations "
+                f"FROM (SELECT {k}, COUNT(*) AS n FROM {tbl} GROUP BY {k})")
+
+    def fk(tbl, ck, parent, pk_):
+        return (f"SELECT '{tbl}', 'foreign_key', '{ck}', CAST(COALESCE(SUM(n), 0) AS BIGINT) "
+                f"FROM (SELECT {ck}, COUNT(*) AS n FROM {tbl} WHERE {ck} IS NOT NULL GROUP BY {ck}) c "
+                f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk_} = c.{ck})")
+
+    parts = [pk("orders", ["o_orderkey"]), pk("lineitem", ["l_orderkey", "l_linenumber"]),
+             pk("customer", ["c_custkey"]),
+             fk("lineitem", "l_orderkey", "orders", "o_orderkey"),
+             fk("orders", "o_custkey", "customer", "c_custkey")]
+    parts += [f"SELECT 'orders_src', 'not_null', '{c}', CAST(COUNT_IF({c} IS NULL) AS BIGINT) "
+              f"FROM orders_src" for c in NN_ORDERS]
+    parts += ["SELECT 'lineitem', 'range[1,50]', 'l_quantity', CAST(COUNT_IF(l_quantity IS NOT NULL "
+              "AND NOT (l_quantity BETWEEN 1 AND 50)) AS BIGINT) FROM lineitem",
+              "SELECT 'reviews', 'range[1,5]', 'rating', CAST(COUNT_IF(rating IS NOT NULL "
+              "AND NOT (rating BETWEEN 1 AND 5)) AS BIGINT) FROM reviews_clean"]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("quality_report", O.build(_qc_sql(), ["orders_src", "reviews_clean"]))
+def q_quality_report(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders")
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    customer = read_table(spark, sf_dir, "customer")
+    return QC.quality_report([
+        QC.check_primary_key(orders, "orders", ["o_orderkey"]),
+        QC.check_primary_key(lineitem, "lineitem", ["l_orderkey", "l_linenumber"]),
+        QC.check_primary_key(customer, "customer", ["c_custkey"]),
+        QC.check_foreign_key(lineitem, orders, "lineitem", ["l_orderkey"], ["o_orderkey"]),
+        QC.check_foreign_key(orders, customer, "orders", ["o_custkey"], ["c_custkey"]),
+        QC.check_not_null(source(spark, sf_dir, "orders"), "orders_src", NN_ORDERS),
+        QC.check_range(lineitem, "lineitem", "l_quantity", 1, 50),
+        QC.check_range(cleaned(spark, sf_dir, "product_reviews"), "reviews", "rating", 1, 5),
+    ])
+
+
+@register("check_primary_key", O.build(
+    "SELECT 'support_tickets' AS \"table\", 'primary_key' AS \"constraint\", "
+    "'ticket_id' AS columns, CAST(COUNT_IF(n > 1) AS BIGINT) AS violations "
+    "FROM (SELECT ticket_id, COUNT(*) AS n FROM tickets_clean GROUP BY ticket_id)",
+    ["tickets_clean"]))
+def q_check_pk(spark, sf_dir):
+    return QC.check_primary_key(cleaned(spark, sf_dir, "support_tickets"), "support_tickets",
+                                ["ticket_id"])
+
+
+@register("check_foreign_key", O.build(
+    "SELECT 'lineitem' AS \"table\", 'foreign_key' AS \"constraint\", 'l_orderkey' AS columns, "
+    "CAST(COALESCE(SUM(n), 0) AS BIGINT) AS violations FROM (SELECT l_orderkey, COUNT(*) AS n "
+    "FROM lineitem GROUP BY l_orderkey) c WHERE NOT EXISTS "
+    "(SELECT 1 FROM orders p WHERE p.o_orderkey = c.l_orderkey)", []))
+def q_check_fk(spark, sf_dir):
+    return QC.check_foreign_key(read_table(spark, sf_dir, "lineitem"),
+                                read_table(spark, sf_dir, "orders"), "lineitem",
+                                ["l_orderkey"], ["o_orderkey"])
+
+
+@register("check_not_null", O.build(" UNION ALL ".join(
+    f"SELECT 'orders_src' AS \"table\", 'not_null' AS \"constraint\", '{c}' AS columns, "
+    f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS violations FROM orders_src" for c in NN_ORDERS),
+    ["orders_src"]))
+def q_check_not_null(spark, sf_dir):
+    return QC.check_not_null(source(spark, sf_dir, "orders"), "orders_src", NN_ORDERS)
+
+
+@register("check_range", "SELECT 'lineitem' AS \"table\", 'range[1,50]' AS \"constraint\", "
+                         "'l_quantity' AS columns, CAST(COUNT_IF(l_quantity IS NOT NULL AND NOT "
+                         "(l_quantity BETWEEN 1 AND 50)) AS BIGINT) AS violations FROM lineitem")
+def q_check_range(spark, sf_dir):
+    return QC.check_range(read_table(spark, sf_dir, "lineitem"), "lineitem", "l_quantity", 1, 50)
+
+
+# ── sources, sinks, ledger ──────────────────────────────────────────────────
+_SRC = {"orders": "orders_src", "support_tickets": "tickets_src",
+        "product_reviews": "reviews_src", "web_analytics": "web_src", "crm_leads": "leads_src"}
+
+
+@register("source_row_counts", O.build(
+    "SELECT source, CAST(n_rows AS BIGINT) AS n_rows FROM ("
+    + " UNION ALL ".join(f"SELECT '{k}' AS source, COUNT(*) AS n_rows FROM {v}"
+                         for k, v in _SRC.items())
+    + " UNION ALL SELECT 'total', (" + " + ".join(f"(SELECT COUNT(*) FROM {v})"
+                                                  for v in _SRC.values()) + "))",
+    list(_SRC.values())))
+def q_source_row_counts(spark, sf_dir):
+    return source_row_counts({k: source(spark, sf_dir, k) for k in _SRC})
+
+
+@register("upsert_by_key", O.build("""SELECT * FROM orders_clean
+WHERE order_id NOT IN (SELECT order_id FROM orders_clean WHERE currency <> 'EUR')
+UNION ALL
+SELECT order_id, customer_id, order_date, channel, region, currency,
+  CAST(ROUND(gross_revenue_eur * r, 2) AS DECIMAL(12,2)), CAST(ROUND(discount_eur * r, 2) AS DECIMAL(12,2)),
+  CAST(ROUND(net_revenue_eur * r, 2) AS DECIMAL(12,2)), units
+FROM (SELECT *, CASE currency WHEN 'USD' THEN CAST(0.92 AS DECIMAL(10,4))
+  WHEN 'GBP' THEN CAST(1.17 AS DECIMAL(10,4)) END AS r FROM orders_clean WHERE currency <> 'EUR')""",
+    ["orders_clean"]))
+def q_upsert_by_key(spark, sf_dir):
+    current = cleaned(spark, sf_dir, "orders")
+    corrections = C.to_eur(current.filter(F.col("currency") != "EUR"))
+    return W.upsert_by_key(current, corrections, ["order_id"])
+
+
+O.cte("run_tasks", """SELECT run_id, task_id, n_events, first_ts, last_ts,
+  CASE WHEN worst >= 300 THEN 'failed' ELSE 'success' END AS state
+FROM (SELECT 'run-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, event_type AS task_id,
+  MAX(CASE WHEN event_type = 'error' THEN value END) AS worst, COUNT(*) AS n_events,
+  MIN(ts) AS first_ts, MAX(ts) AS last_ts FROM events GROUP BY ALL)""")
+O.cte("run_view", """SELECT run_id, started_at, finished_at,
+  CASE WHEN failed THEN 'failed' ELSE 'success' END AS status, 'mock' AS enrichment_mode,
+  CAST(NULL AS VARCHAR) AS llm_provider, CAST(NULL AS VARCHAR) AS llm_model,
+  CAST(0 AS INTEGER) AS llm_calls, CAST(0 AS DECIMAL(10,4)) AS llm_cost_estimate,
+  CAST(rows_extracted AS BIGINT) AS rows_extracted, CAST(rows_extracted AS BIGINT) AS rows_loaded,
+  CAST(rows_enriched AS BIGINT) AS rows_enriched,
+  CASE WHEN NOT failed THEN 'reports/run_' || run_id || '.pdf' END AS report_path,
+  NOT failed AS slack_sent, CASE WHEN failed THEN 'Upstream task failed' END AS error
+FROM (SELECT run_id, MIN(first_ts) AS started_at, MAX(last_ts) AS finished_at,
+  SUM(n_events) AS rows_extracted,
+  SUM(CASE WHEN task_id <> 'error' THEN n_events ELSE 0 END) AS rows_enriched,
+  bool_or(state = 'failed') AS failed FROM run_tasks GROUP BY run_id)""", ["run_tasks"])
+
+
+def _ledger_view(spark, sf_dir):
+    _, rows = AD.run_events_source(spark, sf_dir)
+    return W.run_ledger(rows)
+
+
+def _ntz(df, *cols):
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+@register("run_ledger", O.build("SELECT * FROM run_view", ["run_view"]))
+def q_run_ledger(spark, sf_dir):
+    return _ntz(_ledger_view(spark, sf_dir), "started_at", "finished_at")
+
+
+@register("run_status", O.build(
+    "SELECT run_id, CASE WHEN bool_or(state = 'failed') THEN 'failed' ELSE 'success' END "
+    "AS status FROM run_tasks GROUP BY run_id", ["run_tasks"]))
+def q_run_status(spark, sf_dir):
+    tasks, _ = AD.run_events_source(spark, sf_dir)
+    return W.run_status(tasks)
+
+
+@register("run_message", O.build(
+    "SELECT run_id, status, CASE WHEN status = 'success' THEN 'Pipeline run ' || run_id || "
+    "' completed successfully. Enriched ' || CAST(COALESCE(rows_enriched, 0) AS VARCHAR) || "
+    "' rows.' ELSE 'Pipeline run ' || run_id || ' failed. Please check Airflow logs.' END "
+    "AS message FROM run_view", ["run_view"]))
+def q_run_message(spark, sf_dir):
+    return D.run_message(_ledger_view(spark, sf_dir))
+
+
+@register("recent_runs", O.build(
+    "SELECT run_id, started_at, finished_at, status, enrichment_mode, rows_extracted, "
+    "rows_enriched, report_path, error, (CASE WHEN status = 'success' THEN '🟢' WHEN status = "
+    "'failed' THEN '🔴' ELSE '🟡' END) || ' Run: ' || strftime(started_at, '%Y-%m-%d %H:%M:%S') "
+    "|| ' UTC (' || upper(status) || ')' AS title FROM run_view "
+    "ORDER BY started_at DESC, run_id LIMIT 5", ["run_view"]))
+def q_recent_runs(spark, sf_dir):
+    return _ntz(D.recent_runs(_ledger_view(spark, sf_dir)), "started_at", "finished_at")
+
+
+# ── delivery ────────────────────────────────────────────────────────────────
+@register("dashboard_kpis", O.build(
+    "SELECT (SELECT CAST(COALESCE(SUM(net_revenue_eur), 0) AS DECIMAL(18,2)) FROM orders_clean) "
+    "AS total_revenue, (SELECT COUNT(*) FROM orders_clean) AS total_orders, "
+    "(SELECT COUNT(*) FROM ticket_cls) AS total_tickets, "
+    "(SELECT COUNT(*) FROM leads_enriched) AS total_leads",
+    ["orders_clean", "ticket_cls", "leads_enriched"]))
+def q_dashboard_kpis(spark, sf_dir):
+    return D.dashboard_kpis(cleaned(spark, sf_dir, "orders"),
+                            T.classify_tickets(cleaned(spark, sf_dir, "support_tickets")),
+                            L.enrich_leads(cleaned(spark, sf_dir, "crm_leads")))
+
+
+def _anomalies(spark, sf_dir):
+    return R.detect_anomalies(R.daily_revenue_by_segment(cleaned(spark, sf_dir, "orders")))
+
+
+@register("anomaly_cards", O.build(
+    "SELECT anomaly_id, (CASE WHEN severity = 'critical' THEN '🚨' ELSE '⚠️' END) || ' ' || "
+    "CAST(detected_date AS VARCHAR) AS headline, dimension || ': ' || dimension_value AS subject, "
+    "upper(left(direction, 1)) || lower(substr(direction, 2)) || ' in ' || metric || "
+    "' | Exp: ' || CAST(expected_value AS VARCHAR) || ' | Act: ' || "
+    "CAST(observed_value AS VARCHAR) AS detail FROM anomalies", ["anomalies"]))
+def q_anomaly_cards(spark, sf_dir):
+    return D.anomaly_cards(_anomalies(spark, sf_dir))
+
+
+@register("report_top_anomalies", O.build(
+    "SELECT anomaly_id, dimension, dimension_value, severity, deviation FROM anomalies "
+    "ORDER BY deviation DESC, anomaly_id LIMIT 3", ["anomalies"]))
+def q_report_top_anomalies(spark, sf_dir):
+    return D.report_top_anomalies(_anomalies(spark, sf_dir))
+
+
+_RUN_OF_TICKET = "'run-' || CAST(CAST(created_at AS DATE) AS VARCHAR)"
+_RUN_OF_ANOMALY = "'run-2024-01-' || strftime(detected_date, '%d')"
+
+
+@register("run_report", O.build(f"""
+SELECT run_id, 'categories' AS section, CAST(rn AS INTEGER) AS rank,
+  category || ': ' || CAST(n AS VARCHAR) AS line
+FROM (SELECT run_id, category, COUNT(*) AS n,
+        ROW_NUMBER() OVER (PARTITION BY run_id ORDER BY COUNT(*) DESC, category) AS rn
+      FROM (SELECT {_RUN_OF_TICKET} AS run_id, c.category FROM ticket_cls c
+            JOIN tickets_clean t USING (ticket_id))
+      GROUP BY run_id, category) WHERE rn <= 3
+UNION ALL
+SELECT run_id, 'anomalies', CAST(rn AS INTEGER),
+  upper(severity) || ' anomaly in ' || dimension || ' (' || dimension_value || '): '
+  || CAST(round_even(deviation, 1) AS VARCHAR) || ' std dev'
+FROM (SELECT *, {_RUN_OF_ANOMALY} AS run_id, ROW_NUMBER() OVER (
+        PARTITION BY {_RUN_OF_ANOMALY} ORDER BY deviation DESC, anomaly_id) AS rn
+      FROM anomalies) WHERE rn <= 3
+UNION ALL
+SELECT v.run_id, s.section, 1, s.line FROM run_view v
+CROSS JOIN (VALUES ('categories', 'No tickets classified in this run.'),
+                   ('anomalies', 'No significant revenue anomalies detected.')) AS s(section, line)
+WHERE NOT EXISTS (SELECT 1 FROM (SELECT {_RUN_OF_TICKET} AS run_id FROM tickets_clean) x
+                  WHERE x.run_id = v.run_id AND s.section = 'categories')
+  AND NOT EXISTS (SELECT 1 FROM (SELECT {_RUN_OF_ANOMALY} AS run_id FROM anomalies) y
+                  WHERE y.run_id = v.run_id AND s.section = 'anomalies')""",
+    ["ticket_cls", "tickets_clean", "anomalies", "run_view"]))
+def q_run_report(spark, sf_dir):
+    tickets = cleaned(spark, sf_dir, "support_tickets").withColumn(
+        "run_id", F.concat(F.lit("run-"), F.col("created_at").cast("date").cast("string")))
+    classified = T.classify_tickets(tickets, keep=("run_id",))
+    anomalies = _anomalies(spark, sf_dir).withColumn(
+        "run_id", F.concat(F.lit("run-2024-01-"), F.date_format("detected_date", "dd")))
+    return D.run_report(_ledger_view(spark, sf_dir), classified, anomalies)
+
+
+@register("enrichment_counts", O.build(
+    "SELECT \"table\", CAST(n_rows AS BIGINT) AS n_rows FROM ("
+    "SELECT 'ticket_classifications' AS \"table\", COUNT(*) AS n_rows FROM ticket_cls "
+    "UNION ALL SELECT 'review_summaries', COUNT(*) FROM rv_out "
+    "UNION ALL SELECT 'revenue_anomalies', COUNT(*) FROM anomalies "
+    "UNION ALL SELECT 'lead_enrichments', COUNT(*) FROM leads_enriched "
+    "UNION ALL SELECT 'total', (SELECT COUNT(*) FROM ticket_cls) + (SELECT COUNT(*) FROM rv_out) "
+    "+ (SELECT COUNT(*) FROM anomalies) + (SELECT COUNT(*) FROM leads_enriched))",
+    ["ticket_cls", "rv_out", "anomalies", "leads_enriched"]))
+def q_enrichment_counts(spark, sf_dir):
+    return W.enrichment_counts({
+        "ticket_classifications": T.classify_tickets(cleaned(spark, sf_dir, "support_tickets")),
+        "review_summaries": RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews")),
+        "revenue_anomalies": _anomalies(spark, sf_dir),
+        "lead_enrichments": L.enrich_leads(cleaned(spark, sf_dir, "crm_leads"))})
