@@ -1,9 +1,8 @@
 """Daily revenue by segment and z-score anomaly detection.
 
-Plan shape: one partial+final aggregate over the order rows at the finest
-grain (day, channel, region); coarser sets are re-aggregated from that
-already-small result (sum and count decompose), so the raw rows are read and
-shuffled once — no Expand that multiplies them. The anomaly window then runs
+Plan shape: one partial+final grouping-sets aggregate over the order rows
+(read once; the Expand and the partial aggregate share a codegen stage, so
+only partial sums cross the shuffle). The anomaly window then runs
 on daily aggregates only: its partitions are (segment, metric) and its rows
 are days, bounded by the calendar, not by the order volume.
 """
@@ -19,26 +18,16 @@ SEGMENT_MONEY = "decimal(18,2)"
 ALL = "all"
 
 
-def _measures(net: str, units: str, n: str | None) -> list:
-    count = F.count("order_id") if n is None else F.sum(n)
-    return [F.sum(net).alias("net_revenue_eur"), F.sum(units).alias("units"),
-            count.alias("n_orders")]
-
-
-def _shape(df: DataFrame) -> DataFrame:
-    return df.select(
-        "order_date", "channel", "region",
-        F.coalesce(F.col("net_revenue_eur"), F.lit(0)).cast(SEGMENT_MONEY).alias("net_revenue_eur"),
-        F.coalesce(F.col("units"), F.lit(0)).cast("long").alias("units"),
-        F.coalesce(F.col("n_orders"), F.lit(0)).cast("long").alias("n_orders"))
-
-
 def daily_revenue_by_segment(orders: DataFrame, *, rollups: bool = False) -> DataFrame:
     """A1 + A2 (+ U1): per (day, channel, region) and per day (``all``/``all``).
 
-    Rows with a null channel or region leave the segment set but count in the
-    daily set; rows without a date are dropped. All-null sums become 0.
-    ``rollups=True`` adds per (day, channel) and per (day, region) sets.
+    One aggregate with grouping sets: the order rows are scanned once and the
+    Expand feeds the partial aggregate inside the same stage, so only
+    per-(set, day, segment) partial sums are shuffled. Rows with a null
+    channel or region leave the segment set (told apart from the rolled-up
+    rows by ``grouping_id``) but count in the daily set; rows without a date
+    are dropped; all-null sums become 0. ``rollups=True`` adds per
+    (day, channel) and per (day, region) sets.
     Columns: order_date, channel, region, net_revenue_eur, units, n_orders.
     """
     base = orders.select(
@@ -46,25 +35,23 @@ def daily_revenue_by_segment(orders: DataFrame, *, rollups: bool = False) -> Dat
         F.col("net_revenue_eur").cast("decimal(12,2)").alias("net_revenue_eur"),
         F.col("units").cast("long").alias("units"), "order_id",
     ).filter(F.col("order_date").isNotNull())
-    fine = base.groupBy("order_date", "channel", "region").agg(
-        *_measures("net_revenue_eur", "units", None))
-    sets = [fine.filter(F.col("channel").isNotNull() & F.col("region").isNotNull())]
-    daily = fine.groupBy("order_date").agg(*_measures("net_revenue_eur", "units", "n_orders"))
-    sets.append(daily.select("order_date", F.lit(ALL).alias("channel"), F.lit(ALL).alias("region"),
-                             "net_revenue_eur", "units", "n_orders"))
+    sets = [["order_date", "channel", "region"], ["order_date"]]
     if rollups:
-        by_ch = (fine.filter(F.col("channel").isNotNull()).groupBy("order_date", "channel")
-                 .agg(*_measures("net_revenue_eur", "units", "n_orders")))
-        sets.append(by_ch.select("order_date", "channel", F.lit(ALL).alias("region"),
-                                 "net_revenue_eur", "units", "n_orders"))
-        by_rg = (fine.filter(F.col("region").isNotNull()).groupBy("order_date", "region")
-                 .agg(*_measures("net_revenue_eur", "units", "n_orders")))
-        sets.append(by_rg.select("order_date", F.lit(ALL).alias("channel"), "region",
-                                 "net_revenue_eur", "units", "n_orders"))
-    out = sets[0].select("order_date", "channel", "region", "net_revenue_eur", "units", "n_orders")
-    for s in sets[1:]:
-        out = out.unionByName(s)
-    return _shape(out)
+        sets += [["order_date", "channel"], ["order_date", "region"]]
+    agg = base.groupingSets(sets, "order_date", "channel", "region").agg(
+        F.sum("net_revenue_eur").alias("net_revenue_eur"), F.sum("units").alias("units"),
+        F.count("order_id").alias("n_orders"), F.grouping_id().alias("gid"))
+    # gid bits: 2 = channel rolled up, 1 = region rolled up.
+    ch_all = (F.col("gid").bitwiseAND(F.lit(2)) != 0)
+    rg_all = (F.col("gid").bitwiseAND(F.lit(1)) != 0)
+    kept = agg.filter((ch_all | F.col("channel").isNotNull()) & (rg_all | F.col("region").isNotNull()))
+    return kept.select(
+        "order_date",
+        F.when(ch_all, F.lit(ALL)).otherwise(F.col("channel")).alias("channel"),
+        F.when(rg_all, F.lit(ALL)).otherwise(F.col("region")).alias("region"),
+        F.coalesce(F.col("net_revenue_eur"), F.lit(0)).cast(SEGMENT_MONEY).alias("net_revenue_eur"),
+        F.coalesce(F.col("units"), F.lit(0)).cast("long").alias("units"),
+        F.coalesce(F.col("n_orders"), F.lit(0)).cast("long").alias("n_orders"))
 
 
 def _dimension(channel, region):

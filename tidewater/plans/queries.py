@@ -12,7 +12,7 @@ from tidewater.operators import delivery as D
 from tidewater.operators import tickets as T
 from tidewater.plans import oracle as O
 from tidewater.plans.registry import cleaned, register
-from tidewater.sources.tables import read_table
+from tidewater.sources.tables import read_table, spread_if_narrow
 
 q = O.q
 
@@ -91,14 +91,15 @@ def q_classify_tickets(spark, sf_dir):
 @register("detect_language", f"""SELECT doc_id, lang,
   {lang_sql('text')} AS detected_language FROM documents""")
 def q_detect_language(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = spread_if_narrow(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     return T.with_language(docs).select("doc_id", "lang", "detected_language")
 
 
 @register("detect_language_conversations", f"""SELECT conv_id, turn, role,
   {lang_sql('text')} AS detected_language FROM conversations""")
 def q_detect_language_conv(spark, sf_dir):
-    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv = spread_if_narrow(
+        read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
     return T.with_language(conv).select("conv_id", "turn", "role", "detected_language")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
-from tidewater.sources.tables import read_table
+from tidewater.sources.tables import read_table, spread_if_narrow
 
 
 def pick(values: list[str], index: Column) -> Column:
@@ -59,8 +59,8 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("price").cast("decimal(18,2)").alias("gross"),
         F.sum(F.round(F.col("price") * F.col("disc"), 2)).cast("decimal(18,2)").alias("discount"),
         F.sum("qty").cast("long").alias("units"))
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = spread_if_narrow(read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"))
     j = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
          .join(_geo(spark, sf_dir), o.o_custkey == F.col("c_custkey"), "left"))
     key = F.col("o_orderkey")
@@ -89,7 +89,7 @@ def _ticket_arrays() -> tuple[list[str], list[str]]:
 
 def tickets_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> ``support_tickets`` source (text from the ticket templates)."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    ev = spread_if_narrow(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id"))
     eid, uid = F.col("event_id"), F.col("user_id")
     cat = eid % 6
     lang_i = F.when(eid % 20 < 11, F.lit(0)).otherwise(F.lit(1))
@@ -118,7 +118,7 @@ def reviews_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = read_table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("l_doc_id"), "quality", "toxic")
-    j = docs.join(labels, docs.doc_id == labels.l_doc_id, "left")
+    j = spread_if_narrow(docs).join(labels, docs.doc_id == labels.l_doc_id, "left")
     did = F.col("doc_id")
     rating = (F.when(F.col("toxic") == 1, F.lit(1))
               .when(F.col("quality") == 1, 4 + did % 2)
@@ -173,8 +173,8 @@ def web_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def leads_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> ``crm_leads`` source (notes from the lead-note templates)."""
-    cust = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    cust = spread_if_narrow(read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
     k = F.col("c_custkey")
     lang_i = k % 2
     templates = lx.LEAD_NOTES["en"] + lx.LEAD_NOTES["fr"]

@@ -12,3 +12,12 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table; column pruning and filters reach the scan lazily."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's task slots when its scan yields
+    fewer partitions than there are slots (a small file with one row group is
+    one task). Big inputs already split into many more scan tasks than slots,
+    so at scale this is a no-op and adds no shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
