@@ -582,3 +582,277 @@ def q_enrichment_counts(spark, sf_dir):
         "review_summaries": RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews")),
         "revenue_anomalies": _anomalies(spark, sf_dir),
         "lead_enrichments": L.enrich_leads(cleaned(spark, sf_dir, "crm_leads"))})
+
+
+# ── model responses ─────────────────────────────────────────────────────────
+from tidewater.operators import responses as RS  # noqa: E402
+
+N_BUCKETS = 16  # fixed here so the oracle can number batches the same way
+
+
+def _batch_sql(name: str, src: str, key: str, payload: str, chars: int) -> None:
+    O.cte(f"{name}_num", f"""SELECT *, CAST(bucket AS VARCHAR) || '-' ||
+  CAST((ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY id) - 1) // {lx.TICKETS_PER_BATCH} AS VARCHAR)
+  AS batch_id
+FROM (SELECT {key} AS id, substr(COALESCE({payload}, ''), 1, {chars}) AS payload,
+        CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % {N_BUCKETS} AS bucket FROM {src})""",
+          [src])
+    O.cte(name, f"""SELECT batch_id, CAST(COUNT(*) AS INTEGER) AS n_items, MIN(id) AS first_id,
+  MAX(id) AS last_id FROM {name}_num GROUP BY batch_id""", [f"{name}_num"])
+
+
+_batch_sql("tbatch", "tickets_clean", "ticket_id", "text", lx.TICKET_TEXT_CHARS)
+_batch_sql("lbatch", "leads_clean", "lead_id", "notes", lx.LEAD_NOTE_CHARS)
+
+
+def _ticket_batches(spark, sf_dir):
+    return RS.build_ticket_batches(_tickets(spark, sf_dir), n_buckets=N_BUCKETS)
+
+
+def _lead_batches(spark, sf_dir):
+    return RS.build_lead_batches(_leads(spark, sf_dir), n_buckets=N_BUCKETS)
+
+
+def _batch_view(b):
+    return b.select("batch_id", "n_items", F.array_min("items.id").alias("first_id"),
+                    F.array_max("items.id").alias("last_id"))
+
+
+@register("build_ticket_batches", O.build("SELECT * FROM tbatch", ["tbatch"]))
+def q_build_ticket_batches(spark, sf_dir):
+    return _batch_view(_ticket_batches(spark, sf_dir))
+
+
+@register("build_lead_batches", O.build("SELECT * FROM lbatch", ["lbatch"]))
+def q_build_lead_batches(spark, sf_dir):
+    return _batch_view(_lead_batches(spark, sf_dir))
+
+
+O.cte("rv_themes_repr", "SELECT product_id, review_window, '[' || COALESCE(string_agg("
+      "'{''theme'': ''' || theme || ''', ''weight'': ' || CAST(weight AS VARCHAR) || '}', "
+      "', ' ORDER BY rn), '') || ']' AS themes FROM ("
+      " SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, review_window "
+      "ORDER BY weight DESC, ord) AS rn FROM ("
+      + " UNION ALL ".join(f"SELECT product_id, review_window, {q(th)} AS theme, {i} AS ord, "
+                           f"CAST(th_{i} AS INTEGER) AS weight FROM rv_stats"
+                           for i, th in enumerate(lx.THEME_KEYWORDS))
+      + ") WHERE weight > 0) WHERE rn <= 5 GROUP BY product_id, review_window", ["rv_stats"])
+
+
+@register("build_review_prompts", O.build(
+    "SELECT s.product_id, s.review_window, 'Product ' || s.product_id || ' (' || s.review_window "
+    "|| '): ' || CAST(s.n_reviews AS VARCHAR) || ' reviews, avg rating ' || "
+    "CAST(CAST(s.avg_rating AS DOUBLE) AS VARCHAR) || '/5, themes: ' || COALESCE(t.themes, '[]') "
+    "|| '.' AS user_message FROM rv_stats s LEFT JOIN rv_themes_repr t "
+    "USING (product_id, review_window)", ["rv_stats", "rv_themes_repr"]))
+def q_build_review_prompts(spark, sf_dir):
+    return RS.build_review_prompts(RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews")))
+
+
+def _ticket_responses_sql(broken: bool) -> str:
+    def pick_(values, idx):
+        return O.pick(values, idx)
+
+    def obj(id_part, cat_idx):
+        return (f"'{{' || {id_part} || '\"category\": \"' || {pick_(AD.RESPONSE_CATEGORIES, cat_idx)}"
+                f" || '\", \"sentiment\": \"' || {pick_(AD.RESPONSE_SENTIMENTS, 'n % 4')}"
+                f" || '\", \"urgency\": \"' || {pick_(AD.RESPONSE_URGENCIES, 'n % 5')}"
+                f" || '\", \"confidence\": ' || {pick_(AD.RESPONSE_CONFIDENCES, 'n % 5')} || '}}'")
+
+    own = "'\"id\": \"' || id || '\", '"
+    unknown = "'\"id\": \"UNKNOWN-' || id || '\", '"
+    per_item = (f"NULLIF(concat_ws(', ', CASE WHEN n % 11 <> 3 THEN CASE WHEN n % 17 = 0 THEN "
+                f"{obj(q(''), 'n % 7')} ELSE {obj(own, 'n % 7')} END END, "
+                f"CASE WHEN n % 19 = 0 THEN {obj(own, '4')} END, "
+                f"CASE WHEN n % 13 = 0 THEN {obj(unknown, '0')} END), '')")
+    body = "'{\"results\": [' || COALESCE(string_agg(o, ', ' ORDER BY id), '') || ']}'"
+    style = "CAST(('0x' || substr(md5(batch_id), 1, 2)) AS INTEGER) % 4"
+    content = (f"CASE WHEN {style} = 1 THEN '```json' || chr(10) || {body} || chr(10) || '```' "
+               f"WHEN {style} = 2 THEN 'Here are the results: ' || {body} || "
+               f"' Let me know if you need more.' ELSE {body} END")
+    if broken:
+        content = (f"CASE WHEN {style} = 3 THEN '' WHEN substr(md5(batch_id), 1, 1) = '0' "
+                   f"THEN 'Sorry, no JSON' ELSE {content} END")
+    return (f"SELECT batch_id, {content} AS content FROM (SELECT batch_id, id, {per_item} AS o "
+            f"FROM (SELECT batch_id, id, CAST(regexp_extract(id, '(\\d+)$', 1) AS BIGINT) AS n "
+            f"FROM tbatch_num)) GROUP BY batch_id")
+
+
+O.cte("tresp", _ticket_responses_sql(False), ["tbatch_num"])
+O.cte("tresp_broken", _ticket_responses_sql(True), ["tbatch_num"])
+
+
+def _parsed_sql(src: str, keys: str) -> str:
+    return (f"SELECT {keys}, blob, blob <> '' AND json_valid(blob) AS is_valid FROM "
+            f"(SELECT {keys}, regexp_extract(COALESCE(content, ''), '(?s)\\{{.*\\}}', 0) AS blob "
+            f"FROM {src})")
+
+
+def _coerce_sql(v: str, allowed: list[str], default: str) -> str:
+    x = f"replace(lower(trim({v})), ' ', '_')"
+    return f"CASE WHEN {x} IN ({', '.join(q(a) for a in allowed)}) THEN {x} ELSE {q(default)} END"
+
+
+def _merge_tickets_sql(resp: str) -> str:
+    d = lx.RESPONSE_DEFAULTS
+    conf = "TRY_CAST(json_extract_string(r, '$.confidence') AS DOUBLE)"
+    return f"""WITH parsed AS ({_parsed_sql(resp, 'batch_id')}),
+res AS (SELECT batch_id, idx, r FROM (
+  SELECT batch_id, generate_subscripts(arr, 1) AS idx, unnest(arr) AS r
+  FROM (SELECT batch_id, json_extract(blob, '$.results[*]') AS arr FROM parsed WHERE is_valid))),
+rows AS (SELECT batch_id, idx, json_extract_string(r, '$.id') AS ticket_id,
+  {_coerce_sql("json_extract_string(r, '$.category')", lx.CATEGORY_LABELS, d['category'])} AS category,
+  {_coerce_sql("json_extract_string(r, '$.sentiment')", lx.SENTIMENT_LABELS, d['sentiment'])} AS sentiment,
+  {_coerce_sql("json_extract_string(r, '$.urgency')", lx.URGENCY_LABELS, d['urgency'])} AS urgency,
+  CAST(CASE WHEN {conf} IS NULL THEN {d['confidence']}
+       ELSE LEAST(1.0, GREATEST(0.0, ROUND({conf}, 3))) END AS DECIMAL(4,3)) AS confidence
+  FROM res),
+known AS (SELECT r.* FROM rows r JOIN tbatch_num b ON r.batch_id = b.batch_id AND r.ticket_id = b.id),
+model AS (SELECT ticket_id, category, sentiment, urgency, confidence FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY ticket_id ORDER BY batch_id DESC, idx DESC) AS k
+  FROM known) WHERE k = 1),
+merged AS (
+  SELECT m.ticket_id, m.category, m.sentiment, m.urgency, m.confidence,
+    {lang_sql('t.text')} AS detected_language
+  FROM model m JOIN tickets_clean t USING (ticket_id)
+  UNION ALL
+  SELECT * FROM ticket_cls WHERE ticket_id NOT IN (SELECT ticket_id FROM model)),
+flag AS (SELECT COUNT(*) > 0 AS fell_back FROM (SELECT DISTINCT batch_id FROM tbatch_num) b
+  LEFT JOIN parsed p USING (batch_id) WHERE NOT COALESCE(p.is_valid, false))
+SELECT * FROM merged WHERE NOT (SELECT fell_back FROM flag)
+UNION ALL
+SELECT * FROM ticket_cls WHERE (SELECT fell_back FROM flag)"""
+
+
+def _with_prefix(sql: str, needs: list[str]) -> str:
+    """Put a statement that starts with its own WITH after the shared CTEs."""
+    shared = O.build("SELECT 1", needs)
+    head = shared[: shared.rindex("\nSELECT 1")]
+    return head + ",\n" + sql[len("WITH "):]
+
+
+@register("parse_response", O.build(
+    "SELECT batch_id, is_valid, CAST(CASE WHEN is_valid THEN COALESCE(json_array_length(blob, "
+    "'$.results'), 0) END AS INTEGER) AS n_results FROM (" + _parsed_sql("tresp_broken", "batch_id")
+    + ")", ["tresp_broken"]))
+def q_parse_response(spark, sf_dir):
+    resp = AD.ticket_responses_source(_ticket_batches(spark, sf_dir), broken=True)
+    parsed = RS.parse_response(resp)
+    arr = F.try_variant_get("payload", "$.results", "array<variant>")
+    return parsed.select("batch_id", "is_valid", F.when(F.col("is_valid"), F.coalesce(
+        F.size(arr), F.lit(0))).cast("int").alias("n_results"))
+
+
+@register("merge_ticket_responses", _with_prefix(_merge_tickets_sql("tresp"),
+                                                 ["tresp", "tbatch_num", "ticket_cls",
+                                                  "tickets_clean"]))
+def q_merge_ticket_responses(spark, sf_dir):
+    tickets = _tickets(spark, sf_dir)
+    batches = RS.build_ticket_batches(tickets, n_buckets=N_BUCKETS)
+    return RS.merge_ticket_responses(tickets, batches, AD.ticket_responses_source(batches))
+
+
+@register("merge_ticket_responses_fallback", _with_prefix(
+    _merge_tickets_sql("tresp_broken"), ["tresp_broken", "tbatch_num", "ticket_cls",
+                                         "tickets_clean"]))
+def q_merge_ticket_responses_fallback(spark, sf_dir):
+    tickets = _tickets(spark, sf_dir)
+    batches = RS.build_ticket_batches(tickets, n_buckets=N_BUCKETS)
+    resp = AD.ticket_responses_source(batches, broken=True)
+    return RS.merge_ticket_responses(tickets, batches, resp)
+
+
+@register("with_fallback", O.build(
+    "SELECT 'classify_tickets' AS operation, COUNT(*) > 0 AS fell_back, CASE WHEN COUNT(*) > 0 "
+    "THEN 'classify_tickets: no usable response for ' || CAST(COUNT(*) AS VARCHAR) || "
+    "' call(s), first ' || MIN(b.batch_id) END AS error FROM (SELECT DISTINCT batch_id FROM "
+    "tbatch_num) b LEFT JOIN (" + _parsed_sql("tresp_broken", "batch_id") + ") p USING (batch_id) "
+    "WHERE NOT COALESCE(p.is_valid, false)", ["tresp_broken", "tbatch_num"]))
+def q_with_fallback(spark, sf_dir):
+    batches = _ticket_batches(spark, sf_dir)
+    resp = AD.ticket_responses_source(batches, broken=True)
+    return RS.fallback_status("classify_tickets", batches, resp, ["batch_id"])
+
+
+def _review_resp_sql() -> str:
+    k = "product_id || ' ' || review_window"
+    h = f"CAST(('0x' || substr(md5({k}), 1, 2)) AS INTEGER) % 3"
+    en = f"'\"summary_en\": \"Model summary of ' || {k} || '\"'"
+    fr = f"'\"summary_fr\": \"Résumé du modèle pour ' || {k} || '\"'"
+    return (f"SELECT product_id, review_window, CASE WHEN {h} = 0 THEN '{{' || {en} || ', ' || {fr} "
+            f"|| '}}' WHEN {h} = 1 THEN '```json' || chr(10) || '{{' || {en} || '}}' || chr(10) || "
+            f"'```' ELSE 'Voici: {{' || {fr} || ', ' || {en} || '}} fin' END AS content FROM rv_out")
+
+
+O.cte("rresp", _review_resp_sql(), ["rv_out"])
+
+
+@register("merge_review_responses", O.build(f"""SELECT b.product_id, b.review_window,
+  md5(COALESCE(substr(json_extract_string(p.blob, '$.summary_en'), 1, {lx.MODEL_TEXT_CHARS}),
+               b.summary_en)) AS summary_en_md5,
+  md5(COALESCE(substr(json_extract_string(p.blob, '$.summary_fr'), 1, {lx.MODEL_TEXT_CHARS}),
+               b.summary_fr)) AS summary_fr_md5
+FROM rv_out b LEFT JOIN ({_parsed_sql('rresp', 'product_id, review_window')}) p
+  ON p.product_id = b.product_id AND p.review_window = b.review_window AND p.is_valid""",
+    ["rv_out", "rresp"]))
+def q_merge_review_responses(spark, sf_dir):
+    base = RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews"))
+    merged = RS.merge_review_responses(base, AD.review_responses_source(base))
+    return merged.select("product_id", "review_window",
+                         F.md5("summary_en").alias("summary_en_md5"),
+                         F.md5("summary_fr").alias("summary_fr_md5"))
+
+
+def _lead_resp_sql() -> str:
+    en = "CASE WHEN n % 5 = 1 THEN '' ELSE 'EN note for ' || id END"
+    fr = "CASE WHEN n % 7 = 2 THEN '' ELSE 'Note FR pour ' || id END"
+    one = (f"'{{\"id\": \"' || id || '\", \"notes_en\": \"' || {en} || '\", \"notes_fr\": \"' "
+           f"|| {fr} || '\"}}'")
+    again = ("CASE WHEN n % 23 = 0 THEN '{\"id\": \"' || id || "
+             "'\", \"notes_en\": \"Repeated note\", \"notes_fr\": \"\"}' END")
+    return (f"SELECT batch_id, '{{\"results\": [' || string_agg(concat_ws(', ', {one}, {again}), "
+            f"', ' ORDER BY id) || ']}}' AS content FROM (SELECT batch_id, id, "
+            f"CAST(regexp_extract(id, '(\\d+)$', 1) AS BIGINT) AS n FROM lbatch_num) "
+            f"GROUP BY batch_id")
+
+
+O.cte("lresp", _lead_resp_sql(), ["lbatch_num"])
+
+
+@register("merge_lead_responses", _with_prefix(f"""WITH parsed AS ({_parsed_sql('lresp', 'batch_id')}),
+res AS (SELECT batch_id, idx, r FROM (
+  SELECT batch_id, generate_subscripts(arr, 1) AS idx, unnest(arr) AS r
+  FROM (SELECT batch_id, json_extract(blob, '$.results[*]') AS arr FROM parsed WHERE is_valid))),
+latest AS (SELECT lead_id, m_en, m_fr FROM (
+  SELECT json_extract_string(r, '$.id') AS lead_id,
+    substr(NULLIF(json_extract_string(r, '$.notes_en'), ''), 1, {lx.MODEL_TEXT_CHARS}) AS m_en,
+    substr(NULLIF(json_extract_string(r, '$.notes_fr'), ''), 1, {lx.MODEL_TEXT_CHARS}) AS m_fr,
+    ROW_NUMBER() OVER (PARTITION BY json_extract_string(r, '$.id')
+                       ORDER BY batch_id DESC, idx DESC) AS k
+  FROM res WHERE json_extract_string(r, '$.id') IS NOT NULL) WHERE k = 1)
+SELECT b.lead_id, COALESCE(l.m_en, b.notes_en) AS notes_en, COALESCE(l.m_fr, b.notes_fr) AS notes_fr
+FROM leads_enriched b LEFT JOIN latest l USING (lead_id)""", ["lresp", "leads_enriched"]))
+def q_merge_lead_responses(spark, sf_dir):
+    leads = _leads(spark, sf_dir)
+    batches = RS.build_lead_batches(leads, n_buckets=N_BUCKETS)
+    merged = RS.merge_lead_responses(L.enrich_leads(leads), batches,
+                                     AD.lead_responses_source(batches))
+    return merged.select("lead_id", "notes_en", "notes_fr")
+
+
+def _cost_sql() -> str:
+    rates = " ".join(f"WHEN {q(k)} THEN CAST({v} AS DECIMAL(10,4))"
+                     for k, v in lx.RATE_PER_1K_TOKENS.items())
+    provider = O.pick(AD.RESPONSE_PROVIDERS, "bucket % 5")
+    return f"""SELECT run_id, CAST(SUM(n_calls) AS BIGINT) AS llm_calls,
+  CAST(SUM(ROUND(CAST(n_calls AS DECIMAL(18,0)) * {lx.TOKENS_PER_CALL} / 1000
+       * COALESCE(CASE provider {rates} END, CAST(0 AS DECIMAL(10,4))), 6)) AS DECIMAL(18,6))
+    AS llm_cost_estimate
+FROM (SELECT 'run-' || CAST(bucket AS VARCHAR) AS run_id, {provider} AS provider, 1 AS n_calls
+      FROM (SELECT CAST(split_part(batch_id, '-', 1) AS INTEGER) AS bucket FROM tbatch))
+GROUP BY run_id"""
+
+
+@register("estimate_cost", O.build(_cost_sql(), ["tbatch"]))
+def q_estimate_cost(spark, sf_dir):
+    return RS.estimate_cost(AD.call_log_source(_ticket_batches(spark, sf_dir)))

@@ -252,3 +252,94 @@ def run_events_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
                              for f in schema.fields])
 
     return tasks, rows(opening).unionByName(rows(closing))
+
+
+# ── synthetic model responses (deterministic, derived from the batches) ────
+RESPONSE_CATEGORIES = ["billing", "Shipping", "bug", "Feature Request", "account", "spam", "other"]
+RESPONSE_SENTIMENTS = ["positive", "neutral", "negative", "angry"]
+RESPONSE_URGENCIES = ["low", "Medium", "high", "critical", "urgent"]
+RESPONSE_CONFIDENCES = ["0.8", '"high"', "1.7", "0.456", "-0.2"]
+RESPONSE_PROVIDERS = ["nvidia", "ollama", "anthropic", "openai-compatible", "other"]
+
+
+def _n_of(id_col: Column) -> Column:
+    return F.regexp_extract(id_col, r"(\d+)$", 1).cast("long")
+
+
+def ticket_responses_source(batches: DataFrame, broken: bool = False) -> DataFrame:
+    """One response per ticket batch. Results cover most items with messy
+    labels; some items are skipped, some ids repeated, unknown or missing; the
+    JSON is plain, fenced or wrapped in prose. ``broken`` adds empty and
+    non-JSON responses (any of which makes the whole operation fall back)."""
+    items = batches.select("batch_id", F.inline("items"))
+    n = _n_of(F.col("id"))
+
+    def obj(id_part: Column, cat_i: Column) -> Column:
+        return F.concat(F.lit("{"), id_part, F.lit('"category": "'),
+                        pick(RESPONSE_CATEGORIES, cat_i), F.lit('", "sentiment": "'),
+                        pick(RESPONSE_SENTIMENTS, n % 4), F.lit('", "urgency": "'),
+                        pick(RESPONSE_URGENCIES, n % 5), F.lit('", "confidence": '),
+                        pick(RESPONSE_CONFIDENCES, n % 5), F.lit("}"))
+
+    own = F.concat(F.lit('"id": "'), F.col("id"), F.lit('", '))
+    per_item = F.nullif(F.concat_ws(
+        ", ",
+        F.when(n % 11 != 3, F.when(n % 17 == 0, obj(F.lit(""), n % 7)).otherwise(obj(own, n % 7))),
+        F.when(n % 19 == 0, obj(own, F.lit(4))),
+        F.when(n % 13 == 0, obj(F.concat(F.lit('"id": "UNKNOWN-'), F.col("id"), F.lit('", ')),
+                                F.lit(0)))), F.lit(""))
+    objs = items.select("batch_id", "id", per_item.alias("o"))
+    per_batch = objs.groupBy("batch_id").agg(F.sort_array(F.collect_list(
+        F.struct("id", "o"))).alias("os"))
+    body = F.concat(F.lit('{"results": ['),
+                    F.array_join(F.transform("os", lambda x: x["o"]), ", "), F.lit("]}"))
+    style = F.pmod(F.conv(F.substring(F.md5("batch_id"), 1, 2), 16, 10).cast("int"), F.lit(4))
+    content = (F.when(style == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+               .when(style == 2, F.concat(F.lit("Here are the results: "), body,
+                                          F.lit(" Let me know if you need more.")))
+               .otherwise(body))
+    if broken:
+        content = (F.when(style == 3, F.lit(""))
+                   .when(F.substring(F.md5("batch_id"), 1, 1) == "0", F.lit("Sorry, no JSON"))
+                   .otherwise(content))
+    return per_batch.select("batch_id", content.alias("content"))
+
+
+def review_responses_source(summaries: DataFrame) -> DataFrame:
+    """One response per (product, month); some lack summary_fr or are prose."""
+    k = F.concat_ws(" ", "product_id", "review_window")
+    h = F.pmod(F.conv(F.substring(F.md5(k), 1, 2), 16, 10).cast("int"), F.lit(3))
+    en = F.concat(F.lit('"summary_en": "Model summary of '), k, F.lit('"'))
+    fr = F.concat(F.lit('"summary_fr": "Résumé du modèle pour '), k, F.lit('"'))
+    content = (F.when(h == 0, F.concat(F.lit("{"), en, F.lit(", "), fr, F.lit("}")))
+               .when(h == 1, F.concat(F.lit("```json\n{"), en, F.lit("}\n```")))
+               .otherwise(F.concat(F.lit("Voici: {"), fr, F.lit(", "), en, F.lit("} fin"))))
+    return summaries.select("product_id", "review_window", content.alias("content"))
+
+
+def lead_responses_source(batches: DataFrame) -> DataFrame:
+    """One response per lead batch: translated notes for most leads, empty
+    values for some (kept from the rules), a repeated id for a few."""
+    items = batches.select("batch_id", F.inline("items"))
+    n = _n_of(F.col("id"))
+    en = F.when(n % 5 == 1, F.lit("")).otherwise(F.concat(F.lit("EN note for "), F.col("id")))
+    fr = F.when(n % 7 == 2, F.lit("")).otherwise(F.concat(F.lit("Note FR pour "), F.col("id")))
+    one = F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", "notes_en": "'), en,
+                   F.lit('", "notes_fr": "'), fr, F.lit('"}'))
+    again = F.when(n % 23 == 0, F.concat(F.lit('{"id": "'), F.col("id"),
+                                          F.lit('", "notes_en": "Repeated note", "notes_fr": ""}')))
+    per_item = F.concat_ws(", ", one, again)
+    per_batch = items.groupBy("batch_id").agg(
+        F.sort_array(F.collect_list(F.struct("id", per_item.alias("o")))).alias("os"))
+    return per_batch.select("batch_id", F.concat(
+        F.lit('{"results": ['), F.array_join(F.transform("os", lambda x: x["o"]), ", "),
+        F.lit("]}")).alias("content"))
+
+
+def call_log_source(batches: DataFrame) -> DataFrame:
+    """One model call per batch; the run is the batch's bucket, the provider
+    follows the bucket."""
+    bucket = F.split("batch_id", "-").getItem(0).cast("int")
+    return batches.select(F.concat(F.lit("run-"), bucket.cast("string")).alias("run_id"),
+                          pick(RESPONSE_PROVIDERS, bucket % 5).alias("provider"),
+                          F.lit(1).alias("n_calls"))
