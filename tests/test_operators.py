@@ -218,7 +218,7 @@ def test_enrich_leads_hand_traced(spark):
                                         ("team of 350", "201-1000"), ("", "11-50")])
 def test_size_band_edges(spark, notes, band):
     df = spark.createDataFrame([(notes,)], "notes string")
-    assert df.select(L.company_size_band(F.col("notes"))).collect()[0][0] == band
+    assert df.select(L.company_size_band("notes")).collect()[0][0] == band
 
 
 def test_lead_score_bounds_and_no_signal(spark):

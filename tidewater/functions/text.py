@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
+from tidewater.functions import sqlexpr as sx
 
 
 def col_or_name(c: Column | str) -> Column:
@@ -34,15 +35,20 @@ def contains_lit(text: Column, word: str) -> Column:
     return F.contains(text, F.lit(word))
 
 
-def any_contains(text: Column, words: Iterable[str]) -> Column:
-    """True when any word occurs as a substring (each word tested once)."""
+def any_contains(text: Column | str, words: Iterable[str]) -> Column:
+    """True when any word occurs as a substring (each word tested once).
+    ``text`` may be a SQL expression string (one parse on the JVM side)."""
+    if isinstance(text, str):
+        return F.expr(sx.contains_any(text, words))
     unique = list(dict.fromkeys(words))
     return reduce(lambda a, b: a | b, [contains_lit(text, w) for w in unique])
 
 
-def weighted_hits(text: Column, words: Iterable[str]) -> Column:
+def weighted_hits(text: Column | str, words: Iterable[str]) -> Column:
     """Number of listed words occurring as substrings; a word listed k times
     counts k times (the lists rely on that for weighting)."""
+    if isinstance(text, str):
+        return F.expr(sx.weighted_hits(text, words))
     weights = Counter(words)
     terms = [F.when(contains_lit(text, w), F.lit(n)).otherwise(F.lit(0))
              for w, n in weights.items()]

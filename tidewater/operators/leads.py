@@ -1,6 +1,8 @@
 """Lead enrichment: size band, score, intent signals, note translation.
 
-All per-row column expressions; one narrow projection, no shuffle.
+All per-row column expressions; one narrow projection, no shuffle. The
+keyword-heavy parts are assembled as SQL text (one JVM parse each).
+Arguments name input columns (or are SQL expressions over them).
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
-from tidewater.functions.text import any_contains, empty_if_null
+from tidewater.functions import sqlexpr as sx
 
 
 def size_band_labels() -> list[tuple[int, int, str]]:
@@ -20,50 +22,45 @@ def size_band_labels() -> list[tuple[int, int, str]]:
     return out
 
 
-def company_size_band(notes: Column) -> Column:
-    """First run of 1-4 digits anywhere in the notes -> band; none or 0
-    -> the default band."""
-    digits = F.regexp_extract(F.lower(empty_if_null(notes)), r"(\d{1,4})", 1)
-    n = F.when(digits != "", digits.try_cast("int"))
-    expr = None
-    for lo, hi, label in size_band_labels():
-        cond = n.between(lo, hi)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(lx.SIZE_BAND_DEFAULT))
+def _lower(notes: str) -> str:
+    return f"lower(coalesce({notes}, ''))"
 
 
-def _points(c: Column, table: dict[str, int]) -> Column:
-    expr = None
-    for k, v in table.items():
-        expr = F.when(c == k, F.lit(v)) if expr is None else expr.when(c == k, F.lit(v))
-    return expr.otherwise(F.lit(0))
+def company_size_band(notes: str = "notes") -> Column:
+    """First run of 1-4 digits anywhere in the notes -> band; none or 0
+    -> the default band."""
+    digits = f"regexp_extract({_lower(notes)}, '(\\\\d{{1,4}})', 1)"
+    n = f"(CASE WHEN {digits} = '' THEN NULL ELSE try_cast({digits} AS INT) END)"
+    whens = " ".join(f"WHEN {n} BETWEEN {lo} AND {hi} THEN {sx.s(label)}"
+                     for lo, hi, label in size_band_labels())
+    return F.expr(f"CASE {whens} ELSE {sx.s(lx.SIZE_BAND_DEFAULT)} END")
 
 
-def lead_score(status: Column, source: Column, value: Column, notes: Column) -> Column:
+def lead_score(status: str = "status", source: str = "source", value: str = "est_value_eur",
+               notes: str = "notes") -> Column:
     """30 + status + source + value points (capped) + signal bonus -
     objection malus, clamped to 0..100."""
-    t = F.lower(empty_if_null(notes))
-    value_pts = F.when(value.isNull(), F.lit(0)).otherwise(
-        F.least(F.lit(lx.VALUE_POINTS_CAP),
-                (value.cast("decimal(18,4)") / F.lit(lx.VALUE_POINTS_DIVISOR)).cast("int")))
-    score = (F.lit(lx.LEAD_SCORE_BASE) + _points(status, lx.STATUS_POINTS)
-             + _points(source, lx.SOURCE_POINTS) + value_pts
-             + F.when(any_contains(t, lx.POSITIVE_SIGNAL_WORDS),
-                      F.lit(lx.POSITIVE_SIGNAL_POINTS)).otherwise(F.lit(0))
-             + F.when(any_contains(t, lx.OBJECTION_WORDS),
-                      F.lit(lx.OBJECTION_POINTS)).otherwise(F.lit(0)))
-    return F.greatest(F.lit(0), F.least(F.lit(100), score)).cast("smallint")
-
-
-def intent_signals(notes: Column) -> Column:
+    t = _lower(notes)
+    value_pts = (f"(CASE WHEN {value} IS NULL THEN 0 ELSE least({lx.VALUE_POINTS_CAP}, "
+                 f"CAST(CAST({value} AS DECIMAL(18,4)) / {lx.VALUE_POINTS_DIVISOR} AS INT)) END)")
+    score = (f"{lx.LEAD_SCORE_BASE} + {sx.case_map(status, lx.STATUS_POINTS, '0')} "
+             f"+ {sx.case_map(source, lx.SOURCE_POINTS, '0')} + {value_pts} "
+             f"+ IF({sx.contains_any(t, lx.POSITIVE_SIGNAL_WORDS)}, "
+             f"{lx.POSITIVE_SIGNAL_POINTS}, 0) "
+             f"+ IF({sx.contains_any(t, lx.OBJECTION_WORDS)}, {lx.OBJECTION_POINTS}, 0)")
+    return F.expr(f"CAST(greatest(0, least(100, {score})) AS SMALLINT)")
+
+
+def intent_signals(notes: str = "notes") -> Column:
     """Ordered list of matched intent labels, else ``[no_clear_signal]``."""
-    t = F.lower(empty_if_null(notes))
+    t = _lower(notes)
     flags = []
     for label, words in lx.INTENT_SIGNALS:
-        cond = t.rlike(lx.TIMELINE_PATTERN) if words is None else any_contains(t, words)
-        flags.append(F.when(cond, F.lit(label)))
-    found = F.array_compact(F.array(*flags))
-    return F.when(F.size(found) == 0, F.array(F.lit(lx.NO_SIGNAL_LABEL))).otherwise(found)
+        cond = (f"{t} RLIKE {sx.s(lx.TIMELINE_PATTERN)}" if words is None
+                else sx.contains_any(t, words))
+        flags.append(f"IF({cond}, {sx.s(label)}, NULL)")
+    found = f"array_compact(array({', '.join(flags)}))"
+    return F.expr(f"IF(size({found}) = 0, array({sx.s(lx.NO_SIGNAL_LABEL)}), {found})")
 
 
 def glossary(target_lang: str) -> list[tuple[str, str]]:
@@ -78,22 +75,20 @@ def glossary(target_lang: str) -> list[tuple[str, str]]:
     return [(src, pairs[src]) for src in sorted(pairs, key=len, reverse=True)]
 
 
-def translate_note(notes: Column, target_lang: str) -> Column:
+def translate_note(notes: str, target_lang: str) -> Column:
     """Case-sensitive phrase replacement, applied sequentially."""
-    out = empty_if_null(notes)
+    out = f"coalesce({notes}, '')"
     for src, dst in glossary(target_lang):
-        out = F.replace(out, F.lit(src), F.lit(dst))
-    return out
+        out = f"replace({out}, {sx.s(src)}, {sx.s(dst)})"
+    return F.expr(out)
 
 
 def enrich_leads(leads: DataFrame) -> DataFrame:
     """lead_id, company_size_band, lead_score, intent_signals, notes_en, notes_fr."""
-    notes = F.col("notes")
     return leads.select(
         "lead_id",
-        company_size_band(notes).alias("company_size_band"),
-        lead_score(F.col("status"), F.col("source"), F.col("est_value_eur"), notes)
-         .alias("lead_score"),
-        intent_signals(notes).alias("intent_signals"),
-        translate_note(notes, "en").alias("notes_en"),
-        translate_note(notes, "fr").alias("notes_fr"))
+        company_size_band("notes").alias("company_size_band"),
+        lead_score("status", "source", "est_value_eur", "notes").alias("lead_score"),
+        intent_signals("notes").alias("intent_signals"),
+        translate_note("notes", "en").alias("notes_en"),
+        translate_note("notes", "fr").alias("notes_fr"))

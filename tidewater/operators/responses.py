@@ -20,6 +20,7 @@ from tidewater.functions import lexicon as lx
 from tidewater.functions.text import clamp_float, coerce_enum, detect_language, empty_if_null
 from tidewater.operators.clean import with_text
 from tidewater.operators.tickets import classify_tickets
+from tidewater.sources.tables import partition_count
 
 
 def key_bucket(key: Column, n_buckets: int) -> Column:
@@ -31,7 +32,7 @@ def key_bucket(key: Column, n_buckets: int) -> Column:
 def _batches(df: DataFrame, key: str, payload: Column, payload_name: str, prefix: str,
              batch_size: int, n_buckets: int | None) -> DataFrame:
     if n_buckets is None:
-        n_buckets = max(1, df.rdd.getNumPartitions())
+        n_buckets = partition_count(df, default=df.sparkSession.sparkContext.defaultParallelism)
     rows = df.select(F.col(key).cast("string").alias("id"), payload.alias(payload_name))
     rows = rows.withColumn("bucket", key_bucket(F.col("id"), n_buckets))
     w = Window.partitionBy("bucket").orderBy("id")

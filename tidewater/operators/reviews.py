@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
-from tidewater.functions.text import any_contains, empty_if_null
+from tidewater.functions import sqlexpr as sx
+from tidewater.functions.text import empty_if_null
 from tidewater.schemas import THEME_STRUCT
 
 THEMES = list(lx.THEME_KEYWORDS)
@@ -48,26 +49,26 @@ def _review_rows(reviews: DataFrame) -> DataFrame:
         F.struct(F.col("created_at"), F.col("review_id")).alias("first_seen"))
 
 
-def theme_flags(lower_text: Column) -> list[Column]:
+def theme_flags(lower_text: str = "t") -> list[Column]:
     """1 when any keyword of the theme occurs in the text (once per text)."""
-    return [F.when(any_contains(lower_text, kws), F.lit(1)).otherwise(F.lit(0))
+    return [F.expr(f"IF({sx.contains_any(lower_text, kws)}, 1, 0)")
             for kws in lx.THEME_KEYWORDS.values()]
 
 
-def top_themes_from_counts(counts: list[Column], top_n: int = lx.TOP_THEMES_N) -> Column:
-    """Top-n themes by count, ties by theme order; zero counts dropped."""
-    entries = F.array(*[F.struct(c.cast("int").alias("weight"), F.lit(-i).alias("neg_order"),
-                                 F.lit(th).alias("theme"))
-                        for i, (th, c) in enumerate(zip(THEMES, counts))])
-    ranked = F.sort_array(F.filter(entries, lambda e: e["weight"] > 0), asc=False)
-    return F.transform(F.slice(ranked, 1, top_n),
-                       lambda e: F.struct(e["theme"].alias("theme"), e["weight"].alias("weight"))
-                       ).cast("array<struct<theme:string,weight:int>>")
+def top_themes_from_counts(counts: list[str], top_n: int = lx.TOP_THEMES_N) -> Column:
+    """Top-n themes by count (columns named in ``counts``), ties by theme
+    order; zero counts dropped."""
+    entries = ", ".join(
+        f"named_struct('weight', CAST({c} AS INT), 'neg_order', {-i}, 'theme', {sx.s(th)})"
+        for i, (th, c) in enumerate(zip(THEMES, counts)))
+    return F.expr(
+        f"transform(slice(sort_array(filter(array({entries}), e -> e.weight > 0), false), 1, "
+        f"{top_n}), e -> named_struct('theme', e.theme, 'weight', e.weight))")
 
 
 def review_group_stats(rows: DataFrame) -> DataFrame:
     """A3 + A5: n_reviews, avg_rating and theme counts per (product, month)."""
-    flags = theme_flags(F.col("t"))
+    flags = theme_flags("t")
     return rows.groupBy(*GROUP).agg(
         F.count(F.lit(1)).cast("int").alias("n_reviews"),
         F.round(F.avg("rating"), 2).cast("decimal(3,2)").alias("avg_rating"),
@@ -113,7 +114,7 @@ def summarize_reviews(reviews: DataFrame) -> DataFrame:
     summary_fr, top_themes (array<struct<theme, weight>>)."""
     rows = _review_rows(reviews)
     stats = review_group_stats(rows)
-    themes = top_themes_from_counts([F.col(f"th_{i}") for i in range(len(THEMES))])
+    themes = top_themes_from_counts([f"th_{i}" for i in range(len(THEMES))])
     stats = stats.select(*GROUP, "n_reviews", "avg_rating", themes.alias("top_themes"))
     summaries = extractive_summaries(ranked_bodies(rows))
     out = stats.join(summaries, GROUP, "left")

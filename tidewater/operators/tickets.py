@@ -18,7 +18,7 @@ from tidewater.operators.clean import with_text
 CATEGORIES = list(lx.CATEGORY_KEYWORDS)
 
 
-def _hit_columns(lower_text: Column) -> list[Column]:
+def _hit_columns(lower_text: str) -> list[Column]:
     cols = [weighted_hits(lower_text, kws).alias(f"h_{cat}")
             for cat, kws in lx.CATEGORY_KEYWORDS.items()]
     cols += [weighted_hits(lower_text, lx.NEGATIVE_WORDS).alias("neg_hits"),
@@ -61,7 +61,7 @@ def ticket_signals(tickets: DataFrame, key: str = "ticket_id",
     """Per ticket: category hit counts, sentiment hits, urgency flags, text."""
     df = with_text(tickets)
     lowered = df.select(F.col(key), *keep, F.col("text"), F.lower(F.col("text")).alias("t"))
-    return lowered.select(F.col(key), *keep, F.col("text"), *_hit_columns(F.col("t")))
+    return lowered.select(F.col(key), *keep, F.col("text"), *_hit_columns("t"))
 
 
 def classify_tickets(tickets: DataFrame, key: str = "ticket_id",

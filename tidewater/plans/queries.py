@@ -183,15 +183,14 @@ def _leads(spark, sf_dir):
     "SELECT lead_id, company_size_band FROM leads_enriched", ["leads_enriched"]))
 def q_company_size_band(spark, sf_dir):
     return _leads(spark, sf_dir).select(
-        "lead_id", L.company_size_band(F.col("notes")).alias("company_size_band"))
+        "lead_id", L.company_size_band("notes").alias("company_size_band"))
 
 
 @register("lead_score", O.build("SELECT lead_id, lead_score FROM leads_enriched",
                                 ["leads_enriched"]))
 def q_lead_score(spark, sf_dir):
     df = _leads(spark, sf_dir)
-    return df.select("lead_id", L.lead_score(F.col("status"), F.col("source"),
-                                             F.col("est_value_eur"), F.col("notes"))
+    return df.select("lead_id", L.lead_score("status", "source", "est_value_eur", "notes")
                      .alias("lead_score"))
 
 
@@ -200,15 +199,15 @@ def q_lead_score(spark, sf_dir):
     ["leads_enriched"]))
 def q_intent_signals(spark, sf_dir):
     return _leads(spark, sf_dir).select(
-        "lead_id", F.array_join(L.intent_signals(F.col("notes")), "|").alias("intent_signals"))
+        "lead_id", F.array_join(L.intent_signals("notes"), "|").alias("intent_signals"))
 
 
 @register("translate_note", O.build("SELECT lead_id, notes_en, notes_fr FROM leads_enriched",
                                     ["leads_enriched"]))
 def q_translate_note(spark, sf_dir):
     df = _leads(spark, sf_dir)
-    return df.select("lead_id", L.translate_note(F.col("notes"), "en").alias("notes_en"),
-                     L.translate_note(F.col("notes"), "fr").alias("notes_fr"))
+    return df.select("lead_id", L.translate_note("notes", "en").alias("notes_en"),
+                     L.translate_note("notes", "fr").alias("notes_fr"))
 
 
 @register("enrich_leads", O.build(
@@ -288,7 +287,7 @@ def q_review_group_stats(spark, sf_dir):
     ["rv_stats", "rv_themes"]))
 def q_top_themes(spark, sf_dir):
     stats = RV.review_group_stats(_review_rows(spark, sf_dir))
-    themes = RV.top_themes_from_counts([F.col(f"th_{i}") for i in range(len(RV.THEMES))])
+    themes = RV.top_themes_from_counts([f"th_{i}" for i in range(len(RV.THEMES))])
     return stats.select("product_id", "review_window", RV.themes_flat(themes).alias("top_themes"))
 
 

@@ -15,11 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
+from tidewater.functions import sqlexpr as sx
 from tidewater.sources.tables import read_table, spread_if_narrow
 
 
-def pick(values: list[str], index: Column) -> Column:
-    """``values[index]`` for a 0-based integer column (literal array lookup)."""
+def pick(values: list[str], index: Column | str) -> Column:
+    """``values[index]`` for a 0-based integer column or SQL expression."""
+    if isinstance(index, str):
+        return F.expr(sx.pick(values, index))
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
@@ -90,26 +93,25 @@ def _ticket_arrays() -> tuple[list[str], list[str]]:
 def tickets_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> ``support_tickets`` source (text from the ticket templates)."""
     ev = spread_if_narrow(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id"))
-    eid, uid = F.col("event_id"), F.col("user_id")
-    cat = eid % 6
-    lang_i = F.when(eid % 20 < 11, F.lit(0)).otherwise(F.lit(1))
+    lang_i = "(CASE WHEN event_id % 20 < 11 THEN 0 ELSE 1 END)"
     subjects, descs = _ticket_arrays()
-    subject = pick(subjects, cat * 8 + lang_i * 4 + idiv(eid, 6) % 4)
-    desc = fill(pick(descs, cat * 2 + lang_i), {
-        "amt": 20 + uid % 381, "exp": 10 + eid % 291, "oid": 50000 + eid % 50000,
-        "dt": F.date_format("ts", "yyyy-MM-dd"), "delay": 2 + eid % 8})
+    subject = sx.pick(subjects, f"(event_id % 6) * 8 + {lang_i} * 4 + (event_id div 6) % 4")
+    desc = sx.fill(sx.pick(descs, f"(event_id % 6) * 2 + {lang_i}"), {
+        "amt": "20 + user_id % 381", "exp": "10 + event_id % 291",
+        "oid": "50000 + event_id % 50000", "dt": "date_format(ts, 'yyyy-MM-dd')",
+        "delay": "2 + event_id % 8"})
     sla_tokens = ["true", "false", "True", "1", "YES", "no", "NA", "false", "false"]
-    return ev.select(
-        F.concat(F.lit("TKT-"), eid.cast("string")).alias("ticket_id"),
-        F.concat(F.lit("C-"), uid.cast("string")).alias("customer_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
-        pick(lx.TICKET_CHANNELS, uid % 4).alias("channel"),
-        pick(lx.TICKET_LANGS, lang_i).alias("language"),
-        F.when(eid % 13 == 5, F.concat(F.lit("  \t"), subject, F.lit("\n "))).otherwise(subject)
-         .alias("subject"),
-        F.when(eid % 41 == 7, F.lit("N/A")).otherwise(desc).alias("description"),
-        pick(["open", "pending", "solved"], eid % 3).alias("status"),
-        pick(sla_tokens, eid % 9).alias("sla_breached"),
+    return ev.selectExpr(
+        "concat('TKT-', CAST(event_id AS STRING)) AS ticket_id",
+        "concat('C-', CAST(user_id AS STRING)) AS customer_id",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") AS created_at",
+        f"{sx.pick(lx.TICKET_CHANNELS, 'user_id % 4')} AS channel",
+        f"{sx.pick(lx.TICKET_LANGS, lang_i)} AS language",
+        f"CASE WHEN event_id % 13 = 5 THEN concat('  \\t', {subject}, '\\n ') "
+        f"ELSE {subject} END AS subject",
+        f"CASE WHEN event_id % 41 = 7 THEN 'N/A' ELSE {desc} END AS description",
+        f"{sx.pick(['open', 'pending', 'solved'], 'event_id % 3')} AS status",
+        f"{sx.pick(sla_tokens, 'event_id % 9')} AS sla_breached",
     )
 
 
@@ -175,26 +177,24 @@ def leads_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> ``crm_leads`` source (notes from the lead-note templates)."""
     cust = spread_if_narrow(read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
-    k = F.col("c_custkey")
-    lang_i = k % 2
     templates = lx.LEAD_NOTES["en"] + lx.LEAD_NOTES["fr"]
-    notes = fill(pick(templates, lang_i * 5 + idiv(k, 2) % 5), {
-        "role": pick(lx.LEAD_ROLES, idiv(k, 3) % 5),
-        "src": pick(lx.LEAD_SOURCES, idiv(k, 5) % 4),
-        "comp": pick(lx.LEAD_COMPETITORS, idiv(k, 7) % 6),
-        "sz": pick(lx.LEAD_SIZES, idiv(k, 11) % 8)})
-    value = (F.col("c_acctbal").cast("decimal(12,2)") * 7).cast("decimal(12,2)")
-    created = F.date_add(F.lit("2024-01-01").cast("date"), (k % 60).cast("int"))
-    return cust.select(
-        F.concat(F.lit("LD-"), k.cast("string")).alias("lead_id"),
-        F.col("c_name").alias("company_name"),
-        F.col("c_mktsegment").alias("industry"),
-        pick(lx.REGIONS, F.col("c_nationkey") % 4).alias("region"),
-        F.date_format(created, "yyyy-MM-dd'T'HH").alias("created_at"),
-        pick(lx.LEAD_SOURCES, k % 4).alias("source"),
-        pick(lx.LEAD_STATUSES, idiv(k, 4) % 5).alias("status"),
-        F.when(k % 31 == 9, F.lit("NA")).otherwise(value.cast("string")).alias("est_value_eur"),
-        F.when(k % 37 == 11, F.lit("")).otherwise(notes).alias("notes"),
+    notes = sx.fill(sx.pick(templates, "(c_custkey % 2) * 5 + (c_custkey div 2) % 5"), {
+        "role": sx.pick(lx.LEAD_ROLES, "(c_custkey div 3) % 5"),
+        "src": sx.pick(lx.LEAD_SOURCES, "(c_custkey div 5) % 4"),
+        "comp": sx.pick(lx.LEAD_COMPETITORS, "(c_custkey div 7) % 6"),
+        "sz": sx.pick(lx.LEAD_SIZES, "(c_custkey div 11) % 8")})
+    value = "CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 7 AS DECIMAL(12,2))"
+    return cust.selectExpr(
+        "concat('LD-', CAST(c_custkey AS STRING)) AS lead_id",
+        "c_name AS company_name",
+        "c_mktsegment AS industry",
+        f"{sx.pick(lx.REGIONS, 'c_nationkey % 4')} AS region",
+        "date_format(date_add(DATE'2024-01-01', CAST(c_custkey % 60 AS INT)), "
+        "\"yyyy-MM-dd'T'HH\") AS created_at",
+        f"{sx.pick(lx.LEAD_SOURCES, 'c_custkey % 4')} AS source",
+        f"{sx.pick(lx.LEAD_STATUSES, '(c_custkey div 4) % 5')} AS status",
+        f"CASE WHEN c_custkey % 31 = 9 THEN 'NA' ELSE CAST({value} AS STRING) END AS est_value_eur",
+        f"CASE WHEN c_custkey % 37 = 11 THEN '' ELSE {notes} END AS notes",
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions import lexicon as lx
+from tidewater.functions import sqlexpr as sx
 from tidewater.schemas import SOURCE_COLUMNS
 
 
@@ -17,15 +18,17 @@ def source_schema(name: str) -> StructType:
 
 def normalize_nulls(df: DataFrame) -> DataFrame:
     """Null tokens (``""``, ``NA``, ``N/A`` and the reader's default list)
-    become null in every string column (S2)."""
-    tokens = lx.NA_TOKENS
-    cols = []
+    become null in every string column (S2). One projection, built as SQL
+    text so the driver makes a single call however many columns there are."""
+    tokens = ", ".join(sx.s(t) for t in lx.NA_TOKENS)
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f.name)
+        name = f"`{f.name}`"
         if isinstance(f.dataType, StringType):
-            c = F.when(~c.isin(tokens) | c.isNull(), c).alias(f.name)
-        cols.append(c)
-    return df.select(*cols)
+            exprs.append(f"CASE WHEN {name} IN ({tokens}) THEN NULL ELSE {name} END AS {name}")
+        else:
+            exprs.append(name)
+    return df.selectExpr(*exprs)
 
 
 def assert_source_marker(spark: SparkSession, source_dir: str) -> None:

@@ -9,9 +9,27 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations"]
 
 
+_HANDLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table; column pruning and filters reach the scan lazily."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One parquet input table; column pruning and filters reach the scan lazily.
+
+    Input tables are immutable snapshots, so the lazy handle (file listing and
+    footer schema) is resolved once per application and reused by every
+    query; call ``forget_tables()`` after replacing input files in place.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _HANDLES.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _HANDLES[key] = df
+    return df
+
+
+def forget_tables() -> None:
+    _HANDLES.clear()
 
 
 def spread_if_narrow(df: DataFrame) -> DataFrame:
@@ -19,5 +37,17 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     fewer partitions than there are slots (a small file with one row group is
     one task). Big inputs already split into many more scan tasks than slots,
     so at scale this is a no-op and adds no shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as is
+        return df
+    return df.repartition(slots) if parts < slots else df
+
+
+def partition_count(df: DataFrame, default: int = 1) -> int:
+    """Planned partition count of ``df`` (no job runs), or ``default``."""
+    try:
+        return max(1, df.rdd.getNumPartitions())
+    except Exception:
+        return default
