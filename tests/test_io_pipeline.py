@@ -235,3 +235,36 @@ def test_confidence_and_score_ranges(spark):
     s = L.enrich_leads(cleaned(spark, SF_SMALL, "crm_leads"))
     lo, hi = s.agg(F.min("lead_score"), F.max("lead_score")).collect()[0]
     assert 0 <= lo and hi <= 100
+
+
+def test_run_pipeline_model_mode(spark, scratch):
+    from tidewater.plans.pipeline import ModelResponses, write_model_requests
+    from tidewater.sources import adapters as AD
+    src = tempfile.mkdtemp(prefix="tidewater-src-", dir="/tmp")
+    _seed(src)
+    run_pipeline(spark, src, scratch, "run-rules", now=dt.datetime(2026, 8, 2))
+    written = write_model_requests(spark, scratch, n_buckets=2)
+    assert written["tickets"] >= 1 and written["leads"] >= 1
+    raw_t = spark.read.parquet(f"{scratch}/raw/support_tickets")
+    batches = RS.build_ticket_batches(raw_t, n_buckets=2)
+    # responses arrive as a written table, independent of the raw files a run replaces
+    resp_dir = tempfile.mkdtemp(prefix="tidewater-resp-", dir="/tmp")
+    AD.ticket_responses_source(batches).write.mode("overwrite").parquet(f"{resp_dir}/ok")
+    ok = spark.read.parquet(f"{resp_dir}/ok")
+    rules = sorted(T.classify_tickets(raw_t).collect())
+    batch_ids = [r.batch_id for r in batches.collect()]
+    res = run_pipeline(spark, src, scratch, "run-llm", now=dt.datetime(2026, 8, 3),
+                       responses=ModelResponses(provider="anthropic", tickets=ok, n_buckets=2))
+    assert res.llm_calls == written["tickets"] and not res.fell_back
+    assert abs(res.llm_cost_estimate - 0.0225 * res.llm_calls) < 1e-9
+    v = {r.run_id: r for r in ledger_view(spark, scratch).collect()}["run-llm"]
+    assert (v.enrichment_mode, v.llm_provider, v.status) == ("llm", "anthropic", "success")
+    bad = spark.createDataFrame([(b, "") for b in batch_ids],
+                                "batch_id string, content string")
+    res = run_pipeline(spark, src, scratch, "run-bad", now=dt.datetime(2026, 8, 4),
+                       responses=ModelResponses(provider="nvidia", tickets=bad, n_buckets=2))
+    assert res.fell_back and "classify_tickets" in res.fell_back[0]
+    v = {r.run_id: r for r in ledger_view(spark, scratch).collect()}["run-bad"]
+    assert v.error.startswith("classify_tickets: no usable response")
+    cls = spark.read.parquet(f"{scratch}/mart/ticket_classifications").drop("enriched_at", "run_id")
+    assert sorted(cls.collect()) == rules

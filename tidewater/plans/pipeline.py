@@ -21,12 +21,29 @@ from tidewater.operators import clean as C
 from tidewater.operators import delivery as D
 from tidewater.operators import leads as L
 from tidewater.operators import revenue as R
+from tidewater.operators import responses as RS
 from tidewater.operators import reviews as RV
 from tidewater.operators import tickets as T
 from tidewater.sinks import warehouse as W
 from tidewater.sources.files import extract_all
 
 
+@dataclass
+class ModelResponses:
+    """Responses written by whatever called the model for this run.
+
+    ``tickets`` / ``leads``: (batch_id, content) for the batches written by
+    ``write_model_requests``; ``reviews``: (product_id, review_window, content).
+    Batches are rebuilt deterministically with the same ``n_buckets``.
+    """
+    provider: str
+    model: str | None = None
+    tickets: DataFrame | None = None
+    reviews: DataFrame | None = None
+    leads: DataFrame | None = None
+    n_buckets: int = 64
+
+
 @dataclass
 class RunResult:
     run_id: str
@@ -35,6 +52,9 @@ class RunResult:
     rows_loaded: dict[str, int] = field(default_factory=dict)
     rows_enriched: dict[str, int] = field(default_factory=dict)
     error: str | None = None
+    llm_calls: int = 0
+    llm_cost_estimate: float = 0.0
+    fell_back: list[str] = field(default_factory=list)
 
     @property
     def total_enriched(self) -> int:
@@ -44,14 +64,20 @@ class RunResult:
 def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_dir: str,
                  run_id: str, *, now: dt.datetime | None = None,
                  threshold: float = lx.ANOMALY_THRESHOLD_DEFAULT,
-                 enrichment_mode: str = "mock",
+                 responses: ModelResponses | None = None,
                  on_stage: Callable[[str], None] | None = None) -> RunResult:
     """Run the whole job once. ``sources`` is a CSV folder or a dict of the
-    five source DataFrames (e.g. from the adapters)."""
+    five source DataFrames (e.g. from the adapters). With ``responses`` the
+    enrichers merge the model's answers (rules fill the gaps; a failed
+    operation falls back to rules and is flagged in the ledger)."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     out = out_dir.rstrip("/")
     ledger_path = f"{out}/mart/pipeline_runs_log"
-    W.commit_write(W.start_run(spark, run_id, now, enrichment_mode), ledger_path, mode="append")
+    mode = "llm" if responses is not None else "mock"
+    W.commit_write(W.start_run(spark, run_id, now, mode,
+                               responses.provider if responses else None,
+                               responses.model if responses else None),
+                   ledger_path, mode="append")
     result = RunResult(run_id=run_id, status="running")
     try:
         if isinstance(sources, str):
@@ -77,6 +103,8 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
                 R.daily_revenue_by_segment(raw["orders"]), threshold=threshold),
             "lead_enrichments": L.enrich_leads(raw["crm_leads"]),
         }
+        if responses is not None:
+            marts = _merge_model(spark, raw, marts, responses, run_id, result)
         for table, df in marts.items():
             result.rows_enriched[table] = W.write_mart(df, table, out, run_id, now)
 
@@ -97,12 +125,78 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
             spark, run_id, finished_at=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
             status=result.status, rows_extracted=result.rows_extracted,
             rows_loaded=sum(result.rows_loaded.values()), rows_enriched=result.total_enriched,
-            llm_calls=0, llm_cost_estimate=0,
+            llm_calls=result.llm_calls, llm_cost_estimate=result.llm_cost_estimate,
             report_path=f"{out}/mart/run_reports/run_id={run_id}" if result.status == "success"
-            else None, slack_sent=False, error=result.error), ledger_path, mode="append")
+            else None, slack_sent=False,
+            error=result.error or ("; ".join(result.fell_back) or None)),
+            ledger_path, mode="append")
     return result
 
 
+def model_requests(raw: dict[str, DataFrame], n_buckets: int = 64) -> dict[str, DataFrame]:
+    """The request rows of a run (ticket batches, review prompts, lead
+    batches) built from the raw tables."""
+    summaries = RV.summarize_reviews(raw["product_reviews"])
+    return {"tickets": RS.build_ticket_batches(raw["support_tickets"], n_buckets=n_buckets),
+            "reviews": RS.build_review_prompts(summaries),
+            "leads": RS.build_lead_batches(raw["crm_leads"], n_buckets=n_buckets)}
+
+
+def write_model_requests(spark: SparkSession, out_dir: str, n_buckets: int = 64) -> dict[str, int]:
+    """Write the request rows for an external model caller to
+    ``<out_dir>/mart/model_requests/<operation>`` (from the written raw tables)."""
+    out = out_dir.rstrip("/")
+    raw = {n: spark.read.parquet(f"{out}/raw/{n}")
+           for n in ("support_tickets", "product_reviews", "crm_leads")}
+    reqs = model_requests(raw, n_buckets)
+    return {op: W.commit_write(df.drop("items") if "items" in df.columns else df,
+                               f"{out}/mart/model_requests/{op}")
+            for op, df in reqs.items()}
+
+
+def _merge_model(spark: SparkSession, raw: dict[str, DataFrame], marts: dict[str, DataFrame],
+                 responses: ModelResponses, run_id: str, result: RunResult) -> dict[str, DataFrame]:
+    """E7-E11 inside the job; fills ``result`` with calls, cost and fallbacks."""
+    out = dict(marts)
+    calls = []
+    statuses = []
+    if responses.tickets is not None:
+        batches = RS.build_ticket_batches(raw["support_tickets"], n_buckets=responses.n_buckets)
+        out["ticket_classifications"] = RS.merge_ticket_responses(
+            raw["support_tickets"], batches, responses.tickets)
+        statuses.append(RS.fallback_status("classify_tickets", batches, responses.tickets,
+                                           ["batch_id"]))
+        calls.append(batches.select(F.lit(1).alias("n_calls")))
+    if responses.reviews is not None:
+        base = marts["review_summaries"]
+        out["review_summaries"] = RS.merge_review_responses(base, responses.reviews)
+        statuses.append(RS.fallback_status("summarize_reviews", base, responses.reviews,
+                                           ["product_id", "review_window"]))
+        calls.append(base.select(F.lit(1).alias("n_calls")))
+    if responses.leads is not None:
+        batches = RS.build_lead_batches(raw["crm_leads"], n_buckets=responses.n_buckets)
+        out["lead_enrichments"] = RS.merge_lead_responses(marts["lead_enrichments"], batches,
+                                                          responses.leads)
+        statuses.append(RS.fallback_status("enrich_leads", batches, responses.leads,
+                                           ["batch_id"]))
+        calls.append(batches.select(F.lit(1).alias("n_calls")))
+    if calls:
+        log = calls[0]
+        for c in calls[1:]:
+            log = log.unionByName(c)
+        log = log.select(F.lit(run_id).alias("run_id"), F.lit(responses.provider).alias("provider"),
+                         "n_calls")
+        cost = RS.estimate_cost(log).collect()  # one row per run
+        if cost:
+            result.llm_calls = int(cost[0].llm_calls)
+            result.llm_cost_estimate = float(cost[0].llm_cost_estimate)
+    for st in statuses:  # one row per operation
+        for row in st.collect():
+            if row.fell_back:
+                result.fell_back.append(row.error)
+    return out
+
+
 def ledger_view(spark: SparkSession, out_dir: str) -> DataFrame:
     """Current state of every run (``pipeline_runs``) from the append-only log."""
     return W.run_ledger(spark.read.parquet(f"{out_dir.rstrip('/')}/mart/pipeline_runs_log"))
