@@ -91,6 +91,13 @@ def test_run_pipeline_csv(spark, scratch):
     lines = spark.read.parquet(f"{scratch}/mart/run_reports/run_id=run-a").collect()
     assert {(r.section, r.line) for r in lines} >= {
         ("anomalies", "No significant revenue anomalies detected.")}
+    from tidewater.operators.delivery import dashboard
+    dash = dashboard(spark, scratch, "fr")
+    kpi = dash["kpis"].collect()[0]
+    assert (kpi.total_orders, kpi.total_tickets, kpi.total_leads) == (2, 2, 2)
+    assert kpi.total_revenue == Decimal("110.00")
+    assert dash["leads"].columns == ["lead_id", "company_size_band", "lead_score", "notes"]
+    assert dash["tickets_by_category"].count() == 2
     # rerun with the same id: tables replaced, ledger keeps one view row per run
     run_pipeline(spark, src, scratch, "run-b", now=now)
     assert {r.run_id for r in spark.read.parquet(f"{scratch}/mart/ticket_classifications")

@@ -17,13 +17,23 @@ NO_ANOMALY_LINE = "No significant revenue anomalies detected."
 def dashboard_kpis(orders: DataFrame, tickets: DataFrame, leads: DataFrame) -> DataFrame:
     """P1 (A7 + A8): total revenue, orders, tickets, leads as one row.
 
-    Each input collapses to one row first, so the cross join is 1 x 1 x 1.
+    The three inputs are tagged and unioned, then one global aggregate (partial
+    sums on every partition) produces the row: one pass, no join.
     """
-    o = orders.agg(F.coalesce(F.sum("net_revenue_eur"), F.lit(0)).cast("decimal(18,2)")
-                   .alias("total_revenue"), F.count(F.lit(1)).alias("total_orders"))
-    t = tickets.agg(F.count(F.lit(1)).alias("total_tickets"))
-    ld = leads.agg(F.count(F.lit(1)).alias("total_leads"))
-    return o.crossJoin(t).crossJoin(ld)
+    money = "decimal(18,2)"
+    parts = orders.select(F.col("net_revenue_eur").cast(money).alias("rev"),
+                          F.lit(1).alias("o"), F.lit(0).alias("t"), F.lit(0).alias("ld"))
+    parts = parts.unionByName(tickets.select(F.lit(None).cast(money).alias("rev"),
+                                             F.lit(0).alias("o"), F.lit(1).alias("t"),
+                                             F.lit(0).alias("ld")))
+    parts = parts.unionByName(leads.select(F.lit(None).cast(money).alias("rev"),
+                                           F.lit(0).alias("o"), F.lit(0).alias("t"),
+                                           F.lit(1).alias("ld")))
+    return parts.agg(
+        F.coalesce(F.sum("rev"), F.lit(0)).cast(money).alias("total_revenue"),
+        F.coalesce(F.sum("o"), F.lit(0)).cast("long").alias("total_orders"),
+        F.coalesce(F.sum("t"), F.lit(0)).cast("long").alias("total_tickets"),
+        F.coalesce(F.sum("ld"), F.lit(0)).cast("long").alias("total_leads"))
 
 
 def tickets_by_category(classified: DataFrame) -> DataFrame:
@@ -136,3 +146,24 @@ def run_message(ledger_view: DataFrame) -> DataFrame:
     return ledger_view.select("run_id", "status",
                               F.when(F.col("status") == "success", ok).otherwise(bad)
                               .alias("message"))
+
+
+def dashboard(spark, out_dir: str, lang: str = "en") -> dict[str, DataFrame]:
+    """S7 + P1-P5: every dataset behind the dashboard page, read from the
+    written warehouse tables. Scans are pruned to the columns each view uses."""
+    from tidewater.operators.clean import leads_view
+
+    out = out_dir.rstrip("/")
+    orders = spark.read.parquet(f"{out}/raw/orders")
+    tickets = spark.read.parquet(f"{out}/mart/ticket_classifications")
+    anomalies = spark.read.parquet(f"{out}/mart/revenue_anomalies")
+    leads = spark.read.parquet(f"{out}/mart/lead_enrichments")
+    from tidewater.operators.revenue import daily_revenue_by_region
+    return {
+        "kpis": dashboard_kpis(orders, tickets, leads),
+        "revenue_by_region": daily_revenue_by_region(orders),
+        "anomaly_cards": anomaly_cards(anomalies),
+        "tickets_by_category": tickets_by_category(tickets),
+        "sentiment_by_urgency": sentiment_by_urgency(tickets),
+        "leads": leads_view(leads, lang),
+    }

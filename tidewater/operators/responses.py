@@ -145,6 +145,14 @@ def batch_failures(batches: DataFrame, responses: DataFrame, keys: list[str]) ->
                  F.min(F.concat_ws("/", *keys))).alias("failed_keys"))
 
 
+def operation_failed(batches: DataFrame, responses: DataFrame, keys: list[str]) -> bool:
+    """E11 decision: did any call of the operation fail? All-or-nothing per
+    operation, as in the original, so it is taken once on the driver from a
+    one-row aggregate (a count, never the failing rows themselves)."""
+    row = batch_failures(batches, responses, keys).first()
+    return bool(row is not None and row["fell_back"])
+
+
 def merge_ticket_responses(tickets: DataFrame, batches: DataFrame, responses: DataFrame,
                            *, fallback: bool = True) -> DataFrame:
     """E7 + E11: model classifications where the model answered, rules for the
@@ -159,10 +167,7 @@ def merge_ticket_responses(tickets: DataFrame, batches: DataFrame, responses: Da
     merged = from_model.select(*rules.columns).unionByName(filled)
     if not fallback:
         return merged
-    flag = batch_failures(batches, responses, ["batch_id"]).select("fell_back")
-    use_model = merged.crossJoin(F.broadcast(flag)).filter(~F.col("fell_back")).drop("fell_back")
-    use_rules = rules.crossJoin(F.broadcast(flag)).filter(F.col("fell_back")).drop("fell_back")
-    return use_model.unionByName(use_rules)
+    return rules if operation_failed(batches, responses, ["batch_id"]) else merged
 
 
 def merge_review_responses(base: DataFrame, responses: DataFrame, *,
@@ -182,10 +187,7 @@ def merge_review_responses(base: DataFrame, responses: DataFrame, *,
         if c == "summary_fr" else F.col(c) for c in base.columns])
     if not fallback:
         return merged
-    flag = batch_failures(base, responses, keys).select("fell_back")
-    use_model = merged.crossJoin(F.broadcast(flag)).filter(~F.col("fell_back")).drop("fell_back")
-    use_rules = base.crossJoin(F.broadcast(flag)).filter(F.col("fell_back")).drop("fell_back")
-    return use_model.unionByName(use_rules)
+    return base if operation_failed(base, responses, keys) else merged
 
 
 def merge_lead_responses(base: DataFrame, batches: DataFrame, responses: DataFrame) -> DataFrame:

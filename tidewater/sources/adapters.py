@@ -52,7 +52,8 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders (+ lineitem sums, + customer region) as the ``orders`` source."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread_if_narrow(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_extendedprice", "l_discount", "l_quantity")).select(
         "l_orderkey",
         F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
         F.col("l_discount").cast("decimal(4,2)").alias("disc"),
@@ -66,20 +67,19 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"))
     j = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
          .join(_geo(spark, sf_dir), o.o_custkey == F.col("c_custkey"), "left"))
-    key = F.col("o_orderkey")
-    return j.select(
-        F.concat(F.lit("ORD-"), key.cast("string")).alias("order_id"),
-        F.concat(F.lit("C-"), F.col("o_custkey").cast("string")).alias("customer_id"),
-        F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
-        F.when(F.col("o_orderstatus") == "F", "web").when(F.col("o_orderstatus") == "O", "mobile")
-         .otherwise("marketplace").alias("channel"),
-        F.col("r_name").alias("region"),
-        F.when(key % 10 == 7, "USD").when(key % 10 == 8, "GBP").otherwise("EUR").alias("currency"),
-        F.col("gross").cast("string").alias("gross_revenue_eur"),
-        F.when(key % 499 == 17, F.lit("abc")).otherwise(F.col("discount").cast("string"))
-         .alias("discount_eur"),
-        (F.col("gross") - F.col("discount")).cast("string").alias("net_revenue_eur"),
-        F.when(key % 97 == 3, F.lit("NA")).otherwise(F.col("units").cast("string")).alias("units"),
+    return j.selectExpr(
+        "concat('ORD-', CAST(o_orderkey AS STRING)) AS order_id",
+        "concat('C-', CAST(o_custkey AS STRING)) AS customer_id",
+        "CAST(CAST(o_orderdate AS DATE) AS STRING) AS order_date",
+        "CASE o_orderstatus WHEN 'F' THEN 'web' WHEN 'O' THEN 'mobile' ELSE 'marketplace' END"
+        " AS channel",
+        "r_name AS region",
+        "CASE o_orderkey % 10 WHEN 7 THEN 'USD' WHEN 8 THEN 'GBP' ELSE 'EUR' END AS currency",
+        "CAST(gross AS STRING) AS gross_revenue_eur",
+        "CASE WHEN o_orderkey % 499 = 17 THEN 'abc' ELSE CAST(discount AS STRING) END"
+        " AS discount_eur",
+        "CAST(gross - discount AS STRING) AS net_revenue_eur",
+        "CASE WHEN o_orderkey % 97 = 3 THEN 'NA' ELSE CAST(units AS STRING) END AS units",
     )
 
 
