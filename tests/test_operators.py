@@ -261,3 +261,6 @@ def test_clean_tickets_tokens(spark):
     assert out["a"].subject == "Hi" and out["a"].description == "" and out["a"].text == "Hi."
     assert [out[k].sla_breached for k in "abcdef"] == [True, True, True, False, False, False]
     assert out["f"].subject == "" and out["f"].text == "."
+    from tidewater.functions.text import strip_all
+    odd = spark.createDataFrame([("\u00a0\u3000 x y\x1f\u2029",)], "s string")
+    assert odd.select(strip_all("s")).collect()[0][0] == "x y"

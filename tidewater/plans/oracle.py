@@ -41,7 +41,8 @@ def normalize(name: str, src: str) -> str:
 
 
 def strip(expr: str) -> str:
-    return f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
+    from tidewater.functions.text import WHITESPACE
+    return f"trim({expr}, {q(WHITESPACE)})"
 
 
 CTES: dict[str, tuple[str, list[str]]] = {}

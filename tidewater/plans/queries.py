@@ -688,7 +688,7 @@ def _parsed_sql(src: str, keys: str) -> str:
 
 
 def _coerce_sql(v: str, allowed: list[str], default: str) -> str:
-    x = f"replace(lower(trim({v})), ' ', '_')"
+    x = f"replace(lower({O.strip(v)}), ' ', '_')"
     return f"CASE WHEN {x} IN ({', '.join(q(a) for a in allowed)}) THEN {x} ELSE {q(default)} END"
 
 

@@ -166,12 +166,17 @@ def run_status(task_states: DataFrame, exclude_task: str | None = None) -> DataF
          .otherwise(F.lit("success")).alias("status"))
 
 
+def count_rows_by_name(frames: dict[str, DataFrame], label: str) -> DataFrame:
+    """Rows per named frame plus a ``total`` row, in one aggregate: each frame
+    is reduced to a tag column, the tags are unioned, and ``rollup`` adds the
+    grand total, so every input is computed exactly once."""
+    tagged = reduce(lambda a, b: a.unionByName(b),
+                    [df.select(F.lit(name).alias(label)) for name, df in frames.items()])
+    counts = tagged.rollup(label).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.select(F.coalesce(F.col(label), F.lit("total")).alias(label),
+                         F.col("n_rows").cast("long").alias("n_rows"))
+
+
 def enrichment_counts(outputs: dict[str, DataFrame]) -> DataFrame:
     """Rows per enrichment output and their sum (``table='total'``)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"),
-                                                              "n_rows")
-             for name, df in outputs.items()]
-    per = reduce(lambda a, b: a.unionByName(b), parts)
-    total = per.agg(F.sum("n_rows").alias("n_rows")).select(F.lit("total").alias("table"),
-                                                            "n_rows")
-    return per.unionByName(total).select("table", F.col("n_rows").cast("long").alias("n_rows"))
+    return count_rows_by_name(outputs, "table")

@@ -73,14 +73,9 @@ def extract_all(spark: SparkSession, source_dir: str) -> dict[str, DataFrame]:
 
 
 def source_row_counts(sources: dict[str, DataFrame]) -> DataFrame:
-    """Rows per source and their total (S6), as one distributed union.
+    """Rows per source and their total (S6), in one aggregate.
 
     Columns: ``source``, ``n_rows``; the total has ``source='total'``.
     """
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("source"), "n_rows")
-             for name, df in sources.items()]
-    per = parts[0]
-    for p in parts[1:]:
-        per = per.unionByName(p)
-    total = per.agg(F.sum("n_rows").alias("n_rows")).select(F.lit("total").alias("source"), "n_rows")
-    return per.unionByName(total).select("source", F.col("n_rows").cast("long").alias("n_rows"))
+    from tidewater.sinks.warehouse import count_rows_by_name
+    return count_rows_by_name(sources, "source")
