@@ -8,7 +8,7 @@ request rows from the business tables, and merge a *responses table*
 Batching at scale: rows are hashed into buckets (md5 of the key, so any
 engine can reproduce it) and numbered inside their bucket, so no global
 window ever pulls all rows into one task. The default bucket count follows
-the input's partition count, which grows with the data.
+``spark.sql.shuffle.partitions``, which a cluster sizes to its data.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from tidewater.functions import lexicon as lx
 from tidewater.functions.text import clamp_float, coerce_enum, detect_language, empty_if_null
 from tidewater.operators.clean import with_text
 from tidewater.operators.tickets import classify_tickets
-from tidewater.sources.tables import partition_count
 
 
 def key_bucket(key: Column, n_buckets: int) -> Column:
@@ -32,7 +31,8 @@ def key_bucket(key: Column, n_buckets: int) -> Column:
 def _batches(df: DataFrame, key: str, payload: Column, payload_name: str, prefix: str,
              batch_size: int, n_buckets: int | None) -> DataFrame:
     if n_buckets is None:
-        n_buckets = partition_count(df, default=df.sparkSession.sparkContext.defaultParallelism)
+        # Sized like the cluster's shuffles; reading a conf runs no job.
+        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     rows = df.select(F.col(key).cast("string").alias("id"), payload.alias(payload_name))
     rows = rows.withColumn("bucket", key_bucket(F.col("id"), n_buckets))
     w = Window.partitionBy("bucket").orderBy("id")

@@ -83,12 +83,12 @@ def detect_anomalies(segment_revenue: DataFrame, *,
                 *[x for m in lx.ANOMALY_METRICS for x in (F.lit(m), F.col(m).cast("double"))]
                 ).alias("metric", "value"))
     w = Window.partitionBy("channel", "region", "metric")
-    scored = (stacked
-              .withColumn("mu", F.avg("value").over(w))
-              .withColumn("sigma", F.stddev_pop("value").over(w))
-              .filter((F.col("sigma") > 0) & ~F.isnan("sigma"))
-              .withColumn("z", (F.col("value") - F.col("mu")) / F.col("sigma"))
-              .filter(F.abs("z") >= F.lit(float(threshold))))
+    stats = stacked.select("*", F.avg("value").over(w).alias("mu"),
+                           F.stddev_pop("value").over(w).alias("sigma"))
+    z = (F.col("value") - F.col("mu")) / F.col("sigma")
+    scored = (stats.filter((F.col("sigma") > 0) & ~F.isnan("sigma") &
+                           (F.abs(z) >= F.lit(float(threshold))))
+              .select("*", z.alias("z")))
     dim, dim_value = _dimension(F.col("channel"), F.col("region"))
     return scored.select(
         F.concat_ws(":", F.col("order_date").cast("string"), dim, dim_value, F.col("metric"))
