@@ -855,3 +855,38 @@ GROUP BY run_id"""
 @register("estimate_cost", O.build(_cost_sql(), ["tbatch"]))
 def q_estimate_cost(spark, sf_dir):
     return RS.estimate_cost(AD.call_log_source(_ticket_batches(spark, sf_dir)))
+
+
+# ── source normalisation and nested export ─────────────────────────────────
+@register("normalize_nulls", O.build("SELECT * FROM orders_src", ["orders_src"]))
+def q_normalize_nulls(spark, sf_dir):
+    return source(spark, sf_dir, "orders")
+
+
+@register("encode_nested", O.build(
+    "SELECT lead_id, CAST(to_json(intent_signals) AS VARCHAR) AS intent_signals "
+    "FROM leads_enriched",
+    ["leads_enriched"]))
+def q_encode_nested(spark, sf_dir):
+    enriched = L.enrich_leads(_leads(spark, sf_dir)).select("lead_id", "intent_signals")
+    return W.encode_nested(enriched)
+
+
+O.cte("rv_themes_json", "SELECT product_id, review_window, to_json(list(json_object('theme', "
+      "theme, 'weight', weight) ORDER BY rn)) AS top_themes FROM ("
+      " SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, review_window "
+      "ORDER BY weight DESC, ord) AS rn FROM ("
+      + " UNION ALL ".join(f"SELECT product_id, review_window, {q(th)} AS theme, {i} AS ord, "
+                           f"CAST(th_{i} AS INTEGER) AS weight FROM rv_stats"
+                           for i, th in enumerate(lx.THEME_KEYWORDS))
+      + ") WHERE weight > 0) WHERE rn <= 5 GROUP BY product_id, review_window", ["rv_stats"])
+
+
+@register("encode_nested_reviews", O.build(
+    "SELECT s.product_id, s.review_window, COALESCE(CAST(t.top_themes AS VARCHAR), '[]') "
+    "AS top_themes "
+    "FROM rv_stats s LEFT JOIN rv_themes_json t USING (product_id, review_window)",
+    ["rv_stats", "rv_themes_json"]))
+def q_encode_nested_reviews(spark, sf_dir):
+    out = RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews"))
+    return W.encode_nested(out.select("product_id", "review_window", "top_themes"))
