@@ -39,14 +39,16 @@ def fill(template: Column, values: dict[str, Column]) -> Column:
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """custkey -> region name. nation (25 rows) and region (5 rows) are fixed
-    size by the TPC-H spec; the customer join itself is left to the planner
-    (AQE broadcasts it only when its measured size is below the threshold)."""
+    """custkey -> region name. No join hints: the planner broadcasts a side only
+    when its estimated size (from file statistics) is below
+    ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks the measured
+    size at runtime, keeping a sort-merge join beyond it. nation/region are
+    a few KB and broadcast; customer broadcasts only while it is small."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nr = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    nr = nation.join(region, nation.n_regionkey == region.r_regionkey)
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return (cust.join(F.broadcast(nr), cust.c_nationkey == nr.n_nationkey)
+    return (cust.join(nr, cust.c_nationkey == nr.n_nationkey)
             .select(F.col("c_custkey"), F.col("r_name")))
 
 
