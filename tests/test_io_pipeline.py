@@ -275,3 +275,17 @@ def test_run_pipeline_model_mode(spark, scratch):
     assert v.error.startswith("classify_tickets: no usable response")
     cls = spark.read.parquet(f"{scratch}/mart/ticket_classifications").drop("enriched_at", "run_id")
     assert sorted(cls.collect()) == rules
+
+
+def test_batches_with_hot_copies_keep_every_row(spark):
+    rows = [("TKT-0", "App crashes with error")] * 30 + \
+           [(f"TKT-{i}", f"Refund request {i}") for i in range(1, 61)]
+    tickets = spark.createDataFrame(rows, "ticket_id string, text string")
+    batches = RS.build_ticket_batches(tickets, n_buckets=4)
+    b = batches.collect()
+    assert sum(r.n_items for r in b) == 61 and max(r.n_items for r in b) <= 40
+    content = [(r.batch_id, '{"results": [' + ", ".join(
+        f'{{"id": "{it.id}", "category": "account"}}' for it in r.items) + "]}") for r in b]
+    resp = spark.createDataFrame(content, "batch_id string, content string")
+    out = RS.merge_ticket_responses(tickets, batches, resp).collect()
+    assert len(out) == 90 and {r.category for r in out} == {"account"}

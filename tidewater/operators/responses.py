@@ -33,9 +33,14 @@ def _batches(df: DataFrame, key: str, payload: Column, payload_name: str, prefix
     if n_buckets is None:
         # Sized like the cluster's shuffles; reading a conf runs no job.
         n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    rows = df.select(F.col(key).cast("string").alias("id"), payload.alias(payload_name))
-    rows = rows.withColumn("bucket", key_bucket(F.col("id"), n_buckets))
-    w = Window.partitionBy("bucket").orderBy("id")
+    # Copies of an item (same id and payload) collapse map-side and share one
+    # answer; the bucket hashes id and payload together, so even a hot id with
+    # many distinct payloads spreads over all buckets.
+    rows = (df.select(F.col(key).cast("string").alias("id"), payload.alias(payload_name))
+            .dropDuplicates(["id", payload_name]))
+    rows = rows.withColumn("bucket", key_bucket(
+        F.concat_ws("\u0001", F.col("id"), F.col(payload_name)), n_buckets))
+    w = Window.partitionBy("bucket").orderBy("id", payload_name)
     rows = rows.withColumn("batch_id", F.concat_ws(
         "-", F.col("bucket").cast("string"),
         F.floor((F.row_number().over(w) - 1) / F.lit(batch_size)).cast("string")))

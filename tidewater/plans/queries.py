@@ -591,11 +591,12 @@ N_BUCKETS = 16  # fixed here so the oracle can number batches the same way
 
 def _batch_sql(name: str, src: str, key: str, payload: str, chars: int) -> None:
     O.cte(f"{name}_num", f"""SELECT *, CAST(bucket AS VARCHAR) || '-' ||
-  CAST((ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY id) - 1) // {lx.TICKETS_PER_BATCH} AS VARCHAR)
-  AS batch_id
-FROM (SELECT {key} AS id, substr(COALESCE({payload}, ''), 1, {chars}) AS payload,
-        CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % {N_BUCKETS} AS bucket FROM {src})""",
-          [src])
+  CAST((ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY id, payload) - 1) // {lx.TICKETS_PER_BATCH}
+       AS VARCHAR) AS batch_id
+FROM (SELECT *, CAST(('0x' || substr(md5(id || chr(1) || payload), 1, 8)) AS BIGINT) % {N_BUCKETS}
+        AS bucket
+      FROM (SELECT DISTINCT {key} AS id, substr(COALESCE({payload}, ''), 1, {chars}) AS payload
+            FROM {src}))""", [src])
     O.cte(name, f"""SELECT batch_id, CAST(COUNT(*) AS INTEGER) AS n_items, MIN(id) AS first_id,
   MAX(id) AS last_id FROM {name}_num GROUP BY batch_id""", [f"{name}_num"])
 
