@@ -51,12 +51,17 @@ def lead_score(status: str = "status", source: str = "source", value: str = "est
     return F.expr(f"CAST(greatest(0, least(100, {score})) AS SMALLINT)")
 
 
+# Word boundaries as in the original's regex engine: Unicode-aware, so a digit
+# run glued to an accented letter is not a separate word.
+TIMELINE_REGEX = "(?U)" + lx.TIMELINE_PATTERN
+
+
 def intent_signals(notes: str = "notes") -> Column:
     """Ordered list of matched intent labels, else ``[no_clear_signal]``."""
     t = _lower(notes)
     flags = []
     for label, words in lx.INTENT_SIGNALS:
-        cond = (f"{t} RLIKE {sx.s(lx.TIMELINE_PATTERN)}" if words is None
+        cond = (f"{t} RLIKE {sx.s(TIMELINE_REGEX)}" if words is None
                 else sx.contains_any(t, words))
         flags.append(f"IF({cond}, {sx.s(label)}, NULL)")
     found = f"array_compact(array({', '.join(flags)}))"

@@ -314,3 +314,21 @@ def weighted_hits_sql(text: str, words: list[str]) -> str:
 
 def any_contains_sql(text: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({text}, {q(w)})" for w in dict.fromkeys(words)) + ")"
+
+
+def unicode_boundaries(pattern: str) -> str:
+    """RE2 form of a pattern whose ``\\b`` must be Unicode-aware: each ``\\b``
+    becomes a start/end-or-non-word-character group (fine for a match test)."""
+    word = r"[^\pL\pN_]"
+    out, i, first = [], 0, True
+    while i < len(pattern):
+        if pattern.startswith(r"\b", i):
+            out.append(f"(^|{word})" if first else f"($|{word})")
+            first = not first
+            i += 2
+        else:
+            if pattern[i] == "|":
+                first = True
+            out.append(pattern[i])
+            i += 1
+    return "".join(out)

@@ -145,7 +145,8 @@ def _leads_enriched_sql() -> str:
     ) + f" ELSE {q(lx.SIZE_BAND_DEFAULT)} END"
     flags = []
     for label, words in lx.INTENT_SIGNALS:
-        cond = (f"regexp_matches({t}, {q(lx.TIMELINE_PATTERN)})" if words is None
+        cond = (f"regexp_matches({t}, {q(O.unicode_boundaries(lx.TIMELINE_PATTERN))})"
+                if words is None
                 else O.any_contains_sql(t, words))
         flags.append(f"CASE WHEN {cond} THEN {q(label)} END")
     signals = f"list_filter([{', '.join(flags)}], lambda x: x IS NOT NULL)"
