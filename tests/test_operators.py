@@ -307,3 +307,8 @@ def test_segments_sum_to_daily_on_driver_data(spark):
         (F.col("f") != F.col("net_revenue_eur")) | (F.col("fn") != F.col("n_orders"))
         | F.col("f").isNull() | F.col("net_revenue_eur").isNull())
     assert bad.count() == 0
+
+
+def test_size_band_top_label_option(spark):
+    df = spark.createDataFrame([("1200 people",)], "notes string")
+    assert df.select(L.company_size_band("notes", top_label="1000+")).collect()[0][0] == "1000+"

@@ -14,10 +14,12 @@ from tidewater.functions import lexicon as lx
 from tidewater.functions import sqlexpr as sx
 
 
-def size_band_labels() -> list[tuple[int, int, str]]:
+def size_band_labels(top_label: str = lx.SIZE_BAND_TOP_LABEL) -> list[tuple[int, int, str]]:
+    """Band bounds and labels; the open top band keeps the original's literal
+    label unless ``top_label`` is given (e.g. ``"1000+"`` as the DDL says)."""
     out = []
     for lo, hi in lx.SIZE_BANDS:
-        label = f"{lo}-{hi}" if hi < 10**6 else lx.SIZE_BAND_TOP_LABEL
+        label = f"{lo}-{hi}" if hi < 10**6 else top_label
         out.append((lo, hi, label))
     return out
 
@@ -26,13 +28,13 @@ def _lower(notes: str) -> str:
     return f"lower(coalesce({notes}, ''))"
 
 
-def company_size_band(notes: str = "notes") -> Column:
+def company_size_band(notes: str = "notes", top_label: str = lx.SIZE_BAND_TOP_LABEL) -> Column:
     """First run of 1-4 digits anywhere in the notes -> band; none or 0
     -> the default band."""
     digits = f"regexp_extract({_lower(notes)}, '(\\\\d{{1,4}})', 1)"
     n = f"(CASE WHEN {digits} = '' THEN NULL ELSE try_cast({digits} AS INT) END)"
     whens = " ".join(f"WHEN {n} BETWEEN {lo} AND {hi} THEN {sx.s(label)}"
-                     for lo, hi, label in size_band_labels())
+                     for lo, hi, label in size_band_labels(top_label))
     return F.expr(f"CASE {whens} ELSE {sx.s(lx.SIZE_BAND_DEFAULT)} END")
 
 

@@ -180,3 +180,16 @@ def count_rows_by_name(frames: dict[str, DataFrame], label: str) -> DataFrame:
 def enrichment_counts(outputs: dict[str, DataFrame]) -> DataFrame:
     """Rows per enrichment output and their sum (``table='total'``)."""
     return count_rows_by_name(outputs, "table")
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "append",
+               properties: dict[str, str] | None = None, num_partitions: int | None = None) -> None:
+    """Drop-in for a relational warehouse target (the original loaded
+    PostgreSQL): Spark's JDBC writer, one connection per partition, batched
+    inserts. Nested columns are JSON-encoded first. ``num_partitions`` caps the
+    concurrent connections the database sees. Not exercised in the tests: no
+    database server is available here."""
+    out = encode_nested(df)
+    if num_partitions is not None:
+        out = out.coalesce(num_partitions)
+    out.write.jdbc(url, table, mode=mode, properties=properties or {})
