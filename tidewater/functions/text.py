@@ -31,7 +31,7 @@ def strip_all(c: Column | str) -> Column:
     """Strip leading/trailing Unicode whitespace. ``trim(BOTH set FROM s)`` is
     linear in the string length (a regex ``\\s+$`` is quadratic on long
     interior whitespace runs); plain ``trim`` would only drop spaces."""
-    return F.trim(col_or_name(c), F.lit(WHITESPACE))
+    return F.btrim(col_or_name(c), F.lit(WHITESPACE))
 
 
 def empty_if_null(c: Column | str) -> Column:
