@@ -289,3 +289,33 @@ def test_batches_with_hot_copies_keep_every_row(spark):
     resp = spark.createDataFrame(content, "batch_id string, content string")
     out = RS.merge_ticket_responses(tickets, batches, resp).collect()
     assert len(out) == 90 and {r.category for r in out} == {"account"}
+
+
+def test_csv_quoted_multiline_and_empty_inputs(spark, scratch):
+    _seed(scratch)
+    _write_csv(scratch, "support_tickets", [
+        ["t9", "C-9", "2026-07-01T10:00:00", "email", "en", "Refund, please",
+         'Line one\nline "two", charged twice', "open", "YES"]])
+    t = S.read_source(spark, scratch, "support_tickets").collect()
+    assert len(t) == 1 and t[0].description == 'Line one\nline "two", charged twice'
+    cls = T.classify_tickets(__import__("tidewater.operators.clean", fromlist=["x"])
+                             .clean_tickets(S.read_source(spark, scratch, "support_tickets")))
+    assert cls.collect()[0].category == "billing"
+    empty = S.read_source(spark, scratch, "support_tickets").limit(0)
+    from tidewater.operators import clean as C, reviews as RV, leads as L
+    assert T.classify_tickets(C.clean_tickets(empty)).count() == 0
+    assert RV.summarize_reviews(C.clean_reviews(
+        S.read_source(spark, scratch, "product_reviews").limit(0))).columns == [
+        "product_id", "review_window", "n_reviews", "avg_rating", "summary_en", "summary_fr",
+        "top_themes"]
+    assert L.enrich_leads(C.clean_leads(S.read_source(spark, scratch, "crm_leads").limit(0))) \
+        .columns == ["lead_id", "company_size_band", "lead_score", "intent_signals",
+                     "notes_en", "notes_fr"]
+
+
+def test_to_eur_unknown_currency(spark):
+    from tidewater.operators import clean as C
+    df = spark.createDataFrame([("a", "USD", Decimal("100.00")), ("b", "JPY", Decimal("5.00"))],
+                               "order_id string, currency string, net_revenue_eur decimal(12,2)")
+    out = dict(C.to_eur(df).select("order_id", "net_revenue_eur").collect())
+    assert out == {"a": Decimal("92.00"), "b": None}
