@@ -77,8 +77,14 @@ def review_group_stats(rows: DataFrame) -> DataFrame:
 
 def ranked_bodies(rows: DataFrame, n: int = lx.SUMMARY_MAX_BODIES) -> DataFrame:
     """A4 + W3: the n most frequent bodies per (product, month, scope), ties
-    by first appearance. Scopes: en, fr and all."""
-    per_body = rows.groupBy(*GROUP, "body").agg(
+    by first appearance. Scopes: en, fr and all.
+
+    Counting runs on a SHA-256 digest of the body, so the aggregate shuffles
+    and sorts 64-character keys instead of whole texts; the texts of the <= n
+    winners per group and scope are fetched afterwards with a semi-join (which
+    the planner broadcasts while the winner set is small)."""
+    keyed = rows.withColumn("h", F.sha2(F.col("body"), 256))
+    per_body = keyed.groupBy(*GROUP, "h").agg(
         *[F.count_if(F.col("language") == s).alias(f"cnt_{s}") for s in SCOPES],
         F.count(F.lit(1)).alias("cnt_all"),
         *[F.min(F.when(F.col("language") == s, F.col("first_seen"))).alias(f"first_{s}")
@@ -87,12 +93,17 @@ def ranked_bodies(rows: DataFrame, n: int = lx.SUMMARY_MAX_BODIES) -> DataFrame:
     scopes = F.array(*[F.struct(F.lit(s).alias("scope"), F.col(f"cnt_{s}").alias("cnt"),
                                 F.col(f"first_{s}").alias("first"))
                        for s in SCOPES + ["all"]])
-    exploded = (per_body.select(*GROUP, "body", F.inline(scopes))
+    exploded = (per_body.select(*GROUP, "h", F.inline(scopes))
                 .filter(F.col("cnt") > 0))
     w = Window.partitionBy(*GROUP, "scope").orderBy(F.desc("cnt"), F.asc("first"))
-    return (exploded.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= n)
-            .select(*GROUP, "scope", "rank", "body", F.col("cnt").cast("long").alias("cnt")))
+    ranked = (exploded.withColumn("rank", F.row_number().over(w))
+              .filter(F.col("rank") <= n)
+              .select(*GROUP, "scope", "rank", "h", F.col("cnt").cast("long").alias("cnt")))
+    winners = ranked.select(*GROUP, "h").distinct()
+    texts = (keyed.select(*GROUP, "h", "body").join(winners, [*GROUP, "h"], "left_semi")
+             .dropDuplicates([*GROUP, "h"]))
+    return (ranked.join(texts, [*GROUP, "h"], "inner")
+            .select(*GROUP, "scope", "rank", "body", "cnt"))
 
 
 def extractive_summaries(ranked: DataFrame) -> DataFrame:
