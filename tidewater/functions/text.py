@@ -62,14 +62,6 @@ def weighted_hits(text: Column | str, words: Iterable[str]) -> Column:
     return reduce(lambda a, b: a + b, terms)
 
 
-def first_match_label(conditions: list[tuple[Column, str]], default: str) -> Column:
-    """``when`` chain: label of the first true condition, else ``default``."""
-    expr = None
-    for cond, label in conditions:
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
-
-
 def _marker_regex() -> str:
     """Whole-token match of a marker word: a maximal run of token letters that
     equals the marker. Markers holding a non-letter can never be a token, so

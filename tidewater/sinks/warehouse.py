@@ -18,9 +18,6 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tidewater.schemas import MART_SCHEMAS, RAW_SCHEMAS
 
-HELPER_COLUMNS = ["text"]
-
-
 def conform(df: DataFrame, schema: StructType, now: dt.datetime | None = None) -> DataFrame:
     """K11 + C9: project onto a table schema: cast each column, drop helper
     columns not in the schema, fill ``loaded_at``/``enriched_at`` with ``now``

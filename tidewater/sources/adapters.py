@@ -26,18 +26,6 @@ def pick(values: list[str], index: Column | str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def idiv(c: Column | str, k: int) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c / F.lit(k)).cast("long")
-
-
-def fill(template: Column, values: dict[str, Column]) -> Column:
-    out = template
-    for key, val in values.items():
-        out = F.replace(out, F.lit("{" + key + "}"), val.cast("string"))
-    return out
-
-
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """custkey -> region name. No join hints: the planner broadcasts a side only
     when its estimated size (from file statistics) is below

@@ -45,9 +45,3 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if parts < slots else df
 
 
-def partition_count(df: DataFrame, default: int = 1) -> int:
-    """Planned partition count of ``df`` (no job runs), or ``default``."""
-    try:
-        return max(1, df.rdd.getNumPartitions())
-    except Exception:
-        return default
