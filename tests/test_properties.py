@@ -59,3 +59,28 @@ def test_text_rules_agree_with_oracle(spark, values):
     py_timeline = [bool(re.search(lx.TIMELINE_PATTERN, (v or "").lower())) for v in values]
     assert [("timeline_indicated" in r.sig) for r in got] == py_timeline
     assert [r.stripped for r in got] == [v.strip() for v in values]
+
+
+KW = ["invoice ", "refund", "colis ", "retard", "bug", "500", "erreur ", "cassé", "add ",
+      "feature", "2fa", "mot de passe", "urgent", "data loss", "frustré", "merci", "great ",
+      "can't", "Crash", "ÉRREUR", "Légal", "outage", "DOWN", "thank you", "super", "pire "]
+ticket_texts = st.lists(st.sampled_from(KW + ALPHABET), min_size=0, max_size=20).map("".join)
+
+
+@settings(max_examples=4, deadline=None, derandomize=True, phases=[Phase.generate],
+          suppress_health_check=list(HealthCheck))
+@given(st.lists(ticket_texts, min_size=40, max_size=60))
+def test_classifier_agrees_with_oracle(spark, values):
+    from tidewater.operators import tickets as T
+    df = spark.createDataFrame([(f"t{i}", v) for i, v in enumerate(values)],
+                               "ticket_id string, text string")
+    got = {r.ticket_id: tuple(r[1:]) for r in T.classify_tickets(df).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE tickets_clean (ticket_id VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO tickets_clean VALUES (?, ?)",
+                    [(f"t{i}", v) for i, v in enumerate(values)])
+    sig_sql, _ = O.CTES["ticket_sig"]
+    cls_sql, _ = O.CTES["ticket_cls"]
+    rows = con.execute(f"WITH ticket_sig AS ({sig_sql}) {cls_sql}").fetchall()
+    want = {r[0]: tuple(r[1:]) for r in rows}
+    assert got == want
