@@ -84,3 +84,32 @@ def test_classifier_agrees_with_oracle(spark, values):
     rows = con.execute(f"WITH ticket_sig AS ({sig_sql}) {cls_sql}").fetchall()
     want = {r[0]: tuple(r[1:]) for r in rows}
     assert got == want
+
+
+NOTE_BITS = ["Budget confirmed for Q3", "Pricing objection", "Met at", " people", "~45 ",
+             "Évalue des alternatives à", "Grande équipe", "sso", "prix", "cher ", "annual",
+             "Smaller team than expected", "Spoke with", "T3", "12000", " 0 "]
+lead_rows = st.tuples(st.sampled_from(["new", "contacted", "qualified", "won", "lost", "x", None]),
+                      st.sampled_from(["referral", "event", "organic", "ads", "web", None]),
+                      st.one_of(st.none(), st.integers(-200000, 20000000)),
+                      st.lists(st.sampled_from(NOTE_BITS + ALPHABET), max_size=12).map("".join))
+
+
+@settings(max_examples=4, deadline=None, derandomize=True, phases=[Phase.generate],
+          suppress_health_check=list(HealthCheck))
+@given(st.lists(lead_rows, min_size=30, max_size=50))
+def test_lead_enrichment_agrees_with_oracle(spark, rows):
+    from decimal import Decimal
+    data = [(f"L{i}", st_, so, None if v is None else Decimal(v) / 100, n)
+            for i, (st_, so, v, n) in enumerate(rows)]
+    df = spark.createDataFrame(data, "lead_id string, status string, source string, "
+                                     "est_value_eur decimal(12,2), notes string")
+    got = {r.lead_id: (r.company_size_band, r.lead_score, "|".join(r.intent_signals),
+                       r.notes_en, r.notes_fr) for r in L.enrich_leads(df).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE leads_clean (lead_id VARCHAR, status VARCHAR, source VARCHAR, "
+                "est_value_eur DECIMAL(12,2), notes VARCHAR)")
+    con.executemany("INSERT INTO leads_clean VALUES (?, ?, ?, ?, ?)", data)
+    sql, _ = O.CTES["leads_enriched"]
+    want = {r[0]: (r[1], r[2], "|".join(r[3]), r[4], r[5]) for r in con.execute(sql).fetchall()}
+    assert got == want
