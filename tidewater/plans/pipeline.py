@@ -104,7 +104,7 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
             "lead_enrichments": L.enrich_leads(raw["crm_leads"]),
         }
         if responses is not None:
-            marts = _merge_model(spark, raw, marts, responses, run_id, result)
+            marts = _merge_model(spark, raw, marts, responses, run_id, result, out)
         for table, df in marts.items():
             result.rows_enriched[table] = W.write_mart(df, table, out, run_id, now)
 
@@ -149,19 +149,32 @@ def write_model_requests(spark: SparkSession, out_dir: str, n_buckets: int = 64)
     raw = {n: spark.read.parquet(f"{out}/raw/{n}")
            for n in ("support_tickets", "product_reviews", "crm_leads")}
     reqs = model_requests(raw, n_buckets)
-    return {op: W.commit_write(df.drop("items") if "items" in df.columns else df,
-                               f"{out}/mart/model_requests/{op}")
-            for op, df in reqs.items()}
+    return {op: W.commit_write(df, f"{out}/mart/model_requests/{op}") for op, df in reqs.items()}
 
 
 def _merge_model(spark: SparkSession, raw: dict[str, DataFrame], marts: dict[str, DataFrame],
-                 responses: ModelResponses, run_id: str, result: RunResult) -> dict[str, DataFrame]:
+                 responses: ModelResponses, run_id: str, result: RunResult,
+                 out_dir: str) -> dict[str, DataFrame]:
     """E7-E11 inside the job; fills ``result`` with calls, cost and fallbacks."""
     out = dict(marts)
     calls = []
     statuses = []
+
+    def requests(op: str, build: Callable[[], DataFrame]) -> DataFrame:
+        # Batches written by write_model_requests are read back (no second
+        # shuffle + window over all rows); otherwise rebuilt the same way.
+        path = f"{out_dir}/mart/model_requests/{op}"
+        try:
+            written = spark.read.parquet(path)
+            if "items" in written.columns:
+                return written
+        except Exception:  # no request table for this operation
+            pass
+        return build()
+
     if responses.tickets is not None:
-        batches = RS.build_ticket_batches(raw["support_tickets"], n_buckets=responses.n_buckets)
+        batches = requests("tickets", lambda: RS.build_ticket_batches(
+            raw["support_tickets"], n_buckets=responses.n_buckets))
         out["ticket_classifications"] = RS.merge_ticket_responses(
             raw["support_tickets"], batches, responses.tickets)
         statuses.append(RS.fallback_status("classify_tickets", batches, responses.tickets,
@@ -174,7 +187,8 @@ def _merge_model(spark: SparkSession, raw: dict[str, DataFrame], marts: dict[str
                                            ["product_id", "review_window"]))
         calls.append(base.select(F.lit(1).alias("n_calls")))
     if responses.leads is not None:
-        batches = RS.build_lead_batches(raw["crm_leads"], n_buckets=responses.n_buckets)
+        batches = requests("leads", lambda: RS.build_lead_batches(
+            raw["crm_leads"], n_buckets=responses.n_buckets))
         out["lead_enrichments"] = RS.merge_lead_responses(marts["lead_enrichments"], batches,
                                                           responses.leads)
         statuses.append(RS.fallback_status("enrich_leads", batches, responses.leads,
