@@ -1,6 +1,6 @@
 """Registers the queries of every operator module."""
 
-from tidewater.llm import quality  # noqa: F401
+from tidewater.llm import language_id, quality, secrets, token_counts, url_filter  # noqa: F401
 from tidewater.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
