@@ -1,6 +1,6 @@
 """Registers the queries of every operator module."""
 
-from tidewater.llm import language_id, mixing, neighbours, packing, quality, secrets, similarity_join, token_counts, url_filter  # noqa: F401
+from tidewater.llm import language_id, mixing, neighbours, packing, quality, secrets, similarity_join, substring_dedup, token_counts, url_filter  # noqa: F401
 from tidewater.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
