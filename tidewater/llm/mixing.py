@@ -19,6 +19,7 @@ from tidewater.llm.registry import register
 
 OTHER = "*"       # category of values (and nulls) that the targets don't name
 MAX_CELLS = 100_000
+SHARE = 0.5        # of the tokens is kept
 ROUNDS, TOLERANCE = 500, 1e-9
 
 
@@ -27,53 +28,35 @@ def cell_of(value: Column, targets: dict[str, float]) -> Column:
     return F.when(value.cast("string").isin(named), value.cast("string")).otherwise(OTHER) if named else F.lit(OTHER)
 
 
-def rake(masses: dict[tuple[str, ...], float], targets: list[dict[str, float]],
+def rake(masses: dict[tuple[str, ...], float], targets: list[dict[str, float]], share: float,
          rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> dict[tuple[str, ...], float]:
-    """Shares per cell, proportional to ``masses`` times one factor per category of each
-    dimension, whose marginals are the targets (normalised over the categories that occur)."""
+    """Expected tokens per cell: ``share`` of all tokens, proportional to ``masses`` times one factor
+    per category of each dimension, so that marginals are the targets (normalised over the
+    categories that occur). No cell gives more than it has: where the targets ask for that, the
+    cell stops at its mass and the others are raked around it."""
     cats = [sorted({k[d] for k, m in masses.items() if m > 0}) for d in range(len(targets))]
     if not masses or not all(cats):
         return {}
-    cube = np.zeros([len(c) for c in cats])
+    has = np.zeros([len(c) for c in cats])
     for key, m in masses.items():
         if m > 0:
-            cube[tuple(c.index(k) for c, k in zip(cats, key))] = m
-    cube /= cube.sum()
-    wanted = []
+            has[tuple(c.index(k) for c, k in zip(cats, key))] = m
+    total = has.sum()
+    has /= total
+    cube, wanted = has * share, []
     for c, t in zip(cats, targets):
         w = np.array([max(0.0, t.get(k, 0.0)) for k in c])
-        wanted.append(w / w.sum() if w.sum() > 0 else np.full(len(c), 1 / len(c)))
+        wanted.append(share * (w / w.sum() if w.sum() > 0 else np.full(len(c), 1 / len(c))))
     axes = range(len(cats))
     for _ in range(rounds):
-        off = 0.0
+        before = cube
         for d in axes:
-            rest = tuple(a for a in axes if a != d)
-            now = cube.sum(axis=rest)
-            off = max(off, float(np.abs(now - wanted[d]).max()))
+            now = cube.sum(axis=tuple(a for a in axes if a != d))
             factor = np.divide(wanted[d], now, out=np.zeros_like(now), where=now > 0)
-            cube *= factor.reshape([-1 if a == d else 1 for a in axes])
-        if off < tolerance:
+            cube = np.minimum(cube * factor.reshape([-1 if a == d else 1 for a in axes]), has)
+        if float(np.abs(cube - before).max()) < tolerance:
             break
-    return {key: float(cube[tuple(c.index(k) for c, k in zip(cats, key))]) for key in product(*cats) if masses.get(key, 0) > 0}
-
-
-def keep_probabilities(masses: dict[tuple[str, ...], float], targets: list[dict[str, float]],
-                       budget: float | None = None) -> dict[tuple[str, ...], float]:
-    """Probability per cell. ``budget``: expected tokens kept; None: as many as keep every
-    probability at 1 or less, so that the mix is exact. Above that, probabilities stop at 1
-    and the rest of the budget goes to the other cells in proportion."""
-    shares = rake(masses, targets)
-    if not shares:
-        return {}
-    ratio = {k: s / masses[k] for k, s in shares.items()}
-    if budget is None:
-        return {k: r / max(ratio.values()) for k, r in ratio.items()} if max(ratio.values()) > 0 else ratio
-    lo, hi = 0.0, 1.0 / min((r for r in ratio.values() if r > 0), default=1.0)
-    for _ in range(100):
-        mid = (lo + hi) / 2
-        kept = sum(masses[k] * min(1.0, mid * r) for k, r in ratio.items())
-        lo, hi = (mid, hi) if kept < budget else (lo, mid)
-    return {k: min(1.0, hi * r) for k, r in ratio.items()}
+    return {key: float(total * cube[tuple(c.index(k) for c, k in zip(cats, key))]) for key in product(*cats) if masses.get(key, 0) > 0}
 
 
 def uniform(*cols: str) -> Column:
@@ -82,10 +65,10 @@ def uniform(*cols: str) -> Column:
 
 
 def mix_sources(docs: DataFrame, dims: dict[str, tuple[Column, dict[str, float]]], tokens: Column, draw: Column,
-                budget: float | None = None) -> DataFrame:
+                share: float = SHARE) -> DataFrame:
     """``docs`` with ``mix_cell``, ``mix_probability`` and ``mix_kept`` (replaced if present).
 
-    ``dims``: name -> (value, target share per value; ``*`` for all others and nulls). One small
+    ``share`` of the tokens is kept in expectation. ``dims``: name -> (value, target share per value; ``*`` for all others and nulls). One small
     aggregation gives the token mass per cell: at most the product of the target sizes, checked
     against MAX_CELLS, whatever the data. A cell without tokens, or with a target of 0, is not
     kept. An empty table stays empty.
@@ -96,8 +79,9 @@ def mix_sources(docs: DataFrame, dims: dict[str, tuple[Column, dict[str, float]]
     docs = docs.drop("mix_cell", "mix_probability", "mix_kept")
     cell = F.concat_ws("\x1f", *(cell_of(v, t) for v, t in dims.values()))
     sums = docs.groupBy(cell.alias("c")).agg(F.sum(tokens).cast("double").alias("m")).collect()
-    probability = keep_probabilities({tuple(r["c"].split("\x1f")): r["m"] or 0.0 for r in sums}, targets, budget)
-    pairs = [x for k, p in sorted(probability.items()) for x in (F.lit("\x1f".join(k)), F.lit(float(p)))]
+    masses = {tuple(r["c"].split("\x1f")): r["m"] or 0.0 for r in sums}
+    probability = {k: min(1.0, x / masses[k]) for k, x in rake(masses, targets, share).items()}
+    pairs = [x for k, p in sorted(probability.items()) for x in (F.lit("\x1f".join(k)), F.lit(p))]
     looked_up = F.coalesce(F.create_map(*pairs)[F.col("mix_cell")], F.lit(0.0)) if pairs else F.lit(0.0)
     return (docs.withColumn("mix_cell", cell).withColumn("mix_probability", looked_up)
             .withColumn("mix_kept", draw < F.col("mix_probability"))
@@ -118,14 +102,14 @@ def topic_of(text: Column) -> Column:
             .when(text.rlike(r"\S \| \S+ \| \S"), "listing").otherwise("prose"))
 
 
-def mixed_documents(docs: DataFrame, budget: float | None = None) -> DataFrame:
+def mixed_documents(docs: DataFrame, share: float = SHARE) -> DataFrame:
     """The query's mix over a table with doc_id, text, lang, source: adds ``n_tokens`` (words)
     and the columns of mix_sources. A null text has no tokens and topic prose."""
     docs = docs.drop("n_tokens", "topic")
     words = F.size(F.array_remove(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"\s+"), "")).cast("long")
     docs = docs.withColumns({"n_tokens": words, "topic": topic_of(F.coalesce(F.col("text").cast("string"), F.lit("")))})
     dims = {"source": (F.col("source"), SOURCE_TARGETS), "lang": (F.col("lang"), LANG_TARGETS), "topic": (F.col("topic"), TOPIC_TARGETS)}
-    return mix_sources(docs, dims, F.col("n_tokens"), uniform("doc_id", "text"), budget)
+    return mix_sources(docs, dims, F.col("n_tokens"), uniform("doc_id", "text"), share)
 
 
 @register("op5_source_mixing")
