@@ -1,0 +1,348 @@
+"""Packing, substring removal, mixing, neighbours, similarity join and the pipeline."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidewater.llm import mixing, neighbours, packing, similarity_join, substring_dedup
+from tidewater.llm.components import components
+
+
+# packing -------------------------------------------------------------------
+def best_fit_decreasing(lengths, capacity):
+    free = []
+    for x in sorted(lengths, reverse=True):
+        fits = [k for k, f in enumerate(free) if f >= x]
+        if fits:
+            k = min(fits, key=lambda k: free[k])
+            free[k] -= x
+        else:
+            free.append(capacity - x)
+    return len(free)
+
+
+def test_plan_is_best_fit_and_gapless():
+    rng = random.Random(4)
+    for _ in range(40):
+        capacity = rng.choice([7, 30, 100])
+        lengths = [rng.randint(1, capacity) for _ in range(rng.randint(0, 120))]
+        slots, places, seen = packing.plan_slots(Counter(lengths), capacity), defaultdict(list), Counter()
+        for length, rank, n, first, per, offset in slots:
+            assert rank == seen[length]
+            seen[length] += n
+            for r in range(n):
+                places[first + r // per].append((offset + r % per * length, length))
+        assert seen == Counter(lengths)
+        for at in places.values():
+            end = 0
+            for offset, length in sorted(at):
+                assert offset == end
+                end += length
+            assert end <= capacity
+        assert len(places) == best_fit_decreasing(lengths, capacity)
+    with pytest.raises(ValueError):
+        packing.plan_slots({9: 1}, 8)
+
+
+def test_word_tokenizer_equals_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, mine = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    texts = ["Hello, WORLD! it's don't\tfoo\x1cbar \x85 x", "", "  ", "İstanbul ΣΑΣ Straße 漢字 e\u0301 \u0301x", "<|endoftext|> a<|startoftext|>b",
+             "a1b2 c.d., " + "q" * 500, "Thnt Thnt, thnt; (thnt) thnt:"]
+    for ids, e in zip(mine.encode(texts) + mine.encode(texts), whole.encode_batch(texts, add_special_tokens=False) * 2):
+        assert np.frombuffer(ids, "<u4").tolist() == e.ids + [0]
+
+
+def check_packing(rows, texts, capacity):
+    """rows: pieces; texts: (doc_id, text) with repeats."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = Counter()
+    for doc, text in texts:
+        ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        for k, start in enumerate(range(0, len(ids), capacity)):
+            one = ids[start:start + capacity]
+            want[(doc, k, start, len(one), zlib.crc32(one.tobytes()))] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    places = defaultdict(list)
+    for r in rows:
+        places[r.sequence_id].append((r.offset, r.length))
+    for at in places.values():
+        at.sort()
+        assert at[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(at, at[1:])) and at[-1][0] + at[-1][1] <= capacity
+    assert len(places) == best_fit_decreasing([k[3] for k in want.elements()], capacity)
+
+
+def test_pack_documents(odd_docs, odd_rows, no_docs):
+    import public_tokenizers
+    path = public_tokenizers.path("word_bpe_49k.json")
+    check_packing(packing.pack_documents(odd_docs, path, 64).collect(), [r[:2] for r in odd_rows], 64)
+    assert packing.pack_documents(no_docs, path).count() == 0
+
+
+def test_pack_hot_length(spark, monkeypatch):
+    import public_tokenizers
+    monkeypatch.setattr(packing, "GROUP_ROWS", 7)
+    rows = [(k, "a b c" if k % 3 else "a b") for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    check_packing(packing.pack_documents(df, public_tokenizers.path("word_bpe_49k.json"), 16).collect(), rows, 16)
+
+
+# substring removal ---------------------------------------------------------
+def removed(texts, length):
+    data = [(d, (t or "").encode()) for d, t in texts]
+    seen = Counter(b[s:s + length] for _, b in data for s in range(len(b) - length + 1))
+    out = Counter()
+    for d, b in data:
+        gone = bytearray(len(b))
+        for s in range(len(b) - length + 1):
+            if seen[b[s:s + length]] > 1:
+                gone[s:s + length] = b"\1" * length
+        spans = sum(1 for k in range(len(b)) if gone[k] and (k == 0 or not gone[k - 1]))
+        out[(d, len(b), sum(gone), spans, hashlib.sha256(bytes(c for c, g in zip(b, gone) if not g)).hexdigest())] += 1
+    return out
+
+
+def rows_of(df):
+    return Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect())
+
+
+def test_substring_planted(spark):
+    rng = random.Random(9)
+
+    def text(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    passage, short, unit = text(700), text(399), text(13)
+    texts = [(1, text(500) + passage + text(300)), (2, passage), (3, text(20) + passage[:420] + "é" + passage[421:] + text(9)), (4, short + "1"), (5, "2" + short),
+             (6, unit * 90), (7, "z" * 1500), (8, text(300) + passage[200:650]), (9, text(900)), (9, text(900)), (None, None), (10, ""), (11, passage), (11, passage),
+             (12, text(399)), (13, text(399)), (14, text(5000) + short[:200] + short[:200]), (15, "z" * 400)]
+    texts += [(20 + k, text(50) + passage[k:k + 400 + k] + text(50)) for k in range(40)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert rows_of(substring_dedup.remove_repeats(df)) == removed(texts, 400)
+
+
+def test_substring_small_and_odd(small_docs, odd_docs, odd_rows, no_docs):
+    assert rows_of(substring_dedup.remove_repeats(small_docs)) == removed([(r.doc_id, r.text) for r in small_docs.collect()], 400)
+    assert rows_of(substring_dedup.remove_repeats(odd_docs)) == removed([r[:2] for r in odd_rows], 400)
+    assert substring_dedup.remove_repeats(no_docs).count() == 0
+
+
+def test_runs_cover_every_start(monkeypatch):
+    rng = random.Random(8)
+    data = bytes(rng.choice(b"abcd ") for _ in range(6000)) + b"x" * 1200 + bytes(rng.randrange(256) for _ in range(3000))
+    for chunk in (1 << 20, 700):
+        monkeypatch.setattr(substring_dedup, "CHUNK", chunk)
+        at = 0
+        for s0, s1, lo, hi, _ in substring_dedup.runs_of(data):
+            assert s0 == at and s1 - s0 < 512
+            assert lo >= s1 and hi <= s0 + substring_dedup.LENGTH and hi > lo
+            at = s1 + 1
+        assert at == len(data) - substring_dedup.LENGTH + 1
+
+
+# mixing --------------------------------------------------------------------
+def test_rake_meets_marginals():
+    rng = random.Random(7)
+    masses = {(a, b, c): rng.uniform(50, 100) for a in "pq" for b in "rst" for c in "uv"}
+    targets = [{"p": 0.4, "q": 0.6}, {"r": 0.3, "s": 0.3, "t": 0.4}, {"u": 0.5, "v": 0.5}]
+    got = mixing.rake(masses, targets, 0.5)
+    total = sum(masses.values())
+    assert sum(got.values()) == pytest.approx(total / 2)
+    for d, t in enumerate(targets):
+        for k, share in t.items():
+            assert sum(v for key, v in got.items() if key[d] == k) == pytest.approx(share * total / 2, rel=1e-6)
+    assert all(v <= masses[k] for k, v in got.items())
+    scarce = mixing.rake({("a",): 10.0, ("b",): 90.0}, [{"a": 0.5, "b": 0.5}], 0.5)
+    assert scarce[("a",)] == pytest.approx(10.0)
+    assert mixing.rake({}, targets, 0.5) == {} and mixing.rake({("p",): 0.0}, [{"p": 1}], 0.5) == {}
+
+
+def test_mixing_rows(odd_docs, odd_rows, no_docs, spark):
+    got = mixing.mixed_documents(odd_docs).collect()
+    assert len(got) == len(odd_rows) and all(0 <= r.mix_probability <= 1 for r in got)
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in odd_rows)
+    assert got == mixing.mixed_documents(odd_docs).collect() or Counter((r.doc_id, r.mix_kept) for r in got) == Counter(
+        (r.doc_id, r.mix_kept) for r in mixing.mixed_documents(odd_docs.repartition(7)).collect())
+    assert mixing.mixed_documents(no_docs).count() == 0
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = mixing.mixed_documents(docs).select("lang", "n_tokens", "mix_probability", "mix_kept").collect()
+    expected, total = defaultdict(float), sum(r.n_tokens for r in rows)
+    for r in rows:
+        expected[r.lang] += r.n_tokens * r.mix_probability
+    for lang in ("en", "fr", "de", "es"):
+        assert expected[lang] / sum(expected.values()) == pytest.approx(mixing.LANG_TARGETS[lang], abs=0.03)
+    assert sum(expected.values()) == pytest.approx(total / 2, rel=0.03)
+    assert sum(r.n_tokens for r in rows if r.mix_kept) == pytest.approx(total / 2, rel=0.15)
+
+
+# neighbours ----------------------------------------------------------------
+def test_index_finds_every_code_within_radius():
+    rng = np.random.default_rng(1)
+    codes = rng.integers(0, 1 << 16, (400, 4)).astype(np.uint16)
+    codes[200:] = codes[:200] ^ rng.choice(np.array([0, 1, 256, 1028], np.uint16), (200, 4))
+    index = neighbours.SubstringIndex(codes)
+    for radius in (0, 3, 7, 11, 30, 64):
+        for q in codes[::40]:
+            assert set(index.within(q, radius)) == set(np.flatnonzero(neighbours.hamming(codes, q) <= radius))
+
+
+def test_neighbour_recall_and_order(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = df.orderBy("vec_id").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = defaultdict(list)
+    for r in neighbours.nearest_neighbours(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    hits, queries = 0, [k for k, v in enumerate(ids) if v % 50 == 0]
+    for k in queries:
+        score = unit @ unit[k]
+        score[k] = -2
+        best = ids[np.lexsort((ids, -score))][:5]
+        mine = got[ids[k]]
+        hits += len({v for v, _ in mine} & set(best))
+        assert len(mine) == 5 and all(a[1] > b[1] or a[1] == b[1] and a[0] < b[0] for a, b in zip(mine, mine[1:]))
+        assert all(s == pytest.approx(float(score[np.searchsorted(ids, v)]), abs=1e-12) for v, s in mine)
+    assert hits / (5 * len(queries)) >= 0.9
+
+
+def test_neighbour_odd_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 1.0]), (4, None), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]),
+            (7, [None, 1.0]), (None, [1.0, 0.0]), (8, [1.0, 2.0, 3.0]), (9, [float("inf"), 1.0]), (100, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("rank", F.lit("x"))
+    got = neighbours.nearest_neighbours(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id) for r in got] == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (0, 4, 50), (50, 1, 3), (50, 2, 0), (50, 3, 1), (50, 4, 2)]
+    assert neighbours.nearest_neighbours(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+# similarity join -----------------------------------------------------------
+def brute_links(texts):
+    sets = []
+    for _, t in texts:
+        w = (t or "").split()
+        sets.append(frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset())
+    n, root, links = len(texts), list(range(len(texts))), [0] * len(texts)
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+    for a in range(n):
+        for b in range(a):
+            shared = len(sets[a] & sets[b])
+            if shared and 5 * shared >= 4 * len(sets[a] | sets[b]):
+                links[a] += 1
+                links[b] += 1
+                root[find(a)] = find(b)
+    groups = defaultdict(list)
+    for a in range(n):
+        groups[find(a)].append(texts[a][0])
+    out = Counter()
+    for a in range(n):
+        known = [d for d in groups[find(a)] if d is not None]
+        out[(texts[a][0], min(known) if known else None, links[a])] += 1
+    return out
+
+
+def near_copies(seed, groups, copies):
+    rng = random.Random(seed)
+    texts, k = [], 0
+    for _ in range(groups):
+        base = [f"w{rng.randrange(4000)}" for _ in range(rng.randint(30, 120))]
+        for _ in range(copies):
+            own = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                own[rng.randrange(len(own))] = f"n{rng.randrange(10**6)}"
+            texts.append((k, " ".join(own)))
+            k += 1
+    return texts
+
+
+def linked(df):
+    return Counter((r.doc_id, r.class_id, r.n_links) for r in similarity_join.link_documents(df).collect())
+
+
+def test_similarity_join_equals_brute_force(spark, small_docs, odd_docs, odd_rows, no_docs):
+    texts = near_copies(1, 25, 6)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    want, got = brute_links(texts), linked(df)
+    assert sum((want & got).values()) >= 0.99 * len(texts)  # a link is missed with a chance of 6e-5
+    assert linked(odd_docs) == brute_links([r[:2] for r in odd_rows])
+    assert linked(small_docs) == brute_links([(r.doc_id, r.text) for r in small_docs.collect()])
+    assert linked(no_docs) == Counter()
+
+
+def test_similarity_join_large_leaves(spark, monkeypatch):
+    """Buckets over LEAF: a common passage that splits, a group of near copies that is compared in blocks."""
+    monkeypatch.setattr(similarity_join, "LEAF", 8)
+    monkeypatch.setattr(similarity_join, "BLOCK", 10)
+    rng = random.Random(2)
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts = [(1000 + k, passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(40))) for k in range(60)] + near_copies(3, 2, 45)
+    got = linked(spark.createDataFrame(texts, "doc_id long, text string").repartition(4))
+    assert sum((brute_links(texts) & got).values()) >= 0.98 * len(texts)
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(5)
+    lists = [np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64)) for _ in range(50)]
+    want = np.array([[len(set(a) & set(b)) if i != j else 0 for j, b in enumerate(lists)] for i, a in enumerate(lists)])
+    assert (similarity_join.shared_counts(lists) == want).all()
+    assert (similarity_join.shared_counts(lists, 20) == want[:20, 20:]).all()
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    edges = [(k, k + 1) for k in range(0, 40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(40)] + [(500, 500)]
+    root = {v: v for e in edges for v in e}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {v: find(v) for v in root if find(v) != v}
+
+
+# pipeline ------------------------------------------------------------------
+def test_pipeline_stages(spark, odd_rows):
+    import corpus_pipeline as P
+    from tidewater.llm.common import written
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), "clash", "clash") for r in odd_rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, score string, n_tokens string")
+    docs = written(docs, "test")
+    assert [n for n, _ in P.STAGES] == ["language_id", "near_duplicates", "secrets", "source_mixing", "packing"]
+    kept = written(P.language_stage(spark, docs, ""), "t1")
+    assert kept.columns == docs.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert not ids.keys() & {5, 6, 7, 12} and ids[1] == 1 and ids[4] == 2
+    unique = written(P.near_duplicate_stage(spark, kept, ""), "t2")
+    texts = [(k, r.text) for k, r in enumerate(unique.collect())]
+    assert unique.columns == docs.columns and all(n == 0 for _, _, n in brute_links(texts))
+    assert {r.doc_id for r in unique.collect()} & {4, 8, 10, 11} == {4, 8, 10, 11} & set(ids)
+    clean = written(P.secret_stage(spark, unique, ""), "t3")
+    assert clean.columns == docs.columns and clean.count() == unique.count()
+    assert all(r.n_chars == len(r.text) and "24be64439e" not in r.text for r in clean.collect())
+    mixed = written(P.mixing_stage(spark, clean, ""), "t4")
+    assert mixed.columns == docs.columns and mixed.exceptAll(clean).count() == 0
+    packed = P.packing_stage(spark, mixed, "").collect()
+    check_packing(packed, [(r.doc_id, r.text) for r in mixed.collect()], packing.CAPACITY)
+
+
+def test_pipeline_runs_and_takes_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as P
+    spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0).write.parquet(f"file://{tmp_path}/documents.parquet")
+    assert P.run(spark, f"file://{tmp_path}").count() == 0
+    assert P.run(spark, "/root/testdata/sf0.001").count() > 0

@@ -1,0 +1,191 @@
+"""Quality, URL rules, secrets, token counts, language ID: one row in, one row out."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidewater.llm import language_id, quality, secrets, token_counts, url_filter
+
+
+# quality -------------------------------------------------------------------
+def base_counts(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    wins = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+    hit = set()
+    for i in range(len(words) - 4):
+        if wins[tuple(words[i:i + 5])] > 1:
+            hit.update(range(i, i + 5))
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(hit),
+            len(words) < 10 or 100 * len(hit) > 20 * len(words))
+
+
+def test_quality_base_counts(odd_docs, odd_rows, small_docs):
+    got = quality.judge_quality(odd_docs).collect()
+    want = Counter((r[0], *base_counts(r[1] or "")) for r in odd_rows)
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert Counter(tuple(r[c] for c in names) for r in got) == want
+    assert not any(r.kept for r in got if r.base_failed)
+    texts = {r.doc_id: r.text for r in small_docs.collect()}
+    for r in quality.judge_quality(small_docs).collect():
+        assert tuple(r[c] for c in names[1:]) == base_counts(texts[r.doc_id])
+
+
+def test_quality_distance_and_guards(spark):
+    from pyspark.sql import functions as F
+    row = spark.createDataFrame([([3.0, 1.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])], "p array<double>, q array<double>").select(
+        quality.js_distance(F.col("p"), F.col("q")).alias("d")).collect()
+    p, q = (0.75, 0.25), (0.5, 0.5)
+    want = math.sqrt(sum((a * math.log2(2 * a / (a + b)) + b * math.log2(2 * b / (a + b))) / 2 for a, b in zip(p, q)))
+    assert row[0].d == pytest.approx(want) and row[1].d is None
+
+
+def test_quality_separates_junk(spark, small_docs):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = quality.judge_quality(docs).join(labels, "doc_id").select("quality", "kept", "base_failed").collect()
+    assert all(r.kept or r.base_failed for r in rows if r.quality == 1)
+    bad = [r.kept for r in rows if r.quality == 0]
+    assert sum(bad) <= 0.05 * len(bad)
+
+
+def test_quality_empty(no_docs):
+    assert quality.judge_quality(no_docs).count() == 0
+
+
+# URL rules -----------------------------------------------------------------
+def test_automaton_equals_regex():
+    rng = random.Random(1)
+    globs = ["".join(rng.choice(["a", "b", "/", "?", "*", "**", "é"]) for _ in range(rng.randint(0, 6))) for _ in range(150)]
+    globs = [g for g in globs if "***" not in g]
+    texts = ["".join(rng.choice("ab/éz") for _ in range(rng.randint(0, 9))) for _ in range(200)] + ["", "ab" * 3000]
+    machine = url_filter.Automaton(url_filter.Rule(g, "block", (g,)) for g in globs)
+    bits = machine.run(texts)
+    assert machine.words > 3
+    for bit, r in machine.finals:
+        pattern = re.compile(url_filter.glob_regex(globs[r]), re.S)
+        got = [bool(int(b[bit // 64]) >> (bit % 64) & 1) for b in bits]
+        assert got == [bool(pattern.fullmatch(t)) for t in texts], globs[r]
+
+
+def test_url_verdicts(spark):
+    urls = {
+        1: ("http://A.Example.NET/en/x?y", "a.example.net", "/en/x", "example.net/en/", "allow"),
+        2: ("https://b.net/x", "b.net", "/x", "net/", "block"), 3: ("https://b.net", "b.net", "", None, "allow"),
+        4: (None, "", "", None, "allow"), 5: ("no scheme", "", "", None, "allow"),
+        6: ("x://example.org/fr/1#t", "example.org", "/fr/1", "org/fr/", "allow"),
+        7: ("http://my-casino.example.org/x", "my-casino.example.org", "/x", None, "block"),
+        8: ("http://x.org/a.net/", "x.org", "/a.net/", None, "allow"), 9: ("", "", "", None, "allow"),
+    }
+    rows = [(k, v[0], "clash") for k, v in urls.items()] + [(None, urls[2][0], "c"), (2, urls[2][0], "c")]
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, rule string")).collect()
+    for r in got:
+        assert (r.host, r.path, r.rule, r.verdict) == urls[r.page_id or 2][1:], r
+    assert len(got) == len(rows)
+    assert url_filter.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+# secrets -------------------------------------------------------------------
+def plain_base(text):
+    found = []
+    for k, (pattern, flags, ok) in enumerate((
+            (r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, lambda m: len(m[2]) >= 12),
+            (r"AKIA[A-Z0-9]+", 0, lambda m: len(m[0]) >= 18), (r"[0-9a-f]+", 0, lambda m: len(m[0]) >= 16))):
+        found += [(m.start(), k, m.end()) for m in re.finditer(pattern, text, flags) if ok(m)]
+    return sorted(found)
+
+
+def entropy(s):
+    return -sum(c / len(s) * math.log2(c / len(s)) for c in Counter(s).values())
+
+
+def test_secret_base_spans():
+    rng = random.Random(5)
+    bits = ["token", "API_KEY", "=", " ", ":", '"', "AKIA", "ABCD1234", "0123456789abcdef", "fade", "x", "AKIAAKIA", "é", "passwd", "Zz9+/"]
+    for _ in range(600):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+        assert secrets.base_spans(text) == plain_base(text), text
+
+
+def test_entropy_windows():
+    rng = random.Random(6)
+    for _ in range(200):
+        s = "".join(rng.choice("abcdefgh0123") for _ in range(rng.randint(0, 60)))
+        want = set()
+        for i in range(len(s) - 11):
+            if entropy(s[i:i + 12]) >= 2.9 - 1e-10:
+                want.update(range(i, i + 12))
+        got = {x for a, b in secrets.window_hits(s, 12, 2.9) for x in range(a, b)}
+        assert got == want, s
+
+
+def test_entropy_allow_list():
+    assert not secrets.entropy_spans("internationalization-and-localization 123e4567-e89b-12d3-a456-426614174000 " + "AbCdEfGhIjKlMnOpQrStUvWxYz")
+    key = "q7Rz0Lw2Vb9Xk4Tn8Ys1Gd6Hf3"
+    assert secrets.entropy_spans(f"use {key} now") == [(4, 3, 4 + len(key))]
+
+
+def test_secret_scan_rows(odd_docs, odd_rows, no_docs):
+    got = secrets.scan_secrets(odd_docs).collect()
+    assert len(got) == len(odd_rows)
+    assert [s.kind for s in next(r for r in got if r.doc_id == 11).spans] == ["assign", "hex", "entropy"]
+    assert secrets.scan_secrets(no_docs).count() == 0
+    masked = {r.doc_id: r.text for r in secrets.mask_secrets(odd_docs).collect()}
+    assert masked[11] == '[SECRET]" ok' and masked[5] is None and masked[6] == ""
+
+
+# token counts --------------------------------------------------------------
+def brute_segment(word, scores, byte):
+    best = [(0.0, 0)]
+    for i in range(1, len(word) + 1):
+        n = len(word[i - 1].encode())
+        options = [(best[i - 1][0] + n * byte, -(best[i - 1][1] + n))]
+        options += [(best[j][0] + scores[word[j:i]], -(best[j][1] + 1)) for j in range(i) if word[j:i] in scores]
+        top = max(options)
+        best.append((top[0], -top[1]))
+    return best[-1][1]
+
+
+def test_trie_counts():
+    import public_tokenizers
+    scores, byte, longest = token_counts.load_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(2)
+    words = ["▁" + "".join(rng.choice(["the", "ing", "a", "e", "s", "漢", "😀", "tion", "Z"]) for _ in range(rng.randint(0, 7))) for _ in range(400)]
+    counter = token_counts.TrieCounter(scores, byte, longest)
+    counter.add(words)
+    for w in set(words):
+        assert counter.stored[w] == brute_segment(w, scores, byte), w
+    assert counter.nodes == len({w[:i] for w in words for i in range(1, len(w) + 1)})  # each trie node once
+
+
+def test_token_count_rows(odd_docs, odd_rows, no_docs):
+    import public_tokenizers
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    got = token_counts.count_tokens(odd_docs, path, rows=4).collect()
+    assert Counter((r.doc_id, r.n_pretokens) for r in got) == Counter((r[0], len((r[1] or "").split())) for r in odd_rows)
+    assert all((r.n_tokens == 0) == (r.n_pretokens == 0) for r in got)
+    assert token_counts.count_tokens(no_docs, path).count() == 0
+
+
+# language ID ---------------------------------------------------------------
+def test_language_held_out_accuracy(spark):
+    import zlib
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = language_id.identify_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in rows)
+    held = [r.lang == r.lang_pred for r in rows if r.held_out]
+    assert np.mean(held) > 0.97
+
+
+def test_language_odd_rows(odd_docs, odd_rows, no_docs):
+    got = language_id.identify_languages(odd_docs).collect()
+    assert len(got) == len(odd_rows)
+    assert all(r.lang_pred == "und" and r.score == 0 for r in got if r.doc_id in (5, 6, 7, 12))
+    assert all(r.lang_pred in {"en", "fr", "de", "es", "xx"} for r in got if r.doc_id in (1, 2, 3, 8, 10))
+    assert language_id.identify_languages(no_docs).count() == 0
+    assert all(r.lang_pred == "und" for r in language_id.identify_languages(odd_docs.withColumn("lang", odd_docs.lang.substr(0, 0)).where("lang is null")).collect())
