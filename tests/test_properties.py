@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import leads as L
 from tidewater.functions.text import detect_language, strip_all
 from tidewater.plans import oracle as O
-from tidewater.plans.queries import lang_sql
+from tidewater.plans.queries import lang_sql, size_number_sql
 
 ALPHABET = list("abcdeilmnopqrstuvxyzAEIOQT'-.,~ 0123456789éèàçÉÀüô\t\n") + \
     ["le ", "la ", "les ", "vous ", "merci ", "q3 ", "Q1", "t2", "prix", "budget ", "api",
@@ -38,8 +38,7 @@ def test_text_rules_agree_with_oracle(spark, values):
     band_sql = ("CASE " + " ".join(f"WHEN n BETWEEN {lo} AND {hi} THEN '{lab}'"
                                    for lo, hi, lab in L.size_band_labels())
                 + " ELSE '11-50' END")
-    n = ("(CASE WHEN regexp_extract(lower(COALESCE(notes, '')), '(\\d{1,4})', 1) = '' THEN NULL "
-         "ELSE TRY_CAST(regexp_extract(lower(COALESCE(notes, '')), '(\\d{1,4})', 1) AS INTEGER) END)")
+    n = f"({size_number_sql("lower(COALESCE(notes, ''))")})"
     assert [r.lang for r in got] == _duck(lang_sql("notes"), values)
     assert [r.band for r in got] == _duck(band_sql.replace("n BETWEEN", f"{n} BETWEEN"), values)
     assert [r.stripped for r in got] == _duck(O.strip("notes"), values)

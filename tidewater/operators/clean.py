@@ -1,21 +1,26 @@
 """Cleaning and typing of the five sources.
 
 Narrow, shuffle-free projections: ``try_cast`` for every string -> number
-(ANSI mode stays on), ``coalesce`` for defaults, ``dropna`` for required keys.
+(ANSI mode stays on), ``coalesce`` for defaults. Rows without a required value
+are kept apart with a reason (``rejected_rows``), never dropped unseen.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
 from tidewater.functions.text import empty_if_null, strip_all
 
-MONEY = "decimal(12,2)"
+MONEY_IN = "decimal(26,6)"  # as read: rounded once, at the end
+MONEY = "decimal(24,2)"
+REJECT = "reject_reason"
 
 
-def normalize_money(df: DataFrame, cols: list[str], dtype: str = MONEY) -> DataFrame:
+def normalize_money(df: DataFrame, cols: list[str], dtype: str = MONEY_IN) -> DataFrame:
     """Listed money columns that exist -> decimal; unparseable -> null."""
     present = set(df.columns)
     return df.select(*[
@@ -23,28 +28,40 @@ def normalize_money(df: DataFrame, cols: list[str], dtype: str = MONEY) -> DataF
         for c in df.columns])
 
 
-def _int_truncated(c: Column, default: int | None) -> Column:
-    """Number text -> int, truncating toward zero; null -> ``default``."""
-    d = c.cast("string").try_cast("double")
-    if default is not None:
-        d = F.coalesce(d, F.lit(float(default)))
-    return F.when(d.isNull() | F.isnan(d), F.lit(None).cast("int")).otherwise(
-        d.try_cast("int"))
+def _whole(c: Column) -> Column:
+    """Number text -> bigint toward zero; 0 where it is no number, null where it does not fit."""
+    text = c.cast("string")
+    number = text.try_cast("double")
+    return (F.when(number.isNull() | F.isnan(number), F.lit(0).cast("bigint"))
+            .otherwise(text.try_cast("decimal(38,6)").try_cast("bigint")))
 
 
-def clean_orders(df: DataFrame) -> DataFrame:
-    """Money typed, net := round(gross - discount, 2), units null -> 0,
-    rows without order_id / order_date / channel / region / net dropped."""
-    df = normalize_money(df, ["gross_revenue_eur", "discount_eur", "net_revenue_eur"])
-    out = df.select(
+def _judged(df: DataFrame, required: list[str]) -> DataFrame:
+    """Adds ``reject_reason``: the first required column that is null, else null."""
+    reason = F.lit(None).cast("string")
+    for c in reversed(required):
+        reason = F.when(F.col(c).isNull(), F.lit(c)).otherwise(reason)
+    return df.withColumn(REJECT, reason)
+
+
+def judge_orders(df: DataFrame) -> DataFrame:
+    """C2 with every row: money typed, net := round(gross - discount, 2) (rounded once), units
+    null -> 0; ``reject_reason`` names what a row lacks, a value too large to keep included."""
+    df = normalize_money(df, ["gross_revenue_eur", "discount_eur"])
+    return _judged(df.select(
         F.col("order_id").cast("string").alias("order_id"),
         F.col("customer_id").cast("string").alias("customer_id"),
         F.col("order_date").cast("string").try_cast("date").alias("order_date"),
         "channel", "region", "currency", "gross_revenue_eur", "discount_eur",
         F.round(F.col("gross_revenue_eur") - F.col("discount_eur"), 2).cast(MONEY)
          .alias("net_revenue_eur"),
-        _int_truncated(F.col("units"), 0).alias("units"))
-    return out.dropna(subset=["order_id", "order_date", "channel", "region", "net_revenue_eur"])
+        _whole(F.col("units")).alias("units")),
+        ["order_id", "order_date", "channel", "region", "net_revenue_eur", "units"])
+
+
+def clean_orders(df: DataFrame) -> DataFrame:
+    """The accepted rows of judge_orders."""
+    return judge_orders(df).where(F.col(REJECT).isNull()).drop(REJECT)
 
 
 def clean_tickets(df: DataFrame) -> DataFrame:
@@ -62,36 +79,48 @@ def clean_tickets(df: DataFrame) -> DataFrame:
         strip_all(F.concat(subject, F.lit(". "), desc)).alias("text"))
 
 
-def clean_reviews(df: DataFrame) -> DataFrame:
-    """C4: title/body null -> '' stripped, ``text`` helper, rating integer.
+def judge_reviews(df: DataFrame) -> DataFrame:
+    """C4 with every row: title/body null -> '' stripped, ``text`` helper, rating integer.
 
-    A fractional rating fails the whole load in the original; here it becomes
-    null and the row is dropped with the other rows missing a required key.
+    A fractional rating fails the whole load in the original; here the row is
+    rejected like the other rows without a required value.
     """
     title = strip_all(empty_if_null("title"))
     body = strip_all(empty_if_null("body"))
     r = F.col("rating").cast("string").try_cast("double")
     rating = F.when(r == F.floor(r), r.try_cast("int"))
     verified = F.lower(F.col("verified").cast("string")).isin(lx.TRUE_TOKENS)
-    out = df.select(
+    return _judged(df.select(
         "review_id", "product_id", "product_name",
         F.col("created_at").cast("string").try_cast("timestamp_ntz").alias("created_at"),
         rating.alias("rating"), "language",
         title.alias("title"), body.alias("body"),
         F.coalesce(verified, F.lit(False)).alias("verified"),
-        strip_all(F.concat(title, F.lit(". "), body)).alias("text"))
-    return out.dropna(subset=["review_id", "product_id", "rating"])
+        strip_all(F.concat(title, F.lit(". "), body)).alias("text")),
+        ["review_id", "product_id", "rating"])
 
 
-def clean_web(df: DataFrame) -> DataFrame:
-    """sessions/pageviews numeric, null -> 0, int; rates numeric (null kept)."""
-    return df.select(
+def clean_reviews(df: DataFrame) -> DataFrame:
+    """C4: the accepted rows of judge_reviews."""
+    return judge_reviews(df).where(F.col(REJECT).isNull()).drop(REJECT)
+
+
+def judge_web(df: DataFrame) -> DataFrame:
+    """C5 with every row: sessions/pageviews whole numbers (no number -> 0), rates numeric
+    (null kept); a row without a key or with a count too large to keep is rejected."""
+    return _judged(df.select(
         F.col("event_date").cast("string").try_cast("date").alias("event_date"),
         "page_path", "country", "device",
-        _int_truncated(F.col("sessions"), 0).alias("sessions"),
-        _int_truncated(F.col("pageviews"), 0).alias("pageviews"),
+        _whole(F.col("sessions")).alias("sessions"),
+        _whole(F.col("pageviews")).alias("pageviews"),
         F.col("bounce_rate").cast("string").try_cast("decimal(10,2)").alias("bounce_rate"),
-        F.col("avg_session_sec").cast("string").try_cast("decimal(10,2)").alias("avg_session_sec"))
+        F.col("avg_session_sec").cast("string").try_cast("decimal(10,2)").alias("avg_session_sec")),
+        ["event_date", "page_path", "country", "device", "sessions", "pageviews"])
+
+
+def clean_web(df: DataFrame) -> DataFrame:
+    """The accepted rows of judge_web."""
+    return judge_web(df).where(F.col(REJECT).isNull()).drop(REJECT)
 
 
 def clean_leads(df: DataFrame) -> DataFrame:
@@ -100,7 +129,7 @@ def clean_leads(df: DataFrame) -> DataFrame:
         "lead_id", "company_name", "industry", "region",
         F.col("created_at").cast("string").try_cast("timestamp_ntz").alias("created_at"),
         "source", "status",
-        F.col("est_value_eur").cast("string").try_cast(MONEY).alias("est_value_eur"),
+        F.round(F.col("est_value_eur").cast("string").try_cast(MONEY_IN), 2).cast(MONEY).alias("est_value_eur"),
         strip_all(empty_if_null("notes")).alias("notes"))
 
 
@@ -113,6 +142,36 @@ CLEANERS = {
 }
 
 
+# Sources whose rows can be rejected: (judge, key columns of the reject table).
+JUDGES = {
+    "orders": (judge_orders, ["order_id"]),
+    "product_reviews": (judge_reviews, ["review_id"]),
+    "web_analytics": (judge_web, ["event_date", "page_path", "country", "device"]),
+}
+
+
+def rejected_rows(sources: dict[str, DataFrame]) -> DataFrame:
+    """Every row that cleaning or summarising leaves out: ``table``, ``row_key``, ``reason`` and
+    the typed row as JSON. An accepted review without a timestamp has no month and is listed
+    under ``review_summaries``. Sources without a required value reject nothing."""
+    parts = []
+    for name, df in sources.items():
+        if name not in JUDGES:
+            continue
+        judge, keys = JUDGES[name]
+        rows = judge(df)
+        checks = [(name, rows.where(F.col(REJECT).isNotNull()), F.col(REJECT))]
+        if name == "product_reviews":
+            checks.append(("review_summaries", rows.where(F.col(REJECT).isNull() & F.col("created_at").isNull()), F.lit("created_at")))
+        for table, bad, reason in checks:
+            kept = [c for c in rows.columns if c not in (REJECT, "text")]
+            parts.append(bad.select(F.lit(table).alias("table"), F.concat_ws("|", *keys).alias("row_key"),
+                                    reason.alias("reason"), F.to_json(F.struct(*kept)).alias("row")))
+    if not parts:
+        raise ValueError("no source that can reject rows")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def to_eur(orders: DataFrame, rates: dict[str, str] | None = None) -> DataFrame:
     """Convert money columns to EUR by ``currency`` (opt-in; the original
     declares the rates but never applies them). Unknown currency -> null.

@@ -20,7 +20,7 @@ def dashboard_kpis(orders: DataFrame, tickets: DataFrame, leads: DataFrame) -> D
     The three inputs are tagged and unioned, then one global aggregate (partial
     sums on every partition) produces the row: one pass, no join.
     """
-    money = "decimal(18,2)"
+    money = "decimal(30,2)"
     parts = orders.select(F.col("net_revenue_eur").cast(money).alias("rev"),
                           F.lit(1).alias("o"), F.lit(0).alias("t"), F.lit(0).alias("ld"))
     parts = parts.unionByName(tickets.select(F.lit(None).cast(money).alias("rev"),

@@ -29,10 +29,10 @@ def _lower(notes: str) -> str:
 
 
 def company_size_band(notes: str = "notes", top_label: str = lx.SIZE_BAND_TOP_LABEL) -> Column:
-    """First run of 1-4 digits anywhere in the notes -> band; none or 0
-    -> the default band."""
-    digits = f"regexp_extract({_lower(notes)}, '(\\\\d{{1,4}})', 1)"
-    n = f"(CASE WHEN {digits} = '' THEN NULL ELSE try_cast({digits} AS INT) END)"
+    """First run of digits anywhere in the notes, read whole -> band; none
+    or 0 -> the default band; a number beyond the top band belongs to it."""
+    digits = f"ltrim('0', regexp_extract({_lower(notes)}, '([0-9]+)', 1))"
+    n = f"(CASE WHEN {digits} = '' THEN NULL WHEN length({digits}) > 9 THEN {lx.SIZE_BANDS[-1][1]} ELSE CAST({digits} AS INT) END)"
     whens = " ".join(f"WHEN {n} BETWEEN {lo} AND {hi} THEN {sx.s(label)}"
                      for lo, hi, label in size_band_labels(top_label))
     return F.expr(f"CASE {whens} ELSE {sx.s(lx.SIZE_BAND_DEFAULT)} END")
@@ -43,8 +43,8 @@ def lead_score(status: str = "status", source: str = "source", value: str = "est
     """30 + status + source + value points (capped) + signal bonus -
     objection malus, clamped to 0..100."""
     t = _lower(notes)
-    value_pts = (f"(CASE WHEN {value} IS NULL THEN 0 ELSE least({lx.VALUE_POINTS_CAP}, "
-                 f"CAST(CAST({value} AS DECIMAL(18,4)) / {lx.VALUE_POINTS_DIVISOR} AS INT)) END)")
+    value_pts = (f"(CASE WHEN {value} IS NULL THEN 0 ELSE "
+                 f"CAST(least({lx.VALUE_POINTS_CAP}, greatest(-1000000, CAST({value} AS DECIMAL(28,4)) / {lx.VALUE_POINTS_DIVISOR})) AS INT) END)")
     score = (f"{lx.LEAD_SCORE_BASE} + {sx.case_map(status, lx.STATUS_POINTS, '0')} "
              f"+ {sx.case_map(source, lx.SOURCE_POINTS, '0')} + {value_pts} "
              f"+ IF({sx.contains_any(t, lx.POSITIVE_SIGNAL_WORDS)}, "

@@ -5,15 +5,18 @@ The HTTP client is outside this library. What remains is table work: build
 request rows from the business tables, and merge a *responses table*
 ``(batch_id | keys, content)`` written by whatever called the model.
 
-Batching at scale: rows are hashed into buckets (md5 of the key, so any
-engine can reproduce it) and numbered inside their bucket, so no global
-window ever pulls all rows into one task. The default bucket count follows
-``spark.sql.shuffle.partitions``, which a cluster sizes to its data.
+Batching at scale: rows are hashed into buckets (md5 of id and payload, so any
+engine can reproduce it) whose number follows the number of rows, so a bucket
+stays as large as it is however the table grows. Copies collapse before the
+one shuffle of the payload; batches are slices of a bucket's sorted items.
+
+Nothing here runs a job while a plan is built: row counts and fallback flags
+are scalar subqueries of the plan that uses them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
@@ -21,52 +24,77 @@ from tidewater.functions.text import clamp_float, coerce_enum, detect_language,
 from tidewater.operators.clean import with_text
 from tidewater.operators.tickets import classify_tickets
 
-
-def key_bucket(key: Column, n_buckets: int) -> Column:
+BUCKET_ROWS = 4000
+
+TICKET_SYSTEM = (
+    "You label support tickets written in any language. Answer with one JSON object and nothing else: "
+    '{"results": [{"id": text, "category": label, "sentiment": label, "urgency": label, "confidence": number}]}. '
+    f"category is one of {', '.join(lx.CATEGORY_LABELS)}; sentiment one of {', '.join(lx.SENTIMENT_LABELS)}; "
+    f"urgency one of {', '.join(lx.URGENCY_LABELS)}; confidence lies between 0 and 1. "
+    "Give one result per ticket under its own id and leave the texts untranslated.")
+REVIEW_SYSTEM = (
+    "You sum up product reviews in two languages. Answer with one JSON object and nothing else: "
+    '{"summary_en": English text, "summary_fr": French text}, at most 40 words each.')
+LEAD_SYSTEM = (
+    "You translate sales notes between English and French. Answer with one JSON object and nothing else: "
+    '{"results": [{"id": text, "notes_en": English text, "notes_fr": French text}]}. '
+    "Give one result per lead under its own id; keep a note that is already in the language.")
+
+# What a response may hold, as from_json schemas: last of repeated keys wins, NaN is a number.
+TICKET_RESULT = "results array<struct<id:string,category:string,sentiment:string,urgency:string,confidence:string>>"
+LEAD_RESULT = "results array<struct<id:string,notes_en:string,notes_fr:string>>"
+REVIEW_RESULT = "summary_en string, summary_fr string"
+
+
+def key_bucket(key: Column, n_buckets: Column) -> Column:
     """Stable bucket of a string key: first 32 bits of its md5, mod n."""
     h = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long")
-    return F.pmod(h, F.lit(n_buckets))
+    return F.pmod(h, n_buckets)
+
+
+def bucket_count(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Column:
+    """Buckets for the rows of a table, as a scalar subquery."""
+    n = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return F.greatest(F.lit(1).cast("long"), F.ceil(n / F.lit(bucket_rows)))
 
 
-def _batches(df: DataFrame, key: str, payload: Column, payload_name: str, prefix: str,
+def _batches(df: DataFrame, key: str, payload: Column, payload_name: str, prefix: str, system: str,
              batch_size: int, n_buckets: int | None) -> DataFrame:
-    if n_buckets is None:
-        # Sized like the cluster's shuffles; reading a conf runs no job.
-        n_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    # Copies of an item (same id and payload) collapse map-side and share one
-    # answer; the bucket hashes id and payload together, so even a hot id with
-    # many distinct payloads spreads over all buckets.
-    rows = (df.select(F.col(key).cast("string").alias("id"), payload.alias(payload_name))
-            .dropDuplicates(["id", payload_name]))
-    rows = rows.withColumn("bucket", key_bucket(
-        F.concat_ws("\u0001", F.col("id"), F.col(payload_name)), n_buckets))
-    w = Window.partitionBy("bucket").orderBy("id", payload_name)
-    rows = rows.withColumn("batch_id", F.concat_ws(
-        "-", F.col("bucket").cast("string"),
-        F.floor((F.row_number().over(w) - 1) / F.lit(batch_size)).cast("string")))
-    items = rows.groupBy("batch_id").agg(
-        F.count(F.lit(1)).cast("int").alias("n_items"),
-        F.sort_array(F.collect_list(F.struct("id", payload_name))).alias("items"))
-    return items.select("batch_id", "n_items", "items",
-                        F.concat(F.lit(prefix), F.to_json("items")).alias("user_message"))
+    buckets = bucket_count(df) if n_buckets is None else F.lit(n_buckets).cast("long")
+    rows = df.select(F.col(key).cast("string").alias("id"), payload.alias(payload_name))
+    rows = rows.withColumn("bucket", key_bucket(F.concat_ws("\u0001", F.col("id"), F.col(payload_name)), buckets))
+    # collect_set merges copies map-side; a bucket holds about BUCKET_ROWS items.
+    per_bucket = rows.groupBy("bucket").agg(F.sort_array(F.collect_set(F.struct("id", payload_name))).alias("all"))
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("all") - 1) / F.lit(batch_size)).cast("int")),
+                      lambda k: F.slice("all", k * batch_size + 1, F.lit(batch_size)))
+    batches = per_bucket.select("bucket", F.posexplode(cut).alias("k", "items"))
+    return batches.select(
+        F.concat_ws("-", F.col("bucket").cast("string"), F.col("k").cast("string")).alias("batch_id"),
+        F.size("items").alias("n_items"), "items", F.lit(system).alias("system_message"),
+        F.concat(F.lit(prefix), F.to_json("items")).alias("user_message"))
+
+
+def _cut(text: Column, max_chars: int | None) -> Column:
+    return text if max_chars is None else F.substring(text, 1, max_chars)
 
 
 def build_ticket_batches(tickets: DataFrame, batch_size: int = lx.TICKETS_PER_BATCH,
-                         n_buckets: int | None = None, key: str = "ticket_id") -> DataFrame:
-    """E1 + W4: batches of <= ``batch_size`` tickets; items ``{id, text}`` with
-    the text cut to 500 characters; user message = prefix + JSON array."""
+                         n_buckets: int | None = None, key: str = "ticket_id",
+                         max_chars: int | None = None) -> DataFrame:
+    """E1 + W4: batches of <= ``batch_size`` tickets; items ``{id, text}``; user message =
+    prefix + JSON array. Whole texts, unless ``max_chars`` asks for a cut (the original's
+    calls cut at 500); copies are recognised on whole texts either way where ids differ."""
     df = with_text(tickets)
-    text = F.substring(empty_if_null("text"), 1, lx.TICKET_TEXT_CHARS)
-    return _batches(df, key, text, "text", lx.TICKET_BATCH_PROMPT_PREFIX, batch_size, n_buckets)
+    return _batches(df, key, _cut(empty_if_null("text"), max_chars), "text", lx.TICKET_BATCH_PROMPT_PREFIX,
+                    TICKET_SYSTEM, batch_size, n_buckets)
 
 
 def build_lead_batches(leads: DataFrame, batch_size: int = lx.TICKETS_PER_BATCH,
-                       n_buckets: int | None = None) -> DataFrame:
-    """Lead notes (cut to 300 characters) in batches of <= ``batch_size``.
+                       n_buckets: int | None = None, max_chars: int | None = None) -> DataFrame:
+    """Whole lead notes (or ``max_chars`` of them) in batches of <= ``batch_size``.
     All leads are batched (the original sent only the first 40)."""
-    notes = F.substring(empty_if_null("notes"), 1, lx.LEAD_NOTE_CHARS)
-    return _batches(leads, "lead_id", notes, "notes", lx.LEAD_BATCH_PROMPT_PREFIX,
-                    batch_size, n_buckets)
+    return _batches(leads, "lead_id", _cut(empty_if_null("notes"), max_chars), "notes", lx.LEAD_BATCH_PROMPT_PREFIX,
+                    LEAD_SYSTEM, batch_size, n_buckets)
 
 
 def themes_repr(themes: Column) -> Column:
@@ -84,27 +112,47 @@ def build_review_prompts(summaries: DataFrame) -> DataFrame:
                           F.col("n_reviews").cast("string"),
                           F.col("avg_rating").cast("double").cast("string"),
                           themes_repr(F.col("top_themes")))
-    return summaries.select("product_id", "review_window", msg.alias("user_message"))
+    return summaries.select("product_id", "review_window", F.lit(REVIEW_SYSTEM).alias("system_message"),
+                            msg.alias("user_message"))
 
 
-def parse_response(responses: DataFrame, content: str = "content") -> DataFrame:
-    """The JSON object of each response: from the first ``{`` to the last
-    ``}`` (code fences and prose around it are ignored), parsed leniently.
-    Adds ``payload`` (VARIANT, null when unusable) and ``is_valid``."""
+def parse_response(responses: DataFrame, schema: str = TICKET_RESULT, content: str = "content") -> DataFrame:
+    """The JSON object of each response: from the first ``{`` to the last ``}`` (code
+    fences and prose around it are ignored). Adds ``payload`` (a struct of ``schema``, null when
+    unusable) and ``is_valid``. Of repeated keys the last counts; NaN is accepted; anything
+    after the object, or a value of another shape, makes the response unusable."""
     blob = F.regexp_extract(empty_if_null(content), r"(?s)\{.*\}", 0)
-    payload = F.try_parse_json(F.nullif(blob, F.lit("")))
-    return (responses.withColumn("payload", payload)
-            .withColumn("is_valid", F.col("payload").isNotNull()))
-
-
-def _get(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "string")
+    # Inside an array, text after the object is an error instead of being ignored.
+    struct = "struct<" + ",".join(_struct_fields(schema)) + ">"
+    parsed = F.from_json(F.concat(F.lit('{"x":['), blob, F.lit("]}")), f"x array<{struct}>, bad string",
+                         {"columnNameOfCorruptRecord": "bad", "allowNonNumericNumbers": "true"})
+    out = responses.withColumn("payload", parsed)
+    good = (F.col("payload.bad").isNull() & (F.size("payload.x") == 1) & F.get("payload.x", F.lit(0)).isNotNull() & (blob != ""))
+    out = out.withColumn("is_valid", F.coalesce(good, F.lit(False)))
+    return out.withColumn("payload", F.when(F.col("is_valid"), F.get("payload.x", F.lit(0))))
+
+
+def _struct_fields(schema: str) -> list[str]:
+    """``a string, b array<..>`` -> ``a:string`` .. (commas inside <> stay)."""
+    out, depth, part = [], 0, ""
+    for ch in schema:
+        depth += (ch == "<") - (ch == ">")
+        if ch == "," and not depth:
+            out.append(part)
+            part = ""
+        else:
+            part += ch
+    return [":".join(p.strip().split(" ", 1)) for p in [*out, part]]
+
+
+def _parsed(responses: DataFrame, schema: str) -> DataFrame:
+    """Responses parsed already pass; so one parse can serve the merge, the flag and the ledger."""
+    return responses if "is_valid" in responses.columns else parse_response(responses, schema)
 
 
 def _results(parsed: DataFrame, keys: list[str]) -> DataFrame:
     """Valid responses -> one row per result object, with its position."""
-    arr = F.try_variant_get("payload", "$.results", "array<variant>")
-    return (parsed.filter("is_valid").select(*keys, F.posexplode(arr).alias("pos", "r")))
+    return parsed.filter("is_valid").select(*keys, F.posexplode("payload.results").alias("pos", "r"))
 
 
 def _last_per_id(df: DataFrame, id_col: str, order_cols: list[str]) -> DataFrame:
@@ -116,33 +164,31 @@ def _last_per_id(df: DataFrame, id_col: str, order_cols: list[str]) -> DataFrame
     return latest.select(id_col, "x.*")
 
 
+def _asked(batches: DataFrame, id_col: str) -> DataFrame:
+    return batches.select("batch_id", F.explode("items.id").alias(id_col))
+
+
 def ticket_model_rows(batches: DataFrame, responses: DataFrame) -> DataFrame:
     """E5-E7 (model half): results matched to the ids their batch asked for,
     enums coerced, confidence clamped, last repeat wins."""
-    res = _results(parse_response(responses), ["batch_id"])
+    res = _results(_parsed(responses, TICKET_RESULT), ["batch_id"])
+    confidence = F.regexp_replace("r.confidence", '"', "")
     rows = res.select(
-        "batch_id", "pos", _get(F.col("r"), "$.id").alias("ticket_id"),
-        coerce_enum(_get(F.col("r"), "$.category"), lx.CATEGORY_LABELS,
-                    lx.RESPONSE_DEFAULTS["category"]).alias("category"),
-        coerce_enum(_get(F.col("r"), "$.sentiment"), lx.SENTIMENT_LABELS,
-                    lx.RESPONSE_DEFAULTS["sentiment"]).alias("sentiment"),
-        coerce_enum(_get(F.col("r"), "$.urgency"), lx.URGENCY_LABELS,
-                    lx.RESPONSE_DEFAULTS["urgency"]).alias("urgency"),
-        clamp_float(_get(F.col("r"), "$.confidence"), 0.0, 1.0,
-                    lx.RESPONSE_DEFAULTS["confidence"]).cast("decimal(4,3)").alias("confidence"),
+        "batch_id", "pos", F.col("r.id").alias("ticket_id"),
+        coerce_enum(F.col("r.category"), lx.CATEGORY_LABELS, lx.RESPONSE_DEFAULTS["category"]).alias("category"),
+        coerce_enum(F.col("r.sentiment"), lx.SENTIMENT_LABELS, lx.RESPONSE_DEFAULTS["sentiment"]).alias("sentiment"),
+        coerce_enum(F.col("r.urgency"), lx.URGENCY_LABELS, lx.RESPONSE_DEFAULTS["urgency"]).alias("urgency"),
+        clamp_float(confidence, 0.0, 1.0, lx.RESPONSE_DEFAULTS["confidence"]).cast("decimal(4,3)").alias("confidence"),
     ).filter(F.col("ticket_id").isNotNull())
-    asked = batches.select("batch_id", F.inline("items")).select(
-        "batch_id", F.col("id").alias("ticket_id"))
-    known = rows.join(asked, ["batch_id", "ticket_id"], "inner")
+    known = rows.join(_asked(batches, "ticket_id"), ["batch_id", "ticket_id"], "inner")
     return _last_per_id(known, "ticket_id", ["batch_id", "pos"]).drop("batch_id", "pos")
 
 
-def batch_failures(batches: DataFrame, responses: DataFrame, keys: list[str]) -> DataFrame:
+def batch_failures(batches: DataFrame, responses: DataFrame, keys: list[str], schema: str = TICKET_RESULT) -> DataFrame:
     """One row: ``fell_back`` when any requested call has no usable response,
-    with the failing keys listed in ``error``."""
-    parsed = parse_response(responses).select(*keys, "is_valid")
-    per = batches.select(*keys).distinct().join(parsed, keys, "left")
-    bad = per.filter(~F.coalesce(F.col("is_valid"), F.lit(False)))
+    with the failing keys listed in ``failed_keys``."""
+    parsed = _parsed(responses, schema).filter("is_valid").select(*keys).distinct()
+    bad = batches.select(*keys).distinct().join(parsed, keys, "left_anti")
     # A count and the smallest failing key: bounded, however many calls fail.
     return bad.agg(
         (F.count(F.lit(1)) > 0).alias("fell_back"),
@@ -150,12 +196,10 @@ def batch_failures(batches: DataFrame, responses: DataFrame, keys: list[str]) ->
                  F.min(F.concat_ws("/", *keys))).alias("failed_keys"))
 
 
-def operation_failed(batches: DataFrame, responses: DataFrame, keys: list[str]) -> bool:
-    """E11 decision: did any call of the operation fail? All-or-nothing per
-    operation, as in the original, so it is taken once on the driver from a
-    one-row aggregate (a count, never the failing rows themselves)."""
-    row = batch_failures(batches, responses, keys).first()
-    return bool(row is not None and row["fell_back"])
+def all_answered(batches: DataFrame, responses: DataFrame, keys: list[str], schema: str) -> Column:
+    """E11 decision, all-or-nothing per operation as in the original: true when every call has
+    a usable response. A scalar subquery: decided inside the plan that uses it."""
+    return batch_failures(batches, responses, keys, schema).select(~F.col("fell_back")).scalar()
 
 
 def merge_ticket_responses(tickets: DataFrame, batches: DataFrame, responses: DataFrame,
@@ -165,48 +209,47 @@ def merge_ticket_responses(tickets: DataFrame, batches: DataFrame, responses: Da
     any failed batch reverts the whole operation to rules."""
     base = with_text(tickets)
     model = ticket_model_rows(batches, responses)
-    lang = base.select("ticket_id", detect_language(F.col("text")).alias("detected_language"))
-    from_model = model.join(lang, "ticket_id", "inner")
+    if fallback:
+        model = model.where(all_answered(batches, responses, ["batch_id"], TICKET_RESULT))
     rules = classify_tickets(base)
-    filled = rules.join(model.select("ticket_id"), "ticket_id", "left_anti")
-    merged = from_model.select(*rules.columns).unionByName(filled)
-    if not fallback:
-        return merged
-    return rules if operation_failed(batches, responses, ["batch_id"]) else merged
+    given = ["category", "sentiment", "urgency", "confidence"]
+    joined = rules.join(model.select("ticket_id", *[F.col(c).alias(f"m_{c}") for c in given]), "ticket_id", "left")
+    answered = F.col("m_category").isNotNull()
+    return joined.select(*[F.when(answered, F.col(f"m_{c}")).otherwise(F.col(c)).alias(c) if c in given else F.col(c)
+                           for c in rules.columns])
 
 
 def merge_review_responses(base: DataFrame, responses: DataFrame, *,
-                           fallback: bool = True) -> DataFrame:
-    """E8 (J4): replace summary_en / summary_fr where the response carries the
-    key, cut to 400 characters. Responses are keyed by (product_id,
+                           fallback: bool = True, max_chars: int | None = None) -> DataFrame:
+    """E8 (J4): replace summary_en / summary_fr where the response carries the key (whole,
+    unless ``max_chars`` asks for a cut). Responses are keyed by (product_id,
     review_window); a failed call with ``fallback`` keeps all rule rows."""
     keys = ["product_id", "review_window"]
-    parsed = parse_response(responses).filter("is_valid").select(
-        *keys,
-        F.substring(_get(F.col("payload"), "$.summary_en"), 1, lx.MODEL_TEXT_CHARS).alias("m_en"),
-        F.substring(_get(F.col("payload"), "$.summary_fr"), 1, lx.MODEL_TEXT_CHARS).alias("m_fr"))
+    parsed = _parsed(responses, REVIEW_RESULT).filter("is_valid").select(
+        *keys, _cut(F.col("payload.summary_en"), max_chars).alias("m_en"), _cut(F.col("payload.summary_fr"), max_chars).alias("m_fr"))
+    if fallback:
+        parsed = parsed.where(all_answered(base, responses, keys, REVIEW_RESULT))
     joined = base.join(parsed, keys, "left")
-    merged = joined.select(*[
+    return joined.select(*[
         F.coalesce(F.col("m_en"), F.col("summary_en")).alias("summary_en") if c == "summary_en"
         else F.coalesce(F.col("m_fr"), F.col("summary_fr")).alias("summary_fr")
         if c == "summary_fr" else F.col(c) for c in base.columns])
-    if not fallback:
-        return merged
-    return base if operation_failed(base, responses, keys) else merged
-
-
-def merge_lead_responses(base: DataFrame, batches: DataFrame, responses: DataFrame) -> DataFrame:
-    """E9 (J1): replace notes_en / notes_fr where a result for the lead has a
-    non-empty value, cut to 400 characters; last duplicate id wins. A failed
-    call keeps the base rows (the original falls back to them too)."""
-    res = _results(parse_response(responses), ["batch_id"])
-    rows = res.select("batch_id", "pos", _get(F.col("r"), "$.id").alias("lead_id"),
-                      F.substring(F.nullif(_get(F.col("r"), "$.notes_en"), F.lit("")), 1,
-                                  lx.MODEL_TEXT_CHARS).alias("m_en"),
-                      F.substring(F.nullif(_get(F.col("r"), "$.notes_fr"), F.lit("")), 1,
-                                  lx.MODEL_TEXT_CHARS).alias("m_fr")
+
+
+def merge_lead_responses(base: DataFrame, batches: DataFrame, responses: DataFrame, *,
+                         fallback: bool = True, max_chars: int | None = None) -> DataFrame:
+    """E9 (J1): replace notes_en / notes_fr where a result for a lead its batch asked for has a
+    non-empty value (whole, unless ``max_chars`` asks for a cut); last duplicate id wins. With
+    ``fallback`` a failed call keeps all base rows."""
+    res = _results(_parsed(responses, LEAD_RESULT), ["batch_id"])
+    rows = res.select("batch_id", "pos", F.col("r.id").alias("lead_id"),
+                      _cut(F.nullif(F.col("r.notes_en"), F.lit("")), max_chars).alias("m_en"),
+                      _cut(F.nullif(F.col("r.notes_fr"), F.lit("")), max_chars).alias("m_fr")
                       ).filter(F.col("lead_id").isNotNull())
+    rows = rows.join(_asked(batches, "lead_id"), ["batch_id", "lead_id"], "inner")
     latest = _last_per_id(rows, "lead_id", ["batch_id", "pos"]).select("lead_id", "m_en", "m_fr")
+    if fallback:
+        latest = latest.where(all_answered(batches, responses, ["batch_id"], LEAD_RESULT))
     joined = base.join(latest, "lead_id", "left")
     return joined.select(*[
         F.coalesce(F.col("m_en"), F.col("notes_en")).alias("notes_en") if c == "notes_en"
@@ -215,25 +258,35 @@ def merge_lead_responses(base: DataFrame, batches: DataFrame, responses: DataFra
 
 
 def fallback_status(operation: str, batches: DataFrame, responses: DataFrame,
-                    keys: list[str]) -> DataFrame:
+                    keys: list[str], schema: str = TICKET_RESULT) -> DataFrame:
     """E11 ledger side: ``(operation, fell_back, error)`` for one operation."""
-    flags = batch_failures(batches, responses, keys)
+    flags = batch_failures(batches, responses, keys, schema)
     return flags.select(
         F.lit(operation).alias("operation"), "fell_back",
         F.when(F.col("fell_back"), F.concat(F.lit(f"{operation}: no usable response for "),
                                             F.col("failed_keys"))).alias("error"))
 
 
-def estimate_cost(call_log: DataFrame, *, tokens_per_call: int = lx.TOKENS_PER_CALL) -> DataFrame:
+def ticket_call_log(run_id: str, provider: str, n_results: DataFrame) -> DataFrame:
+    """The original's accounting of one ticket operation: a count of ``results // 5 + 1`` calls,
+    one of them billed. For ``estimate_cost(mode="reference")``."""
+    return n_results.agg((F.floor(F.count(F.lit(1)) / 5) + 1).cast("int").alias("n_calls")).select(
+        F.lit(run_id).alias("run_id"), F.lit(provider).alias("provider"), "n_calls", F.lit(1).alias("billed_calls"))
+
+
+def estimate_cost(call_log: DataFrame, *, tokens_per_call: int = lx.TOKENS_PER_CALL,
+                  mode: str = "per_call") -> DataFrame:
     """E10 + A15: per run, calls and USD estimate = round(calls * tokens / 1000
     * rate, 6); unknown provider -> rate 0. ``call_log``: run_id, provider,
-    n_calls (and optionally ``billed_calls`` when billing differs, as for the
-    original ticket path which counted len//5+1 calls but billed one)."""
+    n_calls, and for ``mode="reference"`` ``billed_calls``: what the original
+    bills instead of the calls it counts (see ticket_call_log)."""
+    if mode not in ("per_call", "reference"):
+        raise ValueError("mode must be 'per_call' or 'reference'")
     rate_map = F.create_map(*[x for k, v in lx.RATE_PER_1K_TOKENS.items()
                               for x in (F.lit(k), F.lit(str(v)).cast("decimal(10,4)"))])
     rate = F.coalesce(F.try_element_at(rate_map, F.col("provider")),
                       F.lit(0).cast("decimal(10,4)"))
-    billed = F.col("billed_calls") if "billed_calls" in call_log.columns else F.col("n_calls")
+    billed = F.col("billed_calls") if mode == "reference" else F.col("n_calls")
     cost = F.round(billed.cast("decimal(18,0)") * F.lit(tokens_per_call) / F.lit(1000) * rate, 6)
     return (call_log.withColumn("cost", cost).groupBy("run_id")
             .agg(F.sum("n_calls").cast("long").alias("llm_calls"),

@@ -1,8 +1,7 @@
 """Daily revenue by segment and z-score anomaly detection.
 
-Plan shape: one partial+final grouping-sets aggregate over the order rows
-(read once; the Expand and the partial aggregate share a codegen stage, so
-only partial sums cross the shuffle). The anomaly window then runs
+Plan shape: one aggregate over the order rows, then grouping sets over its
+small result. The anomaly window then runs
 on daily aggregates only: its partitions are (segment, metric) and its rows
 are days, bounded by the calendar, not by the order volume.
 """
@@ -14,16 +13,15 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
 
-SEGMENT_MONEY = "decimal(18,2)"
+SEGMENT_MONEY = "decimal(30,2)"
 ALL = "all"
 
 
 def daily_revenue_by_segment(orders: DataFrame, *, rollups: bool = False) -> DataFrame:
     """A1 + A2 (+ U1): per (day, channel, region) and per day (``all``/``all``).
 
-    One aggregate with grouping sets: the order rows are scanned once and the
-    Expand feeds the partial aggregate inside the same stage, so only
-    per-(set, day, segment) partial sums are shuffled. Rows with a null
+    The order rows are scanned and summed once, per (day, channel, region);
+    the coarser sets roll up that small result. Rows with a null
     channel or region leave the segment set (told apart from the rolled-up
     rows by ``grouping_id``) but count in the daily set; rows without a date
     are dropped; all-null sums become 0. ``rollups=True`` adds per
@@ -32,15 +30,18 @@ def daily_revenue_by_segment(orders: DataFrame, *, rollups: bool = False) -> Dat
     """
     base = orders.select(
         F.col("order_date").cast("date").alias("order_date"), "channel", "region",
-        F.col("net_revenue_eur").cast("decimal(12,2)").alias("net_revenue_eur"),
+        F.col("net_revenue_eur").cast("decimal(24,2)").alias("net_revenue_eur"),
         F.col("units").cast("long").alias("units"), "order_id",
     ).filter(F.col("order_date").isNotNull())
     sets = [["order_date", "channel", "region"], ["order_date"]]
     if rollups:
         sets += [["order_date", "channel"], ["order_date", "region"]]
-    agg = base.groupingSets(sets, "order_date", "channel", "region").agg(
+    fine = base.groupBy("order_date", "channel", "region").agg(
         F.sum("net_revenue_eur").alias("net_revenue_eur"), F.sum("units").alias("units"),
-        F.count("order_id").alias("n_orders"), F.grouping_id().alias("gid"))
+        F.count("order_id").alias("n_orders"))
+    agg = fine.groupingSets(sets, "order_date", "channel", "region").agg(
+        F.sum("net_revenue_eur").alias("net_revenue_eur"), F.sum("units").alias("units"),
+        F.sum("n_orders").alias("n_orders"), F.grouping_id().alias("gid"))
     # gid bits: 2 = channel rolled up, 1 = region rolled up.
     ch_all = (F.col("gid").bitwiseAND(F.lit(2)) != 0)
     rg_all = (F.col("gid").bitwiseAND(F.lit(1)) != 0)
@@ -97,8 +98,8 @@ def detect_anomalies(segment_revenue: DataFrame, *,
         dim.alias("dimension"),
         dim_value.alias("dimension_value"),
         "metric",
-        F.round("value", 2).cast("decimal(14,2)").alias("observed_value"),
-        F.round("mu", 2).cast("decimal(14,2)").alias("expected_value"),
+        F.round("value", 2).cast(SEGMENT_MONEY).alias("observed_value"),
+        F.round("mu", 2).cast(SEGMENT_MONEY).alias("expected_value"),
         F.round("z", 3).cast("decimal(10,3)").alias("deviation"),
         F.when(F.col("z") > 0, F.lit("spike")).otherwise(F.lit("drop")).alias("direction"),
         F.when(F.abs("z") >= F.lit(float(threshold + lx.ANOMALY_CRITICAL_MARGIN)),

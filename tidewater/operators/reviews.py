@@ -59,7 +59,7 @@ def top_themes_from_counts(counts: list[str], top_n: int = lx.TOP_THEMES_N) -> C
     """Top-n themes by count (columns named in ``counts``), ties by theme
     order; zero counts dropped."""
     entries = ", ".join(
-        f"named_struct('weight', CAST({c} AS INT), 'neg_order', {-i}, 'theme', {sx.s(th)})"
+        f"named_struct('weight', CAST({c} AS BIGINT), 'neg_order', {-i}, 'theme', {sx.s(th)})"
         for i, (th, c) in enumerate(zip(THEMES, counts)))
     return F.expr(
         f"transform(slice(sort_array(filter(array({entries}), e -> e.weight > 0), false), 1, "
@@ -70,7 +70,7 @@ def review_group_stats(rows: DataFrame) -> DataFrame:
     """A3 + A5: n_reviews, avg_rating and theme counts per (product, month)."""
     flags = theme_flags("t")
     return rows.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).cast("int").alias("n_reviews"),
+        F.count(F.lit(1)).alias("n_reviews"),
         F.round(F.avg("rating"), 2).cast("decimal(3,2)").alias("avg_rating"),
         *[F.sum(f).alias(f"th_{i}") for i, f in enumerate(flags)])
 

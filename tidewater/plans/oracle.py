@@ -12,6 +12,7 @@ from collections import Counter
 
 from tidewater.functions import lexicon as lx
 from tidewater.schemas import SOURCE_COLUMNS
+from tidewater.sources import vocabulary as vocab
 
 
 def q(s: str) -> str:
@@ -82,10 +83,14 @@ cte("orders_raw", """SELECT
   g.r_name AS region,
   CASE WHEN o.o_orderkey % 10 = 7 THEN 'USD' WHEN o.o_orderkey % 10 = 8 THEN 'GBP'
        ELSE 'EUR' END AS currency,
-  CAST(li.gross AS VARCHAR) AS gross_revenue_eur,
-  CASE WHEN o.o_orderkey % 499 = 17 THEN 'abc' ELSE CAST(li.discount AS VARCHAR) END AS discount_eur,
+  CASE WHEN o.o_orderkey % 9973 = 5 THEN CAST(CAST(li.gross + 2345678901234.5 AS DECIMAL(22,2)) AS VARCHAR)
+       WHEN o.o_orderkey % 997 = 6 THEN CAST(li.gross AS VARCHAR) || '5'
+       WHEN o.o_orderkey % 1009 = 8 THEN '1e30' ELSE CAST(li.gross AS VARCHAR) END AS gross_revenue_eur,
+  CASE WHEN o.o_orderkey % 499 = 17 THEN 'abc' WHEN o.o_orderkey % 499 = 18
+       THEN CAST(li.discount AS VARCHAR) || '4' ELSE CAST(li.discount AS VARCHAR) END AS discount_eur,
   CAST(li.gross - li.discount AS VARCHAR) AS net_revenue_eur,
-  CASE WHEN o.o_orderkey % 97 = 3 THEN 'NA' ELSE CAST(li.units AS VARCHAR) END AS units
+  CASE WHEN o.o_orderkey % 97 = 3 THEN 'NA' WHEN o.o_orderkey % 991 = 4 THEN '3000000000'
+       WHEN o.o_orderkey % 991 = 9 THEN '99999999999999999999' ELSE CAST(li.units AS VARCHAR) END AS units
 FROM orders o
 LEFT JOIN (
   SELECT l_orderkey,
@@ -99,9 +104,9 @@ cte("orders_src", normalize("orders", "orders_raw"), ["orders_raw"])
 
 
 def _ticket_raw() -> str:
-    cats = list(lx.TICKET_SUBJECTS)
-    subjects = [s for c in cats for lang in lx.TICKET_LANGS for s in lx.TICKET_SUBJECTS[c][lang]]
-    descs = [lx.TICKET_DESCRIPTIONS[c][lang] for c in cats for lang in lx.TICKET_LANGS]
+    cats = list(vocab.TICKET_SUBJECTS)
+    subjects = [s for c in cats for lang in lx.TICKET_LANGS for s in vocab.TICKET_SUBJECTS[c][lang]]
+    descs = [vocab.TICKET_DESCRIPTIONS[c][lang] for c in cats for lang in lx.TICKET_LANGS]
     lang_i = "(CASE WHEN event_id % 20 < 11 THEN 0 ELSE 1 END)"
     subject = pick(subjects, f"(event_id % 6) * 8 + {lang_i} * 4 + (event_id // 6) % 4")
     desc = fill(pick(descs, f"(event_id % 6) * 2 + {lang_i}"), {
@@ -128,7 +133,7 @@ cte("tickets_src", normalize("support_tickets", "tickets_raw"), ["tickets_raw"])
 
 
 def _reviews_raw() -> str:
-    t = lx.REVIEW_TITLES
+    t = vocab.REVIEW_TITLES
     rating = ("(CASE WHEN l.toxic = 1 THEN 1 WHEN l.quality = 1 THEN 4 + d.doc_id % 2 "
               "WHEN l.quality = 0 THEN 1 + d.doc_id % 2 ELSE 3 END)")
     tl = "(CASE WHEN d.lang = 'fr' THEN 'fr' ELSE 'en' END)"
@@ -157,7 +162,8 @@ cte("reviews_src", normalize("product_reviews", "reviews_raw"), ["reviews_raw"])
 
 cte("web_raw", f"""SELECT CAST(d AS VARCHAR) AS event_date, page_path, country, device,
   CAST(n AS VARCHAR) AS sessions,
-  CASE WHEN n % 11 = 4 THEN 'NA' ELSE CAST(pv AS VARCHAR) END AS pageviews,
+  CASE WHEN n % 11 = 4 THEN 'NA' WHEN n % 13 = 6 THEN CAST(pv + 3000000000 AS VARCHAR)
+       WHEN n % 17 = 7 THEN '1e25' ELSE CAST(pv AS VARCHAR) END AS pageviews,
   CAST(CAST(vmin AS DECIMAL(10,2)) AS VARCHAR) AS bounce_rate,
   CAST(CAST(vmax AS DECIMAL(10,2)) AS VARCHAR) AS avg_session_sec
 FROM (
@@ -170,12 +176,12 @@ cte("web_src", normalize("web_analytics", "web_raw"), ["web_raw"])
 
 
 def _leads_raw() -> str:
-    templates = lx.LEAD_NOTES["en"] + lx.LEAD_NOTES["fr"]
+    templates = vocab.LEAD_NOTES["en"] + vocab.LEAD_NOTES["fr"]
     notes = fill(pick(templates, "(c_custkey % 2) * 5 + (c_custkey // 2) % 5"), {
-        "role": pick(lx.LEAD_ROLES, "(c_custkey // 3) % 5"),
+        "role": pick(vocab.LEAD_ROLES, "(c_custkey // 3) % 5"),
         "src": pick(lx.LEAD_SOURCES, "(c_custkey // 5) % 4"),
-        "comp": pick(lx.LEAD_COMPETITORS, "(c_custkey // 7) % 6"),
-        "sz": pick(lx.LEAD_SIZES, "(c_custkey // 11) % 8")})
+        "comp": pick(vocab.LEAD_COMPETITORS, "(c_custkey // 7) % 6"),
+        "sz": pick(vocab.LEAD_SIZES, "(c_custkey // 11) % 8")})
     return f"""SELECT
   'LD-' || CAST(c_custkey AS VARCHAR) AS lead_id,
   c_name AS company_name,
@@ -184,7 +190,7 @@ def _leads_raw() -> str:
   strftime(DATE '2024-01-01' + CAST(c_custkey % 60 AS INTEGER), '%Y-%m-%dT%H') AS created_at,
   {pick(lx.LEAD_SOURCES, "c_custkey % 4")} AS source,
   {pick(lx.LEAD_STATUSES, "(c_custkey // 4) % 5")} AS status,
-  CASE WHEN c_custkey % 31 = 9 THEN 'NA'
+  CASE WHEN c_custkey % 31 = 9 THEN 'NA' WHEN c_custkey % 211 = 7 THEN '123456789012.345'
        ELSE CAST(CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 7 AS DECIMAL(12,2)) AS VARCHAR) END
        AS est_value_eur,
   CASE WHEN c_custkey % 37 = 11 THEN '' ELSE {notes} END AS notes
@@ -195,17 +201,23 @@ cte("leads_raw", _leads_raw())
 cte("leads_src", normalize("crm_leads", "leads_raw"), ["leads_raw"])
 
 # ── cleaning ────────────────────────────────────────────────────────────────
-cte("orders_clean", """SELECT * FROM (
-  SELECT order_id, customer_id, TRY_CAST(order_date AS DATE) AS order_date, channel, region,
-    currency,
-    TRY_CAST(gross_revenue_eur AS DECIMAL(12,2)) AS gross_revenue_eur,
-    TRY_CAST(discount_eur AS DECIMAL(12,2)) AS discount_eur,
-    CAST(ROUND(TRY_CAST(gross_revenue_eur AS DECIMAL(12,2))
-               - TRY_CAST(discount_eur AS DECIMAL(12,2)), 2) AS DECIMAL(12,2)) AS net_revenue_eur,
-    CAST(trunc(COALESCE(TRY_CAST(units AS DOUBLE), 0)) AS INTEGER) AS units
-  FROM orders_src)
-WHERE order_id IS NOT NULL AND order_date IS NOT NULL AND channel IS NOT NULL
-  AND region IS NOT NULL AND net_revenue_eur IS NOT NULL""", ["orders_src"])
+def whole_sql(c: str) -> str:
+    """Number text -> BIGINT toward zero, 0 where it is no number, null where it does not fit."""
+    return (f"CASE WHEN TRY_CAST({c} AS DOUBLE) IS NULL THEN 0 ELSE "
+            f"TRY_CAST(trunc(TRY_CAST({c} AS DECIMAL(38,6))) AS BIGINT) END")
+
+
+cte("orders_typed", f"""SELECT *, CAST(ROUND(gross_revenue_eur - discount_eur, 2) AS DECIMAL(24,2)) AS net_revenue_eur
+FROM (SELECT order_id, customer_id, TRY_CAST(order_date AS DATE) AS order_date, channel, region, currency,
+    TRY_CAST(gross_revenue_eur AS DECIMAL(26,6)) AS gross_revenue_eur,
+    TRY_CAST(discount_eur AS DECIMAL(26,6)) AS discount_eur, {whole_sql("units")} AS units
+  FROM orders_src)""", ["orders_src"])
+cte("orders_judged", """SELECT *, CASE WHEN order_id IS NULL THEN 'order_id' WHEN order_date IS NULL THEN 'order_date'
+  WHEN channel IS NULL THEN 'channel' WHEN region IS NULL THEN 'region'
+  WHEN net_revenue_eur IS NULL THEN 'net_revenue_eur' WHEN units IS NULL THEN 'units' END AS reject_reason
+FROM orders_typed""", ["orders_typed"])
+cte("orders_clean", """SELECT order_id, customer_id, order_date, channel, region, currency, gross_revenue_eur,
+  discount_eur, net_revenue_eur, units FROM orders_judged WHERE reject_reason IS NULL""", ["orders_judged"])
 
 cte("tickets_clean", f"""SELECT ticket_id, customer_id,
   COALESCE(TRY_CAST(created_at AS TIMESTAMP), try_strptime(created_at, '%Y-%m-%dT%H')) AS created_at, channel, language,
@@ -217,29 +229,32 @@ cte("tickets_clean", f"""SELECT ticket_id, customer_id,
     AS text
 FROM tickets_src""", ["tickets_src"])
 
-cte("reviews_clean", f"""SELECT * FROM (
+cte("reviews_judged", f"""SELECT *, CASE WHEN review_id IS NULL THEN 'review_id' WHEN product_id IS NULL
+    THEN 'product_id' WHEN rating IS NULL THEN 'rating' END AS reject_reason FROM (
   SELECT review_id, product_id, product_name,
     COALESCE(TRY_CAST(created_at AS TIMESTAMP), try_strptime(created_at, '%Y-%m-%dT%H')) AS created_at,
     CASE WHEN TRY_CAST(rating AS DOUBLE) = floor(TRY_CAST(rating AS DOUBLE))
-         THEN CAST(TRY_CAST(rating AS DOUBLE) AS INTEGER) END AS rating,
+         THEN TRY_CAST(TRY_CAST(rating AS DOUBLE) AS INTEGER) END AS rating,
     language,
     {strip("COALESCE(title, '')")} AS title,
     {strip("COALESCE(body, '')")} AS body,
     COALESCE(lower(verified) IN ('true', '1', 'yes'), false) AS verified,
     {strip(strip("COALESCE(title, '')") + " || '. ' || " + strip("COALESCE(body, '')"))} AS text
-  FROM reviews_src)
-WHERE review_id IS NOT NULL AND product_id IS NOT NULL AND rating IS NOT NULL""", ["reviews_src"])
-
-cte("web_clean", """SELECT TRY_CAST(event_date AS DATE) AS event_date, page_path, country, device,
-  CAST(trunc(COALESCE(TRY_CAST(sessions AS DOUBLE), 0)) AS INTEGER) AS sessions,
-  CAST(trunc(COALESCE(TRY_CAST(pageviews AS DOUBLE), 0)) AS INTEGER) AS pageviews,
-  TRY_CAST(bounce_rate AS DECIMAL(10,2)) AS bounce_rate,
-  TRY_CAST(avg_session_sec AS DECIMAL(10,2)) AS avg_session_sec
-FROM web_src""", ["web_src"])
+  FROM reviews_src)""", ["reviews_src"])
+cte("reviews_clean", "SELECT * EXCLUDE (reject_reason) FROM reviews_judged WHERE reject_reason IS NULL", ["reviews_judged"])
+
+cte("web_judged", f"""SELECT *, CASE WHEN event_date IS NULL THEN 'event_date' WHEN page_path IS NULL THEN 'page_path'
+  WHEN country IS NULL THEN 'country' WHEN device IS NULL THEN 'device' WHEN sessions IS NULL THEN 'sessions'
+  WHEN pageviews IS NULL THEN 'pageviews' END AS reject_reason
+FROM (SELECT TRY_CAST(event_date AS DATE) AS event_date, page_path, country, device,
+    {whole_sql("sessions")} AS sessions, {whole_sql("pageviews")} AS pageviews,
+    TRY_CAST(bounce_rate AS DECIMAL(10,2)) AS bounce_rate,
+    TRY_CAST(avg_session_sec AS DECIMAL(10,2)) AS avg_session_sec FROM web_src)""", ["web_src"])
+cte("web_clean", "SELECT * EXCLUDE (reject_reason) FROM web_judged WHERE reject_reason IS NULL", ["web_judged"])
 
 cte("leads_clean", f"""SELECT lead_id, company_name, industry, region,
   COALESCE(TRY_CAST(created_at AS TIMESTAMP), try_strptime(created_at, '%Y-%m-%dT%H')) AS created_at, source, status,
-  TRY_CAST(est_value_eur AS DECIMAL(12,2)) AS est_value_eur,
+  CAST(ROUND(TRY_CAST(est_value_eur AS DECIMAL(26,6)), 2) AS DECIMAL(24,2)) AS est_value_eur,
   {strip("COALESCE(notes, '')")} AS notes
 FROM leads_src""", ["leads_src"])
 
@@ -262,7 +277,7 @@ def _segment_sql(rollups: bool) -> str:
                   "WHERE region IS NOT NULL GROUP BY order_date, region"]
     union = "\nUNION ALL\n".join(parts)
     return f"""SELECT order_date, channel, region,
-  CAST(COALESCE(net, 0) AS DECIMAL(18,2)) AS net_revenue_eur,
+  CAST(COALESCE(net, 0) AS DECIMAL(30,2)) AS net_revenue_eur,
   CAST(COALESCE(units, 0) AS BIGINT) AS units,
   CAST(COALESCE(n, 0) AS BIGINT) AS n_orders
 FROM ({union}) AS s(order_date, channel, region, net, units, n)"""
@@ -278,8 +293,8 @@ def anomalies_sql(segment: str = "segment", threshold: float = 3.0) -> str:
   CAST(order_date AS VARCHAR) || ':' || dimension || ':' || dimension_value || ':' || metric
     AS anomaly_id,
   order_date AS detected_date, dimension, dimension_value, metric,
-  CAST(ROUND(value, 2) AS DECIMAL(14,2)) AS observed_value,
-  CAST(ROUND(mu, 2) AS DECIMAL(14,2)) AS expected_value,
+  CAST(ROUND(value, 2) AS DECIMAL(30,2)) AS observed_value,
+  CAST(ROUND(mu, 2) AS DECIMAL(30,2)) AS expected_value,
   CAST(ROUND(z, 3) AS DECIMAL(10,3)) AS deviation,
   CASE WHEN z > 0 THEN 'spike' ELSE 'drop' END AS direction,
   CASE WHEN abs(z) >= {crit} THEN 'critical' ELSE 'warning' END AS severity

@@ -12,7 +12,8 @@ from tidewater.operators import delivery as D
 from tidewater.operators import tickets as T
 from tidewater.plans import oracle as O
 from tidewater.plans.registry import cleaned, register
-from tidewater.sources.tables import read_table, spread_if_narrow
+from tidewater.sources.tables import read_table
+from tidewater.staging import staged
 
 q = O.q
 
@@ -91,15 +92,14 @@ def q_classify_tickets(spark, sf_dir):
 @register("detect_language", f"""SELECT doc_id, lang,
   {lang_sql('text')} AS detected_language FROM documents""")
 def q_detect_language(spark, sf_dir):
-    docs = spread_if_narrow(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return T.with_language(docs).select("doc_id", "lang", "detected_language")
 
 
 @register("detect_language_conversations", f"""SELECT conv_id, turn, role,
   {lang_sql('text')} AS detected_language FROM conversations""")
 def q_detect_language_conv(spark, sf_dir):
-    conv = spread_if_narrow(
-        read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return T.with_language(conv).select("conv_id", "turn", "role", "detected_language")
 
 
@@ -138,6 +138,13 @@ def _points_sql(col: str, table: dict[str, int]) -> str:
         + " ELSE 0 END)"
 
 
+def size_number_sql(text: str) -> str:
+    """First run of digits, whole; null if none or 0; at most the top of the top band."""
+    digits = f"ltrim(regexp_extract({text}, '([0-9]+)', 1), '0')"
+    return (f"CASE WHEN {digits} = '' THEN NULL WHEN length({digits}) > 9 THEN {lx.SIZE_BANDS[-1][1]} "
+            f"ELSE CAST({digits} AS INTEGER) END")
+
+
 def _leads_enriched_sql() -> str:
     t = "lower(COALESCE(notes, ''))"
     band = "CASE " + " ".join(
@@ -157,8 +164,8 @@ def _leads_enriched_sql() -> str:
         fr = f"replace({fr}, {q(src)}, {q(dst)})"
     score = (f"{lx.LEAD_SCORE_BASE} + {_points_sql('status', lx.STATUS_POINTS)} "
              f"+ {_points_sql('source', lx.SOURCE_POINTS)} "
-             f"+ CASE WHEN est_value_eur IS NULL THEN 0 ELSE LEAST({lx.VALUE_POINTS_CAP}, "
-             f"CAST(trunc(est_value_eur / {lx.VALUE_POINTS_DIVISOR}) AS INTEGER)) END "
+             f"+ CASE WHEN est_value_eur IS NULL THEN 0 ELSE CAST(trunc(LEAST({lx.VALUE_POINTS_CAP}, "
+             f"GREATEST(-1000000, est_value_eur / {lx.VALUE_POINTS_DIVISOR}))) AS INTEGER) END "
              f"+ CASE WHEN {O.any_contains_sql(t, lx.POSITIVE_SIGNAL_WORDS)} "
              f"THEN {lx.POSITIVE_SIGNAL_POINTS} ELSE 0 END "
              f"+ CASE WHEN {O.any_contains_sql(t, lx.OBJECTION_WORDS)} "
@@ -168,8 +175,7 @@ def _leads_enriched_sql() -> str:
   CASE WHEN len(sig) = 0 THEN ['{lx.NO_SIGNAL_LABEL}'] ELSE sig END AS intent_signals,
   notes_en, notes_fr
 FROM (SELECT *, {signals} AS sig, {en} AS notes_en, {fr} AS notes_fr,
-        CASE WHEN regexp_extract({t}, '(\\d{{1,4}})', 1) = '' THEN NULL
-             ELSE TRY_CAST(regexp_extract({t}, '(\\d{{1,4}})', 1) AS INTEGER) END AS n
+        {size_number_sql(t)} AS n
       FROM leads_clean)"""
 
 
@@ -235,7 +241,7 @@ O.cte("rv", f"""SELECT product_id, strftime(created_at, '%Y-%m') AS review_windo
   CAST(rating AS DOUBLE) AS rating, language, COALESCE(body, '') AS body,
   lower(COALESCE(text, '')) AS t, {_FKEY} AS fkey
 FROM reviews_clean WHERE created_at IS NOT NULL""", ["reviews_clean"])
-O.cte("rv_stats", "SELECT product_id, review_window, CAST(COUNT(*) AS INTEGER) AS n_reviews, "
+O.cte("rv_stats", "SELECT product_id, review_window, COUNT(*) AS n_reviews, "
       "CAST(ROUND(AVG(rating), 2) AS DECIMAL(3,2)) AS avg_rating, "
       + ", ".join(f"SUM(CASE WHEN {O.any_contains_sql('t', kws)} THEN 1 ELSE 0 END) AS th_{i}"
                   for i, kws in enumerate(lx.THEME_KEYWORDS.values()))
@@ -245,7 +251,7 @@ O.cte("rv_themes", "SELECT product_id, review_window, string_agg(theme || ':' ||
       " SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, review_window "
       "ORDER BY weight DESC, ord) AS rn FROM ("
       + " UNION ALL ".join(f"SELECT product_id, review_window, {q(th)} AS theme, {i} AS ord, "
-                           f"CAST(th_{i} AS INTEGER) AS weight FROM rv_stats"
+                           f"CAST(th_{i} AS BIGINT) AS weight FROM rv_stats"
                            for i, th in enumerate(lx.THEME_KEYWORDS))
       + ") WHERE weight > 0) WHERE rn <= 5 GROUP BY product_id, review_window", ["rv_stats"])
 O.cte("rv_ranked", """SELECT * FROM (
@@ -424,15 +430,30 @@ def q_source_row_counts(spark, sf_dir):
 WHERE order_id NOT IN (SELECT order_id FROM orders_clean WHERE currency <> 'EUR')
 UNION ALL
 SELECT order_id, customer_id, order_date, channel, region, currency,
-  CAST(ROUND(gross_revenue_eur * r, 2) AS DECIMAL(12,2)), CAST(ROUND(discount_eur * r, 2) AS DECIMAL(12,2)),
-  CAST(ROUND(net_revenue_eur * r, 2) AS DECIMAL(12,2)), units
+  CAST(ROUND(gross_revenue_eur * r, 2) AS DECIMAL(26,6)), CAST(ROUND(discount_eur * r, 2) AS DECIMAL(26,6)),
+  CAST(ROUND(net_revenue_eur * r, 2) AS DECIMAL(24,2)), units
 FROM (SELECT *, CASE currency WHEN 'USD' THEN CAST(0.92 AS DECIMAL(10,4))
   WHEN 'GBP' THEN CAST(1.17 AS DECIMAL(10,4)) END AS r FROM orders_clean WHERE currency <> 'EUR')""",
     ["orders_clean"]))
 def q_upsert_by_key(spark, sf_dir):
     current = cleaned(spark, sf_dir, "orders")
     corrections = C.to_eur(current.filter(F.col("currency") != "EUR"))
-    return W.upsert_by_key(current, corrections, ["order_id"])
+    return W.upsert_by_key(current, corrections.select(*[F.col(c).cast(current.schema[c].dataType) for c in current.columns]),
+                           ["order_id"])
+
+
+_REJECT_SQL = """SELECT 'orders' AS "table", COALESCE(order_id, '') AS row_key, reject_reason AS reason FROM orders_judged
+WHERE reject_reason IS NOT NULL
+UNION ALL SELECT 'product_reviews', COALESCE(review_id, ''), reject_reason FROM reviews_judged WHERE reject_reason IS NOT NULL
+UNION ALL SELECT 'review_summaries', review_id, 'created_at' FROM reviews_judged
+WHERE reject_reason IS NULL AND created_at IS NULL
+UNION ALL SELECT 'web_analytics', concat_ws('|', CAST(event_date AS VARCHAR), page_path, country, device), reject_reason
+FROM web_judged WHERE reject_reason IS NOT NULL"""
+
+
+@register("rejected_rows", O.build(_REJECT_SQL, ["orders_judged", "reviews_judged", "web_judged"]))
+def q_rejected_rows(spark, sf_dir):
+    return C.rejected_rows({n: source(spark, sf_dir, n) for n in C.JUDGES}).drop("row")
 
 
 O.cte("run_tasks", """SELECT run_id, task_id, n_events, first_ts, last_ts,
@@ -498,7 +519,7 @@ def q_recent_runs(spark, sf_dir):
 
 # ── delivery ────────────────────────────────────────────────────────────────
 @register("dashboard_kpis", O.build(
-    "SELECT (SELECT CAST(COALESCE(SUM(net_revenue_eur), 0) AS DECIMAL(18,2)) FROM orders_clean) "
+    "SELECT (SELECT CAST(COALESCE(SUM(net_revenue_eur), 0) AS DECIMAL(30,2)) FROM orders_clean) "
     "AS total_revenue, (SELECT COUNT(*) FROM orders_clean) AS total_orders, "
     "(SELECT COUNT(*) FROM ticket_cls) AS total_tickets, "
     "(SELECT COUNT(*) FROM leads_enriched) AS total_leads",
@@ -587,46 +608,45 @@ def q_enrichment_counts(spark, sf_dir):
 # ── model responses ─────────────────────────────────────────────────────────
 from tidewater.operators import responses as RS  # noqa: E402
 
-N_BUCKETS = 16  # fixed here so the oracle can number batches the same way
-
-
-def _batch_sql(name: str, src: str, key: str, payload: str, chars: int) -> None:
+def _batch_sql(name: str, src: str, key: str, payload: str, prefix: str) -> None:
     O.cte(f"{name}_num", f"""SELECT *, CAST(bucket AS VARCHAR) || '-' ||
   CAST((ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY id, payload) - 1) // {lx.TICKETS_PER_BATCH}
        AS VARCHAR) AS batch_id
-FROM (SELECT *, CAST(('0x' || substr(md5(id || chr(1) || payload), 1, 8)) AS BIGINT) % {N_BUCKETS}
-        AS bucket
-      FROM (SELECT DISTINCT {key} AS id, substr(COALESCE({payload}, ''), 1, {chars}) AS payload
-            FROM {src}))""", [src])
-    O.cte(name, f"""SELECT batch_id, CAST(COUNT(*) AS INTEGER) AS n_items, MIN(id) AS first_id,
-  MAX(id) AS last_id FROM {name}_num GROUP BY batch_id""", [f"{name}_num"])
+FROM (SELECT *, CAST(('0x' || substr(md5(id || chr(1) || payload), 1, 8)) AS BIGINT)
+        % (SELECT CAST(greatest(1, ceil(COUNT(*) / {RS.BUCKET_ROWS})) AS BIGINT) FROM {src}) AS bucket
+      FROM (SELECT DISTINCT {key} AS id, COALESCE({payload}, '') AS payload FROM {src}))""", [src])
+    item = f"'{{\"id\":' || CAST(to_json(id) AS VARCHAR) || ',\"{payload}\":' || CAST(to_json(payload) AS VARCHAR) || '}}'"
+    O.cte(name, f"""SELECT batch_id, CAST(COUNT(*) AS INTEGER) AS n_items,
+  md5(string_agg(id, ',' ORDER BY id, payload)) AS items_md5,
+  md5({q(prefix)} || '[' || string_agg({item}, ',' ORDER BY id, payload) || ']') AS user_message_md5
+FROM {name}_num GROUP BY batch_id""", [f"{name}_num"])
 
 
-_batch_sql("tbatch", "tickets_clean", "ticket_id", "text", lx.TICKET_TEXT_CHARS)
-_batch_sql("lbatch", "leads_clean", "lead_id", "notes", lx.LEAD_NOTE_CHARS)
+_batch_sql("tbatch", "tickets_clean", "ticket_id", "text", lx.TICKET_BATCH_PROMPT_PREFIX)
+_batch_sql("lbatch", "leads_clean", "lead_id", "notes", lx.LEAD_BATCH_PROMPT_PREFIX)
 
 
 def _ticket_batches(spark, sf_dir):
-    return RS.build_ticket_batches(_tickets(spark, sf_dir), n_buckets=N_BUCKETS)
+    return RS.build_ticket_batches(_tickets(spark, sf_dir))
 
 
-def _lead_batches(spark, sf_dir):
-    return RS.build_lead_batches(_leads(spark, sf_dir), n_buckets=N_BUCKETS)
+def _batch_view(b):
+    return b.select("batch_id", "n_items", F.md5(F.array_join("items.id", ",")).alias("items_md5"),
+                    F.md5("user_message").alias("user_message_md5"), F.md5("system_message").alias("system_message_md5"))
 
 
-def _batch_view(b):
-    return b.select("batch_id", "n_items", F.array_min("items.id").alias("first_id"),
-                    F.array_max("items.id").alias("last_id"))
+def _batch_view_sql(name: str, system: str) -> str:
+    return f"SELECT *, md5({q(system)}) AS system_message_md5 FROM {name}"
 
 
-@register("build_ticket_batches", O.build("SELECT * FROM tbatch", ["tbatch"]))
+@register("build_ticket_batches", O.build(_batch_view_sql("tbatch", RS.TICKET_SYSTEM), ["tbatch"]))
 def q_build_ticket_batches(spark, sf_dir):
     return _batch_view(_ticket_batches(spark, sf_dir))
 
 
-@register("build_lead_batches", O.build("SELECT * FROM lbatch", ["lbatch"]))
+@register("build_lead_batches", O.build(_batch_view_sql("lbatch", RS.LEAD_SYSTEM), ["lbatch"]))
 def q_build_lead_batches(spark, sf_dir):
-    return _batch_view(_lead_batches(spark, sf_dir))
+    return _batch_view(RS.build_lead_batches(_leads(spark, sf_dir)))
 
 
 O.cte("rv_themes_repr", "SELECT product_id, review_window, '[' || COALESCE(string_agg("
@@ -635,7 +655,7 @@ O.cte("rv_themes_repr", "SELECT product_id, review_window, '[' || COALESCE(strin
       " SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, review_window "
       "ORDER BY weight DESC, ord) AS rn FROM ("
       + " UNION ALL ".join(f"SELECT product_id, review_window, {q(th)} AS theme, {i} AS ord, "
-                           f"CAST(th_{i} AS INTEGER) AS weight FROM rv_stats"
+                           f"CAST(th_{i} AS BIGINT) AS weight FROM rv_stats"
                            for i, th in enumerate(lx.THEME_KEYWORDS))
       + ") WHERE weight > 0) WHERE rn <= 5 GROUP BY product_id, review_window", ["rv_stats"])
 
@@ -647,7 +667,8 @@ O.cte("rv_themes_repr", "SELECT product_id, review_window, '[' || COALESCE(strin
     "|| '.' AS user_message FROM rv_stats s LEFT JOIN rv_themes_repr t "
     "USING (product_id, review_window)", ["rv_stats", "rv_themes_repr"]))
 def q_build_review_prompts(spark, sf_dir):
-    return RS.build_review_prompts(RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews")))
+    prompts = RS.build_review_prompts(RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews")))
+    return prompts.drop("system_message")
 
 
 def _ticket_responses_sql(broken: bool) -> str:
@@ -655,10 +676,10 @@ def _ticket_responses_sql(broken: bool) -> str:
         return O.pick(values, idx)
 
     def obj(id_part, cat_idx):
-        return (f"'{{' || {id_part} || '\"category\": \"' || {pick_(AD.RESPONSE_CATEGORIES, cat_idx)}"
+        return (f"'{{' || {id_part} || CASE WHEN n % 29 = 0 THEN {q(AD.DECOY)} ELSE '' END || '\"category\": \"' || {pick_(AD.RESPONSE_CATEGORIES, cat_idx)}"
                 f" || '\", \"sentiment\": \"' || {pick_(AD.RESPONSE_SENTIMENTS, 'n % 4')}"
                 f" || '\", \"urgency\": \"' || {pick_(AD.RESPONSE_URGENCIES, 'n % 5')}"
-                f" || '\", \"confidence\": ' || {pick_(AD.RESPONSE_CONFIDENCES, 'n % 5')} || '}}'")
+                f" || '\", \"confidence\": ' || {pick_(AD.RESPONSE_CONFIDENCES, 'n % 6')} || '}}'")
 
     own = "'\"id\": \"' || id || '\", '"
     unknown = "'\"id\": \"UNKNOWN-' || id || '\", '"
@@ -684,9 +705,10 @@ O.cte("tresp_broken", _ticket_responses_sql(True), ["tbatch_num"])
 
 
 def _parsed_sql(src: str, keys: str) -> str:
+    # json_extract takes the first of repeated keys, the rule is the last: the decoys go beforehand.
     return (f"SELECT {keys}, blob, blob <> '' AND json_valid(blob) AS is_valid FROM "
-            f"(SELECT {keys}, regexp_extract(COALESCE(content, ''), '(?s)\\{{.*\\}}', 0) AS blob "
-            f"FROM {src})")
+            f"(SELECT {keys}, replace(regexp_extract(COALESCE(content, ''), '(?s)\\{{.*\\}}', 0), "
+            f"{q(AD.DECOY)}, '') AS blob FROM {src})")
 
 
 def _coerce_sql(v: str, allowed: list[str], default: str) -> str:
@@ -737,30 +759,31 @@ def _with_prefix(sql: str, needs: list[str]) -> str:
     "'$.results'), 0) END AS INTEGER) AS n_results FROM (" + _parsed_sql("tresp_broken", "batch_id")
     + ")", ["tresp_broken"]))
 def q_parse_response(spark, sf_dir):
-    resp = AD.ticket_responses_source(_ticket_batches(spark, sf_dir), broken=True)
-    parsed = RS.parse_response(resp)
-    arr = F.try_variant_get("payload", "$.results", "array<variant>")
+    batches = staged(_ticket_batches(spark, sf_dir), "batches")
+    parsed = RS.parse_response(AD.ticket_responses_source(batches, broken=True))
     return parsed.select("batch_id", "is_valid", F.when(F.col("is_valid"), F.coalesce(
-        F.size(arr), F.lit(0))).cast("int").alias("n_results"))
+        F.size("payload.results"), F.lit(0))).cast("int").alias("n_results"))
+
+
+def _ticket_round(spark, sf_dir, broken: bool):
+    """Tickets, batches and parsed responses, each computed once."""
+    tickets = staged(_tickets(spark, sf_dir), "tickets")
+    batches = staged(RS.build_ticket_batches(tickets), "batches")
+    return tickets, batches, staged(RS.parse_response(AD.ticket_responses_source(batches, broken)), "responses")
 
 
 @register("merge_ticket_responses", _with_prefix(_merge_tickets_sql("tresp"),
                                                  ["tresp", "tbatch_num", "ticket_cls",
                                                   "tickets_clean"]))
 def q_merge_ticket_responses(spark, sf_dir):
-    tickets = _tickets(spark, sf_dir)
-    batches = RS.build_ticket_batches(tickets, n_buckets=N_BUCKETS)
-    return RS.merge_ticket_responses(tickets, batches, AD.ticket_responses_source(batches))
+    return RS.merge_ticket_responses(*_ticket_round(spark, sf_dir, False))
 
 
 @register("merge_ticket_responses_fallback", _with_prefix(
     _merge_tickets_sql("tresp_broken"), ["tresp_broken", "tbatch_num", "ticket_cls",
                                          "tickets_clean"]))
 def q_merge_ticket_responses_fallback(spark, sf_dir):
-    tickets = _tickets(spark, sf_dir)
-    batches = RS.build_ticket_batches(tickets, n_buckets=N_BUCKETS)
-    resp = AD.ticket_responses_source(batches, broken=True)
-    return RS.merge_ticket_responses(tickets, batches, resp)
+    return RS.merge_ticket_responses(*_ticket_round(spark, sf_dir, True))
 
 
 @register("with_fallback", O.build(
@@ -770,7 +793,7 @@ def q_merge_ticket_responses_fallback(spark, sf_dir):
     "tbatch_num) b LEFT JOIN (" + _parsed_sql("tresp_broken", "batch_id") + ") p USING (batch_id) "
     "WHERE NOT COALESCE(p.is_valid, false)", ["tresp_broken", "tbatch_num"]))
 def q_with_fallback(spark, sf_dir):
-    batches = _ticket_batches(spark, sf_dir)
+    batches = staged(_ticket_batches(spark, sf_dir), "batches")
     resp = AD.ticket_responses_source(batches, broken=True)
     return RS.fallback_status("classify_tickets", batches, resp, ["batch_id"])
 
@@ -789,76 +812,96 @@ O.cte("rresp", _review_resp_sql(), ["rv_out"])
 
 
 @register("merge_review_responses", O.build(f"""SELECT b.product_id, b.review_window,
-  md5(COALESCE(substr(json_extract_string(p.blob, '$.summary_en'), 1, {lx.MODEL_TEXT_CHARS}),
-               b.summary_en)) AS summary_en_md5,
-  md5(COALESCE(substr(json_extract_string(p.blob, '$.summary_fr'), 1, {lx.MODEL_TEXT_CHARS}),
-               b.summary_fr)) AS summary_fr_md5
+  md5(COALESCE(json_extract_string(p.blob, '$.summary_en'), b.summary_en)) AS summary_en_md5,
+  md5(COALESCE(json_extract_string(p.blob, '$.summary_fr'), b.summary_fr)) AS summary_fr_md5
 FROM rv_out b LEFT JOIN ({_parsed_sql('rresp', 'product_id, review_window')}) p
   ON p.product_id = b.product_id AND p.review_window = b.review_window AND p.is_valid""",
     ["rv_out", "rresp"]))
 def q_merge_review_responses(spark, sf_dir):
-    base = RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews"))
+    base = staged(RV.summarize_reviews(cleaned(spark, sf_dir, "product_reviews")), "summaries")
     merged = RS.merge_review_responses(base, AD.review_responses_source(base))
     return merged.select("product_id", "review_window",
                          F.md5("summary_en").alias("summary_en_md5"),
                          F.md5("summary_fr").alias("summary_fr_md5"))
 
 
-def _lead_resp_sql() -> str:
+def _lead_resp_sql(broken: bool) -> str:
     en = "CASE WHEN n % 5 = 1 THEN '' ELSE 'EN note for ' || id END"
     fr = "CASE WHEN n % 7 = 2 THEN '' ELSE 'Note FR pour ' || id END"
     one = (f"'{{\"id\": \"' || id || '\", \"notes_en\": \"' || {en} || '\", \"notes_fr\": \"' "
            f"|| {fr} || '\"}}'")
     again = ("CASE WHEN n % 23 = 0 THEN '{\"id\": \"' || id || "
              "'\", \"notes_en\": \"Repeated note\", \"notes_fr\": \"\"}' END")
-    return (f"SELECT batch_id, '{{\"results\": [' || string_agg(concat_ws(', ', {one}, {again}), "
-            f"', ' ORDER BY id) || ']}}' AS content FROM (SELECT batch_id, id, "
-            f"CAST(regexp_extract(id, '(\\d+)$', 1) AS BIGINT) AS n FROM lbatch_num) "
-            f"GROUP BY batch_id")
+    foreign = ("CASE WHEN bool_or(id = 'LD-1') THEN '' ELSE "
+               "', {\"id\": \"LD-1\", \"notes_en\": \"not asked\", \"notes_fr\": \"pas demandé\"}' END")
+    content = f"'{{\"results\": [' || string_agg(concat_ws(', ', {one}, {again}), ', ' ORDER BY id) || {foreign} || ']}}'"
+    if broken:
+        content = f"CASE WHEN batch_id = '0-0' THEN 'no answer' ELSE {content} END"
+    return (f"SELECT batch_id, {content} AS content FROM (SELECT batch_id, id, "
+            f"CAST(regexp_extract(id, '(\\d+)$', 1) AS BIGINT) AS n FROM lbatch_num) GROUP BY batch_id")
 
 
-O.cte("lresp", _lead_resp_sql(), ["lbatch_num"])
+O.cte("lresp", _lead_resp_sql(False), ["lbatch_num"])
+O.cte("lresp_broken", _lead_resp_sql(True), ["lbatch_num"])
 
 
-@register("merge_lead_responses", _with_prefix(f"""WITH parsed AS ({_parsed_sql('lresp', 'batch_id')}),
+def _merge_leads_sql(resp: str) -> str:
+    return f"""WITH parsed AS ({_parsed_sql(resp, 'batch_id')}),
 res AS (SELECT batch_id, idx, r FROM (
   SELECT batch_id, generate_subscripts(arr, 1) AS idx, unnest(arr) AS r
   FROM (SELECT batch_id, json_extract(blob, '$.results[*]') AS arr FROM parsed WHERE is_valid))),
 latest AS (SELECT lead_id, m_en, m_fr FROM (
-  SELECT json_extract_string(r, '$.id') AS lead_id,
-    substr(NULLIF(json_extract_string(r, '$.notes_en'), ''), 1, {lx.MODEL_TEXT_CHARS}) AS m_en,
-    substr(NULLIF(json_extract_string(r, '$.notes_fr'), ''), 1, {lx.MODEL_TEXT_CHARS}) AS m_fr,
-    ROW_NUMBER() OVER (PARTITION BY json_extract_string(r, '$.id')
-                       ORDER BY batch_id DESC, idx DESC) AS k
-  FROM res WHERE json_extract_string(r, '$.id') IS NOT NULL) WHERE k = 1)
+  SELECT b.id AS lead_id, NULLIF(json_extract_string(r, '$.notes_en'), '') AS m_en,
+    NULLIF(json_extract_string(r, '$.notes_fr'), '') AS m_fr,
+    ROW_NUMBER() OVER (PARTITION BY b.id ORDER BY res.batch_id DESC, idx DESC) AS k
+  FROM res JOIN lbatch_num b ON b.batch_id = res.batch_id AND b.id = json_extract_string(r, '$.id')) WHERE k = 1),
+flag AS (SELECT COUNT(*) > 0 AS fell_back FROM (SELECT DISTINCT batch_id FROM lbatch_num) b
+  LEFT JOIN parsed p USING (batch_id) WHERE NOT COALESCE(p.is_valid, false))
 SELECT b.lead_id, COALESCE(l.m_en, b.notes_en) AS notes_en, COALESCE(l.m_fr, b.notes_fr) AS notes_fr
-FROM leads_enriched b LEFT JOIN latest l USING (lead_id)""", ["lresp", "leads_enriched"]))
+FROM leads_enriched b LEFT JOIN latest l ON b.lead_id = l.lead_id AND NOT (SELECT fell_back FROM flag)"""
+
+
+def _merged_leads(spark, sf_dir, broken: bool):
+    leads = staged(_leads(spark, sf_dir), "leads")
+    batches = staged(RS.build_lead_batches(leads), "batches")
+    parsed = staged(RS.parse_response(AD.lead_responses_source(batches, broken), RS.LEAD_RESULT), "responses")
+    return RS.merge_lead_responses(L.enrich_leads(leads), batches, parsed).select("lead_id", "notes_en", "notes_fr")
+
+
+@register("merge_lead_responses", _with_prefix(_merge_leads_sql("lresp"), ["lresp", "lbatch_num", "leads_enriched"]))
 def q_merge_lead_responses(spark, sf_dir):
-    leads = _leads(spark, sf_dir)
-    batches = RS.build_lead_batches(leads, n_buckets=N_BUCKETS)
-    merged = RS.merge_lead_responses(L.enrich_leads(leads), batches,
-                                     AD.lead_responses_source(batches))
-    return merged.select("lead_id", "notes_en", "notes_fr")
+    return _merged_leads(spark, sf_dir, False)
+
 
+@register("merge_lead_responses_fallback", _with_prefix(
+    _merge_leads_sql("lresp_broken"), ["lresp_broken", "lbatch_num", "leads_enriched"]))
+def q_merge_lead_responses_fallback(spark, sf_dir):
+    return _merged_leads(spark, sf_dir, True)
 
-def _cost_sql() -> str:
+
+def _cost_sql(billed: str) -> str:
     rates = " ".join(f"WHEN {q(k)} THEN CAST({v} AS DECIMAL(10,4))"
                      for k, v in lx.RATE_PER_1K_TOKENS.items())
-    provider = O.pick(AD.RESPONSE_PROVIDERS, "bucket % 5")
+    provider = O.pick(AD.RESPONSE_PROVIDERS, "k % 12 % 5")
     return f"""SELECT run_id, CAST(SUM(n_calls) AS BIGINT) AS llm_calls,
-  CAST(SUM(ROUND(CAST(n_calls AS DECIMAL(18,0)) * {lx.TOKENS_PER_CALL} / 1000
+  CAST(SUM(ROUND(CAST({billed} AS DECIMAL(18,0)) * {lx.TOKENS_PER_CALL} / 1000
        * COALESCE(CASE provider {rates} END, CAST(0 AS DECIMAL(10,4))), 6)) AS DECIMAL(18,6))
     AS llm_cost_estimate
-FROM (SELECT 'run-' || CAST(bucket AS VARCHAR) AS run_id, {provider} AS provider, 1 AS n_calls
-      FROM (SELECT CAST(split_part(batch_id, '-', 1) AS INTEGER) AS bucket FROM tbatch))
+FROM (SELECT 'run-' || CAST(k % 12 AS VARCHAR) AS run_id, {provider} AS provider, 1 AS n_calls, k % 2 AS billed
+      FROM (SELECT CAST(split_part(batch_id, '-', 2) AS INTEGER) AS k FROM tbatch))
 GROUP BY run_id"""
 
 
-@register("estimate_cost", O.build(_cost_sql(), ["tbatch"]))
+@register("estimate_cost", O.build(_cost_sql("n_calls"), ["tbatch"]))
 def q_estimate_cost(spark, sf_dir):
     return RS.estimate_cost(AD.call_log_source(_ticket_batches(spark, sf_dir)))
 
 
+@register("estimate_cost_reference", O.build(_cost_sql("billed"), ["tbatch"]))
+def q_estimate_cost_reference(spark, sf_dir):
+    return RS.estimate_cost(AD.call_log_source(_ticket_batches(spark, sf_dir)), mode="reference")
+
+
 # ── source normalisation and nested export ─────────────────────────────────
 @register("normalize_nulls", O.build("SELECT * FROM orders_src", ["orders_src"]))
 def q_normalize_nulls(spark, sf_dir):
@@ -879,7 +922,7 @@ O.cte("rv_themes_json", "SELECT product_id, review_window, to_json(list(json_obj
       " SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, review_window "
       "ORDER BY weight DESC, ord) AS rn FROM ("
       + " UNION ALL ".join(f"SELECT product_id, review_window, {q(th)} AS theme, {i} AS ord, "
-                           f"CAST(th_{i} AS INTEGER) AS weight FROM rv_stats"
+                           f"CAST(th_{i} AS BIGINT) AS weight FROM rv_stats"
                            for i, th in enumerate(lx.THEME_KEYWORDS))
       + ") WHERE weight > 0) WHERE rn <= 5 GROUP BY product_id, review_window", ["rv_stats"])
 

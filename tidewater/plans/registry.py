@@ -74,9 +74,9 @@ def q_clean_leads(spark, sf_dir):
 
 
 @register("to_eur", O.build("""SELECT order_id, customer_id, order_date, channel, region, currency,
-  CAST(ROUND(gross_revenue_eur * r, 2) AS DECIMAL(12,2)) AS gross_revenue_eur,
-  CAST(ROUND(discount_eur * r, 2) AS DECIMAL(12,2)) AS discount_eur,
-  CAST(ROUND(net_revenue_eur * r, 2) AS DECIMAL(12,2)) AS net_revenue_eur, units
+  CAST(ROUND(gross_revenue_eur * r, 2) AS DECIMAL(24,2)) AS gross_revenue_eur,
+  CAST(ROUND(discount_eur * r, 2) AS DECIMAL(24,2)) AS discount_eur,
+  CAST(ROUND(net_revenue_eur * r, 2) AS DECIMAL(24,2)) AS net_revenue_eur, units
 FROM (SELECT *, CASE currency WHEN 'EUR' THEN CAST(1.0 AS DECIMAL(10,4))
   WHEN 'USD' THEN CAST(0.92 AS DECIMAL(10,4)) WHEN 'GBP' THEN CAST(1.17 AS DECIMAL(10,4)) END AS r
   FROM orders_clean)""", ["orders_clean"]))
@@ -108,7 +108,7 @@ def q_anomalies_rollups(spark, sf_dir):
 
 
 @register("daily_revenue_by_region", O.build(
-    "SELECT order_date, region, CAST(COALESCE(SUM(net_revenue_eur), 0) AS DECIMAL(18,2)) "
+    "SELECT order_date, region, CAST(COALESCE(SUM(net_revenue_eur), 0) AS DECIMAL(30,2)) "
     "AS net_revenue_eur FROM orders_clean GROUP BY order_date, region", ["orders_clean"]))
 def q_rev_region(spark, sf_dir):
     return R.daily_revenue_by_region(cleaned(spark, sf_dir, "orders"))

@@ -37,7 +37,7 @@ def _s(name: str, dtype, nullable: bool = True) -> StructField:
 
 S, TS, D = StringType(), TimestampType(), DateType()
 TSN = TimestampNTZType()
-MONEY = DecimalType(12, 2)
+MONEY = DecimalType(24, 2)
 
 # raw.* tables (clean form without the helper ``text`` column, plus loaded_at)
 RAW_SCHEMAS: dict[str, StructType] = {
@@ -45,7 +45,7 @@ RAW_SCHEMAS: dict[str, StructType] = {
         _s("order_id", S, False), _s("customer_id", S), _s("order_date", D, False),
         _s("channel", S, False), _s("region", S, False), _s("currency", S),
         _s("gross_revenue_eur", MONEY), _s("discount_eur", MONEY),
-        _s("net_revenue_eur", MONEY, False), _s("units", IntegerType(), False),
+        _s("net_revenue_eur", MONEY, False), _s("units", LongType(), False),
         _s("loaded_at", TS)]),
     "support_tickets": StructType([
         _s("ticket_id", S, False), _s("customer_id", S), _s("created_at", TSN),
@@ -59,7 +59,7 @@ RAW_SCHEMAS: dict[str, StructType] = {
         _s("loaded_at", TS)]),
     "web_analytics": StructType([
         _s("event_date", D), _s("page_path", S), _s("country", S), _s("device", S),
-        _s("sessions", IntegerType(), False), _s("pageviews", IntegerType(), False),
+        _s("sessions", LongType(), False), _s("pageviews", LongType(), False),
         _s("bounce_rate", DecimalType(10, 2)), _s("avg_session_sec", DecimalType(10, 2)),
         _s("loaded_at", TS)]),
     "crm_leads": StructType([
@@ -68,7 +68,7 @@ RAW_SCHEMAS: dict[str, StructType] = {
         _s("est_value_eur", MONEY), _s("notes", S, False), _s("loaded_at", TS)]),
 }
 
-THEME_STRUCT = StructType([_s("theme", S), _s("weight", IntegerType())])
+THEME_STRUCT = StructType([_s("theme", S), _s("weight", LongType())])
 
 MART_SCHEMAS: dict[str, StructType] = {
     "ticket_classifications": StructType([
@@ -77,15 +77,15 @@ MART_SCHEMAS: dict[str, StructType] = {
         _s("detected_language", S, False), _s("enriched_at", TS, False), _s("run_id", S)]),
     "review_summaries": StructType([
         _s("product_id", S, False), _s("review_window", S, False),
-        _s("n_reviews", IntegerType(), False), _s("avg_rating", DecimalType(3, 2), False),
+        _s("n_reviews", LongType(), False), _s("avg_rating", DecimalType(3, 2), False),
         _s("summary_en", S, False), _s("summary_fr", S, False),
         _s("top_themes", ArrayType(THEME_STRUCT), False), _s("enriched_at", TS, False),
         _s("run_id", S)]),
     "revenue_anomalies": StructType([
         _s("anomaly_id", S, False), _s("detected_date", D, False), _s("dimension", S, False),
         _s("dimension_value", S, False), _s("metric", S, False),
-        _s("observed_value", DecimalType(14, 2), False),
-        _s("expected_value", DecimalType(14, 2), False),
+        _s("observed_value", DecimalType(30, 2), False),
+        _s("expected_value", DecimalType(30, 2), False),
         _s("deviation", DecimalType(10, 3), False), _s("direction", S, False),
         _s("severity", S, False), _s("enriched_at", TS, False), _s("run_id", S)]),
     "lead_enrichments": StructType([

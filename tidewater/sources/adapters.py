@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
 from tidewater.functions import sqlexpr as sx
-from tidewater.sources.tables import read_table, spread_if_narrow
+from tidewater.sources import vocabulary as vocab
+from tidewater.sources.tables import read_table
 
 
 def pick(values: list[str], index: Column | str) -> Column:
@@ -42,8 +43,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders (+ lineitem sums, + customer region) as the ``orders`` source."""
-    li = spread_if_narrow(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_extendedprice", "l_discount", "l_quantity")).select(
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
         F.col("l_discount").cast("decimal(4,2)").alias("disc"),
@@ -53,8 +53,8 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("price").cast("decimal(18,2)").alias("gross"),
         F.sum(F.round(F.col("price") * F.col("disc"), 2)).cast("decimal(18,2)").alias("discount"),
         F.sum("qty").cast("long").alias("units"))
-    o = spread_if_narrow(read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"))
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     j = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
          .join(_geo(spark, sf_dir), o.o_custkey == F.col("c_custkey"), "left"))
     return j.selectExpr(
@@ -65,24 +65,28 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         " AS channel",
         "r_name AS region",
         "CASE o_orderkey % 10 WHEN 7 THEN 'USD' WHEN 8 THEN 'GBP' ELSE 'EUR' END AS currency",
-        "CAST(gross AS STRING) AS gross_revenue_eur",
-        "CASE WHEN o_orderkey % 499 = 17 THEN 'abc' ELSE CAST(discount AS STRING) END"
+        "CASE WHEN o_orderkey % 9973 = 5 THEN CAST(gross + 2345678901234.5 AS STRING) "
+        "WHEN o_orderkey % 997 = 6 THEN concat(CAST(gross AS STRING), '5') "
+        "WHEN o_orderkey % 1009 = 8 THEN '1e30' ELSE CAST(gross AS STRING) END AS gross_revenue_eur",
+        "CASE WHEN o_orderkey % 499 = 17 THEN 'abc' WHEN o_orderkey % 499 = 18 "
+        "THEN concat(CAST(discount AS STRING), '4') ELSE CAST(discount AS STRING) END"
         " AS discount_eur",
         "CAST(gross - discount AS STRING) AS net_revenue_eur",
-        "CASE WHEN o_orderkey % 97 = 3 THEN 'NA' ELSE CAST(units AS STRING) END AS units",
+        "CASE WHEN o_orderkey % 97 = 3 THEN 'NA' WHEN o_orderkey % 991 = 4 THEN '3000000000' "
+        "WHEN o_orderkey % 991 = 9 THEN '99999999999999999999' ELSE CAST(units AS STRING) END AS units",
     )
 
 
 def _ticket_arrays() -> tuple[list[str], list[str]]:
-    cats = list(lx.TICKET_SUBJECTS)
-    subjects = [s for c in cats for lang in lx.TICKET_LANGS for s in lx.TICKET_SUBJECTS[c][lang]]
-    descs = [lx.TICKET_DESCRIPTIONS[c][lang] for c in cats for lang in lx.TICKET_LANGS]
+    cats = list(vocab.TICKET_SUBJECTS)
+    subjects = [s for c in cats for lang in lx.TICKET_LANGS for s in vocab.TICKET_SUBJECTS[c][lang]]
+    descs = [vocab.TICKET_DESCRIPTIONS[c][lang] for c in cats for lang in lx.TICKET_LANGS]
     return subjects, descs
 
 
 def tickets_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> ``support_tickets`` source (text from the ticket templates)."""
-    ev = spread_if_narrow(read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id"))
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     lang_i = "(CASE WHEN event_id % 20 < 11 THEN 0 ELSE 1 END)"
     subjects, descs = _ticket_arrays()
     subject = sx.pick(subjects, f"(event_id % 6) * 8 + {lang_i} * 4 + (event_id div 6) % 4")
@@ -110,14 +114,14 @@ def reviews_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = read_table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("l_doc_id"), "quality", "toxic")
-    j = spread_if_narrow(docs).join(labels, docs.doc_id == labels.l_doc_id, "left")
+    j = docs.join(labels, docs.doc_id == labels.l_doc_id, "left")
     did = F.col("doc_id")
     rating = (F.when(F.col("toxic") == 1, F.lit(1))
               .when(F.col("quality") == 1, 4 + did % 2)
               .when(F.col("quality") == 0, 1 + did % 2)
               .otherwise(F.lit(3)))
     tl = F.when(F.col("lang") == "fr", F.lit("fr")).otherwise(F.lit("en"))
-    t = lx.REVIEW_TITLES
+    t = vocab.REVIEW_TITLES
     title = (F.when((rating >= 4) & (tl == "en"), pick(t["positive"]["en"], did % 4))
              .when(rating >= 4, pick(t["positive"]["fr"], did % 4))
              .when((rating == 3) & (tl == "en"), pick(t["neutral"]["en"], did % 2))
@@ -156,7 +160,9 @@ def web_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.select(
         F.col("d").cast("string").alias("event_date"), "page_path", "country", "device",
         F.col("n").cast("string").alias("sessions"),
-        F.when(F.col("n") % 11 == 4, F.lit("NA")).otherwise(F.col("pv").cast("string"))
+        F.when(F.col("n") % 11 == 4, F.lit("NA"))
+         .when(F.col("n") % 13 == 6, (F.col("pv") + 3000000000).cast("string"))
+         .when(F.col("n") % 17 == 7, F.lit("1e25")).otherwise(F.col("pv").cast("string"))
          .alias("pageviews"),
         F.col("vmin").cast("decimal(10,2)").cast("string").alias("bounce_rate"),
         F.col("vmax").cast("decimal(10,2)").cast("string").alias("avg_session_sec"),
@@ -165,14 +171,14 @@ def web_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def leads_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> ``crm_leads`` source (notes from the lead-note templates)."""
-    cust = spread_if_narrow(read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
-    templates = lx.LEAD_NOTES["en"] + lx.LEAD_NOTES["fr"]
+    cust = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    templates = vocab.LEAD_NOTES["en"] + vocab.LEAD_NOTES["fr"]
     notes = sx.fill(sx.pick(templates, "(c_custkey % 2) * 5 + (c_custkey div 2) % 5"), {
-        "role": sx.pick(lx.LEAD_ROLES, "(c_custkey div 3) % 5"),
+        "role": sx.pick(vocab.LEAD_ROLES, "(c_custkey div 3) % 5"),
         "src": sx.pick(lx.LEAD_SOURCES, "(c_custkey div 5) % 4"),
-        "comp": sx.pick(lx.LEAD_COMPETITORS, "(c_custkey div 7) % 6"),
-        "sz": sx.pick(lx.LEAD_SIZES, "(c_custkey div 11) % 8")})
+        "comp": sx.pick(vocab.LEAD_COMPETITORS, "(c_custkey div 7) % 6"),
+        "sz": sx.pick(vocab.LEAD_SIZES, "(c_custkey div 11) % 8")})
     value = "CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 7 AS DECIMAL(12,2))"
     return cust.selectExpr(
         "concat('LD-', CAST(c_custkey AS STRING)) AS lead_id",
@@ -183,7 +189,7 @@ def leads_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "\"yyyy-MM-dd'T'HH\") AS created_at",
         f"{sx.pick(lx.LEAD_SOURCES, 'c_custkey % 4')} AS source",
         f"{sx.pick(lx.LEAD_STATUSES, '(c_custkey div 4) % 5')} AS status",
-        f"CASE WHEN c_custkey % 31 = 9 THEN 'NA' ELSE CAST({value} AS STRING) END AS est_value_eur",
+        f"CASE WHEN c_custkey % 31 = 9 THEN 'NA' WHEN c_custkey % 211 = 7 THEN '123456789012.345' ELSE CAST({value} AS STRING) END AS est_value_eur",
         f"CASE WHEN c_custkey % 37 = 11 THEN '' ELSE {notes} END AS notes",
     )
 
@@ -248,7 +254,8 @@ def run_events_source(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 RESPONSE_CATEGORIES = ["billing", "Shipping", "bug", "Feature Request", "account", "spam", "other"]
 RESPONSE_SENTIMENTS = ["positive", "neutral", "negative", "angry"]
 RESPONSE_URGENCIES = ["low", "Medium", "high", "critical", "urgent"]
-RESPONSE_CONFIDENCES = ["0.8", '"high"', "1.7", "0.456", "-0.2"]
+RESPONSE_CONFIDENCES = ["0.8", '"high"', "1.7", "0.456", "-0.2", "NaN"]
+DECOY = '"category": "decoy", '  # a key that is given again: the last one counts
 RESPONSE_PROVIDERS = ["nvidia", "ollama", "anthropic", "openai-compatible", "other"]
 
 
@@ -265,11 +272,11 @@ def ticket_responses_source(batches: DataFrame, broken: bool = False) -> DataFra
     n = _n_of(F.col("id"))
 
     def obj(id_part: Column, cat_i: Column) -> Column:
-        return F.concat(F.lit("{"), id_part, F.lit('"category": "'),
+        return F.concat(F.lit("{"), id_part, F.when(n % 29 == 0, F.lit(DECOY)).otherwise(F.lit("")), F.lit('"category": "'),
                         pick(RESPONSE_CATEGORIES, cat_i), F.lit('", "sentiment": "'),
                         pick(RESPONSE_SENTIMENTS, n % 4), F.lit('", "urgency": "'),
                         pick(RESPONSE_URGENCIES, n % 5), F.lit('", "confidence": '),
-                        pick(RESPONSE_CONFIDENCES, n % 5), F.lit("}"))
+                        pick(RESPONSE_CONFIDENCES, n % 6), F.lit("}"))
 
     own = F.concat(F.lit('"id": "'), F.col("id"), F.lit('", '))
     per_item = F.nullif(F.concat_ws(
@@ -307,9 +314,10 @@ def review_responses_source(summaries: DataFrame) -> DataFrame:
     return summaries.select("product_id", "review_window", content.alias("content"))
 
 
-def lead_responses_source(batches: DataFrame) -> DataFrame:
+def lead_responses_source(batches: DataFrame, broken: bool = False) -> DataFrame:
     """One response per lead batch: translated notes for most leads, empty
-    values for some (kept from the rules), a repeated id for a few."""
+    values for some (kept from the rules), a repeated id for a few, and in every
+    batch a result for a lead it was not asked for. ``broken`` leaves one call empty."""
     items = batches.select("batch_id", F.inline("items"))
     n = _n_of(F.col("id"))
     en = F.when(n % 5 == 1, F.lit("")).otherwise(F.concat(F.lit("EN note for "), F.col("id")))
@@ -321,15 +329,19 @@ def lead_responses_source(batches: DataFrame) -> DataFrame:
     per_item = F.concat_ws(", ", one, again)
     per_batch = items.groupBy("batch_id").agg(
         F.sort_array(F.collect_list(F.struct("id", per_item.alias("o")))).alias("os"))
-    return per_batch.select("batch_id", F.concat(
-        F.lit('{"results": ['), F.array_join(F.transform("os", lambda x: x["o"]), ", "),
-        F.lit("]}")).alias("content"))
+    foreign = F.lit(', {"id": "LD-1", "notes_en": "not asked", "notes_fr": "pas demandé"}')
+    asked_one = F.exists("os", lambda x: x["id"] == "LD-1")
+    content = F.concat(F.lit('{"results": ['), F.array_join(F.transform("os", lambda x: x["o"]), ", "),
+                       F.when(asked_one, F.lit("")).otherwise(foreign), F.lit("]}"))
+    if broken:
+        content = F.when(F.col("batch_id") == "0-0", F.lit("no answer")).otherwise(content)
+    return per_batch.select("batch_id", content.alias("content"))
 
 
 def call_log_source(batches: DataFrame) -> DataFrame:
-    """One model call per batch; the run is the batch's bucket, the provider
-    follows the bucket."""
-    bucket = F.split("batch_id", "-").getItem(0).cast("int")
-    return batches.select(F.concat(F.lit("run-"), bucket.cast("string")).alias("run_id"),
-                          pick(RESPONSE_PROVIDERS, bucket % 5).alias("provider"),
-                          F.lit(1).alias("n_calls"))
+    """One model call per batch; the run follows the batch's number in its bucket, the provider
+    the run. ``billed_calls``: every second call."""
+    k = F.split("batch_id", "-").getItem(1).cast("int")
+    return batches.select(F.concat(F.lit("run-"), (k % 12).cast("string")).alias("run_id"),
+                          pick(RESPONSE_PROVIDERS, k % 12 % 5).alias("provider"),
+                          F.lit(1).alias("n_calls"), (k % 2).alias("billed_calls"))

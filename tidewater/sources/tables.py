@@ -30,18 +30,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def forget_tables() -> None:
     _HANDLES.clear()
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's task slots when its scan yields
-    fewer partitions than there are slots (a small file with one row group is
-    one task). Big inputs already split into many more scan tasks than slots,
-    so at scale this is a no-op and adds no shuffle."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as is
-        return df
-    return df.repartition(slots) if parts < slots else df
-
-
