@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import responses as RS
 from tidewater.operators import tickets as T
 from tidewater.plans.pipeline import ledger_view, run_pipeline
+from tidewater import schemas as SC
 from tidewater.schemas import SOURCE_COLUMNS
 from tidewater.sinks import warehouse as W
 from tidewater.sources import files as S
@@ -98,7 +99,12 @@ def test_run_pipeline_csv(spark, scratch):
     assert kpi.total_revenue == Decimal("110.00")
     assert dash["leads"].columns == ["lead_id", "company_size_band", "lead_score", "notes"]
     assert dash["tickets_by_category"].count() == 2
-    # rerun with the same id: tables replaced, ledger keeps one view row per run
+    assert res.rows_rejected == 2 and res.message.startswith("Pipeline run run-a completed")
+    rejects = {(r.table, r.row_key, r.reason) for r in spark.read.parquet(f"{scratch}/raw/rejected_rows").collect()}
+    assert rejects == {("orders", "o2", "net_revenue_eur"), ("product_reviews", "r2", "rating")}
+    report = spark.read.parquet(f"{scratch}/mart/quality_report").collect()
+    assert {r.table for r in report} == set(SC.TABLE_SCHEMAS) and res.violations == sum(r.violations for r in report)
+    # a further run: tables replaced, ledger keeps one view row per run
     run_pipeline(spark, src, scratch, "run-b", now=now)
     assert {r.run_id for r in spark.read.parquet(f"{scratch}/mart/ticket_classifications")
             .collect()} == {"run-b"}
@@ -165,14 +171,20 @@ def test_ticket_batches(spark):
     b = RS.build_ticket_batches(spark.createDataFrame(rows, "ticket_id string, text string"),
                                 n_buckets=2).collect()
     assert sum(r.n_items for r in b) == 95 and max(r.n_items for r in b) <= 40
-    assert all(len(it.text) == 500 for r in b for it in r.items)
+    assert all(len(it.text) == 600 for r in b for it in r.items)  # whole texts
     assert b[0].user_message.startswith("Classify each ticket:\n[{")
+    assert "feature_request" in b[0].system_message and '"results"' in b[0].system_message
+    cut = RS.build_ticket_batches(spark.createDataFrame(rows, "ticket_id string, text string"), max_chars=500).collect()
+    assert all(len(it.text) == 500 for r in cut for it in r.items)
+    late = spark.createDataFrame([("T", "x" * 600 + "a"), ("T", "x" * 600 + "b"), ("T", "x" * 600 + "a")], "ticket_id string, text string")
+    assert sum(r.n_items for r in RS.build_ticket_batches(late).collect()) == 2  # they differ late in the text
 
 
 @pytest.mark.parametrize("content,valid", [
     ('{"results": []}', True), ('```json\n{"results": []}\n```', True),
     ('Sure! {"results": []} Anything else?', True), ("", False), ("not json", False),
-    ('{"results": [1, }', False), (None, False)])
+    ('{"results": [1, }', False), (None, False), ('{"results": []} and {more}', False),
+    ('{"results": [{"id": "a", "id": "b", "confidence": NaN}]}', True), ('{"results": "text"}', False)])
 def test_parse_response(spark, content, valid):
     df = spark.createDataFrame([("b", content)], "batch_id string, content string")
     assert RS.parse_response(df).collect()[0].is_valid is valid
@@ -250,10 +262,10 @@ def test_run_pipeline_model_mode(spark, scratch):
     src = tempfile.mkdtemp(prefix="tidewater-src-", dir="/tmp")
     _seed(src)
     run_pipeline(spark, src, scratch, "run-rules", now=dt.datetime(2026, 8, 2))
-    written = write_model_requests(spark, scratch, n_buckets=2)
+    written = write_model_requests(spark, scratch, "req-1")
     assert written["tickets"] >= 1 and written["leads"] >= 1
     raw_t = spark.read.parquet(f"{scratch}/raw/support_tickets")
-    batches = RS.build_ticket_batches(raw_t, n_buckets=2)
+    batches = RS.build_ticket_batches(raw_t)
     # responses arrive as a written table, independent of the raw files a run replaces
     resp_dir = tempfile.mkdtemp(prefix="tidewater-resp-", dir="/tmp")
     AD.ticket_responses_source(batches).write.mode("overwrite").parquet(f"{resp_dir}/ok")
@@ -261,7 +273,7 @@ def test_run_pipeline_model_mode(spark, scratch):
     rules = sorted(T.classify_tickets(raw_t).collect())
     batch_ids = [r.batch_id for r in batches.collect()]
     res = run_pipeline(spark, src, scratch, "run-llm", now=dt.datetime(2026, 8, 3),
-                       responses=ModelResponses(provider="anthropic", tickets=ok, n_buckets=2))
+                       responses=ModelResponses(provider="anthropic", tickets=ok, request_id="req-1"))
     assert res.llm_calls == written["tickets"] and not res.fell_back
     assert abs(res.llm_cost_estimate - 0.0225 * res.llm_calls) < 1e-9
     v = {r.run_id: r for r in ledger_view(spark, scratch).collect()}["run-llm"]
@@ -269,7 +281,7 @@ def test_run_pipeline_model_mode(spark, scratch):
     bad = spark.createDataFrame([(b, "") for b in batch_ids],
                                 "batch_id string, content string")
     res = run_pipeline(spark, src, scratch, "run-bad", now=dt.datetime(2026, 8, 4),
-                       responses=ModelResponses(provider="nvidia", tickets=bad, n_buckets=2))
+                       responses=ModelResponses(provider="nvidia", tickets=bad, request_id="req-1"))
     assert res.fell_back and "classify_tickets" in res.fell_back[0]
     v = {r.run_id: r for r in ledger_view(spark, scratch).collect()}["run-bad"]
     assert v.error.startswith("classify_tickets: no usable response")
@@ -296,10 +308,10 @@ def test_csv_quoted_multiline_and_empty_inputs(spark, scratch):
     _write_csv(scratch, "support_tickets", [
         ["t9", "C-9", "2026-07-01T10:00:00", "email", "en", "Refund, please",
          'Line one\nline "two", charged twice', "open", "YES"]])
-    t = S.read_source(spark, scratch, "support_tickets").collect()
+    t = S.read_source(spark, scratch, "support_tickets", multiline=True).collect()
     assert len(t) == 1 and t[0].description == 'Line one\nline "two", charged twice'
     cls = T.classify_tickets(__import__("tidewater.operators.clean", fromlist=["x"])
-                             .clean_tickets(S.read_source(spark, scratch, "support_tickets")))
+                             .clean_tickets(S.read_source(spark, scratch, "support_tickets", multiline=True)))
     assert cls.collect()[0].category == "billing"
     empty = S.read_source(spark, scratch, "support_tickets").limit(0)
     from tidewater.operators import clean as C, reviews as RV, leads as L
@@ -319,3 +331,122 @@ def test_to_eur_unknown_currency(spark):
                                "order_id string, currency string, net_revenue_eur decimal(12,2)")
     out = dict(C.to_eur(df).select("order_id", "net_revenue_eur").collect())
     assert out == {"a": Decimal("92.00"), "b": None}
+
+
+def test_rerun_takes_the_latest_attempt(spark, scratch):
+    src = tempfile.mkdtemp(prefix="tidewater-src-", dir="/tmp")
+    _seed(src)
+    now = dt.datetime(2026, 8, 2, 6, 0, 0)
+
+    def boom(stage):
+        if stage == "report":
+            raise RuntimeError("boom")
+
+    with pytest.raises(RuntimeError):
+        run_pipeline(spark, src, scratch, "r", now=now, on_stage=boom)
+    v = ledger_view(spark, scratch).collect()[0]
+    assert (v.status, v.error, v.report_path, v.attempt) == ("failed", "RuntimeError: boom", None, 1)
+    run_pipeline(spark, src, scratch, "r", now=now)
+    v = ledger_view(spark, scratch).collect()[0]
+    assert (v.status, v.error, v.attempt) == ("success", None, 2) and v.report_path
+    with pytest.raises(RuntimeError):
+        run_pipeline(spark, src, scratch, "r", now=now, on_stage=boom)
+    v = ledger_view(spark, scratch).collect()[0]
+    assert (v.status, v.error, v.report_path, v.attempt) == ("failed", "RuntimeError: boom", None, 3)
+
+
+def test_responses_must_answer_their_requests(spark, scratch):
+    from tidewater.plans.pipeline import ModelResponses, write_model_requests
+    src = tempfile.mkdtemp(prefix="tidewater-src-", dir="/tmp")
+    _seed(src)
+    run_pipeline(spark, src, scratch, "r0", now=dt.datetime(2026, 8, 2))
+    write_model_requests(spark, scratch, "q1")
+    odd = spark.createDataFrame([("99-99", "{}")], "batch_id string, content string")
+    with pytest.raises(ValueError):
+        run_pipeline(spark, src, scratch, "r1", responses=ModelResponses(provider="x", request_id="q1", tickets=odd))
+    with pytest.raises(Exception):
+        run_pipeline(spark, src, scratch, "r2", responses=ModelResponses(provider="x", request_id="none", tickets=odd))
+
+
+def test_report_leaves_out_unknown_runs(spark):
+    from tidewater.operators import delivery as D
+    runs = spark.createDataFrame([("a",), ("b",)], "run_id string")
+    cls = spark.createDataFrame([("a", "bug"), ("zz", "bug")], "run_id string, category string")
+    an = spark.createDataFrame([("zz", "i", "d", "v", "critical", Decimal("4.0"))],
+                               "run_id string, anomaly_id string, dimension string, dimension_value string, severity string, deviation decimal(10,3)")
+    got = {(r.run_id, r.section, r.line) for r in D.run_report(runs, cls, an).collect()}
+    assert got == {("a", "categories", "bug: 1"), ("a", "anomalies", D.NO_ANOMALY_LINE),
+                   ("b", "categories", D.NO_CATEGORY_LINE), ("b", "anomalies", D.NO_ANOMALY_LINE)}
+
+
+def test_csv_binds_columns_by_name(spark, scratch):
+    cols = SOURCE_COLUMNS["orders"]
+    row = dict(zip(cols, ["o1", "C-1", "2026-07-01", "web", "EU", "EUR", "100.00", "10.00", "90.00", "2"]))
+    mixed = [*reversed(cols), "extra"]
+    with open(f"{scratch}/orders.csv", "w") as fh:
+        fh.write(",".join(mixed) + "\n" + ",".join(row.get(c, "x") for c in mixed) + "\n" + "too,few\n" + ",".join(["y"] * 14) + "\n")
+    got = S.read_source(spark, scratch, "orders").collect()
+    assert [r.asDict() for r in got] == [row] and got[0].__fields__ == cols
+    assert S.read_source(spark, scratch, "orders").count() == 1
+    assert [r.reason for r in S.read_rejects(spark, scratch, "orders").collect()] == ["fields do not match the header"] * 2
+    with open(f"{scratch}/crm_leads.csv", "w") as fh:
+        fh.write("lead_id,notes\nl,n\n")
+    with pytest.raises(ValueError, match="company_name"):
+        S.read_source(spark, scratch, "crm_leads")
+
+
+def test_failed_rename_keeps_the_old_table(spark, scratch, monkeypatch):
+    path = f"{scratch}/t"
+    W.commit_write(spark.range(3).toDF("id"), path)
+    real, calls = W._rename, []
+
+    def fails_second(fs, source, target):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("no")
+        real(fs, source, target)
+
+    monkeypatch.setattr(W, "_rename", fails_second)
+    with pytest.raises(OSError):
+        W.commit_write(spark.range(9).toDF("id"), path)
+    assert spark.read.parquet(path).count() == 3
+    assert W.commit_write(spark.range(5).toDF("id"), path) == 5 and spark.read.parquet(path).count() == 5
+
+
+def test_upsert_repeated_keys(spark):
+    cur = spark.createDataFrame([("a", 1)], "k string, v int")
+    inc = spark.createDataFrame([("a", 2, 1), ("a", 3, 2), ("b", 4, 1)], "k string, v int, at int")
+    assert sorted(W.upsert_by_key(cur, inc, ["k"], order="at").collect()) == [("a", 3), ("b", 4)]
+    with pytest.raises(Exception, match="incoming key repeated"):
+        W.upsert_by_key(cur, inc, ["k"]).collect()
+
+
+def test_lead_results_of_other_batches_are_ignored(spark):
+    from tidewater.operators import leads as L
+    leads = spark.createDataFrame([(f"L{i}", "new", "ads", None, f"note {i}") for i in range(90)],
+                                  "lead_id string, status string, source string, est_value_eur decimal(24,2), notes string")
+    batches = RS.build_lead_batches(leads)
+    b = batches.collect()
+    other = next(it.id for it in b[1].items)
+    content = [(r.batch_id, '{"results": [' + (f'{{"id": "{other}", "notes_en": "wrong"}}' if r is b[0] else "") + "]}") for r in b]
+    base = L.enrich_leads(leads)
+    resp = spark.createDataFrame(content, "batch_id string, content string")
+    assert sorted(RS.merge_lead_responses(base, batches, resp).collect()) == sorted(base.collect())
+    failed = spark.createDataFrame([(r.batch_id, "" if r is b[0] else f'{{"results": [{{"id": "{r["items"][0].id}", "notes_en": "new"}}]}}') for r in b],
+                                   "batch_id string, content string")
+    assert sorted(RS.merge_lead_responses(base, batches, failed).collect()) == sorted(base.collect())
+    assert "new" in {r.notes_en for r in RS.merge_lead_responses(base, batches, failed, fallback=False).collect()}
+
+
+def test_values_that_do_not_fit_are_rejected_with_a_reason(spark):
+    from tidewater.operators import clean as C
+    cols = SOURCE_COLUMNS["orders"]
+    rows = [("o1", "C", "2026-07-01", "web", "EU", "EUR", "12345678901.005", "0.004", None, "3000000000"),
+            ("o2", "C", "2026-07-01", "web", "EU", "EUR", "1e30", "0", None, "1"),
+            ("o3", "C", "2026-07-01", "web", "EU", "EUR", "10.005", "0.004", None, "99999999999999999999"),
+            ("o4", "C", "2026-07-01", "web", "EU", "EUR", "10.005", "0.004", None, "-1.9")]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    good = {r.order_id: (r.net_revenue_eur, r.units) for r in C.clean_orders(df).collect()}
+    assert good == {"o1": (Decimal("12345678901.00"), 3000000000), "o4": (Decimal("10.00"), -1)}
+    bad = {r.row_key: r.reason for r in C.rejected_rows({"orders": df}).collect()}
+    assert bad == {"o2": "net_revenue_eur", "o3": "units"}

@@ -5,6 +5,6 @@ expressions (no Python UDFs), so Catalyst can prune, push down and fuse it
 into whole-stage code generation.
 """
 
-from tidewater.session import build_session, checkpoint_dir
+from tidewater.session import build_session
 
-__all__ = ["build_session", "checkpoint_dir"]
+__all__ = ["build_session"]

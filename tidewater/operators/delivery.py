@@ -103,7 +103,8 @@ def run_report(run: DataFrame, classified: DataFrame, anomalies: DataFrame,
 
     Category lines ``category: count``; anomaly lines
     ``SEVERITY anomaly in dim (value): x.x std dev``; a fixed line when a run
-    has none. Top-k per run uses a row_number window with a group limit.
+    has none. Rows of runs that are not in ``run`` are left out. The sections of
+    each run are joined to the ranked lines (top-k windows with a group limit), once.
     """
     runs = run.select("run_id").distinct()
     cat = classified.groupBy("run_id", "category").agg(F.count(F.lit(1)).alias("n"))
@@ -116,16 +117,11 @@ def run_report(run: DataFrame, classified: DataFrame, anomalies: DataFrame,
     an = (anomalies.withColumn("rank", F.row_number().over(wa)).filter(F.col("rank") <= k)
           .select("run_id", F.lit("anomalies").alias("section"), "rank",
                   anomaly_line().alias("line")))
-    lines = cat.unionByName(an)
-    placeholders = F.array(
+    sections = runs.select("run_id", F.inline(F.array(
         F.struct(F.lit("categories").alias("section"), F.lit(NO_CATEGORY_LINE).alias("empty_line")),
-        F.struct(F.lit("anomalies").alias("section"), F.lit(NO_ANOMALY_LINE).alias("empty_line")))
-    sections = runs.select("run_id", F.inline(placeholders))
-    have = lines.select("run_id", "section").distinct()
-    empty = (sections.join(have, ["run_id", "section"], "left_anti")
-             .select("run_id", "section", F.lit(1).alias("rank"),
-                     F.col("empty_line").alias("line")))
-    return lines.unionByName(empty)
+        F.struct(F.lit("anomalies").alias("section"), F.lit(NO_ANOMALY_LINE).alias("empty_line")))))
+    return sections.join(cat.unionByName(an), ["run_id", "section"], "left").select(
+        "run_id", "section", F.coalesce("rank", F.lit(1)).alias("rank"), F.coalesce("line", "empty_line").alias("line"))
 
 
 def anomaly_line():

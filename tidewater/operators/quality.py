@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.schemas import FOREIGN_KEYS, RANGES, TABLE_KEYS, required_columns
+
 REPORT_COLS = ["table", "constraint", "columns", "violations"]
 
 
@@ -61,3 +63,26 @@ def check_range(df: DataFrame, table: str, column: str, lo, hi) -> DataFrame:
 
 def quality_report(checks: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), checks).select(*REPORT_COLS)
+
+
+def check_values(df: DataFrame, table: str, required: list[str], ranges: dict[str, tuple]) -> DataFrame:
+    """K14 + K15 of one table in one pass: nulls per required column, values out of range."""
+    names = [("not_null", c, F.col(c).isNull()) for c in required]
+    names += [(f"range[{lo},{hi}]", c, F.col(c).isNotNull() & ~F.col(c).between(lo, hi)) for c, (lo, hi) in ranges.items()]
+    counts = df.agg(*[F.count_if(bad).alias(f"v{k}") for k, (_, _, bad) in enumerate(names)])
+    rows = F.array(*[F.struct(F.lit(kind).alias("constraint"), F.lit(c).alias("columns"), F.col(f"v{k}").cast("long").alias("violations"))
+                     for k, (kind, c, _) in enumerate(names)])
+    return counts.select(F.inline(rows)).select(F.lit(table).alias("table"), "constraint", "columns", "violations")
+
+
+def warehouse_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every declared constraint of the given warehouse tables (see schemas): primary and
+    foreign keys, required columns, value ranges. A foreign key counts if both tables are given."""
+    checks = []
+    for name, df in tables.items():
+        checks.append(check_primary_key(df, name, TABLE_KEYS[name]))
+        checks.append(check_values(df, name, [c for c in required_columns(name) if c in df.columns], RANGES.get(name, {})))
+    for child, column, parent, parent_column in FOREIGN_KEYS:
+        if child in tables and parent in tables and column in tables[child].columns:
+            checks.append(check_foreign_key(tables[child], tables[parent], child, [column], [parent_column]))
+    return quality_report(checks)

@@ -28,17 +28,17 @@ GROUP = ["product_id", "review_window"]
 
 def _review_rows(reviews: DataFrame) -> DataFrame:
     cols = set(reviews.columns)
-    if "text" in cols:
-        text = empty_if_null("text")
-    elif {"title", "body"} <= cols:
+    if {"title", "body"} <= cols:  # one form, whether or not a helper ``text`` column is there
         text = F.concat(empty_if_null("title"), F.lit(" "), empty_if_null("body"))
+    elif "text" in cols:
+        text = empty_if_null("text")
     elif "body" in cols:
         text = empty_if_null("body")
     else:
         text = F.lit("")
     body = empty_if_null("body") if "body" in cols else F.lit("")
     lang = F.col("language") if "language" in cols else F.lit(None).cast("string")
-    # Rows without a timestamp have no month; they are left out (reject set).
+    # Rows without a timestamp have no month; clean.rejected_rows lists them.
     return reviews.filter(F.col("created_at").isNotNull()).select(
         "product_id",
         F.date_format("created_at", "yyyy-MM").alias("review_window"),

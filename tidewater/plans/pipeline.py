@@ -1,10 +1,11 @@
-"""The daily batch job: extract -> raw -> enrich -> mart -> report -> ledger.
+"""The daily batch job: extract -> raw -> enrich -> mart -> checks -> report -> ledger.
 
 Each stage is a lazy DataFrame; actions happen only at the writes. The
 enrichment stage reads the *written* raw tables back, which cuts lineage
 (a lost executor recomputes from Parquet, not from the CSV parse) and lets
-Parquet pushdown serve the narrow enrichment projections. Every table write
-is staged and committed by rename, so a rerun after a failure is idempotent.
+Parquet pushdown serve the narrow enrichment projections. Tables are replaced
+by checked renames; every attempt of a run has its own ledger rows, and the
+ledger view shows the latest attempt.
 """
 
 from __future__ import annotations
@@ -20,28 +21,28 @@ from tidewater.functions import lexicon as lx
 from tidewater.operators import clean as C
 from tidewater.operators import delivery as D
 from tidewater.operators import leads as L
+from tidewater.operators import quality as QC
 from tidewater.operators import revenue as R
 from tidewater.operators import responses as RS
 from tidewater.operators import reviews as RV
 from tidewater.operators import tickets as T
 from tidewater.sinks import warehouse as W
-from tidewater.sources.files import extract_all
+from tidewater.sources.files import extract_all, read_rejects
 
 
 @dataclass
 class ModelResponses:
-    """Responses written by whatever called the model for this run.
+    """Responses written by whatever called the model.
 
-    ``tickets`` / ``leads``: (batch_id, content) for the batches written by
-    ``write_model_requests``; ``reviews``: (product_id, review_window, content).
-    Batches are rebuilt deterministically with the same ``n_buckets``.
+    ``request_id`` names the requests of ``write_model_requests`` they answer. ``tickets`` /
+    ``leads``: (batch_id, content); ``reviews``: (product_id, review_window, content).
     """
     provider: str
+    request_id: str
     model: str | None = None
     tickets: DataFrame | None = None
     reviews: DataFrame | None = None
     leads: DataFrame | None = None
-    n_buckets: int = 64
 
 
 @dataclass
@@ -55,6 +56,9 @@ class RunResult:
     llm_calls: int = 0
     llm_cost_estimate: float = 0.0
     fell_back: list[str] = field(default_factory=list)
+    rows_rejected: int = 0
+    violations: int = 0
+    message: str | None = None
 
     @property
     def total_enriched(self) -> int:
@@ -74,13 +78,16 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
     out = out_dir.rstrip("/")
     ledger_path = f"{out}/mart/pipeline_runs_log"
     mode = "llm" if responses is not None else "mock"
+    attempt = W.next_attempt(spark.read.parquet(ledger_path), run_id) if W.table_exists(spark, ledger_path) else 1
     W.commit_write(W.start_run(spark, run_id, now, mode,
                                responses.provider if responses else None,
-                               responses.model if responses else None),
+                               responses.model if responses else None, attempt),
                    ledger_path, mode="append")
     result = RunResult(run_id=run_id, status="running")
     try:
+        unread = []
         if isinstance(sources, str):
+            unread = [read_rejects(spark, sources, n) for n in lx.SOURCE_NAMES]
             sources = extract_all(spark, sources)
         counts = {}
         cleaned = {}
@@ -93,6 +100,11 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
         result.rows_loaded = W.load_raw(cleaned, out, now)
         result.rows_extracted = sum(int(o.get["n"]) for o in counts.values())
 
+        rejects = C.rejected_rows(sources)
+        for more in unread:
+            rejects = rejects.unionByName(more)
+        result.rows_rejected = W.commit_write(rejects, f"{out}/raw/rejected_rows")
+
         raw = {name: spark.read.parquet(f"{out}/raw/{name}") for name in cleaned}
         if on_stage:
             on_stage("enrich")
@@ -111,14 +123,17 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
         if on_stage:
             on_stage("report")
         mart = {t: spark.read.parquet(f"{out}/mart/{t}") for t in marts}
-        run_row = spark.read.parquet(ledger_path).filter(F.col("run_id") == run_id)
+        ledger = ledger_view(spark, out)
+        W.commit_write(QC.warehouse_report({**raw, **mart, "pipeline_runs": ledger}), f"{out}/mart/quality_report")
+        result.violations = int(spark.read.parquet(f"{out}/mart/quality_report").agg(F.sum("violations")).first()[0] or 0)
+        run_row = ledger.filter(F.col("run_id") == run_id)
         report = D.run_report(run_row, D.for_run(mart["ticket_classifications"], run_id),
                               D.for_run(mart["revenue_anomalies"], run_id))
         W.commit_write(report, f"{out}/mart/run_reports/run_id={run_id}")
         result.status = "success"
     except Exception as exc:  # the ledger records the failure, then re-raises
         result.status = "failed"
-        result.error = f"{type(exc).__name__}: {str(exc)[:500]}"
+        result.error = f"{type(exc).__name__}: {exc}"
         raise
     finally:
         W.commit_write(W.finalize_run(
@@ -128,86 +143,79 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
             llm_calls=result.llm_calls, llm_cost_estimate=result.llm_cost_estimate,
             report_path=f"{out}/mart/run_reports/run_id={run_id}" if result.status == "success"
             else None, slack_sent=False,
-            error=result.error or ("; ".join(result.fell_back) or None)),
+            error=result.error or ("; ".join(result.fell_back) or None), attempt=attempt),
             ledger_path, mode="append")
+        row = D.run_message(ledger_view(spark, out).where(F.col("run_id") == run_id)).first()
+        result.message = row["message"] if row else None
     return result
 
 
-def model_requests(raw: dict[str, DataFrame], n_buckets: int = 64) -> dict[str, DataFrame]:
-    """The request rows of a run (ticket batches, review prompts, lead
-    batches) built from the raw tables."""
+OPERATIONS = {  # operation -> (name in the ledger, key columns, response schema)
+    "tickets": ("classify_tickets", ["batch_id"], RS.TICKET_RESULT),
+    "reviews": ("summarize_reviews", ["product_id", "review_window"], RS.REVIEW_RESULT),
+    "leads": ("enrich_leads", ["batch_id"], RS.LEAD_RESULT),
+}
+
+
+def model_requests(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The request rows (ticket batches, review prompts, lead batches) built from the
+    raw tables."""
     summaries = RV.summarize_reviews(raw["product_reviews"])
-    return {"tickets": RS.build_ticket_batches(raw["support_tickets"], n_buckets=n_buckets),
+    return {"tickets": RS.build_ticket_batches(raw["support_tickets"]),
             "reviews": RS.build_review_prompts(summaries),
-            "leads": RS.build_lead_batches(raw["crm_leads"], n_buckets=n_buckets)}
+            "leads": RS.build_lead_batches(raw["crm_leads"])}
+
+
+def _requests_path(out_dir: str, request_id: str, op: str) -> str:
+    return f"{out_dir.rstrip('/')}/mart/model_requests/request_id={request_id}/{op}"
 
 
-def write_model_requests(spark: SparkSession, out_dir: str, n_buckets: int = 64) -> dict[str, int]:
+def write_model_requests(spark: SparkSession, out_dir: str, request_id: str) -> dict[str, int]:
     """Write the request rows for an external model caller to
-    ``<out_dir>/mart/model_requests/<operation>`` (from the written raw tables)."""
+    ``<out_dir>/mart/model_requests/request_id=<request_id>/<operation>`` (from the written raw
+    tables). Responses name the ``request_id`` they answer."""
     out = out_dir.rstrip("/")
     raw = {n: spark.read.parquet(f"{out}/raw/{n}")
            for n in ("support_tickets", "product_reviews", "crm_leads")}
-    reqs = model_requests(raw, n_buckets)
-    return {op: W.commit_write(df, f"{out}/mart/model_requests/{op}") for op, df in reqs.items()}
+    return {op: W.commit_write(df, _requests_path(out, request_id, op)) for op, df in model_requests(raw).items()}
 
 
 def _merge_model(spark: SparkSession, raw: dict[str, DataFrame], marts: dict[str, DataFrame],
                  responses: ModelResponses, run_id: str, result: RunResult,
                  out_dir: str) -> dict[str, DataFrame]:
-    """E7-E11 inside the job; fills ``result`` with calls, cost and fallbacks."""
+    """E7-E11 inside the job: each response table is parsed and written once, and the merge, the
+    fallback flag and the call count come from that table. Fails if the requests named by the
+    responses don't exist or don't hold a call that is answered."""
     out = dict(marts)
-    calls = []
-    statuses = []
-
-    def requests(op: str, build: Callable[[], DataFrame]) -> DataFrame:
-        # Batches written by write_model_requests are read back (no second
-        # shuffle + window over all rows); otherwise rebuilt the same way.
-        path = f"{out_dir}/mart/model_requests/{op}"
-        try:
-            written = spark.read.parquet(path)
-            if "items" in written.columns:
-                return written
-        except Exception:  # no request table for this operation
-            pass
-        return build()
-
-    if responses.tickets is not None:
-        batches = requests("tickets", lambda: RS.build_ticket_batches(
-            raw["support_tickets"], n_buckets=responses.n_buckets))
-        out["ticket_classifications"] = RS.merge_ticket_responses(
-            raw["support_tickets"], batches, responses.tickets)
-        statuses.append(RS.fallback_status("classify_tickets", batches, responses.tickets,
-                                           ["batch_id"]))
-        calls.append(batches.select(F.lit(1).alias("n_calls")))
-    if responses.reviews is not None:
-        base = marts["review_summaries"]
-        out["review_summaries"] = RS.merge_review_responses(base, responses.reviews)
-        statuses.append(RS.fallback_status("summarize_reviews", base, responses.reviews,
-                                           ["product_id", "review_window"]))
-        calls.append(base.select(F.lit(1).alias("n_calls")))
-    if responses.leads is not None:
-        batches = requests("leads", lambda: RS.build_lead_batches(
-            raw["crm_leads"], n_buckets=responses.n_buckets))
-        out["lead_enrichments"] = RS.merge_lead_responses(marts["lead_enrichments"], batches,
-                                                          responses.leads)
-        statuses.append(RS.fallback_status("enrich_leads", batches, responses.leads,
-                                           ["batch_id"]))
-        calls.append(batches.select(F.lit(1).alias("n_calls")))
+    given = {"tickets": responses.tickets, "reviews": responses.reviews, "leads": responses.leads}
+    calls, statuses = [], []
+    for op, answers in given.items():
+        if answers is None:
+            continue
+        name, keys, schema = OPERATIONS[op]
+        requests = spark.read.parquet(_requests_path(out_dir, responses.request_id, op))
+        path = f"{out_dir}/mart/model_responses/run_id={run_id}/{op}"
+        W.commit_write(RS.parse_response(answers, schema), path)
+        parsed = spark.read.parquet(path)
+        if parsed.join(requests.select(*keys), keys, "left_anti").limit(1).count():
+            raise ValueError(f"{name}: responses to calls that request {responses.request_id} does not hold")
+        if op == "tickets":
+            out["ticket_classifications"] = RS.merge_ticket_responses(raw["support_tickets"], requests, parsed)
+        elif op == "reviews":
+            answered = parsed.where(RS.all_answered(requests, parsed, keys, schema))
+            out["review_summaries"] = RS.merge_review_responses(marts["review_summaries"], answered, fallback=False)
+        else:
+            out["lead_enrichments"] = RS.merge_lead_responses(marts["lead_enrichments"], requests, parsed)
+        statuses.append(RS.fallback_status(name, requests, parsed, keys, schema))
+        calls.append(requests.select(F.lit(run_id).alias("run_id"), F.lit(responses.provider).alias("provider"), F.lit(1).alias("n_calls")))
     if calls:
         log = calls[0]
         for c in calls[1:]:
             log = log.unionByName(c)
-        log = log.select(F.lit(run_id).alias("run_id"), F.lit(responses.provider).alias("provider"),
-                         "n_calls")
-        cost = RS.estimate_cost(log).collect()  # one row per run
-        if cost:
-            result.llm_calls = int(cost[0].llm_calls)
-            result.llm_cost_estimate = float(cost[0].llm_cost_estimate)
+        for row in RS.estimate_cost(log).collect():  # one row
+            result.llm_calls, result.llm_cost_estimate = int(row.llm_calls), float(row.llm_cost_estimate)
     for st in statuses:  # one row per operation
-        for row in st.collect():
-            if row.fell_back:
-                result.fell_back.append(row.error)
+        result.fell_back += [row.error for row in st.collect() if row.fell_back]
     return out
 
 

@@ -239,7 +239,7 @@ from tidewater.operators import reviews as RV  # noqa: E402
 _FKEY = "strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') || '|' || review_id"
 O.cte("rv", f"""SELECT product_id, strftime(created_at, '%Y-%m') AS review_window,
   CAST(rating AS DOUBLE) AS rating, language, COALESCE(body, '') AS body,
-  lower(COALESCE(text, '')) AS t, {_FKEY} AS fkey
+  lower(COALESCE(title, '') || ' ' || COALESCE(body, '')) AS t, {_FKEY} AS fkey
 FROM reviews_clean WHERE created_at IS NOT NULL""", ["reviews_clean"])
 O.cte("rv_stats", "SELECT product_id, review_window, COUNT(*) AS n_reviews, "
       "CAST(ROUND(AVG(rating), 2) AS DECIMAL(3,2)) AS avg_rating, "
@@ -332,48 +332,6 @@ NN_ORDERS = ["order_id", "customer_id", "order_date", "channel", "region", "curr
              "gross_revenue_eur", "discount_eur", "net_revenue_eur", "units"]
 
 
-def _qc_sql() -> str:
-    def pk(tbl, keys):
-        k = ", ".join(keys)
-        return (f"SELECT '{tbl}' AS \"table\", 'primary_key' AS \"constraint\", '{','.join(keys)}' "
-                f"AS columns, CAST(COUNT_IF(n > 1) AS BIGINT) AS violations "
-                f"FROM (SELECT {k}, COUNT(*) AS n FROM {tbl} GROUP BY {k})")
-
-    def fk(tbl, ck, parent, pk_):
-        return (f"SELECT '{tbl}', 'foreign_key', '{ck}', CAST(COALESCE(SUM(n), 0) AS BIGINT) "
-                f"FROM (SELECT {ck}, COUNT(*) AS n FROM {tbl} WHERE {ck} IS NOT NULL GROUP BY {ck}) c "
-                f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk_} = c.{ck})")
-
-    parts = [pk("orders", ["o_orderkey"]), pk("lineitem", ["l_orderkey", "l_linenumber"]),
-             pk("customer", ["c_custkey"]),
-             fk("lineitem", "l_orderkey", "orders", "o_orderkey"),
-             fk("orders", "o_custkey", "customer", "c_custkey")]
-    parts += [f"SELECT 'orders_src', 'not_null', '{c}', CAST(COUNT_IF({c} IS NULL) AS BIGINT) "
-              f"FROM orders_src" for c in NN_ORDERS]
-    parts += ["SELECT 'lineitem', 'range[1,50]', 'l_quantity', CAST(COUNT_IF(l_quantity IS NOT NULL "
-              "AND NOT (l_quantity BETWEEN 1 AND 50)) AS BIGINT) FROM lineitem",
-              "SELECT 'reviews', 'range[1,5]', 'rating', CAST(COUNT_IF(rating IS NOT NULL "
-              "AND NOT (rating BETWEEN 1 AND 5)) AS BIGINT) FROM reviews_clean"]
-    return "\nUNION ALL\n".join(parts)
-
-
-@register("quality_report", O.build(_qc_sql(), ["orders_src", "reviews_clean"]))
-def q_quality_report(spark, sf_dir):
-    orders = read_table(spark, sf_dir, "orders")
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    customer = read_table(spark, sf_dir, "customer")
-    return QC.quality_report([
-        QC.check_primary_key(orders, "orders", ["o_orderkey"]),
-        QC.check_primary_key(lineitem, "lineitem", ["l_orderkey", "l_linenumber"]),
-        QC.check_primary_key(customer, "customer", ["c_custkey"]),
-        QC.check_foreign_key(lineitem, orders, "lineitem", ["l_orderkey"], ["o_orderkey"]),
-        QC.check_foreign_key(orders, customer, "orders", ["o_custkey"], ["c_custkey"]),
-        QC.check_not_null(source(spark, sf_dir, "orders"), "orders_src", NN_ORDERS),
-        QC.check_range(lineitem, "lineitem", "l_quantity", 1, 50),
-        QC.check_range(cleaned(spark, sf_dir, "product_reviews"), "reviews", "rating", 1, 5),
-    ])
-
-
 @register("check_primary_key", O.build(
     "SELECT 'support_tickets' AS \"table\", 'primary_key' AS \"constraint\", "
     "'ticket_id' AS columns, CAST(COUNT_IF(n > 1) AS BIGINT) AS violations "
@@ -436,7 +394,7 @@ FROM (SELECT *, CASE currency WHEN 'USD' THEN CAST(0.92 AS DECIMAL(10,4))
   WHEN 'GBP' THEN CAST(1.17 AS DECIMAL(10,4)) END AS r FROM orders_clean WHERE currency <> 'EUR')""",
     ["orders_clean"]))
 def q_upsert_by_key(spark, sf_dir):
-    current = cleaned(spark, sf_dir, "orders")
+    current = staged(cleaned(spark, sf_dir, "orders"), "orders")
     corrections = C.to_eur(current.filter(F.col("currency") != "EUR"))
     return W.upsert_by_key(current, corrections.select(*[F.col(c).cast(current.schema[c].dataType) for c in current.columns]),
                            ["order_id"])
@@ -461,10 +419,11 @@ O.cte("run_tasks", """SELECT run_id, task_id, n_events, first_ts, last_ts,
 FROM (SELECT 'run-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, event_type AS task_id,
   MAX(CASE WHEN event_type = 'error' THEN value END) AS worst, COUNT(*) AS n_events,
   MIN(ts) AS first_ts, MAX(ts) AS last_ts FROM events GROUP BY ALL)""")
-O.cte("run_view", """SELECT run_id, started_at, finished_at,
+O.cte("run_view", """SELECT run_id,
+  CASE WHEN CAST(right(run_id, 2) AS INTEGER) % 3 = 2 THEN 1 ELSE 2 END AS attempt, started_at, finished_at,
   CASE WHEN failed THEN 'failed' ELSE 'success' END AS status, 'mock' AS enrichment_mode,
   CAST(NULL AS VARCHAR) AS llm_provider, CAST(NULL AS VARCHAR) AS llm_model,
-  CAST(0 AS INTEGER) AS llm_calls, CAST(0 AS DECIMAL(10,4)) AS llm_cost_estimate,
+  CAST(0 AS INTEGER) AS llm_calls, CAST(0 AS DECIMAL(18,4)) AS llm_cost_estimate,
   CAST(rows_extracted AS BIGINT) AS rows_extracted, CAST(rows_extracted AS BIGINT) AS rows_loaded,
   CAST(rows_enriched AS BIGINT) AS rows_enriched,
   CASE WHEN NOT failed THEN 'reports/run_' || run_id || '.pdf' END AS report_path,
@@ -552,40 +511,69 @@ def q_report_top_anomalies(spark, sf_dir):
 
 
 _RUN_OF_TICKET = "'run-' || CAST(CAST(created_at AS DATE) AS VARCHAR)"
-_RUN_OF_ANOMALY = "'run-2024-01-' || strftime(detected_date, '%d')"
-
-
-@register("run_report", O.build(f"""
-SELECT run_id, 'categories' AS section, CAST(rn AS INTEGER) AS rank,
-  category || ': ' || CAST(n AS VARCHAR) AS line
-FROM (SELECT run_id, category, COUNT(*) AS n,
-        ROW_NUMBER() OVER (PARTITION BY run_id ORDER BY COUNT(*) DESC, category) AS rn
-      FROM (SELECT {_RUN_OF_TICKET} AS run_id, c.category FROM ticket_cls c
-            JOIN tickets_clean t USING (ticket_id))
-      GROUP BY run_id, category) WHERE rn <= 3
-UNION ALL
-SELECT run_id, 'anomalies', CAST(rn AS INTEGER),
-  upper(severity) || ' anomaly in ' || dimension || ' (' || dimension_value || '): '
-  || CAST(round_even(deviation, 1) AS VARCHAR) || ' std dev'
-FROM (SELECT *, {_RUN_OF_ANOMALY} AS run_id, ROW_NUMBER() OVER (
-        PARTITION BY {_RUN_OF_ANOMALY} ORDER BY deviation DESC, anomaly_id) AS rn
-      FROM anomalies) WHERE rn <= 3
-UNION ALL
-SELECT v.run_id, s.section, 1, s.line FROM run_view v
-CROSS JOIN (VALUES ('categories', 'No tickets classified in this run.'),
-                   ('anomalies', 'No significant revenue anomalies detected.')) AS s(section, line)
-WHERE NOT EXISTS (SELECT 1 FROM (SELECT {_RUN_OF_TICKET} AS run_id FROM tickets_clean) x
-                  WHERE x.run_id = v.run_id AND s.section = 'categories')
-  AND NOT EXISTS (SELECT 1 FROM (SELECT {_RUN_OF_ANOMALY} AS run_id FROM anomalies) y
-                  WHERE y.run_id = v.run_id AND s.section = 'anomalies')""",
-    ["ticket_cls", "tickets_clean", "anomalies", "run_view"]))
+_RUN_OF_ANOMALY = "'run-' || CAST(detected_date AS VARCHAR)"
+# Runs of the report: the ledger's, and one per even day of the month with orders. Anomalies of
+# the other days belong to runs that don't exist.
+O.cte("report_runs", """SELECT run_id FROM run_view UNION
+SELECT DISTINCT 'run-' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders WHERE day(o_orderdate) % 2 = 0""", ["run_view"])
+
+
+@register("run_report", O.build(f"""SELECT f.run_id, f.section, COALESCE(l.rank, 1) AS rank, COALESCE(l.line, f.line) AS line
+FROM (SELECT run_id, section, line FROM report_runs CROSS JOIN (VALUES
+    ('categories', 'No tickets classified in this run.'),
+    ('anomalies', 'No significant revenue anomalies detected.')) AS s(section, line)) f
+LEFT JOIN (
+  SELECT run_id, 'categories' AS section, CAST(rn AS INTEGER) AS rank,
+    category || ': ' || CAST(n AS VARCHAR) AS line
+  FROM (SELECT run_id, category, COUNT(*) AS n,
+          ROW_NUMBER() OVER (PARTITION BY run_id ORDER BY COUNT(*) DESC, category) AS rn
+        FROM (SELECT {_RUN_OF_TICKET} AS run_id, c.category FROM ticket_cls c
+              JOIN tickets_clean t USING (ticket_id))
+        GROUP BY run_id, category) WHERE rn <= 3
+  UNION ALL
+  SELECT run_id, 'anomalies', CAST(rn AS INTEGER),
+    upper(severity) || ' anomaly in ' || dimension || ' (' || dimension_value || '): '
+    || CAST(round_even(deviation, 1) AS VARCHAR) || ' std dev'
+  FROM (SELECT *, {_RUN_OF_ANOMALY} AS run_id, ROW_NUMBER() OVER (
+          PARTITION BY {_RUN_OF_ANOMALY} ORDER BY deviation DESC, anomaly_id) AS rn
+        FROM anomalies) WHERE rn <= 3) l
+  ON l.run_id = f.run_id AND l.section = f.section""",
+    ["ticket_cls", "tickets_clean", "anomalies", "report_runs"]))
 def q_run_report(spark, sf_dir):
     tickets = cleaned(spark, sf_dir, "support_tickets").withColumn(
         "run_id", F.concat(F.lit("run-"), F.col("created_at").cast("date").cast("string")))
     classified = T.classify_tickets(tickets, keep=("run_id",))
-    anomalies = _anomalies(spark, sf_dir).withColumn(
-        "run_id", F.concat(F.lit("run-2024-01-"), F.date_format("detected_date", "dd")))
-    return D.run_report(_ledger_view(spark, sf_dir), classified, anomalies)
+    days = read_table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d")).where(F.day("d") % 2 == 0)
+    runs = _ledger_view(spark, sf_dir).select("run_id").unionByName(days.select(F.concat(F.lit("run-"), F.col("d").cast("string")).alias("run_id")))
+    return D.run_report(runs, classified, _anomalies_with_run(spark, sf_dir))
+
+
+def _anomalies_with_run(spark, sf_dir):
+    return _anomalies(spark, sf_dir).withColumn("run_id", F.concat(F.lit("run-"), F.col("detected_date").cast("string")))
+
+
+# C11: the reports of one run, the first that has something to report.
+_FIRST_TICKET_RUN = f"(SELECT MIN({_RUN_OF_TICKET}) FROM tickets_clean)"
+
+
+@register("report_top_categories_run", O.build(
+    "SELECT category, COUNT(*) AS count FROM ticket_cls c JOIN tickets_clean t USING (ticket_id) "
+    f"WHERE {_RUN_OF_TICKET} = {_FIRST_TICKET_RUN} GROUP BY category ORDER BY count DESC, category LIMIT 3",
+    ["ticket_cls", "tickets_clean"]))
+def q_report_top_categories_run(spark, sf_dir):
+    tickets = _tickets(spark, sf_dir).withColumn(
+        "run_id", F.concat(F.lit("run-"), F.col("created_at").cast("date").cast("string")))
+    first = tickets.agg(F.min("run_id")).first()[0]
+    return D.report_top_categories(T.classify_tickets(tickets, keep=("run_id",)), run_id=first)
+
+
+@register("report_top_anomalies_run", O.build(
+    "SELECT anomaly_id, dimension, dimension_value, severity, deviation FROM anomalies "
+    "WHERE detected_date = (SELECT MIN(detected_date) FROM anomalies) ORDER BY deviation DESC, anomaly_id LIMIT 3", ["anomalies"]))
+def q_report_top_anomalies_run(spark, sf_dir):
+    anomalies = staged(_anomalies_with_run(spark, sf_dir), "anomalies")
+    first = anomalies.agg(F.min("run_id")).first()[0]
+    return D.report_top_anomalies(anomalies, run_id=first or "")
 
 
 @register("enrichment_counts", O.build(
@@ -605,6 +593,76 @@ def q_enrichment_counts(spark, sf_dir):
         "lead_enrichments": L.enrich_leads(cleaned(spark, sf_dir, "crm_leads"))})
 
 
+# ── constraints of the warehouse tables ─────────────────────────────────────
+from tidewater import schemas as SC  # noqa: E402
+
+_TABLE_SQL = {  # warehouse table -> its rows in SQL
+    "orders": "orders_clean", "support_tickets": "tickets_clean", "product_reviews": "reviews_clean",
+    "web_analytics": "web_clean", "crm_leads": "leads_clean", "pipeline_runs": "run_view",
+    "ticket_classifications": f"(SELECT c.*, {_RUN_OF_TICKET} AS run_id FROM ticket_cls c JOIN tickets_clean t USING (ticket_id))",
+    "review_summaries": "(SELECT *, 'run-2024-01-03' AS run_id FROM rv_out)",
+    "revenue_anomalies": f"(SELECT *, {_RUN_OF_ANOMALY} AS run_id FROM anomalies)",
+    "lead_enrichments": "(SELECT *, 'run-' || lead_id AS run_id FROM leads_enriched)"}
+
+
+def _warehouse_sql() -> str:
+    parts = []
+    for t, src in _TABLE_SQL.items():
+        keys = ", ".join(SC.TABLE_KEYS[t])
+        parts.append(f"SELECT '{t}' AS \"table\", 'primary_key' AS \"constraint\", '{','.join(SC.TABLE_KEYS[t])}' AS columns, "
+                     f"CAST(COUNT_IF(n > 1) AS BIGINT) AS violations FROM (SELECT {keys}, COUNT(*) AS n FROM {src} GROUP BY {keys})")
+        parts += [f"SELECT '{t}', 'not_null', '{c}', CAST(COUNT_IF({c} IS NULL) AS BIGINT) FROM {src}" for c in SC.required_columns(t)]
+        parts += [f"SELECT '{t}', 'range[{lo},{hi}]', '{c}', CAST(COUNT_IF({c} NOT BETWEEN {lo} AND {hi}) AS BIGINT) FROM {src}"
+                  for c, (lo, hi) in SC.RANGES.get(t, {}).items()]
+    parts += [f"SELECT '{t}', 'foreign_key', '{c}', CAST(COUNT(*) AS BIGINT) FROM {_TABLE_SQL[t]} x WHERE {c} IS NOT NULL "
+              f"AND NOT EXISTS (SELECT 1 FROM {_TABLE_SQL[p]} p WHERE p.{pc} = x.{c})" for t, c, p, pc in SC.FOREIGN_KEYS]
+    return "\nUNION ALL\n".join(parts)
+
+
+def _warehouse_tables(spark, sf_dir):
+    """The ten tables as a run would write them, each computed once."""
+    raw = {n: staged(cleaned(spark, sf_dir, n), n) for n in SC.RAW_SCHEMAS}
+    day = F.concat(F.lit("run-"), F.col("created_at").cast("date").cast("string"))
+    marts = {
+        "ticket_classifications": T.classify_tickets(raw["support_tickets"].withColumn("run_id", day), keep=("run_id",)),
+        "review_summaries": RV.summarize_reviews(raw["product_reviews"]).withColumn("run_id", F.lit("run-2024-01-03")),
+        "revenue_anomalies": R.detect_anomalies(R.daily_revenue_by_segment(raw["orders"])).withColumn(
+            "run_id", F.concat(F.lit("run-"), F.col("detected_date").cast("string"))),
+        "lead_enrichments": L.enrich_leads(raw["crm_leads"]).withColumn("run_id", F.concat(F.lit("run-"), F.col("lead_id"))),
+        "pipeline_runs": _ledger_view(spark, sf_dir)}
+    return {**raw, **{n: staged(df, n) for n, df in marts.items()}}
+
+
+@register("quality_report", O.build(_warehouse_sql(), ["orders_clean", "tickets_clean", "reviews_clean", "web_clean", "leads_clean",
+                                                       "run_view", "ticket_cls", "rv_out", "anomalies", "leads_enriched"]))
+def q_quality_report(spark, sf_dir):
+    return QC.warehouse_report(_warehouse_tables(spark, sf_dir))
+
+
+@register("conform", O.build("SELECT order_id, customer_id, order_date, channel, region, 'EUR' AS currency, "
+                             "CAST(ROUND(gross_revenue_eur, 2) AS DECIMAL(24,2)) AS gross_revenue_eur, "
+                             "CAST(0 AS DECIMAL(24,2)) AS discount_eur, net_revenue_eur, units, "
+                             "TIMESTAMP '2026-01-01 00:00:00' AS loaded_at FROM orders_clean", ["orders_clean"]))
+def q_conform(spark, sf_dir):
+    import datetime as dt
+    given = cleaned(spark, sf_dir, "orders").drop("currency", "discount_eur")
+    out = W.conform(given, SC.RAW_SCHEMAS["orders"], dt.datetime(2026, 1, 1), SC.DEFAULTS["orders"])
+    return _ntz(out, "loaded_at")
+
+
+@register("with_text", O.build(
+    "SELECT 'subject_description' AS form, ticket_id AS id, md5(COALESCE(subject, '') || '. ' || COALESCE(description, '')) AS text_md5 FROM tickets_clean "
+    "UNION ALL SELECT 'title_body', review_id, md5(COALESCE(title, '') || '. ' || COALESCE(body, '')) FROM reviews_clean "
+    "UNION ALL SELECT 'none', lead_id, md5('') FROM leads_clean", ["tickets_clean", "reviews_clean", "leads_clean"]))
+def q_with_text(spark, sf_dir):
+    """C8's branches that the other queries don't reach."""
+    def part(form, name, key):
+        df = C.with_text(cleaned(spark, sf_dir, name).drop("text"))
+        return df.select(F.lit(form).alias("form"), F.col(key).alias("id"), F.md5("text").alias("text_md5"))
+    return (part("subject_description", "support_tickets", "ticket_id").unionByName(part("title_body", "product_reviews", "review_id"))
+            .unionByName(part("none", "crm_leads", "lead_id")))
+
+
 # ── model responses ─────────────────────────────────────────────────────────
 from tidewater.operators import responses as RS  # noqa: E402
 

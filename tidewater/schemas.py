@@ -39,33 +39,30 @@ S, TS, D = StringType(), TimestampType(), DateType()
 TSN = TimestampNTZType()
 MONEY = DecimalType(24, 2)
 
-# raw.* tables (clean form without the helper ``text`` column, plus loaded_at)
+def _table(required: list[tuple[str, object]], optional: list[tuple[str, object]] = (), *, stamp: str | None = "loaded_at") -> StructType:
+    """Required columns, optional ones and the load stamp, in declaration order."""
+    return StructType([*(_s(n, t, False) for n, t in required), *(_s(n, t) for n, t in optional),
+                       *([_s(stamp, TS, False)] if stamp else [])])
+
+
+# raw.* tables (clean form without the helper ``text`` column, plus loaded_at). The money and
+# count types are wider than the original's, so that sums at scale fit.
 RAW_SCHEMAS: dict[str, StructType] = {
-    "orders": StructType([
-        _s("order_id", S, False), _s("customer_id", S), _s("order_date", D, False),
-        _s("channel", S, False), _s("region", S, False), _s("currency", S),
-        _s("gross_revenue_eur", MONEY), _s("discount_eur", MONEY),
-        _s("net_revenue_eur", MONEY, False), _s("units", LongType(), False),
-        _s("loaded_at", TS)]),
-    "support_tickets": StructType([
-        _s("ticket_id", S, False), _s("customer_id", S), _s("created_at", TSN),
-        _s("channel", S), _s("language", S), _s("subject", S, False),
-        _s("description", S, False), _s("status", S), _s("sla_breached", BooleanType(), False),
-        _s("loaded_at", TS)]),
-    "product_reviews": StructType([
-        _s("review_id", S, False), _s("product_id", S, False), _s("product_name", S),
-        _s("created_at", TSN), _s("rating", IntegerType(), False), _s("language", S),
-        _s("title", S, False), _s("body", S, False), _s("verified", BooleanType()),
-        _s("loaded_at", TS)]),
-    "web_analytics": StructType([
-        _s("event_date", D), _s("page_path", S), _s("country", S), _s("device", S),
-        _s("sessions", LongType(), False), _s("pageviews", LongType(), False),
-        _s("bounce_rate", DecimalType(10, 2)), _s("avg_session_sec", DecimalType(10, 2)),
-        _s("loaded_at", TS)]),
-    "crm_leads": StructType([
-        _s("lead_id", S, False), _s("company_name", S), _s("industry", S), _s("region", S),
-        _s("created_at", TSN), _s("source", S), _s("status", S),
-        _s("est_value_eur", MONEY), _s("notes", S, False), _s("loaded_at", TS)]),
+    "orders": _table([
+        ("order_id", S), ("customer_id", S), ("order_date", D), ("channel", S), ("region", S), ("currency", S),
+        ("gross_revenue_eur", MONEY), ("discount_eur", MONEY), ("net_revenue_eur", MONEY), ("units", LongType())]),
+    "support_tickets": _table([
+        ("ticket_id", S), ("customer_id", S), ("created_at", TSN), ("channel", S), ("language", S), ("subject", S),
+        ("description", S), ("status", S), ("sla_breached", BooleanType())]),
+    "product_reviews": _table([
+        ("review_id", S), ("product_id", S), ("product_name", S), ("created_at", TSN), ("rating", IntegerType()),
+        ("language", S), ("title", S), ("body", S), ("verified", BooleanType())]),
+    "web_analytics": _table([
+        ("event_date", D), ("page_path", S), ("country", S), ("device", S), ("sessions", LongType()),
+        ("pageviews", LongType()), ("bounce_rate", DecimalType(10, 2)), ("avg_session_sec", DecimalType(10, 2))]),
+    "crm_leads": _table([
+        ("lead_id", S), ("company_name", S), ("industry", S), ("region", S), ("created_at", TSN), ("source", S),
+        ("status", S)], [("est_value_eur", MONEY), ("notes", S)]),
 }
 
 THEME_STRUCT = StructType([_s("theme", S), _s("weight", LongType())])
@@ -93,12 +90,12 @@ MART_SCHEMAS: dict[str, StructType] = {
         _s("lead_score", ShortType(), False), _s("intent_signals", ArrayType(S), False),
         _s("notes_en", S), _s("notes_fr", S), _s("enriched_at", TS, False), _s("run_id", S)]),
     "pipeline_runs": StructType([
-        _s("run_id", S, False), _s("seq", IntegerType(), False), _s("started_at", TS),
-        _s("finished_at", TS), _s("status", S), _s("enrichment_mode", S),
-        _s("llm_provider", S), _s("llm_model", S), _s("llm_calls", IntegerType()),
-        _s("llm_cost_estimate", DecimalType(10, 4)), _s("rows_extracted", LongType()),
-        _s("rows_loaded", LongType()), _s("rows_enriched", LongType()), _s("report_path", S),
-        _s("slack_sent", BooleanType()), _s("error", S)]),
+        _s("run_id", S, False), _s("attempt", IntegerType(), False), _s("seq", IntegerType(), False),
+        _s("started_at", TS, False), _s("finished_at", TS), _s("status", S, False), _s("enrichment_mode", S, False),
+        _s("llm_provider", S), _s("llm_model", S), _s("llm_calls", IntegerType(), False),
+        _s("llm_cost_estimate", DecimalType(18, 4), False), _s("rows_extracted", LongType(), False),
+        _s("rows_loaded", LongType()), _s("rows_enriched", LongType(), False), _s("report_path", S),
+        _s("slack_sent", BooleanType(), False), _s("error", S)]),
 }
 
 MART_KEYS: dict[str, list[str]] = {
@@ -115,3 +112,31 @@ RAW_KEYS: dict[str, list[str]] = {
     "web_analytics": ["event_date", "page_path", "country", "device"],
     "crm_leads": ["lead_id"],
 }
+
+TABLE_KEYS: dict[str, list[str]] = {**RAW_KEYS, **MART_KEYS}
+TABLE_SCHEMAS: dict[str, StructType] = {**RAW_SCHEMAS, **MART_SCHEMAS}
+
+# Values of columns a writer leaves out (besides the load stamp).
+DEFAULTS: dict[str, dict[str, object]] = {
+    "orders": {"currency": "EUR", "discount_eur": 0},
+    "support_tickets": {"sla_breached": False},
+    "product_reviews": {"verified": False},
+    "pipeline_runs": {"llm_calls": 0, "llm_cost_estimate": 0, "rows_extracted": 0, "rows_enriched": 0, "slack_sent": False},
+}
+
+# (child table, child column, parent table, parent column)
+FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
+    ("ticket_classifications", "ticket_id", "support_tickets", "ticket_id"),
+    ("lead_enrichments", "lead_id", "crm_leads", "lead_id"),
+    *((t, "run_id", "pipeline_runs", "run_id")
+      for t in ("ticket_classifications", "review_summaries", "revenue_anomalies", "lead_enrichments")),
+]
+
+# table -> column -> (least, greatest)
+RANGES: dict[str, dict[str, tuple[int, int]]] = {"product_reviews": {"rating": (1, 5)}}
+
+
+def required_columns(table: str) -> list[str]:
+    """NOT NULL columns without the load stamp and the ledger's own event numbers."""
+    return [f.name for f in TABLE_SCHEMAS[table].fields
+            if not f.nullable and f.name not in ("loaded_at", "enriched_at", "attempt", "seq")]

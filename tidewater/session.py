@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes
@@ -53,18 +50,3 @@ def build_session(
             except Exception:  # static conf of an already running session
                 pass
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
-
-    Only when the session leaves it unset (local tests) a scratch folder is
-    created and registered, so lineage cuts never land on an executor-local
-    disk of a real cluster.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tidewater-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current

@@ -1,28 +1,34 @@
 """Raw/mart table writes, upsert, and the run ledger.
 
-Tables are Parquet folders. A write goes to a staging folder next to the
-target and is committed by a rename, so a failed job never leaves a
-half-written table (the original truncated first and inserted after).
-Row counts come from an ``Observation`` on the written DataFrame — no
-second pass over the data.
+Tables are Parquet folders. An overwrite goes to a staging folder of its own and takes the
+target's place by renames whose results are checked; the old table is set aside first and
+put back if the new one can't take its place. Appends leave only whole files (Spark's
+committer). Row counts come from an ``Observation`` on the written DataFrame — no second
+pass over the data.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from tidewater.schemas import MART_SCHEMAS, RAW_SCHEMAS
+from tidewater.schemas import DEFAULTS, MART_SCHEMAS, RAW_SCHEMAS
 
-def conform(df: DataFrame, schema: StructType, now: dt.datetime | None = None) -> DataFrame:
+
+def conform(df: DataFrame, schema: StructType, now: dt.datetime | None = None,
+            defaults: dict[str, object] | None = None) -> DataFrame:
     """K11 + C9: project onto a table schema: cast each column, drop helper
     columns not in the schema, fill ``loaded_at``/``enriched_at`` with ``now``
-    (or the query's current timestamp) and other missing columns with null."""
-    present = set(df.columns)
+    (or the query's current timestamp) and other missing columns with their
+    default, or null. As in DDL, a default stands for a column that is left
+    out, not for a null that is given."""
+    present, defaults = set(df.columns), defaults or {}
     stamp = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
     cols = []
     for f in schema.fields:
@@ -31,7 +37,7 @@ def conform(df: DataFrame, schema: StructType, now: dt.datetime | None = None) -
         elif f.name in ("loaded_at", "enriched_at"):
             cols.append(stamp.cast(f.dataType).alias(f.name))
         else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            cols.append(F.lit(defaults.get(f.name)).cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
@@ -48,36 +54,52 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath  # noqa: SLF001
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return bool(fs.exists(at))
+
+
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def commit_write(df: DataFrame, path: str, *, mode: str = "overwrite",
                  keep_if_empty: bool = False, partition_by: list[str] | None = None) -> int:
     """Write ``df`` as Parquet at ``path``; returns the rows written.
 
-    ``overwrite`` writes a staging folder then renames it over the target.
-    With ``keep_if_empty`` an empty result leaves the existing table as is.
+    ``overwrite`` writes a staging folder of its own, sets the old table aside, renames the new
+    one into its place and only then deletes the old one; if the rename fails the old table is
+    put back and the error raised. With ``keep_if_empty`` an empty result leaves the table as is.
     """
     spark = df.sparkSession
-    obs = Observation("rows_written")
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if mode != "overwrite":
-        w = observed.write.mode(mode)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return int(obs.get["rows"])
-    staging = path.rstrip("/") + "._staging"
-    w = observed.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(staging)
+    overwrite = mode == "overwrite"
+    name = path.rstrip("/")
+    staging = f"{name}._staging-{uuid.uuid4().hex}" if overwrite else path
+    w = observed.write.mode("errorifexists" if overwrite else mode)
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(staging)
     rows = int(obs.get["rows"])
-    fs, target = _fs(spark, path)
+    if not overwrite:
+        return rows
+    fs, target = _fs(spark, name)
     _, stage = _fs(spark, staging)
-    if rows == 0 and keep_if_empty and fs.exists(target):
+    _, aside = _fs(spark, f"{name}._old-{uuid.uuid4().hex}")
+    replaces = fs.exists(target)
+    if rows == 0 and keep_if_empty and replaces:
         fs.delete(stage, True)
         return 0
-    if fs.exists(target):
-        fs.delete(target, True)
-    fs.rename(stage, target)
+    if replaces:
+        _rename(fs, target, aside)
+    try:
+        _rename(fs, stage, target)
+    except Exception:
+        if replaces:
+            _rename(fs, aside, target)
+        raise
+    if replaces:
+        fs.delete(aside, True)
     return rows
 
 
@@ -89,7 +111,7 @@ def load_raw(cleaned: dict[str, DataFrame], out_dir: str,
     """
     written = {}
     for table, df in cleaned.items():
-        written[table] = commit_write(conform(df, RAW_SCHEMAS[table], now),
+        written[table] = commit_write(conform(df, RAW_SCHEMAS[table], now, DEFAULTS.get(table)),
                                       f"{out_dir.rstrip('/')}/raw/{table}")
     return written
 
@@ -103,55 +125,88 @@ def write_mart(df: DataFrame, table: str, out_dir: str, run_id: str,
                         f"{out_dir.rstrip('/')}/mart/{table}", keep_if_empty=True)
 
 
-def upsert_by_key(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+def upsert_by_key(current: DataFrame, incoming: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """K3: rows of ``incoming`` replace rows of ``current`` with the same key.
 
-    If ``incoming`` repeats a key, its last row wins only if the caller
-    deduplicates first; this keeps every incoming row.
+    Of incoming rows with one key the one with the greatest ``order`` counts (a column of
+    ``incoming``). Without ``order`` a repeated incoming key is an error when the result is
+    computed, so the result's key always holds.
     """
+    rest = [c for c in current.columns if c not in keys]
+    picked = F.max_by(F.struct(*rest), F.col(order)) if order else F.first(F.struct(*rest))
+    new = incoming.groupBy(*keys).agg(picked.alias("x"), F.count(F.lit(1)).alias("n"))
+    if not order:
+        new = new.where(F.when(F.col("n") > 1, F.raise_error(F.lit("upsert_by_key: incoming key repeated"))
+                               .cast("boolean")).otherwise(F.lit(True)))
+    new = new.select(*[F.col(c) if c in keys else F.col(f"x.{c}").alias(c) for c in current.columns])
     kept = current.join(incoming.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(incoming.select(*current.columns))
+    return kept.select(*current.columns).unionByName(new)
 
 
 # ── run ledger ──────────────────────────────────────────────────────────────
 LEDGER = MART_SCHEMAS["pipeline_runs"]
+LEDGER_DEFAULTS = DEFAULTS["pipeline_runs"]
+OPENING_SEQ, CLOSING_SEQ = 1, 2
+
+
+def _ledger_rows(runs: DataFrame, seq: int, **given) -> DataFrame:
+    """Ledger rows from a table of runs: its columns, then ``given``, else null."""
+    values = {c: F.col(c) for c in runs.columns} | {k: F.lit(v) for k, v in given.items()} | {"seq": F.lit(seq)}
+    if "attempt" not in values:
+        values["attempt"] = F.lit(1)
+    return runs.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LEDGER.fields])
 
 
-def ledger_row(spark: SparkSession, **values) -> DataFrame:
-    """One ledger event row (any subset of the ledger columns)."""
-    row = tuple(values.get(f.name) for f in LEDGER.fields)
-    return spark.createDataFrame([row], LEDGER)
+def opening_rows(runs: DataFrame) -> DataFrame:
+    """K9 for many runs (run_id, attempt, started_at, enrichment_mode, ...): status ``running``."""
+    return _ledger_rows(runs, OPENING_SEQ, status="running", **LEDGER_DEFAULTS, rows_loaded=0)
+
+
+def closing_rows(runs: DataFrame) -> DataFrame:
+    """K10 for many runs (run_id, attempt, finished_at, status, counts, report_path, error, ...)."""
+    return _ledger_rows(runs, CLOSING_SEQ)
+
+
+def _one_run(spark: SparkSession, **values) -> DataFrame:
+    types = {f.name: f.dataType.simpleString() for f in LEDGER.fields}
+    return spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} {types[k]}" for k in values))
 
 
 def start_run(spark: SparkSession, run_id: str, started_at: dt.datetime, enrichment_mode: str,
-              llm_provider: str | None = None, llm_model: str | None = None) -> DataFrame:
-    """K9: the opening ledger row, status ``running``."""
-    from decimal import Decimal
-    return ledger_row(spark, run_id=run_id, seq=1, started_at=started_at, status="running",
-                      enrichment_mode=enrichment_mode, llm_provider=llm_provider,
-                      llm_model=llm_model, llm_calls=0, llm_cost_estimate=Decimal("0"),
-                      rows_extracted=0, rows_loaded=0, rows_enriched=0, slack_sent=False)
+              llm_provider: str | None = None, llm_model: str | None = None, attempt: int = 1) -> DataFrame:
+    """K9: the opening ledger row of one attempt, status ``running``."""
+    return opening_rows(_one_run(spark, run_id=run_id, attempt=attempt, started_at=started_at,
+                                 enrichment_mode=enrichment_mode, llm_provider=llm_provider, llm_model=llm_model))
 
 
 def finalize_run(spark: SparkSession, run_id: str, *, finished_at: dt.datetime, status: str,
                  rows_extracted: int, rows_enriched: int, llm_calls: int,
                  llm_cost_estimate, report_path: str | None, slack_sent: bool,
-                 error: str | None = None, rows_loaded: int | None = None) -> DataFrame:
-    """The closing ledger row; the ledger view folds it over the first."""
-    from decimal import Decimal
-    return ledger_row(spark, run_id=run_id, seq=2, finished_at=finished_at, status=status,
-                      rows_extracted=rows_extracted, rows_loaded=rows_loaded,
-                      rows_enriched=rows_enriched, llm_calls=llm_calls,
-                      llm_cost_estimate=Decimal(str(llm_cost_estimate)),
-                      report_path=report_path, slack_sent=slack_sent, error=error)
+                 error: str | None = None, rows_loaded: int | None = None, attempt: int = 1) -> DataFrame:
+    """The closing ledger row of one attempt; the ledger view folds it over the first."""
+    return closing_rows(_one_run(
+        spark, run_id=run_id, attempt=attempt, finished_at=finished_at, status=status, rows_extracted=rows_extracted,
+        rows_loaded=rows_loaded, rows_enriched=rows_enriched, llm_calls=llm_calls,
+        llm_cost_estimate=Decimal(str(llm_cost_estimate)), report_path=report_path, slack_sent=slack_sent, error=error))
+
+
+def next_attempt(ledger: DataFrame, run_id: str) -> int:
+    """1 for a new run, else one more than its last attempt."""
+    last = ledger.where(F.col("run_id") == run_id).agg(F.max("attempt")).first()[0]
+    return int(last or 0) + 1
 
 
 def run_ledger(events: DataFrame) -> DataFrame:
-    """One row per run: per column, the value of the latest event row
-    that set it (UPDATE semantics over append-only rows)."""
-    cols = [c for c in events.columns if c not in ("run_id", "seq")]
-    return events.groupBy("run_id").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in cols])
+    """One row per run, the state of its latest attempt: per column the value of the latest
+    event row that set it (UPDATE semantics over append-only rows); ``error`` and ``report_path``
+    are what the latest row says, null included. Earlier attempts leave nothing behind."""
+    cols = [c for c in events.columns if c not in ("run_id", "attempt", "seq")]
+    decided = ("error", "report_path")
+    folded = events.groupBy("run_id", "attempt").agg(
+        *[F.max_by(F.col(c), F.col("seq") if c in decided else F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c)
+          for c in cols])
+    latest = folded.groupBy("run_id").agg(F.max_by(F.struct("attempt", *cols), F.col("attempt")).alias("x"))
+    return latest.select("run_id", "x.*")
 
 
 def run_status(task_states: DataFrame, exclude_task: str | None = None) -> DataFrame:
@@ -183,10 +238,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "append",
                properties: dict[str, str] | None = None, num_partitions: int | None = None) -> None:
     """Drop-in for a relational warehouse target (the original loaded
     PostgreSQL): Spark's JDBC writer, one connection per partition, batched
-    inserts. Nested columns are JSON-encoded first. ``num_partitions`` caps the
-    concurrent connections the database sees. Not exercised in the tests: no
+    inserts. Nested columns are JSON-encoded first. ``num_partitions`` is the number of
+    concurrent connections the database sees; the rows are dealt out anew, so the
+    stages before keep their own width. Not exercised in the tests: no
     database server is available here."""
     out = encode_nested(df)
     if num_partitions is not None:
-        out = out.coalesce(num_partitions)
+        out = out.repartition(num_partitions)
     out.write.jdbc(url, table, mode=mode, properties=properties or {})

@@ -48,28 +48,61 @@ def assert_source_marker(spark: SparkSession, source_dir: str) -> None:
         raise RuntimeError("Source README lacks the demo marker; refusing to load.")
 
 
-def read_source(spark: SparkSession, source_dir: str, name: str) -> DataFrame:
-    """Read ``<dir>/<name>.csv`` with a header and the fixed string schema.
+CORRUPT = "_corrupt"
 
-    Missing files raise ``AnalysisException`` from Spark. Typing happens in
-    the ``clean_*`` operators with ``try_cast``.
-    """
+
+def csv_options(multiline: bool) -> dict[str, object]:
+    return {"header": True, "multiLine": multiline, "escape": '"', "mode": "PERMISSIVE", "emptyValue": "",
+            "columnNameOfCorruptRecord": CORRUPT, "enforceSchema": False}
+
+
+def header_schema(spark: SparkSession, path: str, name: str, multiline: bool = False) -> StructType:
+    """All-string schema in the order of the file's own header, plus the corrupt-record column.
+    A column that the source needs and the file lacks is an error; others are read and ignored."""
+    header = spark.read.options(**csv_options(multiline)).csv(path).columns
+    missing = [c for c in SOURCE_COLUMNS[name] if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return StructType([StructField(c, StringType(), True) for c in [*header, CORRUPT]])
+
+
+def _read_csv(spark: SparkSession, source_dir: str, name: str, multiline: bool) -> DataFrame:
     path = f"{source_dir.rstrip('/')}/{name}.csv"
-    df = (spark.read.schema(source_schema(name))
-          .option("header", True)
-          .option("multiLine", True)
-          .option("escape", '"')
-          .option("mode", "PERMISSIVE")
-          .option("nullValue", None)
-          .option("emptyValue", "")
-          .csv(path))
-    return normalize_nulls(df)
-
-
-def extract_all(spark: SparkSession, source_dir: str) -> dict[str, DataFrame]:
+    schema = header_schema(spark, path, name, multiline)
+    df = spark.read.schema(schema).options(**csv_options(multiline)).csv(path)
+    return df.where(reads_all(df))
+
+
+def reads_all(df: DataFrame):
+    """True for every row, but needs every column: a parser that skips the columns a query doesn't
+    use would miss rows with too many or too few fields."""
+    return F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in df.columns if c != CORRUPT])) >= 0
+
+
+def read_source(spark: SparkSession, source_dir: str, name: str, multiline: bool = False) -> DataFrame:
+    """Read ``<dir>/<name>.csv``: columns bound by header name, all strings.
+
+    Missing files raise ``AnalysisException`` from Spark, missing columns ``ValueError``. Rows
+    whose fields don't match the header are left to ``read_rejects``. Files are split over tasks;
+    ``multiline`` reads quoted line breaks and takes a file as one task. Typing happens in the
+    ``clean_*`` operators with ``try_cast``.
+    """
+    df = _read_csv(spark, source_dir, name, multiline).where(F.col(CORRUPT).isNull())
+    return normalize_nulls(df.select(*SOURCE_COLUMNS[name]))
+
+
+def read_rejects(spark: SparkSession, source_dir: str, name: str, multiline: bool = False) -> DataFrame:
+    """Rows of the file that ``read_source`` leaves out: ``table``, ``row_key`` (the first field),
+    ``reason`` and the raw ``row``."""
+    df = _read_csv(spark, source_dir, name, multiline).where(F.col(CORRUPT).isNotNull())
+    return df.select(F.lit(name).alias("table"), F.col(f"`{SOURCE_COLUMNS[name][0]}`").alias("row_key"),
+                     F.lit("fields do not match the header").alias("reason"), F.col(CORRUPT).alias("row"))
+
+
+def extract_all(spark: SparkSession, source_dir: str, multiline: bool = False) -> dict[str, DataFrame]:
     """All five sources, lazily."""
     assert_source_marker(spark, source_dir)
-    return {name: read_source(spark, source_dir, name) for name in lx.SOURCE_NAMES}
+    return {name: read_source(spark, source_dir, name, multiline) for name in lx.SOURCE_NAMES}
 
 
 def source_row_counts(sources: dict[str, DataFrame]) -> DataFrame:
