@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import table, written
+from tidewater.llm.common import importable, table, written
 from tidewater.llm.language_id import fit_languages, held_out_row, identify
 from tidewater.llm.mixing import mixed_documents
 from tidewater.llm.packing import pack_documents
@@ -70,6 +70,7 @@ ORACLE_SQL = None  # hashing, fitting and tokenizing are not SQL; tests hold the
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
