@@ -2,13 +2,12 @@
 
 Plan: (1) one aggregate per (product, month) yields n_reviews, avg_rating and
 the eight theme counts; the top-5 themes are then a per-row sort of eight
-numbers — no second shuffle. (2) one aggregate per (product, month, body)
-yields the body's count and first appearance in each language scope (en, fr,
-all) with conditional aggregates, so review rows are shuffled once. (3) a
-``row_number() <= 2`` window per (product, month, scope) picks the summary
-bodies; Spark plans it with a partial group limit before the shuffle, so a
-hot group never ships more than 2 rows per map task. (4) both sides join on
-(product, month).
+numbers — no second shuffle. (2) one aggregate per (product, month, body
+hash) yields the body's count and first timestamp in each language scope (en, fr,
+all), so review rows are shuffled once, without their texts. (3) a rank window per
+(product, month, scope) keeps the candidates; Spark plans it with a partial group
+limit before the shuffle, so a hot group never ships more than a few rows per map
+task. (4) both sides join on (product, month).
 """
 
 from __future__ import annotations
@@ -77,33 +76,33 @@ def review_group_stats(rows: DataFrame) -> DataFrame:
 
 def ranked_bodies(rows: DataFrame, n: int = lx.SUMMARY_MAX_BODIES) -> DataFrame:
     """A4 + W3: the n most frequent bodies per (product, month, scope), ties
-    by first appearance. Scopes: en, fr and all.
-
-    Counting runs on a SHA-256 digest of the body, so the aggregate shuffles
-    and sorts 64-character keys instead of whole texts; the texts of the <= n
-    winners per group and scope are fetched afterwards with a semi-join (which
-    the planner broadcasts while the winner set is small)."""
-    keyed = rows.withColumn("h", F.sha2(F.col("body"), 256))
-    per_body = keyed.groupBy(*GROUP, "h").agg(
+    by first appearance (created_at, then review_id). Scopes: en, fr and all.
+
+    Counting is a hash aggregate on two 64-bit hashes of the body, so no text is
+    shuffled or sorted to count it. The ranking by count and first timestamp keeps
+    ties; only rows of those candidates bring their text and review_id, which
+    settle the ties (the planner broadcasts the candidates while they are few)."""
+    keyed = rows.withColumns({"h1": F.xxhash64("body"), "h2": F.xxhash64(F.lit("h2"), F.col("body")),
+                              "seen": F.col("first_seen.created_at")})
+    key = [*GROUP, "h1", "h2"]
+    per_body = keyed.groupBy(*key).agg(
         *[F.count_if(F.col("language") == s).alias(f"cnt_{s}") for s in SCOPES],
         F.count(F.lit(1)).alias("cnt_all"),
-        *[F.min(F.when(F.col("language") == s, F.col("first_seen"))).alias(f"first_{s}")
-          for s in SCOPES],
-        F.min("first_seen").alias("first_all"))
+        *[F.min(F.when(F.col("language") == s, F.col("seen"))).alias(f"first_{s}") for s in SCOPES],
+        F.min("seen").alias("first_all"))
     scopes = F.array(*[F.struct(F.lit(s).alias("scope"), F.col(f"cnt_{s}").alias("cnt"),
                                 F.col(f"first_{s}").alias("first"))
                        for s in SCOPES + ["all"]])
-    exploded = (per_body.select(*GROUP, "h", F.inline(scopes))
-                .filter(F.col("cnt") > 0))
-    w = Window.partitionBy(*GROUP, "scope").orderBy(F.desc("cnt"), F.asc("first"))
-    ranked = (exploded.withColumn("rank", F.row_number().over(w))
-              .filter(F.col("rank") <= n)
-              .select(*GROUP, "scope", "rank", "h", F.col("cnt").cast("long").alias("cnt")))
-    winners = ranked.select(*GROUP, "h").distinct()
-    texts = (keyed.select(*GROUP, "h", "body").join(winners, [*GROUP, "h"], "left_semi")
-             .dropDuplicates([*GROUP, "h"]))
-    return (ranked.join(texts, [*GROUP, "h"], "inner")
-            .select(*GROUP, "scope", "rank", "body", "cnt"))
+    exploded = per_body.select(*key, F.inline(scopes)).filter(F.col("cnt") > 0)
+    by_time = Window.partitionBy(*GROUP, "scope").orderBy(F.desc("cnt"), F.asc("first"))
+    candidates = exploded.withColumn("place", F.rank().over(by_time)).filter(F.col("place") <= n).drop("place")
+    firsts = keyed.select(*key, "seen", "language", F.col("first_seen.review_id").alias("review_id"), "body")
+    found = (firsts.join(candidates, key)
+             .where((F.col("seen") == F.col("first")) & ((F.col("scope") == "all") | (F.col("scope") == F.col("language"))))
+             .groupBy(*key, "scope", "cnt", "first").agg(F.min(F.struct("review_id", "body")).alias("x")))
+    w = Window.partitionBy(*GROUP, "scope").orderBy(F.desc("cnt"), F.asc("first"), F.asc("x.review_id"))
+    return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+            .select(*GROUP, "scope", "rank", F.col("x.body").alias("body"), F.col("cnt").cast("long").alias("cnt")))
 
 
 def extractive_summaries(ranked: DataFrame) -> DataFrame:
