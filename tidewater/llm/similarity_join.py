@@ -173,7 +173,7 @@ def class_sets(wanted: DataFrame) -> DataFrame:
             right = [set_digest(s) == bytes(d) for s, d in zip(sets, batch["digest"])]
             yield pd.DataFrame({"class": batch["class"], "weight": batch["weight"], "leaves": batch["leaves"],
                                 "items": [s.tobytes() for s in sets]})[right]
-    return wanted.mapInPandas(run, "class long, weight long, leaves array<long>, items binary")
+    return wanted.mapInPandas(run, "class long, weight long, leaves array<struct<leaf:long,n:long>>, items binary")
 
 
 def find_leaves(classes: DataFrame) -> DataFrame:
@@ -192,17 +192,17 @@ def find_leaves(classes: DataFrame) -> DataFrame:
         if depth == DEPTH:
             done.append(large.select("class", "bucket", "n"))
             break
-        spread = (large.select("bucket", "n", "used", F.posexplode("samples").alias("t", "s"))
-                  .where(~F.array_contains("used", F.col("t"))).groupBy("bucket", "n", "t", "s").agg(F.count("*").alias("m"))
-                  .groupBy("bucket", "n", "t").agg(F.max("m").alias("m")).groupBy("bucket")
-                  .agg(F.avg(F.col("m") / F.col("n")).alias("agree")))
-        large = written(large.join(spread, "bucket", "left"), "large")
-        done.append(large.where((F.coalesce("agree", F.lit(1.0)) >= ALIKE)).select("class", "bucket", "n"))
         free = F.filter(F.sequence(F.lit(0), F.lit(SAMPLES - 1)), lambda t: ~F.array_contains("used", t))
         chosen = F.slice(F.array_sort(F.transform(free, lambda t: F.struct(F.xxhash64("bucket", t).alias("h"), t.alias("t")))), 1, BRANCHES)
-        entries = (large.where(F.col("agree") < ALIKE).select("class", "samples", "bucket", "used", F.explode(chosen).alias("c"))
-                   .select("class", "samples", F.xxhash64("bucket", "c.t", F.get("samples", F.col("c.t"))).alias("bucket"),
-                           F.array_append("used", F.col("c.t")).alias("used")))
+        split = large.withColumn("c", F.explode(chosen)).select(
+            "class", "samples", F.col("bucket").alias("parent"), "n", F.col("c.t").alias("t"),
+            F.xxhash64("bucket", "c.t", F.get("samples", F.col("c.t"))).alias("bucket"), F.array_append("used", F.col("c.t")).alias("used"))
+        agree = (split.groupBy("parent", "n", "t", "bucket").agg(F.count("*").alias("m"))
+                 .groupBy("parent", "n", "t").agg(F.max("m").alias("m")).groupBy("parent").agg(F.avg(F.col("m") / F.col("n")).alias("agree")))
+        agree = written(agree, "agreement")
+        alike = agree.where(F.col("agree") >= ALIKE).select(F.col("parent").alias("bucket"))
+        done.append(large.join(alike, "bucket", "left_semi").select("class", "bucket", "n"))
+        entries = split.drop("n", "t").join(agree.where(F.col("agree") < ALIKE).select("parent"), "parent", "left_semi").drop("parent")
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
@@ -212,12 +212,12 @@ def find_leaves(classes: DataFrame) -> DataFrame:
                    .select("class", "leaf", "n"), "leaves")
 
 
-def compare_leaves(members: DataFrame, leaves: DataFrame, n_entries: int) -> DataFrame:
-    """(class, weight, root) of every leaf; see leaf_links."""
+def compare_leaves(members: DataFrame, n_entries: int) -> DataFrame:
+    """(class, weight, root) of every leaf; see leaf_links. Sets move once, to their leaves' tasks."""
     packs = max(1, n_entries // PACK_ROWS)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    sized = leaves.select("leaf", "n").distinct().withColumnRenamed("leaf", "at")
-    rows = members.withColumn("leaf", F.explode("leaves")).join(sized, F.col("leaf") == F.col("at")).drop("at")
+    rows = members.withColumn("l", F.explode("leaves")).select(
+        "class", "weight", "items", F.col("l.leaf").alias("leaf"), F.col("l.n").alias("n"), F.col("leaves.leaf").alias("leaves"))
     own = F.pmod(F.xxhash64("class"), blocks).cast("int")
     rows = rows.withColumn("pair", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(
         F.least(own, k).alias("i"), F.greatest(own, k).alias("j"), own.alias("own")))))
@@ -254,11 +254,12 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.count("*").alias("weight"), F.min("doc_id").alias("least_id"), F.min("text_hash").alias("text_hash"),
         F.first("samples").alias("samples")).withColumn("class", F.monotonically_increasing_id()), "classes")
     leaves = find_leaves(classes)
-    per_class = leaves.groupBy("class").agg(F.collect_set("leaf").alias("leaves"))
+    per_class = leaves.groupBy("class").agg(F.collect_set(F.struct("leaf", "n")).alias("leaves"))
     wanted = per_class.join(classes.select("class", "weight", "digest", "text_hash"), "class")
-    texts = rows.join(wanted, "text_hash").dropDuplicates(["text_hash", "class"])
+    # Sorted and merged at every size: what is wanted grows with the input, so it is never broadcast.
+    texts = rows.join(wanted.hint("merge"), "text_hash").dropDuplicates(["text_hash", "class"])
     members = class_sets(texts.select("class", "weight", "leaves", "digest", "text"))
-    links = written(compare_leaves(members, leaves, leaves.count()), "links")
+    links = written(compare_leaves(members, leaves.count()), "links")
     roots = components(links.select(F.col("class").alias("a"), F.col("root").alias("b")))
     info = (classes.select("class", "digest", "weight", "least_id")
             .join(links.groupBy("class").agg(F.sum("weight").alias("linked")), "class", "left")
