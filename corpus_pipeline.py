@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import importable, table, written
+from tidewater.llm.common import prepare, table, written
 from tidewater.llm.language_id import fit_languages, held_out_row, identify
 from tidewater.llm.mixing import mixed_documents
 from tidewater.llm.packing import pack_documents
@@ -23,6 +23,7 @@ MIN_LANGUAGE_SCORE = 0.3  # less is a near tie between families and between lang
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sets ``lang`` to the predicted language; null, letterless and undecided texts go.
     Learns like the language ID query, from the labels of the rows it is given."""
+    prepare(spark)
     labelled = docs.where(~held_out_row() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
     model = fit_languages(labelled.select(F.col("doc_id").alias("key"), "text", "lang"))
     # The model's columns may clash with the table's: they travel under other names.
@@ -37,6 +38,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near duplicates stays, the first in the order of ``docs``.
     Rows are numbered as they are read (the same on every read of a written table), so null and
     repeated ids are told apart; texts without words are no one's duplicate."""
+    prepare(spark)
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     linked = link_documents(numbered, "__row", "text")
     gone = written(linked.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("__gone")), "duplicates")
@@ -45,6 +47,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by a mask, in the whole text; ``n_chars`` follows. No document goes."""
+    prepare(spark)
     masked = mask_secrets(docs)
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -61,6 +64,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences; one row per piece."""
     import public_tokenizers
+    prepare(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -70,7 +74,6 @@ ORACLE_SQL = None  # hashing, fitting and tokenizing are not SQL; tests hold the
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

@@ -48,9 +48,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def importable(spark: SparkSession) -> None:
-    """Python workers that start from now on find this package where the driver did, whatever
-    their working folder. (On a cluster it is shipped with ``--py-files`` as usual.)"""
+ARROW_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Before Python code runs on whole texts: Arrow batches of at most ARROW_ROWS rows, so that a
+    worker holds a few MB of text at a time, and workers that start from now on find this package
+    where the driver did, whatever their folder. (On a cluster it is shipped with ``--py-files``.)"""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm.common import importable
+from tidewater.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,7 +18,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
         @wraps(fn)
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            importable(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = query
