@@ -8,10 +8,12 @@ result is a bounded table of slots. Pieces take their slots by their rank within
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -25,33 +27,83 @@ from tidewater.llm.registry import register
 
 CAPACITY = 2048
 END_ID = 0             # closes every document
-MAX_WORDS = 300_000    # words whose ids a task keeps; beyond that it starts anew
+MAX_WORDS = 700_000    # words whose ids a worker keeps; beyond that it starts anew
 MAX_WORD_LENGTH = 64   # longer words are not kept
 GROUP_ROWS = 500       # rows ranked together; larger lengths are split into groups
 
 
-@lru_cache(maxsize=2)
-def load_tokenizer(path: str):
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
-
-
 class WordTokenizer:
-    """Ids by a tokenizer that never joins text across white space: each distinct word (run
-    without ASCII space) is encoded once and its ids are remembered as little-endian bytes."""
+    """Ids by a tokenizer that never joins text across white space and marks the last token of a
+    word: each distinct word (run without ASCII space) is encoded once, its ids are remembered as
+    little-endian bytes. Words of letters alone are lower-cased here, encoded many to a call by
+    the same model without its text normaliser, and told apart by the mark; a mark of punctuation
+    after such a word is a word of its own."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = load_tokenizer(path), {}
+        from tokenizers import Tokenizer, pre_tokenizers
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; idle threads cost time
+        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.letters_only = Tokenizer(self.tokenizer.model)
+        self.letters_only.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+
+    def _one_by_one(self, words: list[str]) -> None:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, encoded))
+
+    def _together(self, words: list[str]) -> None:
+        parts = [words[k:k + 500] for k in range(0, len(words), 500)]
+        for part, e in zip(parts, self.letters_only.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            to = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(to) != len(part):
+                self._one_by_one(part)
+                continue
+            data, to = ids.tobytes(), to.tolist()
+            self.known.update((w, data[i:j]) for w, i, j in zip(part, [0, *to], to))
+
+    def learn(self, words: set[str]) -> None:
+        known, letters, others, marked, cased = self.known, set(), [], [], []
+        for w in words:
+            stem = w if w.isalpha() else w[:-1]
+            if len(w) > MAX_WORD_LENGTH or not stem.isalpha() or stem is not w and w[-1] not in ".,;:!?":
+                others.append(w)
+                continue
+            low = stem.lower()
+            # Lower case that depends on the neighbours, or is more than letters, and composed
+            # forms are left to the tokenizer's own normaliser.
+            if not stem.isascii() and ("Σ" in stem or not low.isalpha() or not is_normalized("NFC", stem)):
+                others.append(w)
+                continue
+            if stem is not w:
+                marked.append((w, stem, w[-1]))
+            if low != stem:
+                cased.append((stem, low))
+            if low not in known:
+                letters.add(low)
+        self._together(list(letters))
+        if others:
+            self._one_by_one(others)
+        marks = [m for m in ".,;:!?" if m not in known]
+        if marks:
+            self._one_by_one(marks)
+        known.update((stem, known[low]) for stem, low in cased)
+        known.update((w, known[stem] + known[mark]) for w, stem, mark in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids and the end id, four bytes each."""
         if len(self.known) > MAX_WORDS:
             self.known.clear()
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words}.difference(self.known))
+        new = set()
+        for words in split:
+            new.update(words)
+        new.difference_update(self.known)
         if new:
-            encoded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
+            self.learn(new)
         get, end = self.known.__getitem__, np.array([END_ID], "<u4").tobytes()
         out = [b"".join(map(get, words)) + end for words in split]
         for w in new:
@@ -60,6 +112,12 @@ class WordTokenizer:
         return out
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per Python worker, so that its later tasks know the words of the earlier ones."""
+    return WordTokenizer(path)
+
+
 def cut_into_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
                     text_col: str = "text", rows: int = 250, keep_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``row_key``
@@ -68,7 +126,7 @@ def cut_into_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACI
     Only documents longer than ``capacity`` are cut. Null and empty texts are the end id alone.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordTokenizer(tokenizer_path)
+        words = word_tokenizer(tokenizer_path)
         rng = np.random.default_rng()
         for batch in batches:
             for at in range(0, len(batch), rows):
