@@ -197,6 +197,7 @@ def find_leaves(classes: DataFrame) -> DataFrame:
         split = large.withColumn("c", F.explode(chosen)).select(
             "class", "samples", F.col("bucket").alias("parent"), "n", F.col("c.t").alias("t"),
             F.xxhash64("bucket", "c.t", F.get("samples", F.col("c.t"))).alias("bucket"), F.array_append("used", F.col("c.t")).alias("used"))
+        split = written(split, "split")
         agree = (split.groupBy("parent", "n", "t", "bucket").agg(F.count("*").alias("m"))
                  .groupBy("parent", "n", "t").agg(F.max("m").alias("m")).groupBy("parent").agg(F.avg(F.col("m") / F.col("n")).alias("agree")))
         agree = written(agree, "agreement")
