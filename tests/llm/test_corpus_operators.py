@@ -142,10 +142,11 @@ def test_runs_cover_every_start(monkeypatch):
     for chunk in (1 << 20, 700):
         monkeypatch.setattr(substring_dedup, "CHUNK", chunk)
         at = 0
-        for s0, s1, lo, hi, _ in substring_dedup.runs_of(data):
-            assert s0 == at and s1 - s0 < 512
-            assert lo >= s1 and hi <= s0 + substring_dedup.LENGTH and hi > lo
-            at = s1 + 1
+        for part in substring_dedup.runs_of(data):
+            for s0, s1, lo, hi, _ in zip(*part):
+                assert s0 == at and s1 - s0 < 512
+                assert lo >= s1 and hi <= s0 + substring_dedup.LENGTH and hi > lo
+                at = s1 + 1
         assert at == len(data) - substring_dedup.LENGTH + 1
 
 

@@ -57,8 +57,9 @@ def next_at(places: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.append(places, np.int64(1) << 60)[np.searchsorted(places, starts)]
 
 
-def runs_of(data: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int, int, int]]:
-    """(first start, last start, core from, core to, band) of every run; band -1: no trigger inside."""
+def runs_of(data: bytes, length: int = LENGTH) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays (first start, last start, core from, core to, kind and band) of the runs, a chunk of
+    starts at a time; kind -1: no trigger inside."""
     n = len(data) - length + 1
     with np.errstate(over="ignore"):
         for c0 in range(0, max(0, n), CHUNK):
@@ -79,71 +80,89 @@ def runs_of(data: bytes, length: int = LENGTH) -> Iterator[tuple[int, int, int,
             lo = np.where(j < 0, first, b - j * BAND) + c0
             hi = np.where(j < 0, first + length, b + length - far) + c0
             kinds = np.where(j < 0, -1, j + 8 * kind[first])
-            yield from zip((first + c0).tolist(), (last + c0).tolist(), lo.tolist(), hi.tolist(), kinds.tolist())
+            yield first + c0, last + c0, lo, hi, kinds
 
 
-def _batches(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+def _batches(parts: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames of OUT_ROWS rows or a little more from tuples of equally long columns; a scalar stands
+    for a whole column."""
     out: list[tuple] = []
-    for row in rows:
-        out.append(row)
-        if len(out) >= OUT_ROWS:
-            yield pd.DataFrame(out, columns=columns)
-            out = []
-    yield pd.DataFrame(out, columns=columns)
+    n = 0
 
+    def frame() -> pd.DataFrame:
+        whole = [tuple(x if isinstance(x, np.ndarray) else np.full(len(part[0]), x) for x in part) for part in out]
+        return pd.DataFrame({c: np.concatenate([part[k] for part in whole]) if whole else np.zeros(0, np.int64)
+                             for k, c in enumerate(columns)})
 
-def signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
+    for part in parts:
+        out.append(part)
+        n += len(part[0])
+        if n >= OUT_ROWS:
+            yield frame()
+            out, n = [], 0
+    yield frame()
 
 
-def digest_128(data) -> tuple[int, int]:
+def digests_128(pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of a 128-bit hash of each piece."""
     import xxhash
-    x = xxhash.xxh3_128_intdigest(data)
-    return signed(x >> 64), signed(x & ((1 << 64) - 1))
+    digest = xxhash.xxh3_128_digest
+    halves = np.frombuffer(b"".join([digest(x) for x in pieces]), ">i8").reshape(-1, 2)
+    return halves[:, 0].astype(np.int64), halves[:, 1].astype(np.int64)
+
+
+def places_of(runs) -> tuple[np.ndarray, np.ndarray]:
+    """First and last start of listed runs."""
+    place = np.array([r["place"] for r in runs], np.int64)
+    return place >> 9, (place >> 9) + (place & 511)
 
 
 def core_rows(texts: DataFrame) -> DataFrame:
     """(core, rid, place, w) of every run; ``place`` = first start * 512 + (last - first)."""
     def run(batches):
         import xxhash
+        digest = xxhash.xxh3_64_intdigest
 
-        def rows():
+        def parts():
             for b in batches:
                 for rid, data, w in zip(b["rid"], b["data"], b["w"]):
                     view = memoryview(data)
-                    for s0, s1, lo, hi, kind in runs_of(data):
-                        yield signed(xxhash.xxh3_64_intdigest(view[lo:hi], kind + 1)), rid, s0 * 512 + s1 - s0, w
-        return _batches(rows(), ["core", "rid", "place", "w"])
+                    for first, last, lo, hi, kind in runs_of(data):
+                        core = np.array([digest(view[i:j], k) for i, j, k in zip(lo.tolist(), hi.tolist(), (kind + 1).tolist())], np.uint64)
+                        yield core.view(np.int64), rid, first * 512 + (last - first), w
+        return _batches(parts(), ["core", "rid", "place", "w"])
     return texts.select("rid", "data", "w").mapInPandas(run, "core long, rid long, place long, w int")
 
 
 def union_rows(texts: DataFrame) -> DataFrame:
     """(core, u1, u2, rid, place, w) for the listed ``runs`` of each text."""
     def run(batches):
-        def rows():
+        def parts():
             for b in batches:
                 for rid, data, w, runs in zip(b["rid"], b["data"], b["w"], b["runs"]):
                     view = memoryview(data)
-                    for r in runs:
-                        s0, more = divmod(r["place"], 512)
-                        yield r["core"], *digest_128(view[s0:s0 + more + LENGTH]), rid, r["place"], w
-        return _batches(rows(), ["core", "u1", "u2", "rid", "place", "w"])
+                    first, last = places_of(runs)
+                    u1, u2 = digests_128(view[i:j] for i, j in zip(first.tolist(), (last + LENGTH).tolist()))
+                    yield np.array([r["core"] for r in runs], np.int64), u1, u2, rid, first * 512 + (last - first), w
+        return _batches(parts(), ["core", "u1", "u2", "rid", "place", "w"])
     return texts.select("rid", "data", "w", "runs").mapInPandas(run, "core long, u1 long, u2 long, rid long, place long, w int")
 
 
 def string_rows(texts: DataFrame) -> DataFrame:
-    """(d1, d2, rid, start, w) of every string of the listed runs; ``rid`` is null where the run is
+    """(d1, d2, rid, start, w) of every string of the listed runs; ``rid`` is -1 where the run is
     known to repeat and only counts."""
     def run(batches):
-        def rows():
+        def parts():
             for b in batches:
                 for rid, data, runs in zip(b["rid"], b["data"], b["runs"]):
                     view = memoryview(data)
-                    for r in runs:
-                        s0, more = divmod(r["place"], 512)
-                        for s in range(s0, s0 + more + 1):
-                            yield *digest_128(view[s:s + LENGTH]), rid if r["w"] < 2 else None, s, r["w"]
-        return (f.astype({"rid": "Int64"}) for f in _batches(rows(), ["d1", "d2", "rid", "start", "w"]))
+                    first, last = places_of(runs)
+                    sizes = last - first + 1
+                    start = np.repeat(first - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+                    w = np.repeat(np.array([r["w"] for r in runs], np.int64), sizes)
+                    d1, d2 = digests_128(view[s:s + LENGTH] for s in start.tolist())
+                    yield d1, d2, np.where(w < 2, rid, -1), start, w
+        return _batches(parts(), ["d1", "d2", "rid", "start", "w"])
     return texts.select("rid", "data", "runs").mapInPandas(run, "d1 long, d2 long, rid long, start long, w int")
 
 
@@ -217,7 +236,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("at.place").alias("place"), F.least("n", F.lit(2)).cast("int").alias("w"))).alias("runs"))
     strings = written(string_rows(rows.join(listed, F.col("rid") == F.col("r"))), "strings")
     more = strings.groupBy("d1", "d2").agg(F.sum("w").alias("n")).where("n > 1").select(F.col("d1").alias("a"), F.col("d2").alias("b"))
-    single = (strings.where("rid is not null").join(more, (F.col("d1") == F.col("a")) & (F.col("d2") == F.col("b")), "left_semi")
+    single = (strings.where("rid >= 0").join(more, (F.col("d1") == F.col("a")) & (F.col("d2") == F.col("b")), "left_semi")
               .select("rid", F.col("start").alias("s"), (F.col("start") + LENGTH).alias("e")))
 
     spans = whole.unionByName(single).groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("spans")).withColumnRenamed("rid", "r")
