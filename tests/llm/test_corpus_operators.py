@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -185,6 +186,24 @@ def test_mixing_rows(odd_docs, odd_rows, no_docs, spark):
     assert sum(r.n_tokens for r in rows if r.mix_kept) == pytest.approx(total / 2, rel=0.15)
 
 
+def test_mixing_counts_words(spark):
+    """Runs without white space, whatever stands between them; the cells are raked by them."""
+    rng = random.Random(8)
+    texts = ["one\ntwo\tthree", "a  b", " lead", "trail ", "\n", "", "one\x0bper\fline\r\nend", None, "\n".join("word" for _ in range(400))]
+    texts += ["".join(rng.choice(["ab", "é", " ", "  ", "\n", "\t", "\r\n", "x,"]) for _ in range(rng.randint(0, 40))) for _ in range(100)]
+    rows = [(k, t, rng.choice(["en", "fr", "xx", None]), rng.choice(["src0", "src1", None])) for k, t in enumerate(texts)]
+    got = mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    want = {k: len(re.findall(r"\S+", t or "", re.A)) for k, t, _, _ in rows}
+    assert {r.doc_id: r.n_tokens for r in got} == want
+    masses = Counter()
+    for r in got:
+        masses[(r.source if r.source in mixing.SOURCE_TARGETS else "*", r.lang if r.lang in mixing.LANG_TARGETS else "*", r.topic)] += want[r.doc_id]
+    kept = mixing.rake(masses, [mixing.SOURCE_TARGETS, mixing.LANG_TARGETS, mixing.TOPIC_TARGETS], mixing.SHARE)
+    for r in got:
+        cell = tuple(r.mix_cell.split("/"))
+        assert r.mix_probability == pytest.approx(min(1.0, kept[cell] / masses[cell]) if masses[cell] else 0.0), cell
+
+
 # neighbours ----------------------------------------------------------------
 def test_index_finds_every_code_within_radius():
     rng = np.random.default_rng(1)

@@ -111,11 +111,11 @@ def topic_of(text: Column) -> Column:
 
 
 def mixed_documents(docs: DataFrame, share: float = SHARE) -> DataFrame:
-    """The query's mix over a table with doc_id, text, lang, source: adds ``n_tokens`` (pieces
-    between spaces) and the columns of mix_sources. A null or empty text has no tokens and topic prose."""
+    """The query's mix over a table with doc_id, text, lang, source: adds ``n_tokens`` (words:
+    runs without white space) and the columns of mix_sources. A null or blank text has no tokens; a null one has topic prose."""
     docs = docs.drop("n_tokens", "topic")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    tokens = F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " "))).cast("long")
+    tokens = F.size(F.array_remove(F.split(text, r"\s+"), "")).cast("long")
     docs = docs.withColumns({"n_tokens": tokens, "topic": topic_of(text)})
     dims = {"source": (F.col("source"), SOURCE_TARGETS), "lang": (F.col("lang"), LANG_TARGETS), "topic": (F.col("topic"), TOPIC_TARGETS)}
     return mix_sources(docs, dims, F.col("n_tokens"), uniform("doc_id", "text"), share)
