@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import table
+from tidewater.llm.common import let, table
 from tidewater.llm.registry import register
 
 OTHER = "*"       # category of values (and nulls) that the targets don't name
@@ -98,16 +98,22 @@ TOPIC_TARGETS = {"prose": 0.87, "licence": 0.03, "listing": 0.025, "contact": 0.
 
 def topic_of(text: Column) -> Column:
     """Topic by what the text contains; the first that fits. A pattern is tried only on texts that
-    hold one of its literals, and takes linear time, also on very long runs without a space."""
-    def holds(*literals: str) -> Column:
-        return reduce(or_, (F.contains(text, F.lit(x)) for x in literals))
-
-    licence = holds("licen", "Licen", "LICEN") & text.rlike(r"(?i)\blicen[cs]ed?\b")
-    code = holds("token", "secret", "password", "api_key", "apikey", "AKIA") & text.rlike(
-        r"(secret|token|password|api_?key)\W{0,3}[:=]|AKIA[0-9A-Z]{16}")
-    contact = (holds("@") & text.rlike(r"(?<![\w.+-])[\w.+-]++@[\w-]++\.\w")) | text.rlike(r"\d[\d -]{9,}\d")
-    listing = holds(" | ") & text.rlike(r"\S \| \S+ \| \S")
-    return F.when(licence, "licence").when(code, "code").when(contact, "contact").when(listing, "listing").otherwise("prose")
+    hold what every match of it holds (its literals in lower case, where case is ignored), and takes
+    linear time, also on very long runs without a space."""
+    def holds(value: Column, *literals: str) -> Column:
+        return reduce(or_, (F.contains(value, F.lit(x)) for x in literals))
+
+    def of(low: Column) -> Column:
+        licence = holds(low, "licence", "license") & text.rlike(r"(?i)\blicen[cs]ed?\b")
+        secret = holds(low, "secret", "token", "password", "api_key", "apikey", "akia") & text.rlike(
+            r"(?i)(secret|token|password|api_?key)\W{0,3}[:=]|AKIA[0-9A-Z]{16}")
+        program = holds(text, "\n") & holds(text, ";", "{", "}") & text.rlike(r"[{};]\s*\n")
+        contact = (holds(text, "@") & text.rlike(r"(?<![\w.+-])[\w.+-]++@[\w-]++\.\w")) | text.rlike(r"\d[\d -]{9,}\d")
+        listing = holds(text, " | ") & text.rlike(r"\S \| \S+ \| \S")
+        return (F.when(licence, "licence").when(secret | program, "code").when(contact, "contact")
+                .when(listing, "listing").otherwise("prose"))
+
+    return let(F.lower(text), of)
 
 
 def mixed_documents(docs: DataFrame, share: float = SHARE) -> DataFrame:
