@@ -36,10 +36,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the first in the order of ``docs``.
-    Rows are numbered as they are read (the same on every read of a written table), so null and
-    repeated ids are told apart; texts without words are no one's duplicate."""
+    Rows are numbered once and written with their numbers, as another read may pack the files
+    otherwise; so null and repeated ids are told apart. Texts without words are no one's duplicate."""
     prepare(spark)
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     linked = link_documents(numbered, "__row", "text")
     gone = written(linked.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("__gone")), "duplicates")
     return numbered.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)

@@ -385,6 +385,29 @@ def test_pipeline_stages(spark, odd_rows):
     check_packing(packed, [(r.doc_id, r.text) for r in mixed.collect()], packing.CAPACITY)
 
 
+def test_near_duplicates_when_files_are_packed_otherwise(spark):
+    """The rows that go are those that were compared, also if a later read has other partitions."""
+    import corpus_pipeline as P
+    from tidewater.llm.common import written
+    rng = random.Random(12)
+    rows = []
+    for k in range(60):
+        text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+        rows += [(2 * k, text, "en", "src0"), (2 * k + 1, text if k % 3 == 0 else f"{text} {text[::-1]}", "en", "src0")]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(24), "packed")
+    conf = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    unique = P.near_duplicate_stage(spark, docs, "")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        kept = Counter(r.text for r in unique.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert kept == Counter({t: 1 for _, t, _, _ in rows})
+
+
 def test_pipeline_runs_and_takes_an_empty_table(spark, tmp_path):
     import corpus_pipeline as P
     spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0).write.parquet(f"file://{tmp_path}/documents.parquet")
