@@ -189,3 +189,21 @@ def test_language_odd_rows(odd_docs, odd_rows, no_docs):
     assert all(r.lang_pred in {"en", "fr", "de", "es", "xx"} for r in got if r.doc_id in (1, 2, 3, 8, 10))
     assert language_id.identify_languages(no_docs).count() == 0
     assert all(r.lang_pred == "und" for r in language_id.identify_languages(odd_docs.withColumn("lang", odd_docs.lang.substr(0, 0)).where("lang is null")).collect())
+
+
+def test_language_learns_every_label(spark):
+    """More labels than are separated at once, the rare ones too; equal rows of one label push no other out."""
+    rng = random.Random(9)
+    rows, key = [], 0
+    for k in range(150):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 7))) for _ in range(25)]
+        for _ in range(12 if k < 100 else 4):
+            rows.append((key, " ".join(rng.choice(words) for _ in range(60)), f"l{k:03}"))
+            key += 1
+    train = [r for r in rows if r[0] % 4] + [(10**6, "same words again and again", "flood")] * 6000 + [(10**6 + k, "12 34", "l003") for k in range(50)]
+    model = language_id.fit_languages(spark.createDataFrame(train, "key long, text string, lang string").repartition(5))
+    held = [r for r in rows if r[0] % 4 == 0]
+    got, scores = model.predict([r[1] for r in held])
+    assert np.mean([a == r[2] for a, r in zip(got, held)]) > 0.97
+    assert all(0 <= s <= 1 for s in scores)
+    assert model.predict(["same words again and again"])[0] == ["flood"]

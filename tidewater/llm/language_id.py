@@ -2,8 +2,11 @@
 
 First the language family is predicted, then one-versus-one linear support vector machines
 separate the languages within it. Features are square-rooted, length-normalised counts of
-hashed character 1- to 3-grams of the whole text. All machines are fitted here, on a
-bounded sample of labelled rows (``MAX_TRAIN``); prediction is a narrow pass.
+hashed character 1- to 3-grams of the whole text. All machines are fitted here, on a sample
+of labelled rows that is bounded per language (``MAX_TRAIN``, ``MIN_ROWS``); prediction is a
+narrow pass. Every label that has a text with a letter is learned: more than ``WIDTH`` families
+are first gathered into groups of alike ones, so sample and machines grow in proportion to the
+number of labels (each about 130 KB a label).
 """
 
 from __future__ import annotations
@@ -17,11 +20,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import table
+from tidewater.llm.common import table, written
 from tidewater.llm.registry import register
 
 MAX_TRAIN = 1600      # rows the machines are fitted on, spread evenly over the languages
-MAX_LANGUAGES = 64    # most frequent labels that are learned
+MIN_ROWS = 8          # but so many of each, or all it has, however many languages there are
+WIDTH = 64            # families that are separated at once; more are gathered into groups
+GROUPS = 16           # groups that families are gathered into, again and again down to so many
 DIMS = 4096
 FAMILIES = {  # codes outside the table are a family of their own
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl", "oc"),
@@ -130,9 +135,65 @@ class OneVersusOne:
         return best, least[np.arange(len(x)), best]
 
 
+def halves(centres: np.ndarray, parts: int) -> list[np.ndarray]:
+    """Row numbers in at most ``parts`` groups of alike rows of about equal size: the largest group
+    is halved along the direction in which it spreads most."""
+    groups = [np.arange(len(centres))]
+    while len(groups) < parts:
+        groups.sort(key=len)
+        big = groups.pop()
+        x = centres[big] - centres[big].mean(axis=0)
+        along = x[np.linalg.norm(x, axis=1).argmax()]
+        for _ in range(30):
+            along = x.T @ (x @ along)
+            along = along / max(float(np.linalg.norm(along)), 1e-12)
+        order = big[np.argsort(x @ along, kind="stable")]
+        groups += [np.sort(order[:len(order) // 2]), np.sort(order[len(order) // 2:])]
+    return sorted(groups, key=lambda g: int(g[0]))
+
+
+class Grouped:
+    """Separates any number of classes: at most ``width`` of them one versus one, more by their group
+    first and then within it."""
+
+    def __init__(self, classes: list[str]):
+        self.classes = classes
+        self.machines = OneVersusOne(classes)
+        self.groups: list[np.ndarray] = []
+        self.within: list[Grouped] = []
+
+    def fit(self, x: np.ndarray, labels: np.ndarray, width: int = WIDTH, parts: int = GROUPS) -> "Grouped":
+        if len(self.classes) <= width:
+            self.machines.fit(x, labels)
+            return self
+        at = np.searchsorted(np.array(self.classes, object), labels)
+        self.groups = halves(np.stack([x[at == k].mean(axis=0) for k in range(len(self.classes))]), parts)
+        group = np.empty(len(self.classes), np.int64)
+        for g, members in enumerate(self.groups):
+            group[members] = g
+        own = group[at]
+        names = np.array([f"{g:03}" for g in range(len(self.groups))], object)
+        self.machines = OneVersusOne(names.tolist()).fit(x, names[own])
+        self.within = [Grouped([self.classes[k] for k in members]).fit(x[own == g], labels[own == g], parts, parts)
+                       for g, members in enumerate(self.groups)]
+        return self
+
+    def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        best, score = self.machines.predict(x)
+        if self.groups:
+            best, score, group = np.zeros(len(x), np.int64), score.copy(), best
+            for g, members in enumerate(self.groups):
+                rows = np.where(group == g)[0]
+                if len(rows):
+                    inner, chance = self.within[g].predict(x[rows])
+                    best[rows] = members[inner]
+                    score[rows] *= chance
+        return best, score
+
+
 @dataclass
 class LanguageModel:
-    families: OneVersusOne
+    families: Grouped
     within: dict[str, OneVersusOne]
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -154,29 +215,37 @@ class LanguageModel:
         return langs.tolist(), scores
 
 
-def fit_languages(labelled: DataFrame, max_train: int = MAX_TRAIN, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
-    """Fits on at most about ``max_train`` rows of (key, text, lang), all non-null.
+def fit_languages(labelled: DataFrame, max_train: int = MAX_TRAIN, min_rows: int = MIN_ROWS) -> LanguageModel:
+    """Fits on rows of (key, text, lang), all non-null: an equal share of ``max_train`` per language
+    that has a text with a letter, and at least ``min_rows`` of each that has so many.
 
-    Rows are taken by a hash of (key, text) below a bound per language, so the sample depends on
-    the rows alone. Every language among the ``max_languages`` most frequent gets an equal share.
+    Per language the rows with the least hashes of (key, text) are taken, equal rows once, so the
+    sample depends on the rows alone. Hashes are thinned to a few times the share before they are
+    collected, and the texts of the least ones are fetched.
     """
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not counts:
-        return LanguageModel(OneVersusOne([]), {})
-    share = max_train // len(counts)
-    wanted = F.lit(False)
-    u = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 30)) / float(1 << 30)
-    for lang, n in counts:
-        wanted = wanted | ((F.col("lang") == lang) & (u < min(1.0, share / n)))
-    rows = labelled.where(wanted).select("lang", "text").limit(2 * max_train).toPandas()
+    usable = labelled.where(F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("key", "text").alias("u"))
+    distinct = written(usable.select("lang", "u").distinct(), "labelled")
+    counts = distinct.groupBy("lang").count().toPandas()
+    if not len(counts):
+        return LanguageModel(Grouped([]), {})
+    share = max(min_rows, max_train // len(counts))
+    # 2 * share + 32 are expected below the bound: fewer than the share come once in 1e10 languages.
+    counts["bound"] = ((2 * share + 32) / counts["count"]).clip(upper=1.0)
+    spark = labelled.sparkSession
+    bounds = spark.createDataFrame(list(zip(counts["lang"], counts["bound"].astype(float))), "lang string, bound double")
+    some = distinct.join(F.broadcast(bounds), "lang").where(F.col("u") / 2.0 ** 64 + 0.5 <= F.col("bound")).select("lang", "u").toPandas()
+    cuts = some.sort_values("u").groupby("lang")["u"].apply(lambda u: int(u.iloc[:share].iloc[-1]))
+    cuts = spark.createDataFrame(list(cuts.items()), "lang string, cut long")
+    rows = (usable.join(F.broadcast(cuts), "lang").where(F.col("u") <= F.col("cut"))
+            .dropDuplicates(["lang", "u"]).select("lang", "text").toPandas())
     x, labels = features(rows["text"].tolist()), rows["lang"].to_numpy(object)
-    usable = np.linalg.norm(x, axis=1) > 0
-    x, labels = x[usable], labels[usable]
+    known = np.linalg.norm(x, axis=1) > 0
+    x, labels = x[known], labels[known]
     order = np.lexsort((x @ np.arange(x.shape[1]), labels.astype(str)))  # not the order of arrival
     x, labels = x[order], labels[order]
     family = np.array([FAMILY_OF.get(v, v) for v in labels], object)
     within = {f: OneVersusOne(sorted(set(labels[family == f]))).fit(x[family == f], labels[family == f]) for f in sorted(set(family))}
-    return LanguageModel(OneVersusOne(sorted(set(family))).fit(x, family), within)
+    return LanguageModel(Grouped(sorted(set(family))).fit(x, family), within)
 
 
 def identify(rows: DataFrame, model: LanguageModel, text_col: str = "text", batch: int = 500) -> DataFrame:
