@@ -129,6 +129,19 @@ def test_entropy_allow_list():
     assert secrets.entropy_spans(f"use {key} now") == [(4, 3, 4 + len(key))]
 
 
+def test_entropy_beside_a_placeholder():
+    """A placeholder hides itself, not the key that is joined to it."""
+    key = "q7Rz0Lw2Vb9Xk4Tn8Ys1Gd6Hf3"
+    for text in (f"example/{key}", f"{key}=placeholder", f"EXAMPLE_{key}-changeme", f"xxxx-{key}"):
+        at = text.index(key)
+        assert secrets.entropy_spans(text) == [(at, 3, at + len(key))], text
+    blob = key + "pWxxXxm" + key[::-1]
+    assert [(a, b) for a, _, b in secrets.entropy_spans(blob)] == [(0, len(key) + 2), (len(key) + 6, len(blob))]
+    for text in ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "your9api8key7EXAMPLE6goes5here", "example-123e4567-e89b-12d3-a456-426614174000",
+                 "example-internationalization-and-localization", "xxxxxxxxxxxxxxxxxxxxxxxxxxxx"):
+        assert not secrets.entropy_spans(text), text
+
+
 def test_secret_scan_rows(odd_docs, odd_rows, no_docs):
     got = secrets.scan_secrets(odd_docs).collect()
     assert len(got) == len(odd_rows)

@@ -3,7 +3,8 @@
 The entropy method reads candidate strings (maximal runs of a character class),
 slides a window over each and keeps its Shannon entropy by incremental counts;
 windows above the class's threshold merge into spans. Allow-listed candidates
-(plain words, UUIDs, placeholders, documented sample keys) give no entropy span.
+(plain words, UUIDs, documented sample keys) give no entropy span; of a candidate with a
+placeholder, windows that overlap the placeholder give none.
 """
 
 from __future__ import annotations
@@ -44,8 +45,11 @@ ALLOWED = tuple(re.compile(x) for x in (
     r"[A-Za-z]*(?:[-_/=][A-Za-z]*)+",                    # joined words
     r"[-_=/+.]+", r"\d+(?:[-/]\d+)*",                    # rules, plain numbers and dates
     r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
-    r"(?i).*(?:example|placeholder|changeme|xxxx).*",
+    r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",         # documented sample key
 ))
+PLACEHOLDER = re.compile(r"(?i)example|placeholder|changeme|xxxx")
+PART = re.compile(r"[^/_=-]+")
+MAX_PART = 40  # a part up to this length is a placeholder as a whole; of a longer one only the word is
 
 
 def window_hits(s: str, window: int, bits: float) -> list[tuple[int, int]]:
@@ -88,13 +92,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def judged_stretches(s: str) -> list[tuple[int, int]]:
+    """(start, end) of what lies between the placeholders of candidate ``s``, without the separators next to them."""
+    if not PLACEHOLDER.search(s):
+        return [(0, len(s))]
+    out, at = [], 0
+    for part in PART.finditer(s):
+        whole = part.end() - part.start() <= MAX_PART
+        for word in PLACEHOLDER.finditer(s, part.start(), part.end()):
+            a, b = part.span() if whole else word.span()
+            if b > at:
+                out.append((at, a))
+                at = b
+    out.append((at, len(s)))
+    return [(a + len(x) - len(x.lstrip("/_=-")) if a else a, a + len(x.rstrip("/_=-")) if b < len(s) else b)
+            for a, b in out for x in [s[a:b]]]
+
+
 def entropy_spans(text: str) -> list[tuple[int, int, int]]:
     found: list[tuple[int, int]] = []
     for cls in CLASSES:
         for m in cls.candidates.finditer(text):
             s = m.group()
-            if not any(a.fullmatch(s) for a in ALLOWED):
-                found += [(m.start() + a, m.start() + b) for a, b in window_hits(s, cls.window, cls.bits)]
+            if any(a.fullmatch(s) for a in ALLOWED):
+                continue
+            for at, end in judged_stretches(s):
+                own = s[at:end]
+                if len(own) >= cls.window and not any(a.fullmatch(own) for a in ALLOWED):
+                    found += [(m.start() + at + a, m.start() + at + b) for a, b in window_hits(own, cls.window, cls.bits)]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):  # classes can overlap
         if merged and a <= merged[-1][1]:
