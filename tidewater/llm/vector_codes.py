@@ -59,6 +59,7 @@ class SliceIndex:
             entries = entries.astype(object)
         self.entries, (self.n, self.width) = entries, entries.shape
         self.words = -(-self.n // 64)
+        self.largest = int(np.abs(entries).max()) if entries.size else 0
         order = np.argsort(entries, axis=0, kind="stable")
         self.sorted = [entries[order[:, d], d] for d in range(self.width)]
         bits = np.zeros((self.n, self.words), np.uint64)
@@ -91,13 +92,14 @@ class SliceIndex:
 
     def _best(self, vectors: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(entry, squared distance) of each vector's best candidate; entry -1 where it has none."""
+        entries = self.entries.astype(vectors.dtype, copy=False)
         bits = np.unpackbits(mask.view(np.uint8).reshape(len(mask), 8 * self.words), axis=1, bitorder="little")[:, :self.n]
         who, entry = np.nonzero(bits)
         best = np.full(len(vectors), -1, np.int64)
         distance = np.zeros(len(vectors), vectors.dtype)
         if len(who):
-            diff = vectors[who] - self.entries[entry]
-            squares = (diff * diff).sum(axis=1)
+            diff = np.take(vectors, who, axis=0) - np.take(entries, entry, axis=0)
+            squares = (diff * diff).sum(axis=1) if diff.dtype == object else np.einsum("ij,ij->i", diff, diff)
             first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
             least = np.minimum.reduceat(squares, first)
             some = who[first]
@@ -111,6 +113,8 @@ class SliceIndex:
         """(index, squared distance) per vector."""
         if vectors.dtype == object or self.entries.dtype == object or vectors.size and np.abs(vectors).max() >= SAFE:
             vectors = vectors.astype(object)
+        elif vectors.size and self.width * (int(np.abs(vectors).max()) + self.largest) ** 2 < 1 << 31:
+            vectors = vectors.astype(np.int32)  # no sum of squares leaves 32 bits
         best = np.empty(len(vectors), np.int64)
         distance = np.zeros(len(vectors), vectors.dtype)
         for at in range(0, len(vectors), BLOCK):
@@ -241,7 +245,7 @@ def encode_vectors(kept: DataFrame, codebooks: list[np.ndarray], width: int) ->
             for p, vectors in enumerate(_parts(batch, width)):
                 best, distance = index[p].nearest(vectors)
                 code[:, p] = best
-                error = error.astype(distance.dtype) + distance
+                error = error + distance
             if error.dtype == object:
                 error = np.array([min(int(e), MAX_LONG) for e in error], np.int64)
             text = code.tobytes().hex()
