@@ -6,6 +6,7 @@ remembers the byte of the text it comes from, so each piece projects to a span o
 bytes. The normalised text then falls apart at places no piece of the vocabulary spans (before
 a run of the space mark, around a line break); merges on either side don't meet, so each
 distinct part is merged once and remembered, and a text is the concatenation of its parts.
+A part falls apart further where no piece of the vocabulary has its two characters side by side.
 Unknown characters fall back to their bytes where the model says so.
 """
 
@@ -29,7 +30,7 @@ from tidewater.llm.common import table
 from tidewater.llm.registry import register
 
 SPACE = "▁"            # stands for a space in pieces
-MAX_PARTS = 500_000    # parts whose pieces a worker keeps; beyond that it starts anew
+MAX_PARTS = 1_000_000  # parts whose pieces a worker keeps (some 250 MB); beyond that it starts anew
 MAX_PART_LENGTH = 64   # longer parts are not kept
 SHORT_PART = 40        # up to here the best pair is found by a scan, beyond by a heap
 
@@ -123,17 +124,31 @@ class Normalizer:
         return bytes(out), np.array([*source, end], np.int64)
 
     def _escaped(self, data: bytes) -> tuple[bytes, np.ndarray]:
-        """The same for an empty map: a step is one character, only spaces change."""
+        """The same for an empty map: each step is one character, only spaces change. (Bytes inside a
+        character have their own offsets here; no piece starts or ends there.)"""
         mark = SPACE.encode() if self.escape else b" "
-        raw = np.frombuffer(data, np.uint8)
-        starts = np.arange(len(raw))
-        inside = (raw & 0xC0) == 0x80
-        if inside.any():  # bytes of one character share its offset
-            starts = np.maximum.accumulate(np.where(inside, 0, starts))
-        widths = np.where(raw == 0x20, len(mark), 1)
-        source = np.repeat(starts, widths)
         lead = len(mark) if self.dummy else 0
-        return mark * bool(lead) + data.replace(b" ", mark), np.concatenate([np.zeros(lead, np.int64), source, [len(data)]])
+        raw = np.frombuffer(data, np.uint8)
+        kind = np.int32 if len(data) < 1 << 30 else np.int64
+        widths = np.ones(len(raw) + 1, np.uint8)
+        widths[0] += lead
+        widths[:-1][raw == 0x20] += len(mark) - 1
+        return mark * bool(lead) + data.replace(b" ", mark), np.repeat(np.arange(len(raw) + 1, dtype=kind), widths)
+
+
+class Learned(dict):
+    """part -> (id, normalised bytes it takes) of its pieces, as pairs of 32-bit numbers; a part is
+    merged when it is first asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, part: str) -> bytes:
+        got = self.learn(part)
+        if len(part) <= MAX_PART_LENGTH:
+            self[part] = got
+        return got
 
 
 class PieceEncoder:
@@ -162,14 +177,23 @@ class PieceEncoder:
             self.bytes = [self.processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         inner = [p for p in self.pieces if len(p) > 1]
         # Parts are cut where no piece reaches across; a vocabulary that does is taken whole.
-        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in inner):
-            self.parts = lambda text: [text]
-        elif any("\n" in p for p in inner):
-            self.parts = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
-        else:
-            self.parts = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+").findall
-        self.ids: dict[str, bytes] = {}    # part -> its ids, four bytes each
-        self.taken: dict[str, bytes] = {}  # part -> normalised bytes each id takes
+        self.neighbours = {p[k - 1:k + 1] for p in inner for k in range(1, len(p))}
+        self.whole = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in inner)
+        self.by_line = not any("\n" in p for p in inner)
+        line = "\n" if self.by_line else ""
+        self.find_parts = re.compile(f"{line and line + '|'}{SPACE}*[^{SPACE}{line}]+|{SPACE}+").findall
+        self.learned = Learned(self.learn)
+        self.decimal = [str(k) for k in range(len(model.pieces))]
+
+    def parts(self, text: str) -> list[str]:
+        """The parts of a normalised text. Without runs of the space mark two replacements and a split
+        do what the pattern does (empty parts come along)."""
+        if self.whole:
+            return [text]
+        if "\0" in text or SPACE + SPACE in text:
+            return self.find_parts(text)
+        text = text.replace(SPACE, "\0" + SPACE)
+        return (text.replace("\n", "\0\n\0") if self.by_line else text).split("\0")
 
     def merge(self, part: str) -> list[str]:
         """The pieces of one part, unknown characters among them."""
@@ -219,43 +243,34 @@ class PieceEncoder:
             offer(a, right[a])
         return [s for s in symbols if s]
 
-    def learn(self, part: str) -> None:
-        ids, taken = [], []
+    def learn(self, part: str) -> bytes:
+        near = self.neighbours  # characters that no piece has side by side fall apart
+        cuts = [0, *(k for k in range(1, len(part)) if part[k - 1:k + 1] not in near), len(part)]
+        if len(cuts) > 2:
+            return b"".join(map(self.learned.__getitem__, map(part.__getitem__, map(slice, cuts, cuts[1:]))))
+        pairs = []
         for piece in self.merge(part):
             hit = self.pieces.get(piece)
             raw = piece.encode()
             if hit is not None:
-                ids.append(hit)
-                taken.append(len(raw))
+                pairs += (hit, len(raw))
             elif self.bytes is not None:  # the last byte stands for the character, the others for nothing
-                ids += [self.bytes[b] for b in raw]
-                taken += [0] * (len(raw) - 1) + [len(raw)]
+                for b in raw[:-1]:
+                    pairs += (self.bytes[b], 0)
+                pairs += (self.bytes[raw[-1]], len(raw))
             else:
-                ids.append(self.unknown)
-                taken.append(len(raw))
-        self.ids[part] = struct.pack(f"<{len(ids)}i", *ids)
-        self.taken[part] = struct.pack(f"<{len(ids)}i", *taken)
-
-    def _known(self, parts: list[str]) -> list[str]:
-        """Learns what is new; returns the parts that are not to be kept."""
-        if len(self.ids) > MAX_PARTS:
-            self.ids.clear()
-            self.taken.clear()
-        new = set(parts).difference(self.ids)
-        for part in new:
-            self.learn(part)
-        return [p for p in new if len(p) > MAX_PART_LENGTH]
+                pairs += (self.unknown, len(raw))
+        return struct.pack(f"<{len(pairs)}i", *pairs)
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first byte, end byte): spans are byte offsets into the UTF-8 text."""
+        if len(self.learned) > MAX_PARTS:
+            self.learned.clear()
         data, source = self.normalize(text)
-        parts = self.parts(data.decode())
-        once = self._known(parts)
-        ids = np.frombuffer(b"".join(map(self.ids.__getitem__, parts)), "<i4")
-        ends = np.cumsum(np.frombuffer(b"".join(map(self.taken.__getitem__, parts)), "<i4"), dtype=np.int64)
-        for p in once:
-            del self.ids[p], self.taken[p]
-        starts = np.concatenate([np.zeros(1, np.int64), ends[:-1]]) if len(ends) else ends
+        pairs = np.frombuffer(b"".join(map(self.learned.__getitem__, self.parts(data.decode()))), "<i4").reshape(-1, 2)
+        ids, places = pairs[:, 0], np.zeros(len(pairs) + 1, np.int64)
+        np.cumsum(pairs[:, 1], out=places[1:])
+        starts, ends = places[:-1], places[1:]
         if self.bytes is None and len(ids):  # neighbouring unknown characters are one unknown piece
             more = np.concatenate([[False], (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)])
             ends = ends[np.concatenate([~more[1:], [True]])]
@@ -317,13 +332,14 @@ def digest_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     and ``spans_crc32`` (starts, then ends, as little-endian unsigned 64-bit numbers)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = piece_encoder(model_path)
+        decimal = coder.decimal.__getitem__
         for batch in batches:
             out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "spans_crc32": []}
             for text in batch["text"]:
                 ids, starts, ends = coder.encode(text)
                 ids = ids.tolist()
                 out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                out["ids_sha256"].append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
                 out["spans_crc32"].append(zlib.crc32(ends.astype("<u8"), zlib.crc32(starts.astype("<u8"))))
             yield pd.DataFrame({"doc_id": batch["doc_id"], **out})
