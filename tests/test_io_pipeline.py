@@ -13,6 +13,7 @@ from tidewater.plans.pipeline import ledger_view, run_pipeline
 from tidewater import schemas as SC
 from tidewater.schemas import SOURCE_COLUMNS
 from tidewater.sinks import warehouse as W
+from tidewater.sinks.commits import read_table
 from tidewater.sources import files as S
 
 from conftest import SF_SMALL
@@ -81,7 +82,7 @@ def test_run_pipeline_csv(spark, scratch):
                                "web_analytics": 1, "crm_leads": 2}
     assert res.rows_enriched["ticket_classifications"] == 2
     assert res.rows_enriched["revenue_anomalies"] == 0
-    cls = spark.read.parquet(f"{scratch}/mart/ticket_classifications")
+    cls = read_table(spark, scratch, "mart/ticket_classifications")
     assert {r.run_id for r in cls.collect()} == {"run-a"}
     assert dict(cls.select("ticket_id", "category").collect()) == {"t1": "billing",
                                                                      "t2": "shipping"}
@@ -100,13 +101,13 @@ def test_run_pipeline_csv(spark, scratch):
     assert dash["leads"].columns == ["lead_id", "company_size_band", "lead_score", "notes"]
     assert dash["tickets_by_category"].count() == 2
     assert res.rows_rejected == 2 and res.message.startswith("Pipeline run run-a completed")
-    rejects = {(r.table, r.row_key, r.reason) for r in spark.read.parquet(f"{scratch}/raw/rejected_rows").collect()}
+    rejects = {(r.table, r.row_key, r.reason) for r in read_table(spark, scratch, "raw/rejected_rows").collect()}
     assert rejects == {("orders", "o2", "net_revenue_eur"), ("product_reviews", "r2", "rating")}
-    report = spark.read.parquet(f"{scratch}/mart/quality_report").collect()
+    report = read_table(spark, scratch, "mart/quality_report").collect()
     assert {r.table for r in report} == set(SC.TABLE_SCHEMAS) and res.violations == sum(r.violations for r in report)
     # a further run: tables replaced, ledger keeps one view row per run
     run_pipeline(spark, src, scratch, "run-b", now=now)
-    assert {r.run_id for r in spark.read.parquet(f"{scratch}/mart/ticket_classifications")
+    assert {r.run_id for r in read_table(spark, scratch, "mart/ticket_classifications")
             .collect()} == {"run-b"}
     assert ledger_view(spark, scratch).count() == 2
 
@@ -264,7 +265,7 @@ def test_run_pipeline_model_mode(spark, scratch):
     run_pipeline(spark, src, scratch, "run-rules", now=dt.datetime(2026, 8, 2))
     written = write_model_requests(spark, scratch, "req-1")
     assert written["tickets"] >= 1 and written["leads"] >= 1
-    raw_t = spark.read.parquet(f"{scratch}/raw/support_tickets")
+    raw_t = read_table(spark, scratch, "raw/support_tickets")
     batches = RS.build_ticket_batches(raw_t)
     # responses arrive as a written table, independent of the raw files a run replaces
     resp_dir = tempfile.mkdtemp(prefix="tidewater-resp-", dir="/tmp")
@@ -285,7 +286,7 @@ def test_run_pipeline_model_mode(spark, scratch):
     assert res.fell_back and "classify_tickets" in res.fell_back[0]
     v = {r.run_id: r for r in ledger_view(spark, scratch).collect()}["run-bad"]
     assert v.error.startswith("classify_tickets: no usable response")
-    cls = spark.read.parquet(f"{scratch}/mart/ticket_classifications").drop("enriched_at", "run_id")
+    cls = read_table(spark, scratch, "mart/ticket_classifications").drop("enriched_at", "run_id")
     assert sorted(cls.collect()) == rules
 
 

@@ -50,7 +50,8 @@ def sentiment_by_urgency(classified: DataFrame) -> DataFrame:
 
 
 def for_run(df: DataFrame, run_id: str) -> DataFrame:
-    """C11: rows of one run (pushed to the scan as a filter)."""
+    """C11: rows of one run (of a keyed warehouse table, a partition filter: other runs' folders
+    aren't read)."""
     return df.filter(F.col("run_id") == F.lit(run_id))
 
 
@@ -146,15 +147,14 @@ def run_message(ledger_view: DataFrame) -> DataFrame:
 
 def dashboard(spark, out_dir: str, lang: str = "en") -> dict[str, DataFrame]:
     """S7 + P1-P5: every dataset behind the dashboard page, read from the
-    written warehouse tables. Scans are pruned to the columns each view uses."""
+    warehouse's latest commit. Scans are pruned to the columns each view uses."""
     from tidewater.operators.clean import leads_view
-
-    out = out_dir.rstrip("/")
-    orders = spark.read.parquet(f"{out}/raw/orders")
-    tickets = spark.read.parquet(f"{out}/mart/ticket_classifications")
-    anomalies = spark.read.parquet(f"{out}/mart/revenue_anomalies")
-    leads = spark.read.parquet(f"{out}/mart/lead_enrichments")
     from tidewater.operators.revenue import daily_revenue_by_region
+    from tidewater.sinks.commits import read_commit, read_table
+
+    number = read_commit(spark, out_dir)["number"]  # all tables of one commit
+    orders, tickets, anomalies, leads = (read_table(spark, out_dir, t, number) for t in (
+        "raw/orders", "mart/ticket_classifications", "mart/revenue_anomalies", "mart/lead_enrichments"))
     return {
         "kpis": dashboard_kpis(orders, tickets, leads),
         "revenue_by_region": daily_revenue_by_region(orders),

@@ -1,11 +1,13 @@
 """The daily batch job: extract -> raw -> enrich -> mart -> checks -> report -> ledger.
 
-Each stage is a lazy DataFrame; actions happen only at the writes. The
-enrichment stage reads the *written* raw tables back, which cuts lineage
-(a lost executor recomputes from Parquet, not from the CSV parse) and lets
-Parquet pushdown serve the narrow enrichment projections. Tables are replaced
-by checked renames; every attempt of a run has its own ledger rows, and the
-ledger view shows the latest attempt.
+Each stage is a lazy DataFrame; actions happen only at the writes. Each source is
+parsed once: one write deals its rows to accepted, rejected and unreadable ones, and the
+counts come from that job. The enrichment stage reads the *written* raw tables back, which
+cuts lineage (a lost executor recomputes from Parquet, not from the CSV parse) and lets
+Parquet pushdown serve the narrow enrichment projections. All tables of a run become visible
+in one commit at its end (``sinks.commits``); a run that fails leaves the tables of the last
+one. Every attempt of a run has its own number and ledger rows, and the ledger view shows the
+latest attempt.
 """
 
 from __future__ import annotations
@@ -13,9 +15,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewater.functions import lexicon as lx
 from tidewater.operators import clean as C
@@ -26,8 +30,10 @@ from tidewater.operators import revenue as R
 from tidewater.operators import responses as RS
 from tidewater.operators import reviews as RV
 from tidewater.operators import tickets as T
+from tidewater.schemas import DEFAULTS, RAW_SCHEMAS
 from tidewater.sinks import warehouse as W
-from tidewater.sources.files import extract_all, read_rejects
+from tidewater.sinks.commits import RunWrites, claim_attempt, read_table
+from tidewater.sources.files import CORRUPT, assert_source_marker, read_landing
 
 
 @dataclass
@@ -57,6 +63,8 @@ class RunResult:
     llm_cost_estimate: float = 0.0
     fell_back: list[str] = field(default_factory=list)
     rows_rejected: int = 0
+    rows_unreadable: int = 0
+    commit: int = 0
     violations: int = 0
     message: str | None = None
 
@@ -69,46 +77,41 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
                  run_id: str, *, now: dt.datetime | None = None,
                  threshold: float = lx.ANOMALY_THRESHOLD_DEFAULT,
                  responses: ModelResponses | None = None,
-                 on_stage: Callable[[str], None] | None = None) -> RunResult:
-    """Run the whole job once. ``sources`` is a CSV folder or a dict of the
-    five source DataFrames (e.g. from the adapters). With ``responses`` the
+                 on_stage: Callable[[str], None] | None = None,
+                 marts: str = "replace", multiline: bool = False) -> RunResult:
+    """Run the whole job once. ``sources`` is a CSV folder (``multiline``: with quoted line
+    breaks) or a dict of the five source DataFrames (e.g. from the adapters). With ``responses`` the
     enrichers merge the model's answers (rules fill the gaps; a failed
-    operation falls back to rules and is flagged in the ledger)."""
+    operation falls back to rules and is flagged in the ledger). ``marts="upsert"`` writes only
+    rows that changed into the marts and keeps rows of keys that a run doesn't produce.
+    ``on_stage`` is told each stage and each mart before it is written."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     out = out_dir.rstrip("/")
     ledger_path = f"{out}/mart/pipeline_runs_log"
     mode = "llm" if responses is not None else "mock"
-    attempt = W.next_attempt(spark.read.parquet(ledger_path), run_id) if W.table_exists(spark, ledger_path) else 1
+    known = W.next_attempt(spark.read.parquet(ledger_path), run_id) - 1 if W.table_exists(spark, ledger_path) else 0
+    attempt = claim_attempt(spark, out, run_id, after=known)
+    writes = RunWrites(spark, out, run_id, attempt)
     W.commit_write(W.start_run(spark, run_id, now, mode,
                                responses.provider if responses else None,
                                responses.model if responses else None, attempt),
                    ledger_path, mode="append")
     result = RunResult(run_id=run_id, status="running")
     try:
-        unread = []
         if isinstance(sources, str):
-            unread = [read_rejects(spark, sources, n) for n in lx.SOURCE_NAMES]
-            sources = extract_all(spark, sources)
-        counts = {}
-        cleaned = {}
-        for name, df in sources.items():
-            obs = Observation(f"extracted_{name}")
-            cleaned[name] = C.CLEANERS[name](df.observe(obs, F.count(F.lit(1)).alias("n")))
-            counts[name] = obs
+            assert_source_marker(spark, sources)
+            sources = {n: read_landing(spark, sources, n, multiline) for n in lx.SOURCE_NAMES}
         if on_stage:
             on_stage("load_raw")
-        result.rows_loaded = W.load_raw(cleaned, out, now)
-        result.rows_extracted = sum(int(o.get["n"]) for o in counts.values())
-
-        rejects = C.rejected_rows(sources)
-        for more in unread:
-            rejects = rejects.unionByName(more)
-        result.rows_rejected = W.commit_write(rejects, f"{out}/raw/rejected_rows")
+        rejects = []
+        for name, df in sources.items():
+            rejects.append(_land(writes, name, df, now, result))
+        result.rows_rejected = writes.replace("raw/rejected_rows", reduce(DataFrame.unionByName, rejects))["rows"]
 
-        raw = {name: spark.read.parquet(f"{out}/raw/{name}") for name in cleaned}
+        raw = {name: writes.read(f"raw/{name}") for name in sources}
         if on_stage:
             on_stage("enrich")
-        marts = {
+        found = {
             "ticket_classifications": T.classify_tickets(raw["support_tickets"]),
             "review_summaries": RV.summarize_reviews(raw["product_reviews"]),
             "revenue_anomalies": R.detect_anomalies(
@@ -116,20 +119,26 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
             "lead_enrichments": L.enrich_leads(raw["crm_leads"]),
         }
         if responses is not None:
-            marts = _merge_model(spark, raw, marts, responses, run_id, result, out)
-        for table, df in marts.items():
-            result.rows_enriched[table] = W.write_mart(df, table, out, run_id, now)
+            found = _merge_model(spark, raw, found, responses, run_id, result, out)
+        for table, df in found.items():
+            if on_stage:
+                on_stage(table)
+            result.rows_enriched[table] = W.put_mart(writes, df, table, now, marts)
 
         if on_stage:
             on_stage("report")
-        mart = {t: spark.read.parquet(f"{out}/mart/{t}") for t in marts}
+        mart = {t: writes.read(f"mart/{t}") for t in found}
         ledger = ledger_view(spark, out)
-        W.commit_write(QC.warehouse_report({**raw, **mart, "pipeline_runs": ledger}), f"{out}/mart/quality_report")
-        result.violations = int(spark.read.parquet(f"{out}/mart/quality_report").agg(F.sum("violations")).first()[0] or 0)
+        checks = writes.replace("mart/quality_report", QC.warehouse_report({**raw, **mart, "pipeline_runs": ledger}),
+                                counts={"violations": F.sum("violations")})
+        result.violations = int(checks["violations"] or 0)
         run_row = ledger.filter(F.col("run_id") == run_id)
         report = D.run_report(run_row, D.for_run(mart["ticket_classifications"], run_id),
                               D.for_run(mart["revenue_anomalies"], run_id))
         W.commit_write(report, f"{out}/mart/run_reports/run_id={run_id}")
+        if on_stage:
+            on_stage("publish")
+        result.commit = writes.publish()
         result.status = "success"
     except Exception as exc:  # the ledger records the failure, then re-raises
         result.status = "failed"
@@ -150,6 +159,19 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame] | str, out_d
     return result
 
 
+def _land(writes: RunWrites, name: str, df: DataFrame, now: dt.datetime, result: RunResult) -> DataFrame:
+    """K1 for one source: one write of all its rows by outcome; returns the reject table's part."""
+    rows = C.judged_rows(df, name, CORRUPT if CORRUPT in df.columns else None)
+    stamped = W.conform(rows, StructType([*RAW_SCHEMAS[name], *(rows.schema[c] for c in (C.REJECT, "raw_row", "outcome"))]),
+                        now, DEFAULTS.get(name))
+    counts = {o: F.count_if(F.col("outcome") == o) for o in sorted(C.OUTCOMES)}
+    seen, landed = writes.land(f"raw/{name}", stamped, RAW_SCHEMAS[name], "outcome", C.ACCEPTED, counts)
+    result.rows_loaded[name] = int(seen[C.ACCEPTED])
+    result.rows_extracted += int(seen[C.ACCEPTED]) + int(seen[C.REJECTED])
+    result.rows_unreadable += int(seen[C.UNREADABLE])
+    return C.rejects_of(landed, name)
+
+
 OPERATIONS = {  # operation -> (name in the ledger, key columns, response schema)
     "tickets": ("classify_tickets", ["batch_id"], RS.TICKET_RESULT),
     "reviews": ("summarize_reviews", ["product_id", "review_window"], RS.REVIEW_RESULT),
@@ -175,8 +197,7 @@ def write_model_requests(spark: SparkSession, out_dir: str, request_id: str) ->
     ``<out_dir>/mart/model_requests/request_id=<request_id>/<operation>`` (from the written raw
     tables). Responses name the ``request_id`` they answer."""
     out = out_dir.rstrip("/")
-    raw = {n: spark.read.parquet(f"{out}/raw/{n}")
-           for n in ("support_tickets", "product_reviews", "crm_leads")}
+    raw = {n: read_table(spark, out, f"raw/{n}") for n in ("support_tickets", "product_reviews", "crm_leads")}
     return {op: W.commit_write(df, _requests_path(out, request_id, op)) for op, df in model_requests(raw).items()}
 
 

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from tidewater.schemas import DEFAULTS, MART_SCHEMAS, RAW_SCHEMAS
+from tidewater.schemas import DEFAULTS, MART_KEYS, MART_SCHEMAS, RAW_SCHEMAS
+from tidewater.sinks.commits import RunWrites
 
 
 def conform(df: DataFrame, schema: StructType, now: dt.datetime | None = None,
@@ -125,24 +126,43 @@ def write_mart(df: DataFrame, table: str, out_dir: str, run_id: str,
                         f"{out_dir.rstrip('/')}/mart/{table}", keep_if_empty=True)
 
 
+def one_per_key(incoming: DataFrame, keys: list[str], order: str | None, columns: list[str]) -> DataFrame:
+    """``columns`` of ``incoming`` with one row per key: the one with the greatest ``order``. Without
+    ``order`` a repeated key is an error when the result is computed."""
+    rest = F.struct(*[c for c in columns if c not in keys]) if set(columns) - set(keys) else F.lit(None)
+    picked = F.max_by(rest, F.col(order)) if order else F.first(rest)
+    new = incoming.groupBy(*keys).agg(picked.alias("x"), F.count(F.lit(1)).alias("n"))
+    if not order:
+        new = new.where(F.when(F.col("n") > 1, F.raise_error(F.lit("upsert_by_key: incoming key repeated"))
+                               .cast("boolean")).otherwise(F.lit(True)))
+    return new.select(*[F.col(c) if c in keys else F.col(f"x.{c}").alias(c) for c in columns])
+
+
 def upsert_by_key(current: DataFrame, incoming: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """K3: rows of ``incoming`` replace rows of ``current`` with the same key.
+    """K3 as a DataFrame function: rows of ``incoming`` replace rows of ``current`` with the same key
+    (``commits.RunWrites.upsert`` does it to a written table).
 
     Of incoming rows with one key the one with the greatest ``order`` counts (a column of
     ``incoming``). Without ``order`` a repeated incoming key is an error when the result is
     computed, so the result's key always holds.
     """
-    rest = [c for c in current.columns if c not in keys]
-    picked = F.max_by(F.struct(*rest), F.col(order)) if order else F.first(F.struct(*rest))
-    new = incoming.groupBy(*keys).agg(picked.alias("x"), F.count(F.lit(1)).alias("n"))
-    if not order:
-        new = new.where(F.when(F.col("n") > 1, F.raise_error(F.lit("upsert_by_key: incoming key repeated"))
-                               .cast("boolean")).otherwise(F.lit(True)))
-    new = new.select(*[F.col(c) if c in keys else F.col(f"x.{c}").alias(c) for c in current.columns])
+    new = one_per_key(incoming, keys, order, current.columns)
     kept = current.join(incoming.select(*keys).distinct(), keys, "left_anti")
     return kept.select(*current.columns).unionByName(new)
 
 
+def put_mart(writes: RunWrites, df: DataFrame, table: str, now: dt.datetime | None = None, mode: str = "replace") -> int:
+    """K2-K7 within a run: stamp run_id and enriched_at, conform to the mart schema, then replace the
+    table's rows (an empty result leaves it as is) or, with ``mode="upsert"``, only the rows of the keys
+    that changed. Returns the rows written or changed."""
+    stamped = conform(df.withColumn("run_id", F.lit(writes.run_id)), MART_SCHEMAS[table], now)
+    if mode == "upsert":
+        return writes.upsert(f"mart/{table}", stamped, MART_KEYS[table])
+    if mode != "replace":
+        raise ValueError("mode must be 'replace' or 'upsert'")
+    return writes.replace_keyed(f"mart/{table}", stamped, MART_KEYS[table], keep_if_empty=True)
+
+
 # ── run ledger ──────────────────────────────────────────────────────────────
 LEDGER = MART_SCHEMAS["pipeline_runs"]
 LEDGER_DEFAULTS = DEFAULTS["pipeline_runs"]
@@ -191,7 +211,8 @@ def finalize_run(spark: SparkSession, run_id: str, *, finished_at: dt.datetime,
 
 
 def next_attempt(ledger: DataFrame, run_id: str) -> int:
-    """1 for a new run, else one more than its last attempt."""
+    """1 for a new run, else one more than its last attempt (``commits.claim_attempt`` makes it a number
+    that no other run gets)."""
     last = ledger.where(F.col("run_id") == run_id).agg(F.max("attempt")).first()[0]
     return int(last or 0) + 1
 

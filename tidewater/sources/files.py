@@ -91,6 +91,14 @@ def read_source(spark: SparkSession, source_dir: str, name: str, multiline: bool
     return normalize_nulls(df.select(*SOURCE_COLUMNS[name]))
 
 
+def read_landing(spark: SparkSession, source_dir: str, name: str, multiline: bool = False) -> DataFrame:
+    """All rows of a file in one parse: the source's columns with nulls normalised, and ``_corrupt``, the
+    raw text of a row whose fields don't match the header (else null)."""
+    df = _read_csv(spark, source_dir, name, multiline)
+    tidy = normalize_nulls(df.select(*SOURCE_COLUMNS[name], F.struct(CORRUPT).alias(CORRUPT)))  # the raw text stays as it is
+    return tidy.withColumn(CORRUPT, F.col(f"{CORRUPT}.{CORRUPT}"))
+
+
 def read_rejects(spark: SparkSession, source_dir: str, name: str, multiline: bool = False) -> DataFrame:
     """Rows of the file that ``read_source`` leaves out: ``table``, ``row_key`` (the first field),
     ``reason`` and the raw ``row``."""
