@@ -4,7 +4,8 @@ Parquet does not enforce constraints, so each check is a query returning
 ``(table, constraint, columns, violations)``. Every check aggregates before
 it shuffles: duplicate keys via a partial+final count per key, foreign keys
 by counting child rows per key first and anti-joining only the distinct
-child keys against the parent keys.
+child keys against the parent keys. ``warehouse_report`` judges all tables
+in one aggregate.
 """
 
 from __future__ import annotations
@@ -65,24 +66,66 @@ def quality_report(checks: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), checks).select(*REPORT_COLS)
 
 
-def check_values(df: DataFrame, table: str, required: list[str], ranges: dict[str, tuple]) -> DataFrame:
-    """K14 + K15 of one table in one pass: nulls per required column, values out of range."""
-    names = [("not_null", c, F.col(c).isNull()) for c in required]
-    names += [(f"range[{lo},{hi}]", c, F.col(c).isNotNull() & ~F.col(c).between(lo, hi)) for c, (lo, hi) in ranges.items()]
-    counts = df.agg(*[F.count_if(bad).alias(f"v{k}") for k, (_, _, bad) in enumerate(names)])
-    rows = F.array(*[F.struct(F.lit(kind).alias("constraint"), F.lit(c).alias("columns"), F.col(f"v{k}").cast("long").alias("violations"))
-                     for k, (kind, c, _) in enumerate(names)])
-    return counts.select(F.inline(rows)).select(F.lit(table).alias("table"), "constraint", "columns", "violations")
+# ── all constraints of a warehouse at once ──────────────────────────────────
+def _uses(tables: dict[str, DataFrame]) -> dict[tuple[str, tuple[str, ...]], tuple[int, int]]:
+    """(table, key columns) -> (domain, place): keys that refer to each other share a domain, with
+    the key referred to at place 0."""
+    places: dict[tuple[str, tuple[str, ...]], tuple[int, int]] = {}
+    sizes: list[int] = []
+    for name in tables:
+        places[name, tuple(TABLE_KEYS[name])] = (len(sizes), 0)
+        sizes.append(1)
+    for child, column, parent, parent_column in FOREIGN_KEYS:
+        if child in tables and parent in tables and column in tables[child].columns:
+            domain, _ = places[parent, (parent_column,)]
+            places[child, (column,)] = (domain, sizes[domain])
+            sizes[domain] += 1
+    return places
 
 
 def warehouse_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every declared constraint of the given warehouse tables (see schemas): primary and
-    foreign keys, required columns, value ranges. A foreign key counts if both tables are given."""
-    checks = []
-    for name, df in tables.items():
-        checks.append(check_primary_key(df, name, TABLE_KEYS[name]))
-        checks.append(check_values(df, name, [c for c in required_columns(name) if c in df.columns], RANGES.get(name, {})))
-    for child, column, parent, parent_column in FOREIGN_KEYS:
-        if child in tables and parent in tables and column in tables[child].columns:
-            checks.append(check_foreign_key(tables[child], tables[parent], child, [column], [parent_column]))
-    return quality_report(checks)
+    """Every declared constraint of the given warehouse tables (see schemas): primary and foreign keys,
+    required columns, value ranges. A foreign key counts if both tables are given.
+
+    Each table is read once, with only the columns its constraints name. A row says which keys it
+    holds, as (domain, place, key), and which rules its values break, if any; those facts of all
+    tables go through one aggregate by (domain, key), whose counts per place show repeated keys and
+    keys without a parent. Counts start on the map side, so a hot key is one row of each task."""
+    # Expressions are SQL text: one call to the JVM for each of the many columns.
+    places = _uses(tables)
+    width = max(place for _, place in places.values()) + 1
+    rule_domain = len(places)  # here a key is (table, which of its rules a row breaks)
+    foreign = {(child, (column,)) for child, column, _, _ in FOREIGN_KEYS}
+    facts, sums, report = [], [], []  # report: (table, constraint, columns, violations in the row of totals)
+    for t, (name, df) in enumerate(tables.items()):
+        found = []
+        for (table, columns), (domain, place) in places.items():
+            if table != name:
+                continue
+            key = ", ".join(f"CAST(`{c}` AS STRING)" for c in columns)
+            held = f"named_struct('domain', {domain}, 'place', {place}, 'key', array({key}))"
+            if columns == tuple(TABLE_KEYS[name]):
+                report.append((name, "primary_key", ",".join(columns), f"v{len(sums)}"))
+                sums.append(f"count_if(domain = {domain} AND n{place} > 1)")
+            else:
+                held = f"IF(`{columns[0]}` IS NOT NULL, {held}, NULL)"
+            if place and (name, columns) in foreign:  # foreign keys are single columns
+                report.append((name, "foreign_key", ",".join(columns), f"v{len(sums)}"))
+                sums.append(f"sum(IF(domain = {domain} AND n0 = 0 AND get(key, 0) IS NOT NULL, n{place}, 0))")
+            found.append(held)
+        rules = [("not_null", c, f"`{c}` IS NULL") for c in required_columns(name) if c in df.columns]
+        rules += [(f"range[{lo},{hi}]", c, f"`{c}` NOT BETWEEN {lo} AND {hi}") for c, (lo, hi) in RANGES.get(name, {}).items()]
+        broken = "concat(" + ", ".join(f"IF({bad}, '1', '0')" for _, _, bad in rules) + ")"
+        found.append(f"IF(contains({broken}, '1'), named_struct('domain', {rule_domain}, 'place', 0, 'key', array('{t}', {broken})), NULL)")
+        for k, (constraint, column, _) in enumerate(rules):
+            report.append((name, constraint, column, f"aggregate(filter(broken, b -> b.key[0] = '{t}' AND substr(b.key[1], {k + 1}, 1) = '1'), "
+                                                     "0L, (n, b) -> n + b.n0)"))
+        facts.append(df.selectExpr(f"inline(array({', '.join(found)}))").where("domain IS NOT NULL"))
+    counts = reduce(DataFrame.unionByName, facts).groupBy("domain", "key").agg(
+        *[F.expr(f"count_if(place = {p})").alias(f"n{p}") for p in range(width)])
+    # One row: a count per key constraint, and the sets of broken rules (as many as differ).
+    totals = counts.agg(*[F.expr(v).alias(f"v{k}") for k, v in enumerate(sums)],
+                        F.expr(f"collect_list(IF(domain = {rule_domain}, struct(key, n0), NULL))").alias("broken"))
+    rows = ", ".join(f"named_struct('table', '{t}', 'constraint', '{c}', 'columns', '{cols}', 'violations', CAST(coalesce({v}, 0) AS BIGINT))"
+                     for t, c, cols, v in report)
+    return totals.selectExpr(f"inline(array({rows}))").select(*REPORT_COLS)

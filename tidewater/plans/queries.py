@@ -5,6 +5,8 @@ Importing this module fills ``tidewater.plans.registry.QUERIES``/``ORACLE``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
@@ -13,7 +15,8 @@ from tidewater.operators import tickets as T
 from tidewater.plans import oracle as O
 from tidewater.plans.registry import cleaned, register
 from tidewater.sources.tables import read_table
-from tidewater.staging import staged
+from tidewater.sinks import commits as CM
+from tidewater.staging import shared_folder, staged, staged_all
 
 q = O.q
 
@@ -620,8 +623,9 @@ def _warehouse_sql() -> str:
 
 
 def _warehouse_tables(spark, sf_dir):
-    """The ten tables as a run would write them, each computed once."""
-    raw = {n: staged(cleaned(spark, sf_dir, n), n) for n in SC.RAW_SCHEMAS}
+    """The ten tables as a run would write them. The raw ones are written once, as the marts read them
+    again; each mart is read once, by the report."""
+    raw = staged_all({n: cleaned(spark, sf_dir, n) for n in SC.RAW_SCHEMAS})
     day = F.concat(F.lit("run-"), F.col("created_at").cast("date").cast("string"))
     marts = {
         "ticket_classifications": T.classify_tickets(raw["support_tickets"].withColumn("run_id", day), keep=("run_id",)),
@@ -630,7 +634,7 @@ def _warehouse_tables(spark, sf_dir):
             "run_id", F.concat(F.lit("run-"), F.col("detected_date").cast("string"))),
         "lead_enrichments": L.enrich_leads(raw["crm_leads"]).withColumn("run_id", F.concat(F.lit("run-"), F.col("lead_id"))),
         "pipeline_runs": _ledger_view(spark, sf_dir)}
-    return {**raw, **{n: staged(df, n) for n, df in marts.items()}}
+    return {**raw, **marts}
 
 
 @register("quality_report", O.build(_warehouse_sql(), ["orders_clean", "tickets_clean", "reviews_clean", "web_clean", "leads_clean",
@@ -639,6 +643,55 @@ def q_quality_report(spark, sf_dir):
     return QC.warehouse_report(_warehouse_tables(spark, sf_dir))
 
 
+_FIRST_DAY = "(SELECT MIN(CAST(created_at AS DATE)) FROM tickets_clean)"
+
+
+@register("upsert_mart", O.build(f"""SELECT c.ticket_id,
+  CASE WHEN CAST(t.created_at AS DATE) = {_FIRST_DAY} THEN 'account' ELSE category END AS category, sentiment, urgency, confidence,
+  detected_language, CASE WHEN CAST(t.created_at AS DATE) = {_FIRST_DAY} AND category <> 'account' THEN 'second' ELSE 'first' END AS run_id
+FROM ticket_cls c JOIN tickets_clean t USING (ticket_id)""", ["ticket_cls", "tickets_clean"]))
+def q_upsert_mart(spark, sf_dir):
+    """The ticket mart written by one run, the tickets of its first day corrected by a
+    second one, read back."""
+    out = shared_folder(spark, "upsert-mart")
+    tickets = staged(_tickets(spark, sf_dir), "tickets")
+    first = CM.RunWrites(spark, out, "first")
+    W.put_mart(first, T.classify_tickets(tickets), "ticket_classifications")
+    first.publish()
+    day = tickets.agg(F.min(F.col("created_at").cast("date")).alias("d")).scalar()
+    late = T.classify_tickets(tickets.where(F.col("created_at").cast("date") == day)).withColumn("category", F.lit("account"))
+    second = CM.RunWrites(spark, out, "second")
+    W.put_mart(second, late, "ticket_classifications", mode="upsert")
+    second.publish()
+    return CM.read_table(spark, out, "mart/ticket_classifications").drop("enriched_at")
+
+
+_LOADED = {"raw/orders": "orders_clean", "raw/support_tickets": "tickets_clean", "raw/product_reviews": "reviews_clean",
+           "raw/web_analytics": "web_clean", "raw/crm_leads": "leads_clean", "mart/ticket_classifications": "ticket_cls",
+           "mart/review_summaries": "rv_out", "mart/revenue_anomalies": "anomalies", "mart/lead_enrichments": "leads_enriched"}
+_KEY_MD5 = {t: " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in SC.TABLE_KEYS[t.split("/")[1]]) for t in _LOADED}
+
+
+@register("warehouse_tables", O.build("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", CAST(COUNT(*) AS BIGINT) AS n_rows, MIN(md5({_KEY_MD5[t]})) AS least_key, MAX(md5({_KEY_MD5[t]})) AS greatest_key FROM {src}"
+    for t, src in _LOADED.items()), list(_LOADED.values())))
+def q_warehouse_tables(spark, sf_dir):
+    """The sources as CSV files, loaded, enriched and committed by one
+    run; rows and keys of each of its tables, read back."""
+    from tidewater.plans.pipeline import run_pipeline
+    src, out = shared_folder(spark, "csv"), shared_folder(spark, "warehouse")
+    for name in SC.SOURCE_COLUMNS:
+        (source(spark, sf_dir, name).select(*SC.SOURCE_COLUMNS[name]).write.option("header", True).option("escape", '"')
+         .option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{src}/{name}.csv"))
+    run_pipeline(spark, src, out, "run", multiline=True)
+    parts = [CM.read_table(spark, out, t).select(F.lit(t).alias("table"), F.md5(F.concat_ws("|", *SC.TABLE_KEYS[t.split("/")[1]])).alias("key")) for t in _LOADED]
+    every = spark.createDataFrame([(t,) for t in _LOADED], "t string")
+    counts = reduce(lambda a, b: a.unionByName(b), parts).groupBy("table").agg(
+        F.count(F.lit(1)).alias("n"), F.min("key").alias("least_key"), F.max("key").alias("greatest_key"))
+    return every.join(counts, F.col("t") == F.col("table"), "left").select(
+        F.col("t").alias("table"), F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"), "least_key", "greatest_key")
+
+
 @register("conform", O.build("SELECT order_id, customer_id, order_date, channel, region, 'EUR' AS currency, "
                              "CAST(ROUND(gross_revenue_eur, 2) AS DECIMAL(24,2)) AS gross_revenue_eur, "
                              "CAST(0 AS DECIMAL(24,2)) AS discount_eur, net_revenue_eur, units, "

@@ -7,7 +7,7 @@ versions and then one such file, which is created only if it isn't there yet: re
 tables of the run or none, and of two runs that end together one is second and either builds
 on the first or fails, if both wrote the same table.
 
-Keyed tables are dealt to hash buckets of their key: ``<table>/v=<version>/bucket=<b>/run_id=<run>``.
+Keyed tables are dealt to hash buckets of their key: ``<table>/file_version=<v>/key_bucket=<b>/run_id=<run>``.
 An upsert rewrites the buckets that hold an incoming key and leaves the files of all others as
 they are. Rows lie in a folder of the run that wrote them, so a run's rows are found by listing.
 """
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 COMMITS, ATTEMPTS = "_commits", "_attempts"
+VERSION, BUCKET = "file_version", "key_bucket"  # folder columns: no table may have them
 BUCKETS = 32           # of a new keyed table, unless its writer says otherwise
 BUCKET_ROWS = 50_000_000  # a table whose buckets grow beyond this gets twice as many at its next write
 
@@ -113,9 +114,9 @@ def read_commit(spark: SparkSession, root: str, number: int | None = None) -> di
 
 def _schema_with_folders(entry: dict) -> StructType:
     schema = StructType.fromJson(entry["schema"])
-    extra = [StructField("v", StringType())]
+    extra = [StructField(VERSION, StringType())]
     if "n_buckets" in entry:
-        extra.append(StructField("bucket", IntegerType()))
+        extra.append(StructField(BUCKET, IntegerType()))
     return StructType([*schema.fields, *extra])
 
 
@@ -124,9 +125,9 @@ def _read_entry(spark: SparkSession, root: str, table: str, entry: dict, buckets
     base = f"{root.rstrip('/')}/{table}"
     if "n_buckets" in entry:
         held = {int(b): v for b, v in entry["buckets"].items()}
-        paths = [f"{base}/v={v}/bucket={b}" for b, v in sorted(held.items()) if buckets is None or b in buckets]
+        paths = [f"{base}/file_version={v}/key_bucket={b}" for b, v in sorted(held.items()) if buckets is None or b in buckets]
     else:
-        paths = [f"{base}/v={entry['version']}" + (f"/{entry['folder']}" if entry.get("folder") else "")]
+        paths = [f"{base}/file_version={entry['version']}" + (f"/{entry['folder']}" if entry.get("folder") else "")]
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(_schema_with_folders(entry)).option("basePath", base).parquet(*paths).select(*schema.names)
@@ -160,10 +161,12 @@ class RunWrites:
         return _read_entry(self.spark, self.root, table, self.tables[table])
 
     def _write(self, df: DataFrame, table: str, partition_by: list[str], counts: dict) -> tuple[str, dict]:
+        if {VERSION, BUCKET} & (set(df.columns) - set(partition_by)):
+            raise ValueError(f"{table} has a column {VERSION} or {BUCKET}")
         version = uuid.uuid4().hex[:16]
         seen = Observation(f"rows_{version}")
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()])
-        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{self.root}/{table}/v={version}")
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{self.root}/{table}/file_version={version}")
         return version, seen.get
 
     def replace(self, table: str, df: DataFrame, *, counts: dict | None = None) -> dict:
@@ -180,11 +183,11 @@ class RunWrites:
         Returns the ``counts`` of that job, and all written rows with their outcome."""
         version, seen = self._write(df, table, [outcome], counts)
         base = f"{self.root}/{table}"
-        fs, at = _path(self.spark, f"{base}/v={version}/{outcome}={accepted}")
+        fs, at = _path(self.spark, f"{base}/file_version={version}/{outcome}={accepted}")
         fs.mkdirs(at)  # a folder without rows reads as an empty table
         self.tables[table] = {"version": version, "folder": f"{outcome}={accepted}", "schema": json.loads(schema.json()), "rows": seen["rows"]}
         self.changed[table] = seen["rows"]
-        return seen, self.spark.read.schema(df.schema).parquet(f"{base}/v={version}").select(*df.columns)
+        return seen, self.spark.read.schema(df.schema).parquet(f"{base}/file_version={version}").select(*df.columns)
 
     def replace_keyed(self, table: str, df: DataFrame, keys: list[str], n_buckets: int = BUCKETS, keep_if_empty: bool = False) -> int:
         """A keyed table: its rows become those of ``df``, dealt to ``n_buckets``. With
@@ -198,10 +201,10 @@ class RunWrites:
 
     def _put(self, table: str, df: DataFrame, keys: list[str], n_buckets: int, kept: dict) -> int:
         """Writes ``df`` to buckets; ``kept``: buckets that stay as they are."""
-        folders = ["bucket", "run_id"] if "run_id" in df.columns else ["bucket"]
-        dealt = df.withColumn("bucket", bucket_of(keys, n_buckets)).hint("rebalance", "bucket")  # AQE sizes files, splits large buckets
+        folders = [BUCKET, "run_id"] if "run_id" in df.columns else [BUCKET]
+        dealt = df.withColumn(BUCKET, bucket_of(keys, n_buckets)).hint("rebalance", BUCKET)  # AQE sizes files, splits large buckets
         version, seen = self._write(dealt, table, folders, {})
-        new = [int(n.split("=")[1]) for n in _names(self.spark, f"{self.root}/{table}/v={version}") if n.startswith("bucket=")]
+        new = [int(n.split("=")[1]) for n in _names(self.spark, f"{self.root}/{table}/file_version={version}") if n.startswith(f"{BUCKET}=")]
         self.tables[table] = {"keys": keys, "n_buckets": n_buckets, "buckets": {**kept, **{str(b): version for b in new}},
                               "schema": json.loads(df.schema.json()), "rows": seen["rows"]}
         self.changed[table] = seen["rows"]
@@ -230,8 +233,8 @@ class RunWrites:
         was = current.select(*[F.col(k).alias(f"c_{k}") for k in keys], F.struct(*told).alias("is_now"))
         incoming = one_per_key(df, keys, order, names)
         changed = incoming.join(was, [*same, mine.eqNullSafe(theirs)], "left_anti") if told else incoming
-        changed = staged(changed.withColumn("bucket", bucket_of(keys, n_buckets)), "upsert")
-        touched = [r.bucket for r in changed.select("bucket").distinct().collect()]  # at most n_buckets
+        changed = staged(changed.withColumn(BUCKET, bucket_of(keys, n_buckets)), "upsert")
+        touched = [r[0] for r in changed.select(BUCKET).distinct().collect()]  # at most n_buckets
         if not touched:
             self.changed.setdefault(table, 0)
             return 0
@@ -282,7 +285,7 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     numbers = commit_numbers(spark, root)
     held = set().union(*(_versions(read_commit(spark, root, n)) for n in numbers[-keep:]), set())
     old = set().union(*(_versions(read_commit(spark, root, n)) for n in numbers[:-keep]), set())
-    gone = [f"{root.rstrip('/')}/{t}/v={v}" for t, v in sorted(old - held)]
+    gone = [f"{root.rstrip('/')}/{t}/file_version={v}" for t, v in sorted(old - held)]
     for path in gone:
         fs, at = _path(spark, path)
         fs.delete(at, True)
