@@ -181,6 +181,35 @@ def test_ticket_batches(spark):
     assert sum(r.n_items for r in RS.build_ticket_batches(late).collect()) == 2  # they differ late in the text
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    def plain(items, limit):  # items of one slice in order -> pieces
+        sizes = [len(t.encode()) for _, t in items]
+        if sum(sizes) <= limit:
+            return [items]
+        out, run = {}, 0
+        for i, (item, size) in enumerate(zip(items, sizes)):
+            out.setdefault(-1 - i if size > limit // 2 else run // (limit // 2), []).append(item)
+            run += 0 if size > limit // 2 else size
+        return list(out.values())
+
+    rows = [(f"T{i:03}", "é" * (i * 37 % 90)) for i in range(200)] + [("T500", "x" * 5000), ("T501", "")]
+    got = RS.build_ticket_batches(spark.createDataFrame(rows, "ticket_id string, text string"), n_buckets=1, max_bytes=1000).collect()
+    ordered = sorted(rows)
+    want = [p for k in range(0, len(ordered), 40) for p in plain(ordered[k:k + 40], 1000)]
+    assert sorted([(it.id, it.text) for it in r["items"]] for r in got) == sorted(want)
+    assert len({r.batch_id for r in got}) == len(got) and sum(r.n_items for r in got) == len(rows)
+    assert all(r.n_items == 1 or sum(len(it.text.encode()) for it in r["items"]) <= 1000 for r in got)
+
+
+def test_batches_of_long_texts(spark):
+    rows = spark.range(4000).select(F.concat(F.lit("T"), F.col("id")).alias("ticket_id"), F.repeat(F.concat(F.col("id"), F.lit(" word ")), 100_000 // 8).alias("text"))
+    batches = RS.build_ticket_batches(rows).select("batch_id", "n_items", F.octet_length("user_message").alias("bytes"),
+                                                   F.expr("aggregate(items, 0L, (n, x) -> n + octet_length(x.text))").alias("payload"))
+    got = batches.collect()
+    assert sum(r.n_items for r in got) == 4000 and max(r.payload for r in got) <= RS.BATCH_BYTES
+    assert len({r.batch_id.split("-")[0] for r in got}) >= sum(r.payload for r in got) // RS.BUCKET_BYTES  # buckets follow the bytes
+
+
 @pytest.mark.parametrize("content,valid", [
     ('{"results": []}', True), ('```json\n{"results": []}\n```', True),
     ('Sure! {"results": []} Anything else?', True), ("", False), ("not json", False),

@@ -6,9 +6,10 @@ request rows from the business tables, and merge a *responses table*
 ``(batch_id | keys, content)`` written by whatever called the model.
 
 Batching at scale: rows are hashed into buckets (md5 of id and payload, so any
-engine can reproduce it) whose number follows the number of rows, so a bucket
-stays as large as it is however the table grows. Copies collapse before the
-one shuffle of the payload; batches are slices of a bucket's sorted items.
+engine can reproduce it) whose number follows the number of rows and their bytes, so a
+bucket stays as large as it is however the table or its texts grow. Copies collapse before the
+payload is shuffled; batches are slices of a bucket's sorted items, split where their payload
+exceeds a request's bytes.
 
 Nothing here runs a job while a plan is built: row counts and fallback flags
 are scalar subqueries of the plan that uses them.
@@ -16,7 +17,7 @@ are scalar subqueries of the plan that uses them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import lexicon as lx
@@ -25,6 +26,8 @@ from tidewater.operators.clean import with_text
 from tidewater.operators.tickets import classify_tickets
 
 BUCKET_ROWS = 4000
+BUCKET_BYTES = 32 << 20      # of payload: what a task holds does not grow with the length of the texts
+BATCH_BYTES = 256 << 10      # of payload in one request, unless a single text is longer
 
 TICKET_SYSTEM = (
     "You label support tickets written in any language. Answer with one JSON object and nothing else: "
@@ -52,24 +55,42 @@ def key_bucket(key: Column, n_buckets: Column) -> Column:
     return F.pmod(h, n_buckets)
 
 
-def bucket_count(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Column:
-    """Buckets for the rows of a table, as a scalar subquery."""
-    n = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return F.greatest(F.lit(1).cast("long"), F.ceil(n / F.lit(bucket_rows)))
+def bucket_count(rows: DataFrame, payload: str, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES) -> Column:
+    """Buckets for the rows of a table by their number and by their payload's bytes, as a scalar subquery."""
+    size = rows.agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(bucket_rows)),
+                               F.ceil(F.coalesce(F.sum(F.octet_length(payload)), F.lit(0)) / F.lit(bucket_bytes))).alias("n")).scalar()
+    return F.greatest(F.lit(1).cast("long"), size)
 
 
 def _batches(df: DataFrame, key: str, payload: Column, payload_name: str, prefix: str, system: str,
-             batch_size: int, n_buckets: int | None) -> DataFrame:
-    buckets = bucket_count(df) if n_buckets is None else F.lit(n_buckets).cast("long")
+             batch_size: int, n_buckets: int | None, max_bytes: int | None) -> DataFrame:
+    """Items of a bucket in order of (id, md5 of the payload), ``batch_size`` at a time. Such a slice
+    with more than ``max_bytes`` of payload is split further, into pieces that hold no more: an item
+    that takes more than half of them is alone, the others go by the half in which the slice's
+    running sum (of these) starts. No item is cut, so one larger than ``max_bytes`` stays so."""
     rows = df.select(F.col(key).cast("string").alias("id"), payload.alias(payload_name))
+    buckets = bucket_count(rows, payload_name) if n_buckets is None else F.lit(n_buckets).cast("long")
     rows = rows.withColumn("bucket", key_bucket(F.concat_ws("\u0001", F.col("id"), F.col(payload_name)), buckets))
-    # collect_set merges copies map-side; a bucket holds about BUCKET_ROWS items.
-    per_bucket = rows.groupBy("bucket").agg(F.sort_array(F.collect_set(F.struct("id", payload_name))).alias("all"))
-    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("all") - 1) / F.lit(batch_size)).cast("int")),
-                      lambda k: F.slice("all", k * batch_size + 1, F.lit(batch_size)))
-    batches = per_bucket.select("bucket", F.posexplode(cut).alias("k", "items"))
-    return batches.select(
-        F.concat_ws("-", F.col("bucket").cast("string"), F.col("k").cast("string")).alias("batch_id"),
+    # Copies merge before they are shuffled; sorts spill, so a task holds a bucket at most.
+    items = rows.groupBy("bucket", "id", F.md5(payload_name).alias("digest")).agg(F.first(payload_name).alias(payload_name))
+    in_bucket = Window.partitionBy("bucket").orderBy("id", "digest")
+    items = items.withColumn("k", F.floor((F.row_number().over(in_bucket) - 1) / F.lit(batch_size)).cast("int"))
+    group = ["bucket", "k"]
+    if max_bytes:
+        half, size = max(1, max_bytes // 2), F.octet_length(payload_name)
+        in_slice = Window.partitionBy(*group).orderBy("id", "digest")
+        small = F.when(size > half, 0).otherwise(size)
+        items = items.withColumns({"total": F.sum(size).over(Window.partitionBy(*group)), "i": F.row_number().over(in_slice),
+                                   "before": F.sum(small).over(in_slice) - small})
+        piece = F.when(F.col("total") <= max_bytes, 0).when(size > half, -F.col("i")).otherwise(F.floor(F.col("before") / half))
+        items = items.withColumn("piece", piece.cast("long"))
+        group = [*group, "piece"]
+    batch = items.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("id", "digest", payload_name))).alias("all"),
+                                      *([F.when(F.max("total") > max_bytes, F.min("i").cast("string")).alias("first")] if max_bytes else []))
+    names = ["bucket", "k", *(["first"] if max_bytes else [])]  # a slice that is whole has no third part
+    batch = batch.withColumn("items", F.transform("all", lambda x: F.struct(x["id"].alias("id"), x[payload_name].alias(payload_name))))
+    return batch.select(
+        F.concat_ws("-", *[F.col(c).cast("string") for c in names]).alias("batch_id"),
         F.size("items").alias("n_items"), "items", F.lit(system).alias("system_message"),
         F.concat(F.lit(prefix), F.to_json("items")).alias("user_message"))
 
@@ -80,21 +101,22 @@ def _cut(text: Column, max_chars: int | None) -> Column:
 
 def build_ticket_batches(tickets: DataFrame, batch_size: int = lx.TICKETS_PER_BATCH,
                          n_buckets: int | None = None, key: str = "ticket_id",
-                         max_chars: int | None = None) -> DataFrame:
-    """E1 + W4: batches of <= ``batch_size`` tickets; items ``{id, text}``; user message =
-    prefix + JSON array. Whole texts, unless ``max_chars`` asks for a cut (the original's
+                         max_chars: int | None = None, max_bytes: int | None = BATCH_BYTES) -> DataFrame:
+    """E1 + W4: batches of <= ``batch_size`` tickets and <= ``max_bytes`` of text (a longer text is a
+    batch of its own); items ``{id, text}``; user message = prefix + JSON array. Whole texts, unless ``max_chars`` asks for a cut (the original's
     calls cut at 500); copies are recognised on whole texts either way where ids differ."""
     df = with_text(tickets)
     return _batches(df, key, _cut(empty_if_null("text"), max_chars), "text", lx.TICKET_BATCH_PROMPT_PREFIX,
-                    TICKET_SYSTEM, batch_size, n_buckets)
+                    TICKET_SYSTEM, batch_size, n_buckets, max_bytes)
 
 
 def build_lead_batches(leads: DataFrame, batch_size: int = lx.TICKETS_PER_BATCH,
-                       n_buckets: int | None = None, max_chars: int | None = None) -> DataFrame:
-    """Whole lead notes (or ``max_chars`` of them) in batches of <= ``batch_size``.
+                       n_buckets: int | None = None, max_chars: int | None = None,
+                       max_bytes: int | None = BATCH_BYTES) -> DataFrame:
+    """Whole lead notes (or ``max_chars`` of them) in batches of <= ``batch_size`` and <= ``max_bytes``.
     All leads are batched (the original sent only the first 40)."""
     return _batches(leads, "lead_id", _cut(empty_if_null("notes"), max_chars), "notes", lx.LEAD_BATCH_PROMPT_PREFIX,
-                    LEAD_SYSTEM, batch_size, n_buckets)
+                    LEAD_SYSTEM, batch_size, n_buckets, max_bytes)
 
 
 def themes_repr(themes: Column) -> Column:

@@ -720,16 +720,24 @@ def q_with_text(spark, sf_dir):
 from tidewater.operators import responses as RS  # noqa: E402
 
 def _batch_sql(name: str, src: str, key: str, payload: str, prefix: str) -> None:
-    O.cte(f"{name}_num", f"""SELECT *, CAST(bucket AS VARCHAR) || '-' ||
-  CAST((ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY id, payload) - 1) // {lx.TICKETS_PER_BATCH}
-       AS VARCHAR) AS batch_id
-FROM (SELECT *, CAST(('0x' || substr(md5(id || chr(1) || payload), 1, 8)) AS BIGINT)
-        % (SELECT CAST(greatest(1, ceil(COUNT(*) / {RS.BUCKET_ROWS})) AS BIGINT) FROM {src}) AS bucket
-      FROM (SELECT DISTINCT {key} AS id, COALESCE({payload}, '') AS payload FROM {src}))""", [src])
+    half = RS.BATCH_BYTES // 2
+    O.cte(f"{name}_rows", f"SELECT {key} AS id, COALESCE({payload}, '') AS payload FROM {src}", [src])
+    O.cte(f"{name}_num", f"""WITH numbered AS (
+  SELECT *, (ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY id, md5(payload)) - 1) // {lx.TICKETS_PER_BATCH} AS k
+  FROM (SELECT *, CAST(('0x' || substr(md5(id || chr(1) || payload), 1, 8)) AS BIGINT)
+          % (SELECT CAST(greatest(1, ceil(COUNT(*) / {RS.BUCKET_ROWS}), ceil(SUM(strlen(payload)) / {RS.BUCKET_BYTES})) AS BIGINT) FROM {name}_rows) AS bucket
+        FROM (SELECT DISTINCT * FROM {name}_rows))),
+ sized AS (SELECT *, SUM(strlen(payload)) OVER (PARTITION BY bucket, k) AS total,
+    SUM(CASE WHEN strlen(payload) > {half} THEN 0 ELSE strlen(payload) END) OVER w
+      - CASE WHEN strlen(payload) > {half} THEN 0 ELSE strlen(payload) END AS before, ROW_NUMBER() OVER w AS i
+  FROM numbered WINDOW w AS (PARTITION BY bucket, k ORDER BY id, md5(payload) ROWS UNBOUNDED PRECEDING)),
+ pieces AS (SELECT *, CASE WHEN total <= {RS.BATCH_BYTES} THEN 0 WHEN strlen(payload) > {half} THEN -i ELSE CAST(before // {half} AS BIGINT) END AS piece FROM sized)
+SELECT id, payload, bucket || '-' || k || CASE WHEN total <= {RS.BATCH_BYTES} THEN '' ELSE '-' || MIN(i) OVER (PARTITION BY bucket, k, piece) END AS batch_id
+FROM pieces""", [f"{name}_rows"])
     item = f"'{{\"id\":' || CAST(to_json(id) AS VARCHAR) || ',\"{payload}\":' || CAST(to_json(payload) AS VARCHAR) || '}}'"
     O.cte(name, f"""SELECT batch_id, CAST(COUNT(*) AS INTEGER) AS n_items,
-  md5(string_agg(id, ',' ORDER BY id, payload)) AS items_md5,
-  md5({q(prefix)} || '[' || string_agg({item}, ',' ORDER BY id, payload) || ']') AS user_message_md5
+  md5(string_agg(id, ',' ORDER BY id, md5(payload))) AS items_md5,
+  md5({q(prefix)} || '[' || string_agg({item}, ',' ORDER BY id, md5(payload)) || ']') AS user_message_md5
 FROM {name}_num GROUP BY batch_id""", [f"{name}_num"])
 
 
