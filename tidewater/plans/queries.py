@@ -692,6 +692,22 @@ def q_warehouse_tables(spark, sf_dir):
         F.col("t").alias("table"), F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"), "least_key", "greatest_key")
 
 
+@register("detect_anomalies_incremental", O.build("SELECT * FROM anomalies", ["anomalies"]))
+def q_anomalies_incremental(spark, sf_dir):
+    """A6, W1, W2 from kept state: all days but the last without every tenth order, then these late
+    orders with the last day."""
+    from tidewater.plans.incremental import add_orders, current_anomalies
+    orders = staged(cleaned(spark, sf_dir, "orders"), "orders")
+    last = orders.agg(F.max("order_date").alias("d")).scalar()
+    first_part = (F.col("order_date") < last) & (F.crc32("order_id") % 10 != 0)
+    out = shared_folder(spark, "history")
+    for run, part in (("first", first_part), ("second", ~F.coalesce(first_part, F.lit(False)))):
+        writes = CM.RunWrites(spark, out, run)
+        add_orders(writes, orders.where(part))
+        writes.publish()
+    return current_anomalies(CM.RunWrites(spark, out))
+
+
 @register("conform", O.build("SELECT order_id, customer_id, order_date, channel, region, 'EUR' AS currency, "
                              "CAST(ROUND(gross_revenue_eur, 2) AS DECIMAL(24,2)) AS gross_revenue_eur, "
                              "CAST(0 AS DECIMAL(24,2)) AS discount_eur, net_revenue_eur, units, "
