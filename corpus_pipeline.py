@@ -17,6 +17,14 @@ from tidewater.llm.packing import pack_documents
 from tidewater.llm.secrets import mask_secrets
 from tidewater.llm.similarity_join import link_documents
 
+def unused(name: str, *taken: list[str]) -> str:
+    """``name``, with underscores before it until no column of ``taken`` is called so (case ignored)."""
+    known = {c.lower() for columns in taken for c in columns}
+    while name.lower() in known:
+        name = "_" + name
+    return name
+
+
 MIN_LANGUAGE_SCORE = 0.3  # less is a near tie between families and between languages
 
 
@@ -27,9 +35,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     labelled = docs.where(~held_out_row() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
     model = fit_languages(labelled.select(F.col("doc_id").alias("key"), "text", "lang"))
     # The model's columns may clash with the table's: they travel under other names.
-    kept = docs.select(*docs.columns, F.col("text").alias("__text"))
     names = {c: f"__{k}" for k, c in enumerate(docs.columns)}
-    judged = identify(kept.withColumnsRenamed(names), model, "__text")
+    judged = identify(docs.select(*(F.col(c).alias(n) for c, n in names.items()), F.col("text").alias("__text")), model, "__text")
     judged = judged.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE))
     return judged.select(*(F.col("lang_pred").alias(c) if c == "lang" else F.col(names[c]).alias(c) for c in docs.columns))
 
@@ -39,10 +46,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows are numbered once and written with their numbers, as another read may pack the files
     otherwise; so null and repeated ids are told apart. Texts without words are no one's duplicate."""
     prepare(spark)
-    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    linked = link_documents(numbered, "__row", "text")
-    gone = written(linked.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("__gone")), "duplicates")
-    return numbered.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
+    row, other = unused("__row", docs.columns), unused("__gone", docs.columns)
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    linked = link_documents(numbered, row, "text")
+    gone = written(linked.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias(other)), "duplicates")
+    return numbered.join(gone, F.col(row) == F.col(other), "left_anti").select(*docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
