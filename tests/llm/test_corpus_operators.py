@@ -413,3 +413,27 @@ def test_pipeline_runs_and_takes_an_empty_table(spark, tmp_path):
     spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0).write.parquet(f"file://{tmp_path}/documents.parquet")
     assert P.run(spark, f"file://{tmp_path}").count() == 0
     assert P.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_pipeline_takes_columns_of_any_name(spark, odd_rows):
+    import corpus_pipeline as P
+    from tidewater.llm.common import written
+    taken = ["__text", "__row", "__gone", "___row"]
+    docs = written(spark.createDataFrame([(*r, *("own" for _ in taken)) for r in odd_rows],
+                                         "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} string" for c in taken)), "clashes")
+    for stage in (P.language_stage, P.near_duplicate_stage, P.secret_stage, P.mixing_stage):
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns and all(r[c] == "own" for r in got.collect() for c in taken), stage
+
+
+def test_neighbours_of_any_magnitude(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(120, 8))
+    for factor in (1e200, 1e-200, 1e-310, 1.0):
+        x = base * np.where(np.arange(120) % 3 == 0, factor, 1.0)[:, None]
+        df = spark.createDataFrame([(k, [float(v) for v in row]) for k, row in enumerate(x)], "vec_id long, embedding array<double>")
+        unit = neighbours.unit_rows(neighbours.scaled(x))
+        for r in neighbours.nearest_neighbours(df, F.col("vec_id") % 50 == 0).collect():
+            score = unit @ unit[r.query_id]
+            score[r.query_id] = -2
+            assert r.score == pytest.approx(np.sort(score)[-r["rank"]], abs=1e-9) and abs(r.score) <= 1 + 1e-9

@@ -22,9 +22,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset a local session gets one of its
+    own, and any other fails: its executors can't share a folder of this machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set")
         root = "file://" + tempfile.mkdtemp(prefix="llm-shared-", dir=os.environ.get("TMPDIR"))
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

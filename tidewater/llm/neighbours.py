@@ -50,6 +50,12 @@ class Coder:
         return np.packbits(on, axis=1).view(">u2").astype(np.uint16)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component below 1: cosines stay what they
+    are to the last bit, and no square over- or underflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -62,7 +68,7 @@ def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def fit_coder(sample: np.ndarray, k: int, bits: int = BITS, coverage: float = COVERAGE, seed: int = 7) -> Coder:
     """Rotations by iterative quantization: alternate codes and the rotation nearest to them."""
     rng = np.random.default_rng(seed)
-    unit = unit_rows(sample)
+    unit = unit_rows(scaled(sample))
     mean = unit.mean(axis=0)
     centred = unit - mean
     _, _, axes = np.linalg.svd(centred, full_matrices=False)
@@ -115,6 +121,7 @@ class SubstringIndex:
 
 
 def best_in_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, coder: Coder, radius: int, k: int) -> pd.DataFrame:
+    x, q = scaled(x), scaled(q)
     index = SubstringIndex(coder.codes(unit_rows(x)))
     lengths, out = np.sqrt((x * x).sum(axis=1)), []
     for query, v, code in zip(query_ids, q, coder.codes(unit_rows(q))):

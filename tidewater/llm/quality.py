@@ -114,7 +114,7 @@ def language_references(rows: DataFrame, min_word_share: float = MIN_WORD_SHARE,
     ``ref_counts``, the count of all other words last.
 
     At most 1/min_lang_share languages of at most 1/min_word_share words come out, so the
-    result may be broadcast. Smaller languages have no reference.
+    result may be broadcast. Smaller languages have no reference of their own.
     """
     sums = rows.groupBy("lang").agg(F.sum("n_words").cast("double").alias("total"), F.array(
         *(F.sum(F.col("chars")[k]) for k in range(len(CHAR_CLASSES)))).alias("ref_chars"))
@@ -157,8 +157,9 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of ``docs``: id, base counts, both distances and the verdict ``kept``.
 
     A null text counts as empty and fails the base rules. A distance is null, and does not
-    count against the row, if the text is shorter than its guard or its language is too small
-    for a reference. A null or repeated id changes nothing; other columns are not read.
+    count against the row, if the text is shorter than its guard. A text whose language is null or
+    too small for a reference is held against all languages together. A null or repeated id
+    changes nothing; other columns are not read; an empty table gives an empty result.
 
     The texts are read twice: to count words by hash, and to measure each row; the measures
     are written once, and the references and verdicts come from them.
@@ -171,7 +172,10 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "n_repeat_words", "base_failed", "chars",
         F.filter("words", lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int").isin(heavy or [-1])).alias("heavy"))
     measured = written(measured, "measured")
-    judged = measured.join(F.broadcast(language_references(measured)), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
+    references = written(language_references(measured), "references")
+    known = [r[0] for r in references.where("ref_lang is not null").select("ref_lang").collect()]  # at most 1 / MIN_LANG_SHARE
+    held_against = F.when(F.col("lang").isin(known), F.col("lang"))  # else null: all languages together
+    judged = measured.join(F.broadcast(references), held_against.eqNullSafe(F.col("ref_lang")), "left")
     places = F.transform("heavy", lambda w: F.array_position("ref_words", w))
     counts = let(places, lambda at: F.concat(
         F.transform("ref_words", lambda _, k: (F.size(at) - F.size(F.array_remove(at, (k + 1).cast("long")))).cast("double")),
@@ -226,7 +230,7 @@ b2 AS (SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base),
 m AS (SELECT b2.*, rw, rn, rc, list_append([(len(words) - len(list_filter(words, lambda y: y <> x)))::DOUBLE for x in rw],
   len(list_filter(words, lambda y: NOT list_contains(rw, y)))::DOUBLE) AS hist
-  FROM b2 LEFT JOIN ref ON b2.lang IS NOT DISTINCT FROM ref.lang),
+  FROM b2 LEFT JOIN ref ON CASE WHEN b2.lang IN (SELECT lang FROM ref WHERE lang IS NOT NULL) THEN b2.lang END IS NOT DISTINCT FROM ref.lang),
 pr AS (SELECT *, list_sum(chars) AS sc, list_sum(rc) AS src, list_sum(hist) AS sh, list_sum(rn) AS srn FROM m),
 js AS (SELECT *, CASE WHEN length(text) >= @CHARS AND rc IS NOT NULL THEN sqrt(greatest(0, list_sum([
     (CASE WHEN z[1] > 0 THEN z[1] / sc * log2(z[1] / sc / ((z[1] / sc + z[2] / src) / 2)) ELSE 0 END
