@@ -101,7 +101,7 @@ class WordTokenizer:
         new = set()
         for words in split:
             new.update(words)
-        new.difference_update(self.known)
+        new = new.difference(self.known)  # looks up each new word; difference_update would walk through all known ones
         if new:
             self.learn(new)
         get, end = self.known.__getitem__, np.array([END_ID], "<u4").tobytes()
