@@ -2,12 +2,14 @@
 
 import random
 import tempfile
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import revenue as R
+from tidewater.operators import reviews as RV
 from tidewater.plans import incremental as I
 from tidewater.sinks import commits as CM
 
@@ -78,3 +80,50 @@ def test_moments_take_days_away(spark):
     left = R.merge_moments(R.segment_moments(daily), R.segment_moments(some, sign=-1))
     assert _rows(left) == _rows(R.segment_moments(daily.where("order_date >= '2026-07-10'")))
     assert R.merge_moments(R.segment_moments(some), R.segment_moments(some, sign=-1)).count() == 0
+
+
+REVIEWS = "review_id string, product_id string, created_at timestamp_ntz, rating int, title string, body string, language string"
+
+
+def _reviews(spark, n=600, seed=3):
+    rng = random.Random(seed)
+    bodies = [f"Body {k} price is great and delivery was late" for k in range(12)] + ["", None]
+    rows = [(f"r{k:04}", rng.choice(["p1", "p2", "p3", None]), datetime(2026, rng.randint(1, 3), rng.randint(1, 5)), rng.choice([1, 3, 5, None]),
+             rng.choice(["Broken", "Battery", None]), rng.choice(bodies), rng.choice(["en", "fr", "de", None])) for k in range(n)]
+    rows += [("x1", "p1", None, 3, "t", "no time", "en"), ("x2", "p9", datetime(2026, 1, 1), None, None, None, None)]
+    return spark.createDataFrame(rows, REVIEWS)
+
+
+def _summaries(df):
+    return sorted((str(tuple(r)) for r in df.collect()))
+
+
+def test_review_state_equals_a_full_pass(spark, scratch):
+    reviews = _reviews(spark).withColumn("part", F.crc32("review_id") % 3).cache()
+    for part in range(3):
+        writes = CM.RunWrites(spark, scratch, f"r{part}")
+        writes.upsert("mart/review_summaries", I.add_reviews(writes, reviews.where(F.col("part") == part)), RV.GROUP)
+        writes.publish()
+        full = RV.summarize_reviews(reviews.where(F.col("part") <= part))
+        assert _summaries(CM.read_table(spark, scratch, "mart/review_summaries")) == _summaries(full)
+    facts = RV.review_facts(reviews)
+    assert _summaries(CM.read_table(spark, scratch, I.BODIES)) == _summaries(RV.body_counts(facts))
+    assert _summaries(CM.read_table(spark, scratch, I.COUNTS)) == _summaries(RV.group_counts(facts))
+    none = CM.RunWrites(spark, scratch, "none")
+    assert I.add_reviews(none, reviews.limit(0)).count() == 0
+
+
+def test_one_review_touches_its_group(spark, scratch):
+    writes = CM.RunWrites(spark, scratch, "a")
+    I.add_reviews(writes, _reviews(spark))
+    writes.publish()
+    before = CM.read_commit(spark, scratch)["tables"]
+    writes = CM.RunWrites(spark, scratch, "b")
+    late = spark.createDataFrame([("a0", "p1", datetime(2026, 2, 1), 5, "Broken", "A body of its own", "en")], REVIEWS)
+    changed = I.add_reviews(writes, late)
+    writes.publish()
+    assert [(r.product_id, r.review_window) for r in changed.collect()] == [("p1", "2026-02")]
+    after = CM.read_commit(spark, scratch)["tables"]
+    for name in (I.COUNTS, I.BODIES):
+        assert sum(before[name]["buckets"].get(b) != v for b, v in after[name]["buckets"].items()) == 1
+    assert after[I.TOPS] == before[I.TOPS] and after[I.BODIES]["rows"] == before[I.BODIES]["rows"] + 1

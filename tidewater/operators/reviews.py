@@ -19,6 +19,7 @@ from tidewater.functions import lexicon as lx
 from tidewater.functions import sqlexpr as sx
 from tidewater.functions.text import empty_if_null
 from tidewater.schemas import THEME_STRUCT
+from tidewater.sinks.commits import matching
 
 THEMES = list(lx.THEME_KEYWORDS)
 SCOPES = ["en", "fr"]
@@ -126,9 +127,11 @@ def summarize_reviews(reviews: DataFrame) -> DataFrame:
     stats = review_group_stats(rows)
     themes = top_themes_from_counts([f"th_{i}" for i in range(len(THEMES))])
     stats = stats.select(*GROUP, "n_reviews", "avg_rating", themes.alias("top_themes"))
-    summaries = extractive_summaries(ranked_bodies(rows))
-    out = stats.join(summaries, GROUP, "left")
-    return out.select(
+    return _with_summaries(stats, extractive_summaries(ranked_bodies(rows)))
+
+
+def _with_summaries(stats: DataFrame, summaries: DataFrame) -> DataFrame:
+    return stats.join(summaries, GROUP, "left").select(
         *GROUP, "n_reviews", "avg_rating",
         F.coalesce("summary_en", F.lit("")).alias("summary_en"),
         F.coalesce("summary_fr", F.lit("")).alias("summary_fr"),
@@ -136,6 +139,80 @@ def summarize_reviews(reviews: DataFrame) -> DataFrame:
          .alias("top_themes"))
 
 
+# ── counts that merge: summaries without a pass over old reviews ────────────
+BODY = [*GROUP, "h1", "h2"]
+TOP = [*GROUP, "scope", "rank"]
+
+
+def review_facts(reviews: DataFrame) -> DataFrame:
+    """Per review with a month: its group, rating, language, body with two 64-bit hashes, when and
+    as which id it was seen, and a 0/1 per theme."""
+    flags = [f.alias(f"th_{i}") for i, f in enumerate(theme_flags("t"))]
+    return _review_rows(reviews).select(
+        *GROUP, "rating", "language", "body", F.xxhash64("body").alias("h1"), F.xxhash64(F.lit("h2"), F.col("body")).alias("h2"),
+        F.struct(F.col("first_seen.created_at").alias("seen"), F.col("first_seen.review_id").alias("review_id")).alias("first_seen"), *flags)
+
+
+def group_counts(facts: DataFrame) -> DataFrame:
+    """Per (product, month): what A3 and A5 are made of, as sums."""
+    return facts.groupBy(*GROUP).agg(
+        F.count(F.lit(1)).alias("n_reviews"), F.count("rating").alias("n_ratings"),
+        F.coalesce(F.sum(F.col("rating").cast("decimal(20,6)")), F.lit(0)).cast("decimal(38,6)").alias("rating_sum"),
+        *[F.sum(f"th_{i}").alias(f"th_{i}") for i in range(len(THEMES))])
+
+
+def merge_counts(a: DataFrame, b: DataFrame) -> DataFrame:
+    rows = a.unionByName(b)
+    return rows.groupBy(*GROUP).agg(*[F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in rows.columns if c not in GROUP])
+
+
+def body_counts(facts: DataFrame) -> DataFrame:
+    """Per distinct body of a (product, month) and scope: its count and the first (time, id) it was seen as."""
+    per = facts.groupBy(*BODY)
+    inside = {s: F.col("language") == s for s in SCOPES} | {"all": F.lit(True)}
+    return per.agg(*[F.count_if(c).alias(f"cnt_{s}") for s, c in inside.items()],
+                   *[F.min(F.when(c, F.col("first_seen"))).alias(f"first_{s}") for s, c in inside.items()])
+
+
+def merge_bodies(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b).groupBy(*BODY).agg(*[F.sum(f"cnt_{s}").alias(f"cnt_{s}") for s in [*SCOPES, "all"]],
+                                               *[F.min(f"first_{s}").alias(f"first_{s}") for s in [*SCOPES, "all"]])
+
+
+def top_bodies(bodies: DataFrame, added: DataFrame, facts: DataFrame, before: DataFrame | None = None,
+               n: int = lx.SUMMARY_MAX_BODIES) -> DataFrame:
+    """A4 + W3 from counts: the top ``n`` bodies per (product, month, scope) after new reviews, given
+    as ``facts`` and their counts ``added``. ``bodies``: all counts of the bodies among them; ``before``: the
+    tops until now. A body only gains counts and earlier times, so one that is new among the tops
+    is one of ``bodies``; no other count is needed, and no text but that of the tops."""
+    scopes = F.array(*[F.struct(F.lit(s).alias("scope"), F.col(f"cnt_{s}").alias("cnt"), F.col(f"first_{s}").alias("first"))
+                       for s in [*SCOPES, "all"]])
+    rows = bodies.select(*BODY, F.inline(scopes)).where("cnt > 0")
+    if before is not None:
+        rows = rows.unionByName(matching(before, bodies, BODY, "left_anti").select(*rows.columns))
+    w = Window.partitionBy(*GROUP, "scope").orderBy(F.desc("cnt"), F.asc("first"), "h1", "h2")
+    ranked = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    wanted = matching(added.select(*BODY, F.col("first_all").alias("own")), ranked, BODY)
+    if before is not None:
+        wanted = matching(wanted, before, BODY, "left_anti")
+    other = wanted.select(*[F.col(k).alias(f"w_{k}") for k in BODY], "own")
+    found = facts.join(other, [*[F.col(k).eqNullSafe(F.col(f"w_{k}")) for k in BODY], F.col("first_seen").eqNullSafe(F.col("own"))])
+    texts = found.select(*BODY, "body")
+    if before is not None:
+        texts = texts.unionByName(before.select(*BODY, "body"))
+    texts = texts.dropDuplicates(BODY).select(*[F.col(k).alias(f"w_{k}") for k in BODY], "body")
+    return (ranked.join(texts, [F.col(k).eqNullSafe(F.col(f"w_{k}")) for k in BODY])
+            .select(*TOP, "h1", "h2", "cnt", "first", "body"))
+
+
+def summaries_from_counts(counts: DataFrame, tops: DataFrame) -> DataFrame:
+    """T9 from kept counts and tops: the rows of ``summarize_reviews``."""
+    themes = top_themes_from_counts([f"th_{i}" for i in range(len(THEMES))])
+    mean = F.col("rating_sum").cast("double") / F.nullif(F.col("n_ratings"), F.lit(0))
+    stats = counts.select(*GROUP, "n_reviews", F.round(mean, 2).cast("decimal(3,2)").alias("avg_rating"), themes.alias("top_themes"))
+    return _with_summaries(stats, extractive_summaries(tops))
+
+
 def themes_flat(c: Column) -> Column:
     """``theme:weight|...`` text form of a themes array (for value hashing)."""
     return F.array_join(F.transform(c, lambda x: F.concat(x["theme"], F.lit(":"),

@@ -708,6 +708,25 @@ def q_anomalies_incremental(spark, sf_dir):
     return current_anomalies(CM.RunWrites(spark, out))
 
 
+@register("summarize_reviews_incremental", O.build(
+    "SELECT product_id, review_window, n_reviews, avg_rating, md5(summary_en) AS summary_en_md5, "
+    "md5(summary_fr) AS summary_fr_md5, top_themes FROM rv_out", ["rv_out"]))
+def q_summarize_reviews_incremental(spark, sf_dir):
+    """T7-T9 from kept state: two deliveries, the second with late reviews of most months; the mart gets the
+    summaries of the months that changed."""
+    from tidewater.plans.incremental import add_reviews
+    reviews = staged(cleaned(spark, sf_dir, "product_reviews"), "reviews")
+    out = shared_folder(spark, "history")
+    late = F.crc32("review_id") % 4 == 0
+    for run, part in (("first", ~late), ("second", late)):
+        writes = CM.RunWrites(spark, out, run)
+        writes.upsert("mart/review_summaries", add_reviews(writes, reviews.where(part)), RV.GROUP)
+        writes.publish()
+    kept = CM.read_table(spark, out, "mart/review_summaries")
+    return kept.select("product_id", "review_window", "n_reviews", "avg_rating", F.md5("summary_en").alias("summary_en_md5"),
+                       F.md5("summary_fr").alias("summary_fr_md5"), RV.themes_flat("top_themes").alias("top_themes"))
+
+
 @register("conform", O.build("SELECT order_id, customer_id, order_date, channel, region, 'EUR' AS currency, "
                              "CAST(ROUND(gross_revenue_eur, 2) AS DECIMAL(24,2)) AS gross_revenue_eur, "
                              "CAST(0 AS DECIMAL(24,2)) AS discount_eur, net_revenue_eur, units, "

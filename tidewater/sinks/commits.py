@@ -146,6 +146,12 @@ def bucket_of(keys: list[str], n_buckets: int):
     return F.pmod(F.xxhash64(*keys), F.lit(n_buckets)).cast("int")
 
 
+def matching(rows: DataFrame, wanted: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """``rows`` that agree with a row of ``wanted`` in ``keys``, nulls included (``left_anti``: that agree with none)."""
+    other = wanted.select(*[F.col(k).alias(f"w_{k}") for k in keys])
+    return rows.join(other, [F.col(k).eqNullSafe(F.col(f"w_{k}")) for k in keys], how)
+
+
 class RunWrites:
     """What one run writes. Nothing of it is seen by others before ``publish``; ``read`` sees it at once."""
 
@@ -189,43 +195,51 @@ class RunWrites:
         self.changed[table] = seen["rows"]
         return seen, self.spark.read.schema(df.schema).parquet(f"{base}/file_version={version}").select(*df.columns)
 
-    def replace_keyed(self, table: str, df: DataFrame, keys: list[str], n_buckets: int = BUCKETS, keep_if_empty: bool = False) -> int:
-        """A keyed table: its rows become those of ``df``, dealt to ``n_buckets``. With
-        ``keep_if_empty`` an empty ``df`` leaves a table that exists as it is."""
+    def held(self, table: str, wanted: DataFrame) -> DataFrame:
+        """Rows of a keyed table that agree with a row of ``wanted`` in all its columns (nulls agree), which
+        hold the columns that buckets are dealt by: other buckets are not read."""
+        entry = self.tables[table]
+        numbers = wanted.select(bucket_of(entry.get("deal", entry["keys"]), entry["n_buckets"]).alias("b")).distinct().collect()  # at most n_buckets
+        return matching(_read_entry(self.spark, self.root, table, entry, [r.b for r in numbers]), wanted, wanted.columns)
+
+    def replace_keyed(self, table: str, df: DataFrame, keys: list[str], n_buckets: int = BUCKETS, keep_if_empty: bool = False,
+                      deal: list[str] | None = None) -> int:
+        """A keyed table: its rows become those of ``df``, dealt to ``n_buckets`` by ``deal``, some of the
+        keys (all by default). With ``keep_if_empty`` an empty ``df`` leaves a table that exists as it is."""
         before = self.tables.get(table)
-        rows = self._put(table, df, keys, n_buckets, {})
+        rows = self._put(table, df, keys, n_buckets, {}, deal or keys)
         if not rows and keep_if_empty and before:
             self.tables[table] = before
             del self.changed[table]
         return rows
 
-    def _put(self, table: str, df: DataFrame, keys: list[str], n_buckets: int, kept: dict) -> int:
+    def _put(self, table: str, df: DataFrame, keys: list[str], n_buckets: int, kept: dict, deal: list[str]) -> int:
         """Writes ``df`` to buckets; ``kept``: buckets that stay as they are."""
         folders = [BUCKET, "run_id"] if "run_id" in df.columns else [BUCKET]
-        dealt = df.withColumn(BUCKET, bucket_of(keys, n_buckets)).hint("rebalance", BUCKET)  # AQE sizes files, splits large buckets
+        dealt = df.withColumn(BUCKET, bucket_of(deal, n_buckets)).hint("rebalance", BUCKET)  # AQE sizes files, splits large buckets
         version, seen = self._write(dealt, table, folders, {})
         new = [int(n.split("=")[1]) for n in _names(self.spark, f"{self.root}/{table}/file_version={version}") if n.startswith(f"{BUCKET}=")]
-        self.tables[table] = {"keys": keys, "n_buckets": n_buckets, "buckets": {**kept, **{str(b): version for b in new}},
+        self.tables[table] = {"keys": keys, "deal": deal, "n_buckets": n_buckets, "buckets": {**kept, **{str(b): version for b in new}},
                               "schema": json.loads(df.schema.json()), "rows": seen["rows"]}
         self.changed[table] = seen["rows"]
         return seen["rows"]
 
     def upsert(self, table: str, df: DataFrame, keys: list[str], *, order: str | None = None, ignore: tuple[str, ...] = ("run_id", "enriched_at"),
-               n_buckets: int = BUCKETS) -> int:
+               n_buckets: int = BUCKETS, deal: list[str] | None = None) -> int:
         """K3: rows of ``df`` replace the rows with their keys, others stay. Returns the rows that
         changed: a row that says the same as the one it would replace (but for the columns in
         ``ignore``) is not written, and only buckets with a changed key are written anew. Of rows of
-        ``df`` with one key the one with the greatest ``order`` counts; without ``order`` they are an error."""
+        ``df`` with one key the one with the greatest ``order`` counts; without ``order`` they are an error. ``deal``: as for ``replace_keyed``, for a table that is not there yet."""
         from tidewater.sinks.warehouse import one_per_key
         from tidewater.staging import staged
         if table not in self.tables:
             names = [c for c in df.columns if c != order or c in keys]
-            return self.replace_keyed(table, one_per_key(df, keys, order, names), keys, n_buckets)
+            return self.replace_keyed(table, one_per_key(df, keys, order, names), keys, n_buckets, deal=deal)
         entry = self.tables[table]
         if entry.get("keys") != keys:
             raise ValueError(f"{table} is keyed by {entry.get('keys')}, not by {keys}")
         names = StructType.fromJson(entry["schema"]).names
-        n_buckets = entry["n_buckets"]
+        n_buckets, deal = entry["n_buckets"], entry.get("deal", keys)
         current = self.read(table)
         told = [c for c in names if c not in ignore and c not in keys]
         mine, theirs = F.struct(*told), F.col("is_now")
@@ -233,7 +247,7 @@ class RunWrites:
         was = current.select(*[F.col(k).alias(f"c_{k}") for k in keys], F.struct(*told).alias("is_now"))
         incoming = one_per_key(df, keys, order, names)
         changed = incoming.join(was, [*same, mine.eqNullSafe(theirs)], "left_anti") if told else incoming
-        changed = staged(changed.withColumn(BUCKET, bucket_of(keys, n_buckets)), "upsert")
+        changed = staged(changed.withColumn(BUCKET, bucket_of(deal, n_buckets)), "upsert")
         touched = [r[0] for r in changed.select(BUCKET).distinct().collect()]  # at most n_buckets
         if not touched:
             self.changed.setdefault(table, 0)
@@ -246,7 +260,7 @@ class RunWrites:
         count = changed.count()
         kept = {} if grown else {b: v for b, v in entry["buckets"].items() if int(b) not in touched}
         untouched = 0 if grown else entry["rows"] - affected.count()
-        self._put(table, rows, keys, 2 * n_buckets if grown else n_buckets, kept)
+        self._put(table, rows, keys, 2 * n_buckets if grown else n_buckets, kept, deal)
         self.tables[table]["rows"] += untouched
         self.changed[table] = count
         return count
