@@ -3,8 +3,8 @@
 The entropy method reads candidate strings (maximal runs of a character class),
 slides a window over each and keeps its Shannon entropy by incremental counts;
 windows above the class's threshold merge into spans. Allow-listed candidates
-(plain words, UUIDs, documented sample keys) give no entropy span; of a candidate with a
-placeholder, windows that overlap the placeholder give none.
+(words of one case or capitalised and of bounded length, UUIDs, documented sample keys) give no
+entropy span; of a candidate with a placeholder, windows that overlap the placeholder give none.
 """
 
 from __future__ import annotations
@@ -41,15 +41,21 @@ CLASSES = (
     EntropyClass(re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"), 20, 3.8),
 )
 ALLOWED = tuple(re.compile(x) for x in (
-    r"[A-Za-z]+",                                        # one word
-    r"[A-Za-z]*(?:[-_/=][A-Za-z]*)+",                    # joined words
     r"[-_=/+.]+", r"\d+(?:[-/]\d+)*",                    # rules, plain numbers and dates
     r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
     r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",         # documented sample key
 ))
+WORD = re.compile(r"[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]+")  # one case, capitalised, or with words of 3 letters or more joined to it
+MAX_WORD = 32  # letters; a longer run is no word
+SEPARATORS = re.compile(r"[-_/=]+")
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 PLACEHOLDER = re.compile(r"(?i)example|placeholder|changeme|xxxx")
-PART = re.compile(r"[^/_=-]+")
-MAX_PART = 40  # a part up to this length is a placeholder as a whole; of a longer one only the word is
+
+
+def allowed(s: str) -> bool:
+    """Whether ``s`` as a whole is no secret: a fixed form, a stretch of the alphabet, or words."""
+    return (any(a.fullmatch(s) for a in ALLOWED) or s.lower() in ALPHABET
+            or all(len(w) <= MAX_WORD and WORD.fullmatch(w) for w in SEPARATORS.split(s) if w))
 
 
 def window_hits(s: str, window: int, bits: float) -> list[tuple[int, int]]:
@@ -94,16 +100,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def judged_stretches(s: str) -> list[tuple[int, int]]:
     """(start, end) of what lies between the placeholders of candidate ``s``, without the separators next to them."""
-    if not PLACEHOLDER.search(s):
-        return [(0, len(s))]
     out, at = [], 0
-    for part in PART.finditer(s):
-        whole = part.end() - part.start() <= MAX_PART
-        for word in PLACEHOLDER.finditer(s, part.start(), part.end()):
-            a, b = part.span() if whole else word.span()
-            if b > at:
-                out.append((at, a))
-                at = b
+    for word in PLACEHOLDER.finditer(s):
+        out.append((at, word.start()))
+        at = word.end()
     out.append((at, len(s)))
     return [(a + len(x) - len(x.lstrip("/_=-")) if a else a, a + len(x.rstrip("/_=-")) if b < len(s) else b)
             for a, b in out for x in [s[a:b]]]
@@ -114,11 +114,11 @@ def entropy_spans(text: str) -> list[tuple[int, int, int]]:
     for cls in CLASSES:
         for m in cls.candidates.finditer(text):
             s = m.group()
-            if any(a.fullmatch(s) for a in ALLOWED):
+            if allowed(s):
                 continue
             for at, end in judged_stretches(s):
                 own = s[at:end]
-                if len(own) >= cls.window and not any(a.fullmatch(own) for a in ALLOWED):
+                if len(own) >= cls.window and not allowed(own):
                     found += [(m.start() + at + a, m.start() + at + b) for a, b in window_hits(own, cls.window, cls.bits)]
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):  # classes can overlap
@@ -129,10 +129,6 @@ def entropy_spans(text: str) -> list[tuple[int, int, int]]:
     return [(a, 3, b) for a, b in merged]
 
 
-def listed(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
-
-
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``spans`` (array of kind, start, end; code points,
     end exclusive; sorted by start, then kind) and ``n_base``, how many are of fixed patterns.
