@@ -252,13 +252,15 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
     signed = written(signatures(rows), "signatures")
     classes = written(signed.where("size > 0").groupBy("digest").agg(
-        F.count("*").alias("weight"), F.min("doc_id").alias("least_id"), F.min("text_hash").alias("text_hash"),
+        F.count("*").alias("weight"), F.min("doc_id").alias("least_id"), F.min(F.struct("text_hash", F.xxhash64("text_hash", "doc_id").alias("row_hash"))).alias("chosen"),
         F.first("samples").alias("samples")).withColumn("class", F.monotonically_increasing_id()), "classes")
     leaves = find_leaves(classes)
     per_class = leaves.groupBy("class").agg(F.collect_set(F.struct("leaf", "n")).alias("leaves"))
-    wanted = per_class.join(classes.select("class", "weight", "digest", "text_hash"), "class")
-    # Sorted and merged at every size: what is wanted grows with the input, so it is never broadcast.
-    texts = rows.join(wanted.hint("merge"), "text_hash").dropDuplicates(["text_hash", "class"])
+    wanted = per_class.join(classes.select("class", "weight", "digest", "chosen.*"), "class")
+    # Sorted and merged at every size: what is wanted grows with the input, so it is never broadcast. By text
+    # and id, so that the copies of one text are spread and two texts of one hash are told apart.
+    one = ["text_hash", "row_hash"]
+    texts = rows.withColumn("row_hash", F.xxhash64("text_hash", "doc_id")).join(wanted.hint("merge"), one).dropDuplicates([*one, "class"])
     members = class_sets(texts.select("class", "weight", "leaves", "digest", "text"))
     links = written(compare_leaves(members, leaves.count()), "links")
     roots = components(links.select(F.col("class").alias("a"), F.col("root").alias("b")))
