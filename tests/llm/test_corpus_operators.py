@@ -186,6 +186,35 @@ def test_mixing_rows(odd_docs, odd_rows, no_docs, spark):
     assert sum(r.n_tokens for r in rows if r.mix_kept) == pytest.approx(total / 2, rel=0.15)
 
 
+def test_mixing_meets_targets(spark):
+    """The largest share that meets every target of all three dimensions; a plain sum per category agrees."""
+    targets = {"source": mixing.SOURCE_TARGETS, "lang": mixing.LANG_TARGETS, "topic": mixing.TOPIC_TARGETS}
+    mixed = mixing.mixed_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), meet_targets=True)
+    rows = mixed.select("source", "lang", "topic", "n_tokens", "mix_probability", "mix_kept").collect()
+    given, total = sum(r.n_tokens for r in rows), sum(r.n_tokens * r.mix_probability for r in rows)
+    assert 0.3 * given < total < 0.4 * given  # src0 holds 6.5 % of the tokens and is to give 20 %
+    for name, aims in targets.items():
+        got = defaultdict(float)
+        for r in rows:
+            got[r[name]] += r.n_tokens * r.mix_probability / total
+        norm = sum(aims[k] for k in got)
+        assert {k: pytest.approx(aims[k] / norm, abs=2 * mixing.GAP) for k in got} == dict(got)
+    report = mixing.achieved(mixed, targets, F.col("n_tokens")).collect()
+    assert {r.dimension for r in report} == set(targets) and all(abs(r.target - r.expected) <= 2 * mixing.GAP for r in report)
+    assert sum(r.kept for r in report if r.dimension == "lang") == pytest.approx(1)
+    half = mixing.achieved(mixing.mixed_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")), targets, F.col("n_tokens"))
+    assert {r.category for r in half.where("abs(target - expected) > 0.05").collect()} == {"src0"}
+
+
+def test_largest_share():
+    assert mixing.largest_share({("a",): 10.0, ("b",): 90.0}, [{"a": 0.5, "b": 0.5}], 0.5) == pytest.approx(0.2, abs=2e-3)
+    assert mixing.largest_share({("a",): 50.0, ("b",): 50.0}, [{"a": 0.5, "b": 0.5}], 0.5) == 0.5
+    # Two full dependent dimensions cannot have unlike marginals, whatever the share
+    fixed = {("a", "x"): 50.0, ("b", "y"): 50.0}
+    assert mixing.largest_share(fixed, [{"a": 0.5, "b": 0.5}, {"x": 0.4, "y": 0.6}], 0.5) > 0
+    assert mixing.largest_share({}, [{"a": 1.0}], 0.5) == 0.5 and mixing.marginals({}, [{"a": 1.0}]) == []
+
+
 def test_mixing_counts_words(spark):
     """Runs without white space, whatever stands between them; the cells are raked by them."""
     rng = random.Random(8)
@@ -264,10 +293,30 @@ def test_neighbour_odd_vectors(spark):
             (7, [None, 1.0]), (None, [1.0, 0.0]), (8, [1.0, 2.0, 3.0]), (9, [float("inf"), 1.0]), (100, None)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("rank", F.lit("x"))
     got = neighbours.nearest_neighbours(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()
-    assert [(r.query_id, r.rank, r.vec_id) for r in got] == [(0, 1, 1), (0, 2, 2), (0, 3, 3), (0, 4, 50), (50, 1, 3), (50, 2, 0), (50, 3, 1), (50, 4, 2)]
+    # every row but the query's own is a candidate, so both rows of id 2 are
+    assert [(r.query_id, r.rank, r.vec_id) for r in got] == [(0, 1, 1), (0, 2, 2), (0, 3, 2), (0, 4, 3), (0, 5, 50),
+                                                             (50, 1, 3), (50, 2, 0), (50, 3, 1), (50, 4, 2), (50, 5, 2)]
     assert neighbours.nearest_neighbours(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_ids_and_mixed_dimensions(spark):
+    """Against a plain search over all pairs of rows of equal dimension, by row."""
+    rng = np.random.default_rng(12)
+    rows = [(int(rng.integers(0, 60)), rng.normal(size=int(rng.choice([3, 8]))).round(2).tolist()) for _ in range(150)]
+    rows += rows[:20] + [(50, [1.0] * 3), (50, [1.0, 0.5, 0.25]), (100, [2.0] * 5)]
+    want = Counter()
+    for a, (query, q) in enumerate(rows):
+        if query % 50 == 0:
+            q = np.array(q)
+            others = [(float(np.array(v) @ q / np.sqrt(np.array(v) @ np.array(v)) / np.sqrt(q @ q)), i) for b, (i, v) in enumerate(rows) if b != a and len(v) == len(q)]
+            want.update((query, rank + 1, i, round(s, 9)) for rank, (s, i) in enumerate(sorted(((round(s, 12), i) for s, i in others), key=lambda x: (-x[0], x[1]))[:5]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = Counter((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in neighbours.nearest_neighbours(df, F.col("vec_id") % 50 == 0).collect())
+    assert sum(want.values()) == sum(got.values()) > 0 and len({r[0] for r in want}) == 2
+    assert sum((want & got).values()) >= 0.9 * sum(want.values())
+    assert {(q, i) for q, _, i, s in got if abs(s - 1) < 1e-9} >= {(q, i) for q, _, i, s in want if abs(s - 1) < 1e-9}
+
+
 # similarity join -----------------------------------------------------------
 def brute_links(texts):
     sets = []

@@ -120,71 +120,83 @@ class SubstringIndex:
         return rows[hamming(self.codes[rows], code) <= radius]
 
 
-def best_in_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, coder: Coder, radius: int, k: int) -> pd.DataFrame:
+FOUND = "query_row long, query_id long, row long, vec_id long, score double"
+
+
+def best_in_block(rows: np.ndarray, ids: np.ndarray, x: np.ndarray, query_rows: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
+                  coder: Coder, radius: int, k: int) -> pd.DataFrame:
     x, q = scaled(x), scaled(q)
     index = SubstringIndex(coder.codes(unit_rows(x)))
     lengths, out = np.sqrt((x * x).sum(axis=1)), []
-    for query, v, code in zip(query_ids, q, coder.codes(unit_rows(q))):
-        rows = index.within(code, radius)
-        rows = rows[ids[rows] != query]
-        score = x[rows] @ v / (lengths[rows] * np.sqrt(v @ v))
-        best = np.lexsort((ids[rows], -score))[:k]
-        out.append(pd.DataFrame({"query_id": query, "vec_id": ids[rows][best], "score": score[best]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    for query_row, query, v, code in zip(query_rows, query_ids, q, coder.codes(unit_rows(q))):
+        at = index.within(code, radius)
+        at = at[rows[at] != query_row]
+        score = x[at] @ v / (lengths[at] * np.sqrt(v @ v))
+        best = np.lexsort((rows[at], ids[at], -score))[:k]
+        out.append(pd.DataFrame({"query_row": query_row, "query_id": query, "row": rows[at][best], "vec_id": ids[at][best], "score": score[best]}))
+    return pd.concat(out)
 
 
 def usable_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v) of rows that take part: id and vector not null, all components finite, not all
-    zero, of the most frequent dimension. Rows that repeat an id count once (least vector)."""
+    """(row, vec_id, v) of rows that take part: id and vector not null, all components finite, not all
+    zero. ``row`` numbers them, so rows that repeat an id are told apart."""
     v = F.col(vec_col).cast("array<double>")
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
     rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.where(F.size("v") == (sizes[0][0] if sizes else 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v")
 
 
 def search(vectors: DataFrame, queries: DataFrame, coder: Coder, radius: int, k: int, n: int, n_queries: int) -> DataFrame:
-    """Best k per query and block: (query_id, vec_id, score)."""
+    """Best k per query and block (FOUND)."""
     blocks, query_blocks = -(-n // BLOCK_ROWS) or 1, -(-n_queries // QUERY_ROWS) or 1
-    left = (vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    left = (vectors.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
             .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
-    right = (queries.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
+    right = (queries.withColumn("query_block", F.pmod(F.xxhash64("query_row"), F.lit(query_blocks)).cast("int"))
              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
 
     def one(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return best_in_block(a["vec_id"].to_numpy(np.int64), np.stack(a["v"].to_numpy()).astype(np.float64),
-                             b["query_id"].to_numpy(np.int64), np.stack(b["q"].to_numpy()).astype(np.float64), coder, radius, k)
+            return pd.DataFrame({"query_row": [], "query_id": [], "row": [], "vec_id": [], "score": []})
+        return best_in_block(*(a[c].to_numpy(np.int64) for c in ("row", "vec_id")), np.stack(a["v"].to_numpy()).astype(np.float64),
+                             *(b[c].to_numpy(np.int64) for c in ("query_row", "query_id")), np.stack(b["q"].to_numpy()).astype(np.float64),
+                             coder, radius, k)
 
-    return left.groupBy("block", "query_block").cogroup(right.groupBy("block", "query_block")).applyInPandas(
-        one, "query_id long, vec_id long, score double")
+    return left.groupBy("block", "query_block").cogroup(right.groupBy("block", "query_block")).applyInPandas(one, FOUND)
 
 
-def nearest_neighbours(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """``k`` nearest rows by cosine for every row where ``is_query`` (a condition on ``vec_id``)
-    holds: query_id, rank, vec_id, score; nearest first, ties to the smaller id. Fewer rows only
-    where there are fewer candidates. Rows that take part: see usable_vectors; a row of the
-    query's own id is no candidate. An empty table gives an empty result."""
-    vectors = written(usable_vectors(df, id_col, vec_col), "vectors")
-    queries = vectors.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    n, n_queries = vectors.count(), queries.count()
-    spark = df.sparkSession
-    if not n_queries or n < 2:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+def neighbours_of_one_dimension(vectors: DataFrame, queries: DataFrame, k: int, n: int, n_queries: int) -> DataFrame:
+    """Best rows per query (FOUND, at least ``k`` or all there are) among vectors of one dimension."""
     share = F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1 << 30)) < int(min(1.0, MAX_SAMPLE / n) * (1 << 30)) + 1
-    sample = vectors.where(share).orderBy("vec_id").limit(MAX_SAMPLE).toPandas()["v"]
+    sample = vectors.where(share).orderBy("vec_id", "v").limit(MAX_SAMPLE).toPandas()["v"]
     if len(sample) < 2:
-        sample = vectors.orderBy("vec_id").limit(MAX_SAMPLE).toPandas()["v"]
+        sample = vectors.orderBy("vec_id", "v").limit(MAX_SAMPLE).toPandas()["v"]
     coder = fit_coder(np.stack(sample.to_numpy()).astype(np.float64), k)
     found = written(search(vectors, queries, coder, coder.radius, k, n, n_queries), "neighbours")
-    short = queries.join(found.groupBy("query_id").agg(F.count("*").alias("m")), "query_id", "left").where(
-        F.coalesce("m", F.lit(0)) < min(k, n - 1)).select("query_id", "q")
+    short = queries.join(found.groupBy("query_row").agg(F.count("*").alias("m")), "query_row", "left").where(
+        F.coalesce("m", F.lit(0)) < min(k, n - 1)).select("query_row", "query_id", "q")
     n_short = short.count()
     if n_short:
         rest = search(vectors, short, coder, coder.bits, k, n, n_short)
-        found = found.join(short.select("query_id"), "query_id", "left_anti").unionByName(rest)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        found = found.join(short.select("query_row"), "query_row", "left_anti").unionByName(rest)
+    return found
+
+
+def nearest_neighbours(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """``k`` nearest rows by cosine for every row where ``is_query`` (a condition on ``vec_id``)
+    holds: query_id, rank, vec_id, score; nearest first, ties to the smaller id. Fewer rows only
+    where there are fewer candidates. Rows that take part: see usable_vectors. Every such row of the
+    query's dimension but the query's own is a candidate, so rows that repeat an id or a vector count
+    each, and rows that repeat a query's id are queries of their own. Each dimension has its own codes
+    and index. An empty table gives an empty result."""
+    vectors = written(usable_vectors(df, id_col, vec_col).withColumn("d", F.size("v")), "vectors")
+    sizes = vectors.groupBy("d").agg(F.count("*").alias("n"), F.count_if(is_query).alias("n_queries")).orderBy("d").collect()
+    found = df.sparkSession.createDataFrame([], FOUND)
+    for size in sizes:
+        if size["n"] > 1 and size["n_queries"]:
+            own = vectors.where(F.col("d") == size["d"]).drop("d")
+            queries = own.where(is_query).select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+            found = found.unionByName(neighbours_of_one_dimension(own, queries, k, size["n"], size["n_queries"]))
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
