@@ -66,7 +66,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Samples documents by the probabilities that make token shares meet the targets."""
     names = {c: f"__{k}" for k, c in enumerate(docs.columns)}
     own = docs.select(*(F.col(c).alias(names[c]) for c in docs.columns), "doc_id", "text", "lang", "source")
-    return mixed_documents(own).where("mix_kept").select(*(F.col(names[c]).alias(c) for c in docs.columns))
+    mixed = mixed_documents(own, meet_targets=True)
+    return mixed.where("mix_kept").select(*(F.col(names[c]).alias(c) for c in docs.columns))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
