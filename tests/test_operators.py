@@ -312,3 +312,54 @@ def test_segments_sum_to_daily_on_driver_data(spark):
 def test_size_band_top_label_option(spark):
     df = spark.createDataFrame([("1200 people",)], "notes string")
     assert df.select(L.company_size_band("notes", top_label="1000+")).collect()[0][0] == "1000+"
+
+
+# quality_report at size ------------------------------------------------------
+def test_staged_table_can_be_read_by_many_tasks(spark):
+    from tidewater.staging import staged
+    table = staged(spark.range(250_000).coalesce(1), "rows")  # written by one task
+    assert len(table.inputFiles()) >= 3
+    assert table.count() == table.distinct().count() == 250_000
+
+
+def test_quality_report_raw_tables_are_those_of_a_run(spark):
+    from tidewater.plans.queries import _raw_columns
+    source = spark.createDataFrame([("t1", "c1", "2024-01-02T03:04:05", "mail", "en", "Late", "Where is it?", "open", "yes")],
+                                   "ticket_id string, customer_id string, created_at string, channel string, language string, "
+                                   "subject string, description string, status string, sla_breached string")
+    raw = _raw_columns(C.clean_tickets(source), "support_tickets")
+    assert raw.columns == source.columns  # no helper ``text``
+    assert T.classify_tickets(raw).collect() == T.classify_tickets(C.clean_tickets(source)).collect()
+
+
+def test_ticket_and_lead_rules_make_short_code(spark):
+    """One test per word makes methods that the JVM doesn't compile; a lambda over the notes lower-cases them for each test."""
+    import contextlib
+    import io
+
+    from tidewater.operators import leads as LD
+    from tidewater.operators import tickets as TK
+
+    def plan(df):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("formatted")
+        return out.getvalue()
+
+    tickets = spark.createDataFrame([("t1", "Refund please, the refund is late")], "ticket_id string, text string")
+    assert plan(TK.classify_tickets(tickets)).count("Contains(") < 40
+    leads = spark.createDataFrame([("a", "Budget, demo; team of 0012"), ("b", "nothing"), ("c", "0"), ("d", "12345678901 seats"),
+                                   ("e", None), ("f", "1001 users, q3")], "lead_id string, notes string")
+    found = leads.select("lead_id", LD.company_size_band("notes", "1000+").alias("band"), LD.intent_signals("notes").alias("signals"))
+    assert "lambda" not in plan(found)
+    assert [c.dataType.simpleString() for c in found.schema] == ["string", "string", "array<string>"]
+    assert not any(c.nullable for c in found.schema[1:]) and not found.schema["signals"].dataType.containsNull
+    assert {r.lead_id: (r.band, r.signals) for r in found.collect()} == {
+        "a": ("11-50", ["budget_confirmed", "requested_demo"]), "b": ("11-50", ["no_clear_signal"]), "c": ("11-50", ["no_clear_signal"]),
+        "d": ("1000+", ["no_clear_signal"]), "e": ("11-50", ["no_clear_signal"]), "f": ("1000+", ["timeline_indicated"])}
+
+
+def test_weighted_hits_counts_repeated_words(spark):
+    from tidewater.functions.text import weighted_hits
+    rows = spark.createDataFrame([("late refund",), ("it's late",), (None,)], "t string")
+    assert [r[0] for r in rows.select(weighted_hits("t", ["late", "refund", "late", "it's"])).collect()] == [3, 3, 0]

@@ -8,7 +8,6 @@ assemble expression strings from fixed values; evaluation stays in Spark.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -26,9 +25,9 @@ def contains_any(text: str, words: Iterable[str]) -> str:
 
 
 def weighted_hits(text: str, words: Iterable[str]) -> str:
-    """Sum over listed words found as substrings; a word listed k times counts k."""
-    return "(" + " + ".join(f"IF(contains({text}, {s(w)}), {n}, 0)"
-                            for w, n in Counter(words).items()) + ")"
+    """Number of listed words found as substrings; a word listed k times counts k. A loop over the
+    list, as one test per word makes a generated method so long that the JVM only interprets it."""
+    return f"size(filter(array({', '.join(s(w) for w in words)}), w -> contains({text}, w)))"
 
 
 def pick(values: list[str], index_sql: str) -> str:

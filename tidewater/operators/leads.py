@@ -32,10 +32,13 @@ def company_size_band(notes: str = "notes", top_label: str = lx.SIZE_BAND_TOP_LA
     """First run of digits anywhere in the notes, read whole -> band; none
     or 0 -> the default band; a number beyond the top band belongs to it."""
     digits = f"ltrim('0', regexp_extract({_lower(notes)}, '([0-9]+)', 1))"
-    n = f"(CASE WHEN {digits} = '' THEN NULL WHEN length({digits}) > 9 THEN {lx.SIZE_BANDS[-1][1]} ELSE CAST({digits} AS INT) END)"
-    whens = " ".join(f"WHEN {n} BETWEEN {lo} AND {hi} THEN {sx.s(label)}"
-                     for lo, hi, label in size_band_labels(top_label))
-    return F.expr(f"CASE {whens} ELSE {sx.s(lx.SIZE_BAND_DEFAULT)} END")
+    n = f"(CASE WHEN {digits} = '' THEN 0 WHEN length({digits}) > 9 THEN {lx.SIZE_BANDS[-1][1]} ELSE CAST({digits} AS INT) END)"
+    # Bands don't overlap, so the places add up to the one that fits. Every term is always evaluated,
+    # which lets Spark compute the number once for all of them.
+    bands = size_band_labels(top_label)
+    place = " + ".join(f"IF({n} >= {lo} AND {n} <= {hi}, {k}, 0)" for k, (lo, hi, _) in enumerate(bands, 2))
+    labels = ", ".join(sx.s(label) for label in [lx.SIZE_BAND_DEFAULT, *[label for _, _, label in bands]])
+    return F.expr(f"coalesce(element_at(array({labels}), greatest(1, {place})), {sx.s(lx.SIZE_BAND_DEFAULT)})")
 
 
 def lead_score(status: str = "status", source: str = "source", value: str = "est_value_eur",
@@ -66,8 +69,10 @@ def intent_signals(notes: str = "notes") -> Column:
         cond = (f"{t} RLIKE {sx.s(TIMELINE_REGEX)}" if words is None
                 else sx.contains_any(t, words))
         flags.append(f"IF({cond}, {sx.s(label)}, NULL)")
-    found = f"array_compact(array({', '.join(flags)}))"
-    return F.expr(f"IF(size({found}) = 0, array({sx.s(lx.NO_SIGNAL_LABEL)}), {found})")
+    # Labels hold no comma. As text the list is found once, by generated code (array functions with
+    # lambdas are interpreted, each test on a new lower-cased copy of the notes).
+    found = f"concat_ws(',', {', '.join(flags)})"
+    return F.expr(f"split(coalesce(nullif({found}, ''), {sx.s(lx.NO_SIGNAL_LABEL)}), ',')")
 
 
 def glossary(target_lang: str) -> list[tuple[str, str]]:

@@ -622,10 +622,14 @@ def _warehouse_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _raw_columns(df, name):
+    return df.select(*[c for c in SC.RAW_SCHEMAS[name].names if c != "loaded_at"])
+
+
 def _warehouse_tables(spark, sf_dir):
-    """The ten tables as a run would write them. The raw ones are written once, as the marts read them
-    again; each mart is read once, by the report."""
-    raw = staged_all({n: cleaned(spark, sf_dir, n) for n in SC.RAW_SCHEMAS})
+    """The ten tables as a run would write them, so raw ones without the helper ``text``. Those are
+    written once, as the marts read them again; each mart is read once, by the report."""
+    raw = staged_all({n: _raw_columns(cleaned(spark, sf_dir, n), n) for n in SC.RAW_SCHEMAS})
     day = F.concat(F.lit("run-"), F.col("created_at").cast("date").cast("string"))
     marts = {
         "ticket_classifications": T.classify_tickets(raw["support_tickets"].withColumn("run_id", day), keep=("run_id",)),

@@ -10,6 +10,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROWS_PER_FILE = 100_000  # a file is read by one task, and cheap rows to store can be dear to work on
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """The path of a new folder under the one that ``spark.checkpoint.dir`` names; what is written there
     goes when the application ends. Where the setting is missing a local session takes a temporary
@@ -28,10 +31,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: its sources are read once however many
-    branches follow, and a lost executor re-reads files instead of repeating the lineage."""
+    branches follow, and a lost executor re-reads files instead of repeating the lineage. Files end
+    at ROWS_PER_FILE rows: however few tasks write the table, many can read it."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
