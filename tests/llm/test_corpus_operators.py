@@ -137,6 +137,35 @@ def test_substring_small_and_odd(small_docs, odd_docs, odd_rows, no_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
 
 
+def test_substring_common_core_is_split(spark, monkeypatch):
+    """A repeated sentence has the same core in each period; the join that looks it up shares it out."""
+    rng = random.Random(10)
+    texts = [(k, " Is onhe." * 200 + "".join(rng.choice("abcdefgh ") for _ in range(300))) for k in range(60)]
+    plans, write = [], substring_dedup.written
+
+    def seen(df, name):
+        if name == "unions":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(substring_dedup, "written", seen)
+    conf = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "6"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+        assert rows_of(substring_dedup.remove_repeats(df)) == removed(texts, 400)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(plans) == 1
+    assert any("skew=true" in line and "LeftSemi" in line and "core" in line for line in plans[0].splitlines())
+
+
 def test_runs_cover_every_start(monkeypatch):
     rng = random.Random(8)
     data = bytes(rng.choice(b"abcd ") for _ in range(6000)) + b"x" * 1200 + bytes(rng.randrange(256) for _ in range(3000))
